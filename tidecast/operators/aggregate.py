@@ -25,3 +25,121 @@ def unpack_series(packed: DataFrame, with_pos: bool = False) -> DataFrame:
     z = packed.select(ID, F.posexplode(F.arrays_zip(DS, Y)).alias("pos", "_z"))
     cols = [ID] + (["pos"] if with_pos else []) + [F.col(f"_z.{DS}").alias(DS), F.col(f"_z.{Y}").alias(Y)]
     return z.select(*cols)
+
+
+def sample_median(samples: DataFrame, qs=(0.5,), value: str = "value",
+                  keys=(ID, "step")) -> DataFrame:
+    """Elementwise exact quantiles over sample paths, per (series, step).
+
+    ``percentile`` is exact with linear interpolation (``percentile_approx``
+    is not: it gives 2, not 2.5, on 1, 2, 3, 10).  A group holds
+    ``num_samples`` values, bounded by the parameter.
+    """
+    keys = [k for k in keys] + ([DS] if DS in samples.columns and DS not in keys else [])
+    aggs = []
+    for q in qs:
+        name = "median" if q == 0.5 else f"q{int(round(q * 100)):02d}"
+        aggs.append(F.percentile(F.col(value), F.lit(float(q))).alias(name))
+    return samples.groupBy(*keys).agg(*aggs)
+
+
+def missing_profile(df: DataFrame) -> DataFrame:
+    """Length, missing count and missing share per series (NULL = missing)."""
+    miss = F.col(Y).isNull().cast("int")
+    return df.groupBy(ID).agg(F.count(F.lit(1)).alias("n"), F.sum(miss).alias("n_missing"),
+                              F.avg(miss.cast("double")).alias("missing_share"))
+
+
+def mean_abs_scale(windows: DataFrame, keys=("window_id",), past_only: bool = True) -> DataFrame:
+    """Per-context scale = mean(|y|) over observed past values; 1.0 when that is
+    not > 0 (all missing or all zero)."""
+    src = windows.where(~F.col("is_future")) if past_only and "is_future" in windows.columns else windows
+    m = F.avg(F.abs(F.col(Y)))
+    return src.groupBy(*keys).agg(F.when(m > 0, m).otherwise(F.lit(1.0)).alias("scale"))
+
+
+def latest_version(registry: DataFrame, names) -> DataFrame:
+    """Highest integer version per model name; 1 when a name has none (quirk
+    Q13, kept for parity) with ``exists`` telling the two apart.
+
+    ``names`` is a list (broadcast; bounded by its length) or a DataFrame.
+    """
+    spark = registry.sparkSession
+    if isinstance(names, DataFrame):
+        nm = names.select(F.col(names.columns[0]).cast("string").alias("name")).distinct()
+    else:
+        nm = F.broadcast(spark.createDataFrame([(str(n),) for n in dict.fromkeys(names)], "name string"))
+    mx = registry.groupBy("name").agg(F.max(F.col("version").cast("int")).alias("_v"))
+    j = nm.join(mx, "name", "left")
+    return j.select("name", F.greatest(F.coalesce(F.col("_v"), F.lit(1)), F.lit(1)).alias("version"),
+                    F.col("_v").isNotNull().alias("exists"))
+
+
+def _run_numbers(listing: DataFrame, base: str, sep: str, ext: str, path_col: str):
+    stem = F.regexp_replace(F.col(path_col), r"^.*/", "")
+    if ext:
+        stem = F.regexp_replace(stem, r"\." + ext + "$", "")
+    pat = "^" + base + sep + r"(\d+)$"
+    num = F.when(stem.rlike(pat), F.regexp_extract(stem, pat, 1).cast("long"))
+    return listing.select(num.alias("_n"))
+
+
+def latest_run(listing: DataFrame, base: str = "run", sep: str = "-", ext: str = "",
+               path_col: str = "path") -> DataFrame:
+    """Highest ``<base><sep><n>`` number in a listing (NULL when there is none)."""
+    return _run_numbers(listing, base, sep, ext, path_col).agg(F.max("_n").alias("latest_run"))
+
+
+def next_run(listing: DataFrame, base: str = "run", sep: str = "-", ext: str = "",
+             base_dir: str = "", path_col: str = "path") -> DataFrame:
+    """Next free run path: highest number + 1, starting at 0."""
+    n = F.coalesce(F.max("_n"), F.lit(-1)) + 1
+    suffix = f".{ext}" if ext else ""
+    prefix = (base_dir.rstrip("/") + "/") if base_dir else ""
+    nums = _run_numbers(listing, base, sep, ext, path_col)
+    return nums.agg(n.alias("next_run")).select(
+        "next_run", F.concat(F.lit(prefix + base + sep), F.col("next_run").cast("string"),
+                             F.lit(suffix)).alias("next_path"))
+
+
+def best_checkpoint(metrics: DataFrame, monitor: str, mode: str = "min", k: int = 1) -> DataFrame:
+    """Top-``k`` epochs per run by the monitored metric (ties: earliest epoch)."""
+    from pyspark.sql import Window
+    if mode not in ("min", "max"):
+        raise ValueError("mode must be min or max")
+    order = F.col("value").asc() if mode == "min" else F.col("value").desc()
+    w = Window.partitionBy("run").orderBy(order, F.col("epoch").asc())
+    m = metrics.where((F.col("metric") == monitor) & F.col("value").isNotNull())
+    return (m.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+             .select("run", "epoch", "value", "rank"))
+
+
+def early_stop_epoch(metrics: DataFrame, monitor: str, patience: int = 3,
+                     min_delta: float = 0.0) -> DataFrame:
+    """Per run: the first epoch at which ``patience`` epochs in a row brought
+    no improvement (mode min), the best epoch and value up to the stop.
+
+    Exact for ``min_delta == 0`` (improvement = strictly below the running
+    minimum); other values need a sequential fold and are rejected.
+    """
+    from pyspark.sql import Window
+    if min_delta != 0.0:
+        raise ValueError("only min_delta = 0 is supported")
+    m = metrics.where((F.col("metric") == monitor) & F.col("value").isNotNull())
+    w = Window.partitionBy("run").orderBy("epoch")
+    prev = Window.partitionBy("run").orderBy("epoch").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("run").orderBy("epoch").rowsBetween(Window.unboundedPreceding, 0)
+    x = (m.withColumn("_k", F.row_number().over(w))
+          .withColumn("_best_before", F.min("value").over(prev)))
+    x = x.withColumn("_imp", F.col("_best_before").isNull() | (F.col("value") < F.col("_best_before")))
+    x = x.withColumn("_last_imp", F.max(F.when(F.col("_imp"), F.col("_k"))).over(upto))
+    x = x.withColumn("_stop", (F.col("_k") - F.col("_last_imp")) >= patience)
+    stop = x.groupBy("run").agg(
+        F.min(F.when(F.col("_stop"), F.col("_k"))).alias("_stop_k"),
+        F.count(F.lit(1)).alias("epochs_seen"))
+    y = x.join(stop, "run").where(F.col("_stop_k").isNull() | (F.col("_k") <= F.col("_stop_k")))
+    return y.groupBy("run").agg(
+        F.max(F.when(F.col("_k") == F.col("_stop_k"), F.col("epoch"))).alias("stop_epoch"),
+        F.min_by("epoch", F.struct("value", "epoch")).alias("best_epoch"),
+        F.min("value").alias("best_value"),
+        F.first("epochs_seen").alias("epochs_seen"))

@@ -151,3 +151,164 @@ register("densify", f"SELECT unique_id, ds, round(y, 6) AS y FROM ({S.densify_sq
     lambda spark, sf: r6(ti.densify(series_set(spark, sf, "events_user_daily"))))
 register("densify_monthly", f"SELECT unique_id, ds, round(y, 6) AS y FROM ({S.densify_sql(ORDM, 'M')})")(
     lambda spark, sf: r6(ti.densify(series_set(spark, sf, "order_monthly"), "M")))
+
+# ---------------------------------------------------------------- 2.4 aggregations
+from tidecast.functions.rng import sql_uniform  # noqa: E402
+from tidecast.operators import splits as sp  # noqa: E402
+
+register("pack_series", f"""SELECT unique_id, CAST(row_number() OVER (PARTITION BY unique_id ORDER BY ds) - 1 AS INTEGER) AS pos,
+  ds, round(y, 6) AS y FROM ({SHIP})""")(
+    lambda spark, sf: r6(agg.unpack_series(agg.pack_series(series_set(spark, sf, "ship_daily")), with_pos=True)))
+
+register("unpack_series", f"SELECT unique_id, ds, round(y, 6) AS y FROM ({S.densify_sql(SUPP)})")(
+    lambda spark, sf: r6(agg.unpack_series(agg.pack_series(ti.densify(series_set(spark, sf, "supplier_daily"))))))
+
+register("missing_profile", f"""SELECT unique_id, count(*) AS n, CAST(sum(CASE WHEN y IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_missing,
+  round(avg(CASE WHEN y IS NULL THEN 1.0 ELSE 0.0 END), 6) AS missing_share FROM ({S.densify_sql(SUPP)}) GROUP BY 1""")(
+    lambda spark, sf: r6(agg.missing_profile(ti.densify(series_set(spark, sf, "supplier_daily")))))
+
+# ---------------------------------------------------------------- 2.5 windows, splits
+register("offset_split", f"""SELECT unique_id, ds, round(y, 6) AS y,
+  CASE WHEN pos < 40 THEN 'train' ELSE 'eval' END AS split FROM ({S.positioned_sql(ORDM)})""")(
+    lambda spark, sf: r6(sp.offset_split(series_set(spark, sf, "order_monthly"), 40)))
+
+register("holdout_split", f"""SELECT unique_id, ds, round(y, 6) AS y,
+  CASE WHEN pos >= n - 10 THEN 'future' ELSE 'past' END AS split FROM ({S.positioned_sql(EVU)})""")(
+    lambda spark, sf: r6(sp.holdout_split(series_set(spark, sf, "events_user_daily"), 10)))
+
+register("forecast_split", f"""SELECT unique_id, ds, round(y, 6) AS y, 'past' AS split,
+  {sql_add_steps('max(ds) OVER (PARTITION BY unique_id)', '1', 'M')} AS forecast_start FROM ({ORDM})""")(
+    lambda spark, sf: r6(sp.forecast_split(series_set(spark, sf, "order_monthly"), "M")))
+
+
+def _random_cuts_sql(src, min_past, h, num, seed):
+    return f"""WITH pts AS ({S.positioned_sql(src)}),
+avgv AS (SELECT avg(n - {h} - {min_past} + 1) AS a FROM (SELECT unique_id, max(n) AS n FROM pts GROUP BY 1)
+         WHERE n - {h} - {min_past} + 1 > 0),
+u AS (SELECT *, {sql_uniform(seed, 'unique_id', 'pos')} AS u FROM pts WHERE pos >= {min_past} AND pos <= n - {h}),
+um AS (SELECT *, min(u) OVER (PARTITION BY unique_id) AS umin FROM u)
+SELECT unique_id, CAST(pos AS INTEGER) AS cut, ds AS forecast_start FROM um, avgv WHERE u < {float(num)} / a OR u = umin"""
+
+
+register("random_cut_split", _random_cuts_sql(SUPP, 60, 10, 1.0, 7))(
+    lambda spark, sf: sp.random_cut_split(series_set(spark, sf, "supplier_daily"), 60, 10, 1.0, 7))
+
+
+def _ctx_window(spark, sf):
+    s = series_set(spark, sf, "supplier_daily")
+    return sp.context_window(s, sp.random_cut_split(s, 60, 10, 2.0, 7), 64, 10)
+
+
+_CTX_SQL = S.expand_sql(
+    f"SELECT unique_id, cut, concat_ws('#', unique_id, CAST(cut AS VARCHAR)) AS window_id FROM ({_random_cuts_sql(SUPP, 60, 10, 2.0, 7)})",
+    S.positioned_sql(SUPP), "c.unique_id, c.window_id", "64", "10")
+register("context_window", f"SELECT unique_id, window_id, cut, rel, ds, round(y, 6) AS y, is_pad, is_future FROM ({_CTX_SQL})")(
+    lambda spark, sf: r6(_ctx_window(spark, sf)))
+
+
+def _fixed_ctx_sql(src, L):
+    return f"""WITH s AS (SELECT unique_id, y, row_number() OVER (PARTITION BY unique_id ORDER BY ds DESC) AS rd,
+  count(*) OVER (PARTITION BY unique_id) AS n FROM ({src}))
+SELECT unique_id, CAST(least(n, {L}) - rd AS INTEGER) AS pos, round(y, 6) AS value, 1 AS mask FROM s WHERE rd <= {L}
+UNION ALL
+SELECT unique_id, CAST(p AS INTEGER) AS pos, 0.0 AS value, 0 AS mask
+FROM (SELECT unique_id, least(max(n), {L}) AS k FROM s GROUP BY 1) t, unnest(generate_series(k, {L - 1})) g(p)"""
+
+
+def _fixed_ctx(name, L):
+    def q(spark, sf):
+        packed = agg.pack_series(series_set(spark, sf, name))
+        fx = sp.fixed_context(packed, L)
+        z = fx.select("unique_id", F.posexplode(F.arrays_zip("context", "mask")).alias("pos", "_z"))
+        return r6(z.select("unique_id", F.col("pos").cast("int").alias("pos"),
+                           F.col("_z.context").alias("value"), F.col("_z.mask").alias("mask")))
+    return q
+
+
+register("fixed_context", _fixed_ctx_sql(SHIP, 512))(_fixed_ctx("ship_daily", 512))
+register("fixed_context_padded", _fixed_ctx_sql(EVT, 512))(_fixed_ctx("events_type_daily", 512))
+
+
+def _nonempty(spark, sf):
+    d = ti.densify(series_set(spark, sf, "supplier_daily"))
+    w = sp.context_window(d, sp.random_cut_split(d, 4, 2, 3.0, 11), 4, 2)
+    return r6(sp.nonempty_context(w))
+
+
+_NE_W = S.expand_sql(
+    f"SELECT unique_id, cut, concat_ws('#', unique_id, CAST(cut AS VARCHAR)) AS window_id FROM ({_random_cuts_sql(S.densify_sql(SUPP), 4, 2, 3.0, 11)})",
+    S.positioned_sql(S.densify_sql(SUPP)), "c.unique_id, c.window_id", "4", "2")
+register("nonempty_context", f"""SELECT unique_id, window_id, cut, rel, ds, round(y, 6) AS y, is_pad, is_future FROM ({_NE_W}) w
+WHERE window_id IN (SELECT window_id FROM ({_NE_W}) GROUP BY 1 HAVING count(CASE WHEN NOT is_future THEN y END) > 0)""")(_nonempty)
+
+# eval specs over the ship_daily set: offsets from the end, two horizons, two patch sizes
+SHIP_SPECS = dict(dataset="ship_daily", offset=-200, eval_length=100, horizons=[10, 20],
+                  contexts=[60], patches=[8, 16])
+
+
+def _spec_rows(d):
+    out = []
+    for h in d["horizons"]:
+        for c in d["contexts"]:
+            for p in d["patches"]:
+                out.append(dict(dataset=d["dataset"], spec_id=f"{d['dataset']}/h{h}/c{c}/p{p}",
+                                offset=d["offset"], windows=d["eval_length"] // h, distance=h,
+                                prediction_length=h, context_length=c, patch_size=p))
+    return out
+
+
+def ship_windows(spark, sf, patch_size=None):
+    d = SHIP_SPECS
+    specs = sp.eval_grid(spark, d["horizons"], d["contexts"], d["patches"] if patch_size is None else [patch_size],
+                         dataset=d["dataset"], offset=d["offset"], eval_length=d["eval_length"])
+    return sp.rolling_eval_windows(series_set(spark, sf, "ship_daily"), specs, "ship_daily")
+
+
+def _ship_windows_sql(patch_size=None):
+    specs = [s for s in _spec_rows(SHIP_SPECS) if patch_size is None or s["patch_size"] == patch_size]
+    return S.rolling_windows_sql(SHIP, "ship_daily", specs)
+
+
+register("rolling_eval_windows", f"""SELECT unique_id, spec_id, window_no, window_id, cut, rel, ds, round(y, 6) AS y,
+  is_pad, is_future FROM ({_ship_windows_sql()})""")(lambda spark, sf: r6(ship_windows(spark, sf)))
+
+
+def _eval_grid(spark, sf):
+    lens = []
+    for name in ("ship_daily", "supplier_daily"):
+        n = series_set(spark, sf, name).groupBy("unique_id").count().agg(F.min("count").alias("m"))
+        lens.append(n.select(F.lit(name).alias("dataset"), (F.col("m") - 100).cast("int").alias("offset"),
+                             F.lit(100).alias("eval_length")))
+    base = lens[0].unionByName(lens[1])
+    return sp.eval_grid(base, [10, 20], [64, 128], [8, 16])
+
+
+_EG_BASE = " UNION ALL ".join(
+    f"SELECT '{n}' AS dataset, CAST(min(c) - 100 AS INTEGER) AS \"offset\", 100 AS eval_length "
+    f"FROM (SELECT unique_id, count(*) AS c FROM ({q}) GROUP BY 1)" for n, q in (("ship_daily", SHIP), ("supplier_daily", SUPP)))
+register("eval_grid", f"""SELECT dataset, "offset", eval_length, prediction_length, context_length, patch_size,
+  CAST(eval_length // prediction_length AS INTEGER) AS windows, prediction_length AS distance,
+  concat_ws('/', dataset, 'h' || prediction_length, 'c' || context_length, 'p' || patch_size) AS spec_id
+FROM ({_EG_BASE}) b, (VALUES (10), (20)) h(prediction_length), (VALUES (64), (128)) c(context_length),
+     (VALUES (8), (16)) p(patch_size)""")(_eval_grid)
+
+
+def _patch_sql(p):
+    w = _ship_windows_sql(p)
+    return f"""WITH ctx AS (SELECT *, count(*) OVER (PARTITION BY window_id) AS L FROM ({w}) WHERE NOT is_future),
+c2 AS (SELECT *, ((-L) % {p} + {p}) % {p} AS pad FROM ctx),
+allp AS (SELECT window_id, rel + L + pad AS i, ds, y, is_pad FROM c2
+         UNION ALL
+         SELECT window_id, g.i, NULL::TIMESTAMP, NULL::DOUBLE, true FROM c2, unnest(generate_series(0, pad - 1)) g(i)
+         WHERE rel = -L AND pad > 0)
+SELECT window_id, CAST(i // {p} AS INTEGER) AS patch, CAST(i % {p} AS INTEGER) AS slot, ds, round(y, 6) AS y, is_pad FROM allp"""
+
+
+register("patch_series", _patch_sql(16))(lambda spark, sf: r6(sp.patch_series(ship_windows(spark, sf, 16), 16)))
+
+register("patch_mask", f"""WITH per AS (SELECT window_id, patch, count(y) AS n_obs FROM ({_patch_sql(16)}) GROUP BY 1, 2),
+pn AS (SELECT *, count(*) OVER (PARTITION BY window_id) AS n_patches FROM per),
+pt AS (SELECT *, greatest(1, CAST(round(n_patches * (0.15 + {0.5 - 0.15!r} * {sql_uniform(5, 'window_id')})) AS INTEGER)) AS n_target
+       FROM pn WHERE n_patches >= 2)
+SELECT window_id, patch, n_obs, n_patches, n_target, patch >= n_patches - n_target AS is_target FROM pt""")(
+    lambda spark, sf: sp.patch_mask(sp.patch_series(ship_windows(spark, sf, 16), 16), 0.15, 0.5, 2, 5))

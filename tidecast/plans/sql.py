@@ -90,3 +90,40 @@ def densify_sql(src_sql: str, freq: str = "D") -> str:
     return f"""SELECT g.unique_id, g.ds, d.y FROM (
   WITH spans AS (SELECT unique_id, min(ds) AS s, max(ds) AS e FROM ({src_sql}) GROUP BY unique_id)
   {grid}) g LEFT JOIN ({src_sql}) d ON g.unique_id = d.unique_id AND g.ds = d.ds"""
+
+
+def positioned_sql(src_sql: str) -> str:
+    return (f"SELECT unique_id, ds, y, row_number() OVER (PARTITION BY unique_id ORDER BY ds) - 1 AS pos, "
+            f"count(*) OVER (PARTITION BY unique_id) AS n FROM ({src_sql})")
+
+
+def expand_sql(cuts_sql: str, pts_sql: str, key_cols: str, ctx: str, h: str) -> str:
+    """Twin of splits._expand: cuts x rel in [-ctx, h) left-joined to points."""
+    return f"""SELECT {key_cols}, c.cut, CAST(c.rel AS INTEGER) AS rel, p.ds, p.y,
+       (c.cut + c.rel < 0) AS is_pad, (c.rel >= 0) AS is_future
+FROM (SELECT *, unnest(generate_series(-({ctx}), ({h}) - 1)) AS rel FROM ({cuts_sql})) c
+LEFT JOIN ({pts_sql}) p ON p.unique_id = c.unique_id AND p.pos = c.cut + c.rel"""
+
+
+def specs_values(specs) -> str:
+    rows = ", ".join(
+        f"('{s['dataset']}', '{s['spec_id']}', {s['offset']}, {s['windows']}, {s['distance']}, "
+        f"{s['prediction_length']}, {s['context_length']}, {s['patch_size']})" for s in specs)
+    return (f"(SELECT * FROM (VALUES {rows}) v(dataset, spec_id, \"offset\", windows, distance, "
+            f"prediction_length, context_length, patch_size))")
+
+
+def rolling_windows_sql(src_sql: str, dataset: str, specs) -> str:
+    pts = positioned_sql(src_sql)
+    cuts = f"""SELECT l.unique_id, s.spec_id, CAST(w AS INTEGER) AS window_no,
+  concat_ws('#', l.unique_id, s.spec_id, CAST(w AS VARCHAR)) AS window_id,
+  CAST(CASE WHEN s."offset" >= 0 THEN s."offset" ELSE l.n + s."offset" END + w * s.distance AS INTEGER) AS cut,
+  s.context_length, s.prediction_length
+FROM (SELECT unique_id, '{dataset}' AS dataset, count(*) AS n FROM ({src_sql}) GROUP BY 1) l
+JOIN {specs_values(specs)} s USING (dataset),
+     unnest(generate_series(0, s.windows - 1)) g(w)
+WHERE CASE WHEN s."offset" >= 0 THEN s."offset" ELSE l.n + s."offset" END + w * s.distance >= 0
+  AND CASE WHEN s."offset" >= 0 THEN s."offset" ELSE l.n + s."offset" END + w * s.distance
+      + s.prediction_length <= l.n"""
+    return expand_sql(cuts, pts, "c.unique_id, c.spec_id, c.window_no, c.window_id",
+                      "context_length", "prediction_length")
