@@ -86,3 +86,64 @@ def forecast_points(df: DataFrame, model: str = "seasonal", freq: str = "D", h:
         return out
     agg = out.groupBy(ID).agg(F.array_sort(F.collect_list(F.struct("step", DS, "yhat"))).alias("_a"))
     return agg.select(ID, F.col(f"_a.{DS}").alias(DS), F.col("_a.yhat").alias("forecast"))
+
+
+def forecast_samples(df: DataFrame, h: int = 10, num_samples: int = 10, seed: int = 0,
+                     freq: str = "D") -> DataFrame:
+    """Seeded sample paths by residual bootstrap of one-step changes.
+
+    Residuals r_1..r_m are the changes between consecutive observed points of
+    a series.  Path s, step k adds r[floor(u(seed, id, s, k) * m) + 1] to the
+    running value starting at the last observation (no residuals: flat).
+    Draws are an equi-join on (unique_id, index); the running sum is a window
+    per (series, sample).  Output: unique_id, sample, step, ds, value.
+    """
+    obs = df.where(F.col(Y).isNotNull())
+    w = Window.partitionBy(ID).orderBy(DS)
+    res = obs.withColumn("_r", F.col(Y) - F.lag(Y).over(w)).where(F.col("_r").isNotNull())
+    res = res.withColumn("_idx", F.row_number().over(w).cast("long")).select(ID, "_idx", "_r")
+    stats = df.groupBy(ID).agg(F.max(DS).alias("last_ds"),
+                               F.max_by(Y, F.when(F.col(Y).isNotNull(), F.col(DS))).alias("last_y"),
+                               (F.count(Y) - 1).alias("_m"))
+    paths = (stats.select("*", F.explode(F.sequence(F.lit(0), F.lit(int(num_samples) - 1))).alias("sample"))
+                  .select("*", F.explode(F.sequence(F.lit(1), F.lit(int(h)))).alias("step")))
+    from tidecast.functions.rng import uniform
+    paths = paths.withColumn("_idx", F.when(
+        F.col("_m") > 0, F.floor(uniform(seed, F.col(ID), F.col("sample"), F.col("step")) * F.col("_m")) + 1
+    ).cast("long"))
+    j = paths.join(res, [ID, "_idx"], "left")
+    run = Window.partitionBy(ID, "sample").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    val = F.col("last_y") + F.sum(F.coalesce(F.col("_r"), F.lit(0.0))).over(run)
+    return j.select(ID, F.col("sample").cast("int").alias("sample"), F.col("step").cast("int").alias("step"),
+                    add_steps(F.col("last_ds"), F.col("step"), freq).alias(DS), val.alias("value"))
+
+
+def last_points(df: DataFrame, context: int) -> DataFrame:
+    """The last ``context`` points of each series (a window group limit, so
+    rows beyond it are dropped before the exchange)."""
+    w = Window.partitionBy(ID).orderBy(F.col(DS).desc())
+    return df.withColumn("_rd", F.row_number().over(w)).where(F.col("_rd") <= int(context)).drop("_rd")
+
+
+def fit_and_forecast(df: DataFrame, h: int, min_length: int = 300, fit: str = "trend",
+                     freq: str = "D", context: int | None = None) -> DataFrame:
+    """Per-series fit on series with at least ``min_length`` points, then
+    ``h`` steps.  ``fit``: 'trend' (OLS on position), 'ar1' (OLS of y on its
+    lag, iterated), or a plug-in Forecaster (grouped pandas)."""
+    from tidecast.operators.select import min_length_filter
+    src = min_length_filter(df, int(min_length))
+    if isinstance(fit, str):
+        return forecast_points(src if context is None else last_points(src, context), fit, freq, h)
+    from tidecast.operators.plugins import forecast_long
+    return forecast_long(src, fit, freq, h, context=context or 512)
+
+
+def device_partition(df: DataFrame, n: int) -> DataFrame:
+    """Spread series over ``n`` devices/slots by hash of ``unique_id``.
+
+    ``max(1, n)`` because a machine without devices reports 0 and Spark
+    rejects ``repartition(0)`` (quirk Q10).  Hashing on the id (rather than
+    round-robin) keeps each series on one slot and lets a following per-series
+    aggregate reuse the exchange.
+    """
+    return df.repartition(max(1, int(n)), ID)

@@ -312,3 +312,293 @@ pt AS (SELECT *, greatest(1, CAST(round(n_patches * (0.15 + {0.5 - 0.15!r} * {sq
        FROM pn WHERE n_patches >= 2)
 SELECT window_id, patch, n_obs, n_patches, n_target, patch >= n_patches - n_target AS is_target FROM pt""")(
     lambda spark, sf: sp.patch_mask(sp.patch_series(ship_windows(spark, sf, 16), 16), 0.15, 0.5, 2, 5))
+
+# ---------------------------------------------------------------- 2.6 missing values
+from tidecast.functions.rng import sql_key  # noqa: E402
+from tidecast.operators import combine as cb  # noqa: E402
+from tidecast.operators import missing as ms  # noqa: E402
+from tidecast.operators import plugins as pl  # noqa: E402
+from tidecast.operators import registry as rg  # noqa: E402
+from tidecast.operators import sampling as sa  # noqa: E402
+from tidecast.operators import tokens as tk  # noqa: E402
+from tidecast.plans import metadata as md  # noqa: E402
+
+DSUPP = S.densify_sql(SUPP)
+
+
+def _dsupp(spark, sf):
+    return ti.densify(series_set(spark, sf, "supplier_daily"))
+
+
+register("impute_last_value", f"SELECT unique_id, ds, round(y, 6) AS y FROM ({S.impute_sql(DSUPP)})")(
+    lambda spark, sf: r6(ms.impute(_dsupp(spark, sf), "last")))
+
+register("random_drop", f"SELECT unique_id, ds, round(y, 6) AS y FROM ({S.random_drop_sql(SUPP, 0.2, 3)})")(
+    lambda spark, sf: r6(ms.random_drop(series_set(spark, sf, "supplier_daily"), 0.2, 3)))
+
+# ---------------------------------------------------------------- 2.7 sampling, sharding
+_MIX_IDS = (f"SELECT DISTINCT 'supplier_daily' AS dataset, unique_id FROM ({SUPP}) UNION ALL "
+            f"SELECT DISTINCT 'events_user_daily' AS dataset, unique_id FROM ({EVU})")
+
+
+def _mixture(spark, sf):
+    d = cb.concat_datasets({"supplier_daily": series_set(spark, sf, "supplier_daily"),
+                            "events_user_daily": series_set(spark, sf, "events_user_daily")})
+    return sa.mixture_sample(d, {"supplier_daily": 0.9, "events_user_daily": 0.1}, 2000, 13)
+
+
+register("mixture_sample", f"""WITH ids AS ({_MIX_IDS}),
+num AS (SELECT dataset, unique_id, row_number() OVER (PARTITION BY dataset ORDER BY unique_id) - 1 AS idx FROM ids),
+meta AS (SELECT dataset, count(*) AS cnt FROM ids GROUP BY 1),
+dr AS (SELECT d AS draw, CASE WHEN {sql_uniform(13, 'd', "'ds'")} < 0.9 THEN 'supplier_daily' ELSE 'events_user_daily' END AS dataset,
+              {sql_uniform(13, 'd', "'s'")} AS u2 FROM range(2000) r(d))
+SELECT dr.draw, dr.dataset, num.unique_id FROM dr JOIN meta ON meta.dataset = dr.dataset
+JOIN num ON num.dataset = dr.dataset AND num.idx = CAST(floor(dr.u2 * meta.cnt) AS BIGINT)""")(_mixture)
+
+register("weight_repeat", f"""SELECT unique_id, ds, round(y, 6) AS y, dataset, CAST(c AS INTEGER) AS copy FROM (
+  SELECT *, 'ship_daily' AS dataset, 2 AS w FROM ({SHIP}) UNION ALL SELECT *, 'order_monthly', 3 FROM ({ORDM})) t,
+  unnest(generate_series(1, w)) g(c)""")(
+    lambda spark, sf: r6(sa.weight_repeat(cb.concat_datasets({
+        "ship_daily": series_set(spark, sf, "ship_daily"),
+        "order_monthly": series_set(spark, sf, "order_monthly")}), {"ship_daily": 2, "order_monthly": 3})))
+
+
+def _shuffled(spark, sf):
+    ids = series_set(spark, sf, "supplier_daily").select("unique_id").distinct()
+    return sa.global_shuffle(ids, 21)
+
+
+_SHUF_SQL = (f"SELECT unique_id, row_number() OVER (ORDER BY md5({sql_key(21, 'unique_id')}), unique_id) - 1 AS position "
+             f"FROM (SELECT DISTINCT unique_id FROM ({SUPP}))")
+register("global_shuffle", _SHUF_SQL)(_shuffled)
+
+
+def _shard_sql(world, drop_last):
+    total = f"(floor(c / {world}) * {world})" if drop_last else f"(ceil(c / {world}) * {world})"
+    return f"""WITH s AS ({_SHUF_SQL}), n AS (SELECT count(*) AS c FROM s)
+SELECT unique_id, position, CAST(k AS BIGINT) AS copy, CAST((position + k * c) % {world} AS INTEGER) AS rank,
+       CAST((position + k * c) // {world} AS BIGINT) AS rank_index
+FROM s, n, unnest(generate_series(0, CAST(floor(({total} - 1 - position) / c) AS BIGINT))) g(k)
+WHERE position < {total}"""
+
+
+register("shard_assign", _shard_sql(8, False))(lambda spark, sf: sa.shard_assign(_shuffled(spark, sf), 8, False))
+register("shard_assign_drop_last", _shard_sql(8, True))(lambda spark, sf: sa.shard_assign(_shuffled(spark, sf), 8, True))
+
+register("batch_assign", f"""WITH s AS ({_SHUF_SQL}), n AS (SELECT count(*) AS c FROM s)
+SELECT unique_id, position, CAST(k AS BIGINT) AS copy, CAST((position + k * c) // 32 AS BIGINT) AS batch,
+       CAST((position + k * c) % 32 AS INTEGER) AS batch_slot
+FROM s, n, unnest(generate_series(0, CAST(floor((160 - 1 - position) / c) AS BIGINT))) g(k) WHERE position < 160""")(
+    lambda spark, sf: sa.batch_assign(_shuffled(spark, sf), 32, steps=5))
+
+
+def _pack_seqs(spark, sf):
+    s = series_set(spark, sf, "supplier_daily")
+    seqs = s.groupBy("unique_id", F.date_format("ds", "yyyy-MM").alias("month")).agg(F.count(F.lit(1)).alias("length"))
+    seqs = seqs.withColumn("seq", F.concat_ws("/", "unique_id", "month"))
+    return sa.pack_sequences(seqs, "seq", "length", max_length=64)
+
+
+register("pack_sequences")(_pack_seqs)
+
+# ---------------------------------------------------------------- 2.8 joins
+register("concat_datasets", f"""SELECT unique_id, ds, round(y, 6) AS y, 'ship_daily' AS dataset FROM ({SHIP})
+UNION ALL SELECT unique_id, ds, round(y, 6), 'order_monthly' FROM ({ORDM})
+UNION ALL SELECT unique_id, ds, round(y, 6), 'events_type_daily' FROM ({EVT})""")(
+    lambda spark, sf: r6(cb.concat_datasets({n: series_set(spark, sf, n) for n in
+                                             ("ship_daily", "order_monthly", "events_type_daily")})))
+
+_HOLD_PAST = f"SELECT unique_id, ds, y FROM ({S.positioned_sql(SHIP)}) WHERE pos < n - 10"
+_HOLD_FUT = f"SELECT unique_id, ds, y FROM ({S.positioned_sql(SHIP)}) WHERE pos >= n - 10"
+
+
+def _holdout(spark, sf):
+    hs = sp.holdout_split(series_set(spark, sf, "ship_daily"), 10)
+    return (hs.where(F.col("split") == "past").drop("split"), hs.where(F.col("split") == "future").drop("split"))
+
+
+def _errors(spark, sf):
+    past, fut = _holdout(spark, sf)
+    return r6(cb.forecast_errors(fc.forecast_points(past, "drift", "D", 10), fut))
+
+
+register("forecast_errors", f"""SELECT f.unique_id, count(*) AS n, round(avg((a.y - f.yhat) * (a.y - f.yhat)), 6) AS mse,
+  round(avg(abs(a.y - f.yhat)), 6) AS mae,
+  round(CASE WHEN avg(abs(a.y)) > 0 THEN sqrt(avg((a.y - f.yhat) * (a.y - f.yhat))) / avg(abs(a.y)) END, 6) AS nrmse
+FROM ({S.forecast_points_sql(_HOLD_PAST, 'drift', 'D', 10).replace(S.r6(S.yhat_sql('drift')), S.yhat_sql('drift'))}) f
+JOIN ({_HOLD_FUT}) a ON a.unique_id = f.unique_id AND a.ds = f.ds
+WHERE a.y IS NOT NULL AND f.yhat IS NOT NULL GROUP BY 1""")(_errors)
+
+
+def _nll(spark, sf):
+    past, fut = _holdout(spark, sf)
+    return r6(cb.sample_nll(fc.forecast_samples(past, 10, 50, 17), fut))
+
+
+register("sample_nll", f"""WITH s AS ({S.forecast_samples_sql(_HOLD_PAST, 10, 50, 17)}),
+st AS (SELECT unique_id, ds, avg(value) AS mu, stddev_samp(value) AS sd FROM s GROUP BY 1, 2)
+SELECT st.unique_id, count(*) AS n,
+  round(avg(0.5 * ln({2 * 3.141592653589793!r} * sd * sd) + (a.y - mu) * (a.y - mu) / (2.0 * sd * sd)), 6) AS nll
+FROM st JOIN ({_HOLD_FUT}) a ON a.unique_id = st.unique_id AND a.ds = st.ds
+WHERE sd > 0 AND a.y IS NOT NULL GROUP BY 1""")(_nll)
+
+# ---------------------------------------------------------------- 2.4 sample median
+register("sample_median", f"""SELECT unique_id, step, ds, round(quantile_cont(value, 0.1), 6) AS q10,
+  round(quantile_cont(value, 0.5), 6) AS median, round(quantile_cont(value, 0.9), 6) AS q90
+FROM ({S.forecast_samples_sql(SHIP, 10, 20, 9)}) GROUP BY 1, 2, 3""")(
+    lambda spark, sf: r6(agg.sample_median(fc.forecast_samples(series_set(spark, sf, "ship_daily"), 10, 20, 9),
+                                           qs=(0.1, 0.5, 0.9))))
+
+register("forecast_samples", f"""SELECT unique_id, sample, step, ds, round(value, 6) AS value
+FROM ({S.forecast_samples_sql(EVT, 7, 10, 4)})""")(
+    lambda spark, sf: r6(fc.forecast_samples(series_set(spark, sf, "events_type_daily"), 7, 10, 4)))
+
+# ---------------------------------------------------------------- 2.9 token tables
+TOK = dict(context_length=64, prediction_length=10, min_past=60, max_missing_prop=0.9, drop_prob=0.2, seed=3)
+
+
+def _tok_wins_sql(causal: bool) -> str:
+    src = S.observed_filter_sql(DSUPP, TOK["min_past"] + TOK["prediction_length"], TOK["max_missing_prop"])
+    if causal:
+        src = S.impute_sql(src)
+    src = S.random_drop_sql(src, TOK["drop_prob"], TOK["seed"])
+    cuts = S.random_cuts_sql(src, TOK["min_past"], TOK["prediction_length"], 1.0, TOK["seed"])
+    return S.nonempty_sql(S.context_window_sql(src, cuts, TOK["context_length"], TOK["prediction_length"]))
+
+
+def _explode_tokens(t: DataFrame) -> DataFrame:
+    inp = t.select("window_id", F.lit("input").alias("part"),
+                   F.posexplode(F.arrays_zip("input_ids", "attention_mask")).alias("idx", "_z")).select(
+        "window_id", "part", F.col("idx").cast("int").alias("idx"), F.col("_z.input_ids").alias("token"),
+        F.col("_z.attention_mask").alias("mask"))
+    if "labels" not in t.columns:
+        return inp
+    lab = t.select("window_id", F.lit("label").alias("part"),
+                   F.posexplode("labels").alias("idx", "token"), "attention_mask")
+    return inp, lab
+
+
+def _token_query(model_type):
+    def q(spark, sf):
+        t = tk.token_table(_dsupp(spark, sf), model_type=model_type, **TOK)
+        inp = t.select("window_id", F.lit("input").alias("part"),
+                       F.posexplode(F.arrays_zip("input_ids", "attention_mask")).alias("idx", "_z")).select(
+            "window_id", "part", F.col("idx").cast("int").alias("idx"), F.col("_z.input_ids").alias("token"),
+            F.col("_z.attention_mask").alias("mask"))
+        if model_type == "seq2seq":
+            lab = t.select("window_id", F.lit("label").alias("part"),
+                           F.posexplode("labels").alias("idx", "token")).select(
+                "window_id", "part", F.col("idx").cast("int").alias("idx"), "token",
+                (F.col("token") != -100).alias("mask"))
+        else:
+            lab = t.select("window_id", F.lit("label").alias("part"),
+                           F.posexplode(F.arrays_zip("labels", "attention_mask")).alias("idx", "_z")).select(
+                "window_id", "part", F.col("idx").cast("int").alias("idx"), F.col("_z.labels").alias("token"),
+                F.col("_z.attention_mask").alias("mask"))
+        return inp.unionByName(lab)
+    return q
+
+
+register("token_table", S.token_rows_sql(_tok_wins_sql(False), TOK["context_length"], TOK["prediction_length"], "seq2seq"))(
+    _token_query("seq2seq"))
+register("causal_token_table", S.token_rows_sql(_tok_wins_sql(True), TOK["context_length"], TOK["prediction_length"], "causal"))(
+    _token_query("causal"))
+
+
+def _decode(spark, sf):
+    from tidecast.functions.tokens import token_id
+    s = series_set(spark, sf, "ship_daily")
+    scales = s.groupBy("unique_id").agg(F.avg(F.abs("y")).alias("_m")).select(
+        "unique_id", F.when(F.col("_m") > 0, F.col("_m")).otherwise(F.lit(1.0)).alias("scale"))
+    samples = fc.forecast_samples(s, 10, 20, 9).join(scales, "unique_id")
+    toks = samples.select("unique_id", "sample", "step", "ds",
+                          token_id(F.col("value") / F.col("scale")).alias("token"))
+    dec = tk.token_decode(toks, scales)
+    return r6(agg.sample_median(dec, qs=(0.5,)))
+
+
+register("token_decode", f"""WITH sc AS (SELECT unique_id, CASE WHEN avg(abs(y)) > 0 THEN avg(abs(y)) ELSE 1.0 END AS scale
+  FROM ({SHIP}) GROUP BY 1),
+s AS (SELECT x.*, sc.scale FROM ({S.forecast_samples_sql(SHIP, 10, 20, 9)}) x JOIN sc USING (unique_id)),
+d AS (SELECT unique_id, step, ds, ({__import__('tidecast.functions.tokens', fromlist=['x']).sql_token_centre(
+    __import__('tidecast.functions.tokens', fromlist=['x']).sql_token_id('value / scale'))}) * scale AS value FROM s)
+SELECT unique_id, step, ds, round(quantile_cont(value, 0.5), 6) AS median FROM d GROUP BY 1, 2, 3""")(_decode)
+
+# ---------------------------------------------------------------- 2.10 forecasting
+register("forecast_points_trend", S.forecast_points_sql(SUPP, "trend", "D", 14))(
+    lambda spark, sf: r6(fc.forecast_points(series_set(spark, sf, "supplier_daily"), "trend", "D", 14)))
+register("forecast_points_ar1", S.forecast_points_sql(ORDM, "ar1", "M", 6))(
+    lambda spark, sf: r6(fc.forecast_points(series_set(spark, sf, "order_monthly"), "ar1", "M", 6)))
+register("forecast_points_mean", S.forecast_points_sql(DSUPP, "mean", "D", 7, window=28))(
+    lambda spark, sf: r6(fc.forecast_points(_dsupp(spark, sf), "mean", "D", 7, window=28)))
+register("forecast_points_last", S.forecast_points_sql(DSUPP, "last", "D", 5))(
+    lambda spark, sf: r6(fc.forecast_points(_dsupp(spark, sf), "last", "D", 5)))
+
+
+def _udf_q(spark, sf):
+    packed = agg.pack_series(series_set(spark, sf, "ship_daily"))
+    u = pl.forecast_udf(pl.SeasonalNaive(7), h=10, num_samples=10, batch_size=4)
+    hz = ti.horizon_timestamps(packed, "D", 10, as_="array", packed=True)
+    out = packed.select("unique_id", u(F.col("y")).alias("forecast")).join(hz, "unique_id")
+    z = out.select("unique_id", F.posexplode(F.arrays_zip("ds", "forecast")).alias("p", "_z"))
+    return r6(z.select("unique_id", (F.col("p") + 1).cast("int").alias("step"), F.col("_z.ds").alias("ds"),
+                       F.col("_z.forecast").alias("yhat")))
+
+
+register("forecast_udf", S.forecast_points_sql(SHIP, "seasonal", "D", 10))(_udf_q)
+
+
+def _struct_q(spark, sf):
+    packed = agg.pack_series(series_set(spark, sf, "supplier_daily"))
+    u = pl.forecast_struct_udf(pl.DriftClient, 12)
+    return r6(sel.flatten_forecast(packed.select("unique_id", u(F.col("ds"), F.col("y")).alias("forecast"))))
+
+
+register("forecast_struct_udf", f"""SELECT unique_id, step, strftime(ds, '%Y-%m-%d %H:%M:%S') AS timestamp, yhat AS forecast
+FROM ({S.forecast_points_sql(SUPP, 'drift', 'D', 12)})""")(_struct_q)
+
+register("forecast_long", S.forecast_points_sql(S.last_points_sql(SUPP, 64), "mean", "D", 10))(
+    lambda spark, sf: r6(pl.forecast_long(series_set(spark, sf, "supplier_daily"), pl.WindowMean(None), "D", 10, context=64)))
+register("forecast_long_builtin", S.forecast_points_sql(S.last_points_sql(SUPP, 64), "drift", "D", 10))(
+    lambda spark, sf: r6(pl.forecast_long(series_set(spark, sf, "supplier_daily"), "drift", "D", 10, context=64)))
+
+_FIT_SRC = f"""SELECT unique_id, ds, y FROM ({SUPP}) WHERE unique_id IN (SELECT unique_id FROM ({SUPP}) GROUP BY 1 HAVING count(*) >= 300)"""
+register("fit_and_forecast", S.forecast_points_sql(_FIT_SRC, "trend", "D", 10))(
+    lambda spark, sf: r6(fc.fit_and_forecast(series_set(spark, sf, "supplier_daily"), 10, 300, "trend")))
+register("fit_and_forecast_ar1", S.forecast_points_sql(_FIT_SRC, "ar1", "D", 10))(
+    lambda spark, sf: r6(fc.fit_and_forecast(series_set(spark, sf, "supplier_daily"), 10, 300, "ar1")))
+
+register("pooled_fit", f"""SELECT 'pooled_ar1' AS name, '1' AS version, round(regr_slope(y_, x_), 6) AS slope,
+  round(regr_intercept(y_, x_), 6) AS intercept, regr_count(y_, x_) AS n FROM ({S.scaled_pairs_sql(S.last_points_sql(SUPP, 512))})""")(
+    lambda spark, sf: r6(rg.pooled_fit(series_set(spark, sf, "supplier_daily"), 512, "pooled_ar1").drop("params")))
+
+_REG_SQL = S.registry_history_sql(SUPP, "pooled_ar1_supplier")
+register("registry_history", f"""SELECT name, version, round(slope, 6) AS slope, round(intercept, 6) AS intercept, n,
+  trained_through FROM ({_REG_SQL})""")(
+    lambda spark, sf: r6(rg.registry_history(series_set(spark, sf, "supplier_daily"), "pooled_ar1_supplier").drop("params")))
+
+
+def _registry(spark, sf):
+    return rg.registry_history(series_set(spark, sf, "supplier_daily"), "pooled_ar1_supplier")
+
+
+register("latest_version", f"""SELECT nm.name, greatest(coalesce(max(CAST(r.version AS INTEGER)), 1), 1) AS version,
+  max(CAST(r.version AS INTEGER)) IS NOT NULL AS exists
+FROM (VALUES ('pooled_ar1_supplier'), ('absent_model')) nm(name) LEFT JOIN ({_REG_SQL}) r ON r.name = nm.name GROUP BY 1""")(
+    lambda spark, sf: agg.latest_version(_registry(spark, sf), ["pooled_ar1_supplier", "absent_model"]))
+
+register("registry_score", f"""WITH reg AS ({_REG_SQL}),
+pr AS (SELECT slope AS b, intercept AS a, version FROM reg WHERE CAST(version AS INTEGER) = (SELECT max(CAST(version AS INTEGER)) FROM reg)),
+cut AS (SELECT * FROM ({S.last_points_sql(SUPP, 512)}) WHERE y IS NOT NULL),
+st AS (SELECT unique_id, CASE WHEN avg(abs(y)) > 0 THEN avg(abs(y)) ELSE 1.0 END AS s, max(ds) AS last_ds,
+              arg_max(y, ds) AS last_y FROM cut GROUP BY 1)
+SELECT unique_id, CAST(k AS INTEGER) AS step, {sql_add_steps('last_ds', 'k', 'D')} AS ds,
+  round((CASE WHEN b = 1.0 THEN a * k ELSE a * (1 - power(b, k)) / (1 - b) END + power(b, k) * (last_y / s)) * s, 6) AS yhat,
+  version
+FROM st, pr, range(1, 11) t(k)""")(
+    lambda spark, sf: r6(rg.registry_score(series_set(spark, sf, "supplier_daily"), _registry(spark, sf),
+                                           "pooled_ar1_supplier", 10, "D", 512)))
+
+register("device_partition", S.forecast_points_sql(SUPP, "seasonal", "D", 10))(
+    lambda spark, sf: r6(fc.forecast_points(fc.device_partition(series_set(spark, sf, "supplier_daily"), 0),
+                                            "seasonal", "D", 10)))

@@ -127,3 +127,112 @@ WHERE CASE WHEN s."offset" >= 0 THEN s."offset" ELSE l.n + s."offset" END + w *
       + s.prediction_length <= l.n"""
     return expand_sql(cuts, pts, "c.unique_id, c.spec_id, c.window_no, c.window_id",
                       "context_length", "prediction_length")
+
+
+def observed_filter_sql(src_sql: str, min_length: int, max_missing: float) -> str:
+    return f"""SELECT unique_id, ds, y FROM ({src_sql}) WHERE unique_id IN (
+  SELECT unique_id FROM ({src_sql}) GROUP BY 1
+  HAVING count(*) >= {min_length} AND avg(CASE WHEN y IS NULL THEN 1.0 ELSE 0.0 END) <= {max_missing})"""
+
+
+def impute_sql(src_sql: str) -> str:
+    return f"""SELECT unique_id, ds, coalesce(y,
+  last_value(y IGNORE NULLS) OVER (PARTITION BY unique_id ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(y IGNORE NULLS) OVER (PARTITION BY unique_id ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING),
+  0.0) AS y FROM ({src_sql})"""
+
+
+def random_drop_sql(src_sql: str, drop_prob: float, seed: int) -> str:
+    from tidecast.functions.rng import sql_uniform
+    u = sql_uniform(seed, "unique_id", "strftime(ds, '%Y%m%d%H%M%S')")
+    p = f"({sql_uniform(seed, 'unique_id', chr(39) + 'p' + chr(39))} * {float(drop_prob)!r})"
+    return f"SELECT unique_id, ds, CASE WHEN {u} < {p} THEN NULL ELSE y END AS y FROM ({src_sql})"
+
+
+def random_cuts_sql(src_sql: str, min_past: int, h: int, num: float, seed: int) -> str:
+    from tidecast.functions.rng import sql_uniform
+    return f"""WITH pts AS ({positioned_sql(src_sql)}),
+avgv AS (SELECT avg(n - {h} - {min_past} + 1) AS a FROM (SELECT unique_id, max(n) AS n FROM pts GROUP BY 1)
+         WHERE n - {h} - {min_past} + 1 > 0),
+u AS (SELECT *, {sql_uniform(seed, 'unique_id', 'pos')} AS u FROM pts WHERE pos >= {min_past} AND pos <= n - {h}),
+um AS (SELECT *, min(u) OVER (PARTITION BY unique_id) AS umin FROM u)
+SELECT unique_id, CAST(pos AS INTEGER) AS cut, ds AS forecast_start FROM um, avgv WHERE u < {float(num)} / a OR u = umin"""
+
+
+def context_window_sql(src_sql: str, cuts_sql: str, ctx: int, h: int) -> str:
+    cuts = (f"SELECT unique_id, cut, concat_ws('#', unique_id, CAST(cut AS VARCHAR)) AS window_id "
+            f"FROM ({cuts_sql})")
+    return expand_sql(cuts, positioned_sql(src_sql), "c.unique_id, c.window_id", str(ctx), str(h))
+
+
+def nonempty_sql(wins_sql: str) -> str:
+    return f"""SELECT * FROM ({wins_sql}) WHERE window_id IN (
+  SELECT window_id FROM ({wins_sql}) GROUP BY 1 HAVING count(CASE WHEN NOT is_future THEN y END) > 0)"""
+
+
+def token_rows_sql(wins_sql: str, ctx: int, h: int, model_type: str) -> str:
+    """Long token rows (window_id, part, idx, token, mask) for a window table."""
+    from tidecast.functions.tokens import sql_token_id
+    base = f"""WITH w AS (SELECT *, avg(CASE WHEN NOT is_future THEN abs(y) END) OVER (PARTITION BY window_id) AS m
+                FROM ({wins_sql})),
+t AS (SELECT window_id, rel, is_pad, is_future, y IS NOT NULL AS ob,
+             CASE WHEN y IS NOT NULL THEN {sql_token_id('y / (CASE WHEN m > 0 THEN m ELSE 1.0 END)')} ELSE 0 END AS tok
+      FROM w)"""
+    if model_type == "seq2seq":
+        return base + f"""
+SELECT window_id, 'input' AS part, CAST(rel + {ctx} AS INTEGER) AS idx, tok AS token, ob AS mask FROM t WHERE NOT is_future
+UNION ALL SELECT DISTINCT window_id, 'input', {ctx}, 1, true FROM t
+UNION ALL SELECT window_id, 'label', CAST(rel AS INTEGER), CASE WHEN ob THEN tok ELSE -100 END, ob FROM t WHERE is_future
+UNION ALL SELECT DISTINCT window_id, 'label', {h}, 1, true FROM t"""
+    return base + f""",
+np AS (SELECT window_id, count(CASE WHEN is_pad THEN 1 END) AS npad FROM t GROUP BY 1),
+seq AS (
+  SELECT t.window_id, CAST(CASE WHEN is_future THEN {ctx} - npad + rel
+                               WHEN is_pad THEN {ctx} - npad + {h} + 1 + (rel + {ctx})
+                               ELSE rel + {ctx} - npad END AS INTEGER) AS idx,
+         CASE WHEN is_pad THEN 0 ELSE tok END AS tok, (ob AND NOT is_pad) AS mk
+  FROM t JOIN np USING (window_id)
+  UNION ALL SELECT window_id, CAST({ctx} - npad + {h} AS INTEGER), 1, true FROM np)
+SELECT window_id, 'input' AS part, idx, CASE WHEN mk THEN tok ELSE 0 END AS token, mk AS mask FROM seq
+UNION ALL SELECT window_id, 'label', idx, CASE WHEN mk THEN tok ELSE -100 END, mk FROM seq"""
+
+
+def forecast_samples_sql(src_sql: str, h: int, num_samples: int, seed: int, freq: str = "D") -> str:
+    from tidecast.functions.rng import sql_uniform
+    return f"""WITH src AS ({src_sql}),
+obs AS (SELECT unique_id, ds, y FROM src WHERE y IS NOT NULL),
+res AS (SELECT unique_id, row_number() OVER (PARTITION BY unique_id ORDER BY ds) AS idx, r FROM (
+          SELECT unique_id, ds, y - lag(y) OVER (PARTITION BY unique_id ORDER BY ds) AS r FROM obs) WHERE r IS NOT NULL),
+st AS (SELECT unique_id, max(ds) AS last_ds, arg_max(y, ds) FILTER (WHERE y IS NOT NULL) AS last_y,
+              count(y) - 1 AS m FROM src GROUP BY 1),
+paths AS (SELECT unique_id, last_ds, last_y, s AS sample, k AS step,
+                 CASE WHEN m > 0 THEN CAST(floor({sql_uniform(seed, 'unique_id', 's', 'k')} * m) + 1 AS BIGINT) END AS idx
+          FROM st, range(0, {num_samples}) a(s), range(1, {h + 1}) b(k))
+SELECT p.unique_id, CAST(sample AS INTEGER) AS sample, CAST(step AS INTEGER) AS step,
+       {sql_add_steps('last_ds', 'step', freq)} AS ds,
+       last_y + sum(coalesce(r, 0.0)) OVER (PARTITION BY p.unique_id, sample ORDER BY step
+                                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value
+FROM paths p LEFT JOIN res ON res.unique_id = p.unique_id AND res.idx = p.idx"""
+
+
+def last_points_sql(src_sql: str, context: int) -> str:
+    return f"""SELECT unique_id, ds, y FROM (SELECT *, row_number() OVER (PARTITION BY unique_id ORDER BY ds DESC) AS rd
+FROM ({src_sql})) WHERE rd <= {context}"""
+
+
+def scaled_pairs_sql(src_sql: str) -> str:
+    return f"""SELECT unique_id, ds, y / s AS y_, lag(y) OVER (PARTITION BY unique_id ORDER BY ds) / s AS x_ FROM (
+  SELECT *, CASE WHEN avg(abs(y)) OVER (PARTITION BY unique_id) > 0 THEN avg(abs(y)) OVER (PARTITION BY unique_id)
+                 ELSE 1.0 END AS s FROM ({src_sql}))"""
+
+
+def registry_history_sql(src_sql: str, name: str) -> str:
+    return f"""WITH p AS (SELECT * FROM ({scaled_pairs_sql(src_sql)}) WHERE x_ IS NOT NULL AND y_ IS NOT NULL),
+m AS (SELECT CAST(last_day(CAST(ds AS DATE)) AS TIMESTAMP) AS month, count(*) AS n, sum(x_) AS sx, sum(y_) AS sy,
+             sum(x_ * x_) AS sxx, sum(x_ * y_) AS sxy FROM p GROUP BY 1),
+c AS (SELECT month, sum(n) OVER w AS n, sum(sx) OVER w AS sx, sum(sy) OVER w AS sy, sum(sxx) OVER w AS sxx,
+             sum(sxy) OVER w AS sxy, row_number() OVER (ORDER BY month) AS v
+      FROM m WINDOW w AS (ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+f AS (SELECT *, CASE WHEN n * sxx - sx * sx <> 0 THEN (n * sxy - sx * sy) / (n * sxx - sx * sx) END AS slope FROM c)
+SELECT '{name}' AS name, CAST(v AS VARCHAR) AS version, slope, (sy - slope * sx) / n AS intercept,
+       CAST(n AS BIGINT) AS n, month AS trained_through FROM f"""
