@@ -602,3 +602,169 @@ FROM st, pr, range(1, 11) t(k)""")(
 register("device_partition", S.forecast_points_sql(SUPP, "seasonal", "D", 10))(
     lambda spark, sf: r6(fc.forecast_points(fc.device_partition(series_set(spark, sf, "supplier_daily"), 0),
                                             "seasonal", "D", 10)))
+
+# ---------------------------------------------------------------- model metadata (rows 27-31)
+BT = dict(dataset="ship_daily", h=10, windows=12, context=120)
+_BT_SQL = S.backtest_metrics_sql(SHIP, **BT)
+
+
+def _metrics(spark, sf):
+    return md.backtest_metrics(series_set(spark, sf, "ship_daily"), **BT)
+
+
+register("backtest_metrics", f"SELECT run, epoch, metric, round(value, 6) AS value FROM ({_BT_SQL})")(
+    lambda spark, sf: r6(_metrics(spark, sf)))
+
+register("best_checkpoint", f"""SELECT run, epoch, round(value, 6) AS value, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY run ORDER BY value, epoch) AS rank FROM ({_BT_SQL}) WHERE metric = 'val/MSE')
+WHERE rank <= 2""")(lambda spark, sf: r6(agg.best_checkpoint(_metrics(spark, sf), "val/MSE", "min", 2)))
+
+register("early_stop_epoch", f"""WITH m AS (SELECT * FROM ({_BT_SQL}) WHERE metric = 'val/MSE'),
+x AS (SELECT run, epoch, value, row_number() OVER (PARTITION BY run ORDER BY epoch) AS k,
+             min(value) OVER (PARTITION BY run ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS bb FROM m),
+z AS (SELECT *, max(CASE WHEN bb IS NULL OR value < bb THEN k END)
+                OVER (PARTITION BY run ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS li FROM x),
+s AS (SELECT run, min(CASE WHEN k - li >= 3 THEN k END) AS sk, count(*) AS es FROM z GROUP BY 1),
+kept AS (SELECT z.*, s.sk, s.es FROM z JOIN s USING (run) WHERE s.sk IS NULL OR z.k <= s.sk),
+b AS (SELECT run, min(value) AS best_value FROM kept GROUP BY 1)
+SELECT kept.run, max(CASE WHEN k = sk THEN epoch END) AS stop_epoch,
+       min(CASE WHEN value = b.best_value THEN epoch END) AS best_epoch, round(b.best_value, 6) AS best_value,
+       max(es) AS epochs_seen
+FROM kept JOIN b USING (run) GROUP BY kept.run, b.best_value""")(
+    lambda spark, sf: r6(agg.early_stop_epoch(_metrics(spark, sf), "val/MSE", patience=3)))
+
+_LISTING = f"SELECT DISTINCT path FROM (SELECT 'run-' || CAST(epoch AS VARCHAR) AS path FROM ({_BT_SQL}) UNION ALL SELECT run || '.log' FROM ({_BT_SQL}))"
+_RUN_N = "CASE WHEN regexp_matches(path, '^run-(\\d+)$') THEN CAST(regexp_extract(path, '^run-(\\d+)$', 1) AS BIGINT) END"
+register("latest_run", f"SELECT max({_RUN_N}) AS latest_run FROM ({_LISTING})")(
+    lambda spark, sf: agg.latest_run(md.run_listing(_metrics(spark, sf))))
+register("next_run", f"""SELECT coalesce(max({_RUN_N}), -1) + 1 AS next_run,
+  'runs/run-' || CAST(coalesce(max({_RUN_N}), -1) + 1 AS VARCHAR) AS next_path FROM ({_LISTING})""")(
+    lambda spark, sf: agg.next_run(md.run_listing(_metrics(spark, sf)), base_dir="runs"))
+
+register("mean_abs_scale", f"""SELECT window_id, round(CASE WHEN avg(abs(y)) > 0 THEN avg(abs(y)) ELSE 1.0 END, 6) AS scale
+FROM ({_ship_windows_sql()}) WHERE NOT is_future GROUP BY 1""")(
+    lambda spark, sf: r6(agg.mean_abs_scale(ship_windows(spark, sf))))
+
+# ---------------------------------------------------------------- 2.1 sources and sinks (rows 3-9)
+from tidecast.functions.rng import sql_normal  # noqa: E402
+from tidecast.plans.requests import requests_from_series  # noqa: E402
+from tidecast.session import scratch_path  # noqa: E402
+from tidecast.sources import files as fl  # noqa: E402
+from tidecast.sources import synthetic as sy  # noqa: E402
+from tidecast.sources import tables as tb  # noqa: E402
+from tidecast.streaming import scoring as sc  # noqa: E402
+from tidecast.streaming import series as ss  # noqa: E402
+
+register("synth_series", f"""SELECT CAST(s_suppkey AS VARCHAR) AS unique_id, CAST(d AS TIMESTAMP) AS ds,
+  round({sql_normal(42, 'CAST(s_suppkey AS VARCHAR)', "strftime(d, '%Y%m%d')")}, 6) AS y
+FROM supplier, unnest(generate_series(TIMESTAMP '2021-01-01', TIMESTAMP '2023-12-31', INTERVAL 1 DAY)) g(d)""")(
+    lambda spark, sf: r6(sy.synth_series(table(spark, sf, "supplier").select(F.col("s_suppkey").alias("unique_id")),
+                                         "2021-01-01", "2023-12-31", 42)))
+
+
+def _write_table(spark, sf):
+    tb.ensure_namespace(spark, "tidecast_demo")
+    s = series_set(spark, sf, "supplier_daily").withColumn("month", F.date_format("ds", "yyyy-MM"))
+    back = tb.write_series_table(s, "tidecast_demo.supplier_daily", partition_by=["month"])
+    return r6(back.select("unique_id", "ds", "y"))
+
+
+register("write_series_table", f"SELECT unique_id, ds, round(y, 6) AS y FROM ({SUPP})")(_write_table)
+
+
+def _csv(spark, sf):
+    path = scratch_path(spark, "csv-long")
+    fl.csv_long_sink(series_set(spark, sf, "events_user_daily"), path)
+    return r6(fl.csv_long_scan(spark, path))
+
+
+register("csv_long_sink", f"SELECT unique_id, ds, round(y, 6) AS y FROM ({EVU})")(_csv)
+
+
+def _records(spark, sf):
+    path = scratch_path(spark, "train-records")
+    fl.train_record_sink(agg.pack_series(series_set(spark, sf, "ship_daily")), path)
+    rec = fl.train_record_scan(spark, path, "D")
+    z = rec.select("unique_id", "start", "freq", F.posexplode("target").alias("pos", "target"))
+    return r6(z.select("unique_id", "start", "freq", F.col("pos").cast("int").alias("pos"),
+                       F.col("target").cast("double").alias("target")))
+
+
+register("train_record_sink", f"""SELECT unique_id, min(ds) OVER (PARTITION BY unique_id) AS start, 'D' AS freq,
+  CAST(row_number() OVER (PARTITION BY unique_id ORDER BY ds) - 1 AS INTEGER) AS pos,
+  round(CAST(CAST(y AS FLOAT) AS DOUBLE), 6) AS target FROM ({SHIP})""")(_records)
+
+# ---------------------------------------------------------------- 2.11 streaming (rows 66-70)
+_REQ_SRC = f"SELECT * FROM ({SHIP}) UNION ALL SELECT * FROM ({EVU})"
+
+
+def _requests(spark, sf):
+    return requests_from_series(series_set(spark, sf, "ship_daily").unionByName(
+        series_set(spark, sf, "events_user_daily")))
+
+
+_SCORE_SQL = f"""WITH src AS ({_REQ_SRC}),
+pos AS (SELECT unique_id, y, row_number() OVER (PARTITION BY unique_id ORDER BY ds) AS p,
+               count(*) OVER (PARTITION BY unique_id) AS n FROM src),
+c AS (SELECT DISTINCT unique_id, n, least(n, 52) AS m FROM pos)
+SELECT 'single:' || c.unique_id AS request_id, 'inputs' AS kind, 0 AS row, CAST(s AS INTEGER) AS step, round(x.y, 6) AS yhat
+FROM c, range(1, 11) t(s), pos x
+WHERE x.unique_id = c.unique_id AND x.p = c.n - least(7, c.m) + 1 + ((s - 1) % least(7, c.m))
+UNION ALL
+SELECT 'batch:' || c.unique_id, 'inputs_batch', CAST(r AS INTEGER), CAST(s AS INTEGER), round(x.y, 6)
+FROM c, range(0, 5) a(r), range(1, 11) t(s), pos x
+WHERE c.n >= 260 AND x.unique_id = c.unique_id AND x.p = c.n - 52 * (4 - r) - 7 + 1 + ((s - 1) % 7)
+UNION ALL
+SELECT 'split:' || c.unique_id, 'dataframe_split', 0, CAST(s AS INTEGER), round(x.y, 6)
+FROM c, range(1, 21) t(s), pos x
+WHERE x.unique_id = c.unique_id AND x.p = c.n - least(7, c.m) + 1 + ((s - 1) % least(7, c.m))"""
+
+register("score_requests", _SCORE_SQL)(
+    lambda spark, sf: r6(sc.reply_rows(sc.score_requests(_requests(spark, sf)))))
+
+
+def _online(spark, sf):
+    in_dir = scratch_path(spark, "requests")
+    _requests(spark, sf).write.mode("overwrite").json(in_dir)
+    q = sc.online_forecast_stream(spark, in_dir, "tidecast_online", scratch_path(spark, "online-ckpt"))
+    q.awaitTermination()
+    return spark.table("tidecast_online_payload")
+
+
+register("online_forecast_stream", _SCORE_SQL)(lambda spark, sf: r6(sc.parse_replies(_online(spark, sf))))
+register("payload_capture", f"SELECT DISTINCT request_id, true AS has_reply FROM ({_SCORE_SQL})")(
+    lambda spark, sf: _online(spark, sf).select("request_id", F.col("reply").isNotNull().alias("has_reply")))
+
+
+def _stream_daily(spark, sf):
+    ev = table(spark, sf, "events")
+    src = spark.readStream.schema(ev.schema).option("basePath", sf).parquet(f"{sf.rstrip('/')}/events.parq*")
+    out, ck = scratch_path(spark, "daily-out"), scratch_path(spark, "daily-ckpt")
+    q = (ss.stream_daily_series(src, "1 day").writeStream.format("parquet").outputMode("append")
+           .option("checkpointLocation", ck).trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    return r6(spark.read.parquet(out))
+
+
+register("stream_daily_series", f"""SELECT unique_id, ds, round(y, 6) AS y FROM ({EVT})
+WHERE ds + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""")(_stream_daily)
+
+
+def _stream_context(spark, sf):
+    s = series_set(spark, sf, "supplier_daily")
+    in_dir = scratch_path(spark, "ctx-in")
+    s.repartition(4, F.date_format("ds", "yyyy")).write.parquet(in_dir)
+    src = spark.readStream.schema("unique_id string, ds timestamp_ntz, y double").option(
+        "maxFilesPerTrigger", 1).parquet(in_dir)
+    out, ck = scratch_path(spark, "ctx-out"), scratch_path(spark, "ctx-ckpt")
+    q = (ss.stream_context(src, 64).writeStream.format("parquet").outputMode("append")
+           .option("checkpointLocation", ck).trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    res = spark.read.parquet(out)
+    final = res.groupBy("unique_id").agg(F.max_by("context", "updates").alias("context"))
+    return r6(final.select("unique_id", F.posexplode("context").alias("pos", "y")).withColumn(
+        "pos", F.col("pos").cast("int")))
+
+
+register("stream_context", f"""SELECT unique_id, CAST(64 - rd AS INTEGER) AS pos, round(y, 6) AS y FROM (
+  SELECT *, row_number() OVER (PARTITION BY unique_id ORDER BY ds DESC) AS rd FROM ({SUPP})) WHERE rd <= 64""")(_stream_context)

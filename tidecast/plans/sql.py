@@ -236,3 +236,22 @@ c AS (SELECT month, sum(n) OVER w AS n, sum(sx) OVER w AS sx, sum(sy) OVER w AS
 f AS (SELECT *, CASE WHEN n * sxx - sx * sx <> 0 THEN (n * sxy - sx * sy) / (n * sxx - sx * sx) END AS slope FROM c)
 SELECT '{name}' AS name, CAST(v AS VARCHAR) AS version, slope, (sy - slope * sx) / n AS intercept,
        CAST(n AS BIGINT) AS n, month AS trained_through FROM f"""
+
+
+def backtest_metrics_sql(src_sql: str, dataset: str, h: int, windows: int, context: int,
+                         freq: str = "D", models=("last", "seasonal", "mean", "drift", "trend", "ar1"),
+                         season: int = 7) -> str:
+    spec = dict(dataset=dataset, spec_id=f"{dataset}/h{h}/c{context}/p1", offset=-(windows * h),
+                windows=windows, distance=h, prediction_length=h, context_length=context, patch_size=1)
+    wins = rolling_windows_sql(src_sql, dataset, [spec])
+    preds = " UNION ALL ".join(
+        f"SELECT st.unique_id AS window_id, step, '{m}' AS model, CAST({yhat_sql(m, 'step', season)} AS DOUBLE) AS yhat "
+        f"FROM st, range(1, {h + 1}) t(step)" for m in models)
+    return f"""WITH wins AS ({wins}),
+past AS (SELECT window_id AS unique_id, ds, y FROM wins WHERE NOT is_future AND NOT is_pad),{stats_ctes('past', season)},
+preds AS ({preds}),
+fut AS (SELECT window_id, window_no, rel + 1 AS step, y AS actual FROM wins WHERE is_future),
+j AS (SELECT * FROM preds JOIN fut USING (window_id, step) WHERE actual IS NOT NULL AND yhat IS NOT NULL)
+SELECT model AS run, window_no AS epoch, 'val/MSE' AS metric, avg((actual - yhat) * (actual - yhat)) AS value FROM j GROUP BY 1, 2
+UNION ALL
+SELECT model AS run, window_no AS epoch, 'val/MAE' AS metric, avg(abs(actual - yhat)) AS value FROM j GROUP BY 1, 2"""
