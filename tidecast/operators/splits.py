@@ -20,6 +20,9 @@ from tidecast.schema import DS, ID, Y
 
 
 def _with_len(df: DataFrame) -> DataFrame:
+    """Attach 0-based ``pos`` and series length ``n`` (kept if already there)."""
+    if "pos" in df.columns and "n" in df.columns:
+        return df
     pos = series_position(df, "pos")
     return pos.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(ID)))
 
@@ -84,7 +87,7 @@ def _expand(points: DataFrame, cuts: DataFrame, context_length, h, key_cols) ->
 def context_window(df: DataFrame, cuts: DataFrame, context_length: int, h: int) -> DataFrame:
     """Per cut: ``context_length`` past points (left padded with NULL and
     ``is_pad``), ``h`` future points, and ``forecast_start``."""
-    pts = series_position(df, "pos")
+    pts = df if "pos" in df.columns else series_position(df, "pos")
     c = cuts.select(ID, "cut").withColumn("window_id", F.concat_ws("#", ID, F.col("cut").cast("string")))
     out = _expand(pts, c, context_length, h, [ID, "window_id"])
     return out

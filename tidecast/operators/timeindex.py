@@ -91,8 +91,27 @@ def series_span(df: DataFrame) -> DataFrame:
 
 def densify(df: DataFrame, freq: str = "D") -> DataFrame:
     """Put every series on a gap-free grid from its first to its last point;
-    missing ``y`` is NULL.  Spans are a tiny per-series aggregate; the grid
-    is generated per series and left-joined to the data on (unique_id, ds)."""
-    spans = df.groupBy(ID).agg(F.min(DS).alias("start"), F.max(DS).alias("end"))
-    grid = date_grid(spans, freq=freq)
-    return grid.join(df.select(ID, DS, Y), [ID, DS], "left")
+    missing ``y`` is NULL.
+
+    Each point emits itself plus the grid points up to (not including) the
+    next point of its series (``lead``), so densifying is one window pass
+    over one exchange on ``unique_id``: no span aggregate, no self-join, and
+    the output stays partitioned by series.  Timestamps must be on the grid
+    (day starts for 'D', month ends for 'M', as ``series_from_facts`` makes).
+    """
+    check_freq(freq)
+    w = Window.partitionBy(ID).orderBy(DS)
+    nxt = F.lead(DS).over(w)
+    x = df.select(ID, DS, Y, nxt.alias("_next"))
+    d0 = F.to_date(DS)
+    if freq == "D":
+        gap = F.when(F.col("_next").isNull(), F.lit(0)).otherwise(
+            F.datediff(F.to_date("_next"), d0) - 1)
+        pts = F.transform(F.sequence(F.lit(0), gap), lambda k: F.date_add(d0, k).cast("timestamp_ntz"))
+    else:
+        gap = F.when(F.col("_next").isNull(), F.lit(0)).otherwise(
+            F.months_between(F.trunc(F.to_date("_next"), "month"), F.trunc(d0, "month")).cast("int") - 1)
+        pts = F.transform(F.sequence(F.lit(0), gap),
+                          lambda k: F.last_day(F.add_months(d0, k)).cast("timestamp_ntz"))
+    e = x.select(ID, DS, Y, F.posexplode(pts).alias("_k", "_ds"))
+    return e.select(ID, F.col("_ds").alias(DS), F.when(F.col("_k") == 0, F.col(Y)).alias(Y))

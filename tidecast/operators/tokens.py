@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from tidecast.functions.tokens import EOS_ID, IGNORE, PAD_ID, token_centre, token_id
 from tidecast.operators.missing import impute, random_drop
 from tidecast.operators.select import observed_filter
-from tidecast.operators.splits import context_window, nonempty_context, random_cut_split
+from tidecast.functions.materialize import materialize
+from tidecast.operators.splits import _with_len, context_window, nonempty_context, random_cut_split
 from tidecast.schema import ID, Y
 
 
@@ -72,6 +73,11 @@ def token_table(df: DataFrame, context_length: int = 512, prediction_length: int
         x = impute(x, "last")
     if drop_prob > 0:
         x = random_drop(x, drop_prob, seed)
+    # The prepared series feed three branches (cut draws, their normaliser,
+    # and the window points); write them once to the shared checkpoint folder
+    # instead of recomputing the chain per branch.  This also cuts the
+    # lineage, so a lost executor does not replay the whole preparation.
+    x = materialize(_with_len(x))
     cuts = random_cut_split(x, min_past, prediction_length, num_instances, seed)
     wins = nonempty_context(context_window(x, cuts, context_length, prediction_length))
     return tokenize_windows(wins, model_type)

@@ -52,8 +52,34 @@ def ensure_namespace(spark: SparkSession, db: str, volume: str | None = None) ->
     return path
 
 
+def _default_location(spark: SparkSession, name: str) -> str:
+    """Where the session's catalog puts a managed table of this name."""
+    wh = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if "." in name:
+        db, tbl = name.split(".", 1)
+        if db != "default":
+            return f"{wh}/{db}.db/{tbl}"
+        name = tbl
+    return f"{wh}/{name}"
+
+
+def _purge_orphan_location(spark: SparkSession, name: str) -> None:
+    """A managed table's files can outlive a session whose catalog is not
+    persistent; remove such orphaned files so the table can be re-created
+    (this is what dropping the managed table would have done)."""
+    if spark.catalog.tableExists(name):
+        return
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(_default_location(spark, name))
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def drop_if_exists(spark: SparkSession, name: str) -> None:
+    """``DROP TABLE IF EXISTS``, including files left at its managed location."""
     spark.sql(f"DROP TABLE IF EXISTS {_check_name(name)}")
+    _purge_orphan_location(spark, name)
 
 
 def write_series_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
@@ -62,6 +88,7 @@ def write_series_table(df: DataFrame, name: str, partition_by: list[str] | None
 
     ``partition_by`` (e.g. a month column) lets later scans prune partitions.
     """
+    _purge_orphan_location(df.sparkSession, _check_name(name))
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
