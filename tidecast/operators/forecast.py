@@ -21,12 +21,13 @@ BUILTINS = ("last", "seasonal", "mean", "drift", "trend", "ar1")
 def series_stats(df: DataFrame, season: int = 7, window: int | None = None) -> DataFrame:
     """Per-series statistics the built-in forecasters need, one row per series."""
     obs = F.col(Y).isNotNull()
+    # One sort per series: positions and lags ride on the ascending order and
+    # the rank from the end is n_obs - pos (an unordered window needs no sort).
     w_asc = Window.partitionBy(ID).orderBy(DS).rowsBetween(Window.unboundedPreceding, 0)
-    w_desc = Window.partitionBy(ID).orderBy(F.col(DS).desc()).rowsBetween(Window.unboundedPreceding, 0)
     w_lag = Window.partitionBy(ID).orderBy(DS)
     x = (df.withColumn("_pos", F.when(obs, F.count(Y).over(w_asc) - 1))
-           .withColumn("_rd", F.when(obs, F.count(Y).over(w_desc)))
-           .withColumn("_lag", F.lag(Y).over(w_lag)))
+           .withColumn("_lag", F.lag(Y).over(w_lag))
+           .withColumn("_rd", F.when(obs, F.count(Y).over(Window.partitionBy(ID)) - F.col("_pos"))))
     mean_src = F.col(Y) if window is None else F.when(F.col("_rd") <= window, F.col(Y))
     seas = F.array_sort(F.collect_list(
         F.when(F.col("_rd") <= season, F.struct(F.col("_rd").alias("rd"), F.col(Y).alias("v")))))
