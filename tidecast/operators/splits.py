@@ -139,7 +139,7 @@ def rolling_eval_windows(df: DataFrame, specs: DataFrame, dataset: str | None =
     c = lens.join(F.broadcast(sp), "dataset")
     c = c.select("*", F.explode(F.sequence(F.lit(0), F.col("windows") - 1)).alias("window_no"))
     start = F.when(F.col("offset") >= 0, F.col("offset")).otherwise(F.col("n") + F.col("offset"))
-    c = c.withColumn("cut", start + F.col("window_no") * F.col("distance"))
+    c = c.withColumn("cut", (start + F.col("window_no") * F.col("distance")).cast("int"))
     c = c.where((F.col("cut") >= 0) & (F.col("cut") + F.col("prediction_length") <= F.col("n")))
     c = c.withColumn("window_id", F.concat_ws("#", ID, "spec_id", F.col("window_no").cast("string")))
     out = _expand(pts, c.select(ID, "spec_id", "window_no", "window_id", "cut", "context_length",

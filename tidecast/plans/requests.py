@@ -23,13 +23,8 @@ def requests_from_series(df: DataFrame, split_h: int = 20) -> DataFrame:
     last 52 points with params.h = ``split_h``)."""
     p = pack_series(df).withColumn("_n", F.size("y"))
     last = F.slice("y", F.greatest(F.col("_n") - CONTEXT + 1, F.lit(1)), CONTEXT)
-    single = p.select(F.concat(F.lit("single:"), ID).alias("request_id"),
-                      F.to_json(F.struct(last.alias("inputs"))).alias("request"))
     wins = F.transform(F.sequence(F.lit(0), F.lit(BATCH - 1)),
                        lambda r: F.slice("y", F.col("_n") - F.lit(CONTEXT) * (F.lit(BATCH) - r) + 1, CONTEXT))
-    batch = p.where(F.col("_n") >= CONTEXT * BATCH).select(
-        F.concat(F.lit("batch:"), ID).alias("request_id"),
-        F.to_json(F.struct(wins.alias("inputs"))).alias("request"))
     ts = F.slice("ds", F.greatest(F.col("_n") - CONTEXT + 1, F.lit(1)), CONTEXT)
     rows = F.transform(F.arrays_zip(ts.alias("t"), last.alias("v")), lambda e: F.concat(
         F.lit('["'), F.date_format(e["t"], "yyyy-MM-dd HH:mm:ss"), F.lit('",'),
@@ -38,5 +33,14 @@ def requests_from_series(df: DataFrame, split_h: int = 20) -> DataFrame:
         F.lit('{"dataframe_split": {"columns": ["timestamp", "value"], "index": '),
         F.to_json(F.sequence(F.lit(0), F.size(ts) - 1)), F.lit(', "data": ['),
         F.array_join(rows, ","), F.lit(f']}}, "params": {{"h": {int(split_h)}}}}}'))
-    split = p.select(F.concat(F.lit("split:"), ID).alias("request_id"), body.alias("request"))
-    return single.unionByName(batch).unionByName(split)
+
+    def req(kind, text):
+        return F.struct(F.concat(F.lit(kind + ":"), ID).alias("request_id"), text.alias("request"))
+
+    # all three shapes from one pass over the packed series (no re-computation per shape)
+    shapes = F.array(req("single", F.to_json(F.struct(last.alias("inputs")))),
+                     F.when(F.col("_n") >= CONTEXT * BATCH,
+                            req("batch", F.to_json(F.struct(wins.alias("inputs"))))),
+                     req("split", body))
+    out = p.select(F.explode(shapes).alias("_r")).where(F.col("_r").isNotNull())
+    return out.select("_r.request_id", "_r.request")
