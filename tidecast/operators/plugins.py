@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from tidecast.functions.calendar import check_freq
 from tidecast.schema import DS, ID, Y
+from tidecast.session import ship_package
 
 
 class Forecaster:
@@ -94,6 +95,7 @@ def _as_context(arr) -> np.ndarray:
 
 def forecast_udf(model: Forecaster, h: int, num_samples: int = 10, batch_size: int = 4):
     """Scalar-iterator pandas UDF: packed ``y`` arrays -> median forecast arrays."""
+    ship_package()
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def _udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -131,6 +133,7 @@ STRUCT_TYPE = T.StructType([
 def forecast_struct_udf(client_factory: Callable[[], object], h: int):
     """Two-column pandas UDF (ds array, y array) -> struct<timestamp, forecast>.
     The client is built once per task; one output frame per input batch."""
+    ship_package()
 
     @F.pandas_udf(STRUCT_TYPE)
     def _udf(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -161,6 +164,7 @@ def forecast_long(df: DataFrame, model, freq: str = "D", h: int = 10, context: i
     cut = last_points(df, context)
     if isinstance(model, str):
         return forecast_points(cut, model, freq, h)
+    ship_package(df.sparkSession)
 
     def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(DS)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidecast.functions.positions import global_position
 from tidecast.functions.rng import hash_order, uniform
 from tidecast.schema import ID
+from tidecast.session import ship_package
 
 
 def _choice(u, names, probs):
@@ -151,6 +152,7 @@ def pack_sequences(seqs: DataFrame, key: str, length: str, max_length: int = 512
     parallelism/fill trade-off; it defaults to the shuffle partition count.
     """
     spark = seqs.sparkSession
+    ship_package(spark)
     k = int(shards or int(spark.conf.get("spark.sql.shuffle.partitions")))
     x = seqs.select(F.col(key).cast("string").alias("key"), F.col(length).cast("long").alias("length"))
     x = x.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(k)).cast("int"))

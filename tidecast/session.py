@@ -52,3 +52,40 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir (never machine-local)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tidecast/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make ``tidecast`` importable on executors' Python workers.
+
+    Plug-in forecasters and grouped-pandas functions are pickled by
+    reference, so workers must import this package.  When it is not installed
+    on the cluster, a zip of it is written once per application to the shared
+    scratch folder and added with ``addPyFile`` (the ``--py-files`` route).
+    """
+    import zipfile
+
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None:
+        return
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    target = scratch_path(spark, "pyfiles")
+    local = target[len("file:"):] if target.startswith("file:") else target
+    if "://" in local:  # non-local filesystem: stage the zip next to the driver
+        local = f"/tmp/tidecast-pyfiles-{uuid.uuid4().hex[:12]}"
+    os.makedirs(local, exist_ok=True)
+    zpath = os.path.join(local, "tidecast.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)

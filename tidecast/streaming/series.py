@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tidecast.schema import DS, ID, Y
+from tidecast.session import ship_package
 
 
 def stream_daily_series(stream: DataFrame, delay: str = "1 day", id_col: str = "event_type",
@@ -19,11 +20,27 @@ def stream_daily_series(stream: DataFrame, delay: str = "1 day", id_col: str = "
     passes its end; rows arriving later than the watermark are dropped.  The
     state holds one partial sum per (open day, id).
     """
-    t = F.col(ts_col).cast("timestamp")
-    x = stream.select(F.col(id_col).cast("string").alias(ID), t.alias("_t"), F.col(value_col).alias("_v"))
+    x = stream.select(F.col(id_col).cast("string").alias(ID), wall_clock_instant(F.col(ts_col)).alias("_t"),
+                      F.col(value_col).alias("_v"))
     agg = (x.withWatermark("_t", delay).groupBy(F.window("_t", "1 day"), ID)
              .agg(F.sum("_v").cast("double").alias(Y)))
-    return agg.select(ID, F.col("window.start").cast("timestamp_ntz").alias(DS), Y)
+    day = F.date_from_unix_date(F.floor(F.unix_micros(F.col("window.start")) / F.lit(86_400_000_000)).cast("int"))
+    return agg.select(ID, day.cast("timestamp_ntz").alias(DS), Y)
+
+
+def wall_clock_instant(c):
+    """TIMESTAMP_NTZ -> TIMESTAMP holding the same wall clock as UTC.
+
+    Event time must be a TIMESTAMP for watermarks; a plain cast would read
+    the wall clock in the session time zone, shifting day windows.  Epoch
+    arithmetic keeps days aligned with the NTZ calendar in any session zone.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    days = F.unix_date(F.to_date(c)).cast("long")
+    tod = (F.hour(c) * 3600 + F.minute(c) * 60).cast("long") * 1_000_000 + \
+        (F.second(c).cast("long") * 1_000_000) + \
+        F.pmod((F.date_format(c, "SSSSSS")).cast("long"), F.lit(1_000_000))
+    return F.timestamp_micros(days * 86_400_000_000 + tod)
 
 
 def _context_updater(length: int):
@@ -59,6 +76,7 @@ def stream_context(stream: DataFrame, length: int = 512) -> DataFrame:
     the micro-batches that touched the series, so the newest context of a
     series is its row with the highest ``updates``.
     """
+    ship_package(stream.sparkSession)
     return stream.select(ID, DS, Y).groupBy(ID).applyInPandasWithState(
         _context_updater(int(length)),
         f"{ID} string, updates long, n long, last_ds timestamp_ntz, context array<double>",
