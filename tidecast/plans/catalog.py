@@ -768,3 +768,34 @@ def _stream_context(spark, sf):
 
 register("stream_context", f"""SELECT unique_id, CAST(64 - rd AS INTEGER) AS pos, round(y, 6) AS y FROM (
   SELECT *, row_number() OVER (PARTITION BY unique_id ORDER BY ds DESC) AS rd FROM ({SUPP})) WHERE rd <= 64""")(_stream_context)
+
+
+# ---------------------------------------------------------------- rows 5, 6 in their data flows
+def _namespace_volume(spark, sf):
+    """Create the namespace and a volume, write training records into the
+    volume, read them back (the reference's preparation -> fine-tune hand-off)."""
+    vol = tb.ensure_namespace(spark, "tidecast_demo", volume="fine_tune")
+    path = f"{vol}/records-{__import__('uuid').uuid4().hex[:8]}"
+    fl.train_record_sink(agg.pack_series(series_set(spark, sf, "order_monthly")), path)
+    rec = fl.train_record_scan(spark, path, "M")
+    z = rec.select("unique_id", "start", "freq", F.posexplode("target").alias("pos", "target"))
+    return r6(z.select("unique_id", "start", "freq", F.col("pos").cast("int").alias("pos"),
+                       F.col("target").cast("double").alias("target")))
+
+
+register("ensure_namespace", f"""SELECT unique_id, min(ds) OVER (PARTITION BY unique_id) AS start, 'M' AS freq,
+  CAST(row_number() OVER (PARTITION BY unique_id ORDER BY ds) - 1 AS INTEGER) AS pos,
+  round(CAST(CAST(y AS FLOAT) AS DOUBLE), 6) AS target FROM ({ORDM})""")(_namespace_volume)
+
+
+def _drop_recreate(spark, sf):
+    """Drop a payload table if it exists, then re-create it from this run's
+    data: the result holds this run's rows only, never an earlier run's."""
+    tb.ensure_namespace(spark, "tidecast_demo")
+    name = "tidecast_demo.order_monthly_payload"
+    tb.drop_if_exists(spark, name)
+    back = tb.write_series_table(series_set(spark, sf, "order_monthly"), name)
+    return r6(back)
+
+
+register("drop_if_exists", f"SELECT unique_id, ds, round(y, 6) AS y FROM ({ORDM})")(_drop_recreate)

@@ -89,6 +89,13 @@ def write_series_table(df: DataFrame, name: str, partition_by: list[str] | None
     ``partition_by`` (e.g. a month column) lets later scans prune partitions.
     """
     _purge_orphan_location(df.sparkSession, _check_name(name))
+    if partition_by:
+        # Range-partition on (partition columns, series id) before writing:
+        # each task then covers a contiguous slice of one or two partition
+        # values, so the file count follows the task count (not tasks x
+        # values) and a hot partition value is split over several tasks.
+        order = list(partition_by) + ([ID] if ID in df.columns else [])
+        df = df.repartitionByRange(*order)
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
