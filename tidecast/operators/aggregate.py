@@ -114,10 +114,12 @@ def best_checkpoint(metrics: DataFrame, monitor: str, mode: str = "min", k: int
              .select("run", "epoch", "value", "rank"))
 
 
-def early_stop_epoch(metrics: DataFrame, monitor: str, patience: int = 3,
-                     min_delta: float = 0.0) -> DataFrame:
+def early_stop_epoch(metrics: DataFrame, patience: int = 3, min_delta: float = 0.0,
+                     monitor: str | None = None) -> DataFrame:
     """Per run: the first epoch at which ``patience`` epochs in a row brought
     no improvement (mode min), the best epoch and value up to the stop.
+    ``monitor`` picks one metric of a long metrics table (run, epoch, metric,
+    value); without it the table must hold a single metric.
 
     Exact for ``min_delta == 0`` (improvement = strictly below the running
     minimum); other values need a sequential fold and are rejected.
@@ -125,7 +127,9 @@ def early_stop_epoch(metrics: DataFrame, monitor: str, patience: int = 3,
     from pyspark.sql import Window
     if min_delta != 0.0:
         raise ValueError("only min_delta = 0 is supported")
-    m = metrics.where((F.col("metric") == monitor) & F.col("value").isNotNull())
+    m = metrics.where(F.col("value").isNotNull())
+    if monitor is not None:
+        m = m.where(F.col("metric") == monitor)
     w = Window.partitionBy("run").orderBy("epoch")
     prev = Window.partitionBy("run").orderBy("epoch").rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy("run").orderBy("epoch").rowsBetween(Window.unboundedPreceding, 0)

@@ -126,16 +126,21 @@ def last_points(df: DataFrame, context: int) -> DataFrame:
     return df.withColumn("_rd", F.row_number().over(w)).where(F.col("_rd") <= int(context)).drop("_rd")
 
 
-def fit_and_forecast(df: DataFrame, h: int, min_length: int = 300, fit: str = "trend",
-                     freq: str = "D", context: int | None = None) -> DataFrame:
+def fit_and_forecast(df: DataFrame, h: int, min_length: int = 300, fit="trend",
+                     steps: int = 10, freq: str = "D", context: int | None = None) -> DataFrame:
     """Per-series fit on series with at least ``min_length`` points, then
     ``h`` steps.  ``fit``: 'trend' (OLS on position), 'ar1' (OLS of y on its
-    lag, iterated), or a plug-in Forecaster (grouped pandas)."""
+    lag, iterated), or a plug-in Forecaster (grouped pandas) — a plug-in with
+    a ``steps`` attribute (iterations of its per-series fit) gets ``steps``."""
     from tidecast.operators.select import min_length_filter
     src = min_length_filter(df, int(min_length))
     if isinstance(fit, str):
         return forecast_points(src if context is None else last_points(src, context), fit, freq, h)
     from tidecast.operators.plugins import forecast_long
+    if hasattr(fit, "steps"):
+        import copy
+        fit = copy.copy(fit)
+        fit.steps = int(steps)
     return forecast_long(src, fit, freq, h, context=context or 512)
 
 

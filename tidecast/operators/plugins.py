@@ -152,16 +152,19 @@ def forecast_struct_udf(client_factory: Callable[[], object], h: int):
 
 
 def forecast_long(df: DataFrame, model, freq: str = "D", h: int = 10, context: int = 512,
-                  num_samples: int = 1) -> DataFrame:
+                  value_col: str = Y, num_samples: int = 1) -> DataFrame:
     """Long in, long out over all series: cut each series to its last
     ``context`` points first (so a group is bounded by ``context``), then a
     built-in (native) or a plug-in (``groupBy(unique_id).applyInPandas``).
+    ``value_col`` names the value column when it is not ``y``.
     Output: unique_id, step, ds, yhat."""
     from tidecast.functions.calendar import add_steps
     from tidecast.operators.forecast import forecast_points, last_points
 
     check_freq(freq)
-    cut = last_points(df, context)
+    if value_col != Y:
+        df = df.withColumn(Y, F.col(value_col).cast("double"))
+    cut = last_points(df.select(ID, DS, Y), context)
     if isinstance(model, str):
         return forecast_points(cut, model, freq, h)
     ship_package(df.sparkSession)

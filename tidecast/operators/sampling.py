@@ -33,14 +33,17 @@ def _choice(u, names, probs):
 
 
 def mixture_sample(df: DataFrame, probs: Mapping[str, float] | None, n_draws: int, seed: int = 0,
-                   dataset_col: str = "dataset") -> DataFrame:
+                   dataset_col: str = "dataset", salt: int = 16) -> DataFrame:
     """``n_draws`` draws: a dataset by its probability (uniform when none
     given), then a series uniformly within that dataset (with replacement).
 
     Series are numbered per dataset by a distributed global position; the
     per-dataset offsets/counts table has one row per dataset (bounded by the
     probability list) and is broadcast; the draw is an equi-join on
-    (dataset, index).
+    (dataset, index).  A likely dataset with few series sends most draws to
+    a handful of keys, so the join is salted: draws carry ``draw mod salt``
+    and the (small, one row per series) lookup side is replicated ``salt``
+    times, spreading a hot key over ``salt`` tasks.
     """
     spark = df.sparkSession
     ids = df.select(dataset_col, ID).distinct()
@@ -57,7 +60,10 @@ def mixture_sample(df: DataFrame, probs: Mapping[str, float] | None, n_draws: in
                                                   names, [float(probs[n]) for n in names]))
     draws = draws.join(F.broadcast(meta), dataset_col)
     draws = draws.withColumn("_idx", F.floor(uniform(seed, F.col("draw"), "s") * F.col("_cnt")).cast("long"))
-    return draws.join(numbered, [dataset_col, "_idx"]).select("draw", dataset_col, ID)
+    k = max(1, int(salt))
+    draws = draws.withColumn("_salt", F.pmod(F.col("draw"), F.lit(k)).cast("int"))
+    numbered = numbered.select("*", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_salt"))
+    return draws.join(numbered, [dataset_col, "_idx", "_salt"]).select("draw", dataset_col, ID)
 
 
 def weight_repeat(df: DataFrame, weights: Mapping[str, int], dataset_col: str = "dataset") -> DataFrame:

@@ -40,13 +40,16 @@ def select_series(packed: DataFrame, unique_id: str) -> DataFrame:
     return z.select(F.col("_z")[DS].alias("timestamp"), F.col("_z")[Y].alias("value"))
 
 
-def min_length_filter(df: DataFrame, k: int, packed: bool = False) -> DataFrame:
+def min_length_filter(df: DataFrame, k: int, packed: bool | None = None) -> DataFrame:
     """Keep series with at least ``k`` points.
 
     Packed input: ``size(ds) >= k``.  Long input: a per-series window count,
     so the filter happens *before* any packing and shares the exchange on
-    ``unique_id`` with whatever follows.
+    ``unique_id`` with whatever follows.  Packed input is recognised by its
+    array-typed ``ds`` unless ``packed`` says otherwise.
     """
+    if packed is None:
+        packed = dict(df.dtypes).get(DS, "").startswith("array")
     if packed:
         return df.where(F.size(DS) >= k)
     n = F.count(F.lit(1)).over(Window.partitionBy(ID))

@@ -93,8 +93,8 @@ def context_window(df: DataFrame, cuts: DataFrame, context_length: int, h: int)
     return out
 
 
-def eval_grid(src, horizons, contexts, patches, dataset: str | None = None,
-              offset: int | None = None, eval_length: int | None = None) -> DataFrame:
+def eval_grid(src, dataset: str | None = None, offset: int | None = None, eval_length: int | None = None,
+              horizons=(), contexts=(), patches=()) -> DataFrame:
     """Evaluation specs: every (horizon, context, patch) combination per
     dataset, with ``windows = eval_length div horizon`` and ``distance = horizon``.
 

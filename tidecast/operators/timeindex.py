@@ -60,7 +60,7 @@ def rebase_monthly(df: DataFrame, keep: int = 60, start: str = "2018-01-01") ->
 
 
 def horizon_timestamps(df: DataFrame, freq: str, h: int, as_: str = "array",
-                       packed: bool = False) -> DataFrame:
+                       packed: bool | None = None) -> DataFrame:
     """Next ``h`` timestamps after each series' last one.
 
     ``as_``: 'array' (array<timestamp>), 'string' (array<string>, 'yyyy-MM-dd
@@ -68,6 +68,8 @@ def horizon_timestamps(df: DataFrame, freq: str, h: int, as_: str = "array",
     Native expressions only: no UDF, nothing collected per partition.
     """
     check_freq(freq)
+    if packed is None:
+        packed = dict(df.dtypes).get(DS, "").startswith("array")
     last = (df.select(ID, F.array_max(DS).alias("_last")) if packed
             else df.groupBy(ID).agg(F.max(DS).alias("_last")))
     if as_ == "long":

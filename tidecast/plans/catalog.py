@@ -259,8 +259,8 @@ def _spec_rows(d):
 
 def ship_windows(spark, sf, patch_size=None):
     d = SHIP_SPECS
-    specs = sp.eval_grid(spark, d["horizons"], d["contexts"], d["patches"] if patch_size is None else [patch_size],
-                         dataset=d["dataset"], offset=d["offset"], eval_length=d["eval_length"])
+    specs = sp.eval_grid(spark, d["dataset"], d["offset"], d["eval_length"], d["horizons"], d["contexts"],
+                         d["patches"] if patch_size is None else [patch_size])
     return sp.rolling_eval_windows(series_set(spark, sf, "ship_daily"), specs, "ship_daily")
 
 
@@ -280,7 +280,7 @@ def _eval_grid(spark, sf):
         lens.append(n.select(F.lit(name).alias("dataset"), (F.col("m") - 100).cast("int").alias("offset"),
                              F.lit(100).alias("eval_length")))
     base = lens[0].unionByName(lens[1])
-    return sp.eval_grid(base, [10, 20], [64, 128], [8, 16])
+    return sp.eval_grid(base, horizons=[10, 20], contexts=[64, 128], patches=[8, 16])
 
 
 _EG_BASE = " UNION ALL ".join(
@@ -538,7 +538,7 @@ register("forecast_points_last", S.forecast_points_sql(DSUPP, "last", "D", 5))(
 def _udf_q(spark, sf):
     packed = agg.pack_series(series_set(spark, sf, "ship_daily"))
     u = pl.forecast_udf(pl.SeasonalNaive(7), h=10, num_samples=10, batch_size=4)
-    hz = ti.horizon_timestamps(packed, "D", 10, as_="array", packed=True)
+    hz = ti.horizon_timestamps(packed, "D", 10, as_="array")
     out = packed.select("unique_id", u(F.col("y")).alias("forecast")).join(hz, "unique_id")
     z = out.select("unique_id", F.posexplode(F.arrays_zip("ds", "forecast")).alias("p", "_z"))
     return r6(z.select("unique_id", (F.col("p") + 1).cast("int").alias("step"), F.col("_z.ds").alias("ds"),
@@ -631,7 +631,7 @@ SELECT kept.run, max(CASE WHEN k = sk THEN epoch END) AS stop_epoch,
        min(CASE WHEN value = b.best_value THEN epoch END) AS best_epoch, round(b.best_value, 6) AS best_value,
        max(es) AS epochs_seen
 FROM kept JOIN b USING (run) GROUP BY kept.run, b.best_value""")(
-    lambda spark, sf: r6(agg.early_stop_epoch(_metrics(spark, sf), "val/MSE", patience=3)))
+    lambda spark, sf: r6(agg.early_stop_epoch(_metrics(spark, sf), patience=3, monitor="val/MSE")))
 
 _LISTING = f"SELECT DISTINCT path FROM (SELECT 'run-' || CAST(epoch AS VARCHAR) AS path FROM ({_BT_SQL}) UNION ALL SELECT run || '.log' FROM ({_BT_SQL}))"
 _RUN_N = "CASE WHEN regexp_matches(path, '^run-(\\d+)$') THEN CAST(regexp_extract(path, '^run-(\\d+)$', 1) AS BIGINT) END"

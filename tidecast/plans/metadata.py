@@ -27,8 +27,7 @@ MODELS = ("last", "seasonal", "mean", "drift", "trend", "ar1")
 def backtest_metrics(df: DataFrame, dataset: str, h: int, windows: int, context: int,
                      freq: str = "D", models=MODELS, season: int = 7) -> DataFrame:
     spark = df.sparkSession
-    specs = sp.eval_grid(spark, [h], [context], [1], dataset=dataset, offset=-(windows * h),
-                         eval_length=windows * h)
+    specs = sp.eval_grid(spark, dataset, -(windows * h), windows * h, [h], [context], [1])
     wins = sp.rolling_eval_windows(df, specs, dataset)
     past = wins.where(~F.col("is_future") & ~F.col("is_pad")).select(
         F.col("window_id").alias(ID), DS, Y)

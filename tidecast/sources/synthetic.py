@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.functions.rng import normal
 
 
-def synth_series(ids: DataFrame, start: str = "2021-01-01", end: str = "2023-12-31",
-                 seed: int = 0, id_col: str = "unique_id") -> DataFrame:
+def synth_series(ids, start: str = "2021-01-01", end: str = "2023-12-31",
+                 seed: int = 0, id_col: str = "unique_id", n: int | None = None) -> DataFrame:
     """One N(0,1) value per id and day in [start, end].
 
-    ``ids`` is a DataFrame of item ids (so the work grows with the id table);
-    each value depends only on (seed, id, day), so the job is retry-safe.
+    ``ids`` is a DataFrame of item ids (so the work grows with the id table),
+    or a SparkSession with ``n``: ids ``item_0`` ... ``item_{n-1}``.
+    Each value depends only on (seed, id, day), so the job is retry-safe.
     """
+    if isinstance(ids, SparkSession):
+        if n is None:
+            raise ValueError("n is required with a SparkSession")
+        ids = ids.range(int(n)).select(F.concat(F.lit("item_"), F.col("id").cast("string")).alias(id_col))
     days = F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)))
     out = (ids.select(F.col(id_col).cast("string").alias("unique_id"))
               .select("unique_id", F.explode(days).alias("_d")))
