@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.calendar import add_steps, check_freq
+from tidecast.functions.ranges import positive
 from tidecast.schema import DS, ID, Y
 
 BUILTINS = ("last", "seasonal", "mean", "drift", "trend", "ar1")
@@ -78,6 +79,7 @@ def forecast_points(df: DataFrame, model: str = "seasonal", freq: str = "D", h:
     reference's ``(unique_id, ds array, forecast array)``.
     """
     check_freq(freq)
+    h, season = positive("h", h), positive("season", season)
     stats = series_stats(df, season=season, window=window)
     steps = stats.select("*", F.explode(F.sequence(F.lit(1), F.lit(int(h)))).alias("step"))
     out = steps.select(ID, F.col("step").cast("int").alias("step"),
@@ -99,6 +101,7 @@ def forecast_samples(df: DataFrame, h: int = 10, num_samples: int = 10, seed: in
     Draws are an equi-join on (unique_id, index); the running sum is a window
     per (series, sample).  Output: unique_id, sample, step, ds, value.
     """
+    h, num_samples = positive("h", h), positive("num_samples", num_samples)
     obs = df.where(F.col(Y).isNotNull())
     w = Window.partitionBy(ID).orderBy(DS)
     res = obs.withColumn("_r", F.col(Y) - F.lag(Y).over(w)).where(F.col("_r").isNotNull())

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.functions.calendar import add_steps, month_end
+from tidecast.functions.ranges import positive
 from tidecast.operators.aggregate import latest_version
 from tidecast.operators.forecast import last_points
 from tidecast.schema import DS, ID, Y
@@ -81,6 +82,7 @@ def registry_score(df: DataFrame, registry: DataFrame, name: str, h: int, freq:
     and joined to per-series state on the name.
     Output: unique_id, step, ds, yhat, version.
     """
+    h = positive("h", h)
     lv = latest_version(registry, [name]).where("exists")
     chosen = registry.join(lv.select("name", F.col("version").cast("string").alias("version")),
                            ["name", "version"])

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.functions.positions import global_position
+from tidecast.functions.ranges import upto
 from tidecast.functions.rng import hash_order, uniform
 from tidecast.schema import ID
 from tidecast.session import ship_package
@@ -68,7 +69,7 @@ def mixture_sample(df: DataFrame, probs: Mapping[str, float] | None, n_draws: in
 
 def weight_repeat(df: DataFrame, weights: Mapping[str, int], dataset_col: str = "dataset") -> DataFrame:
     """Repeat each dataset's rows ``weight`` times (column ``copy`` = 1..w);
-    datasets not named keep weight 1."""
+    datasets not named keep weight 1, weight 0 leaves a dataset out."""
     w = F.lit(1)
     expr = None
     for name, k in weights.items():
@@ -76,7 +77,7 @@ def weight_repeat(df: DataFrame, weights: Mapping[str, int], dataset_col: str =
                 else expr.when(F.col(dataset_col) == name, F.lit(int(k))))
     if expr is not None:
         w = expr.otherwise(F.lit(1))
-    return df.select("*", F.explode(F.sequence(F.lit(1), w)).alias("copy"))
+    return df.select("*", F.explode(upto(F.lit(1), w)).alias("copy"))
 
 
 def global_shuffle(df: DataFrame, seed: int, key_cols=(ID,), name: str = "position") -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidecast.functions.calendar import add_steps
 from tidecast.functions.positions import series_position
+from tidecast.functions.ranges import upto
 from tidecast.functions.rng import uniform
 from tidecast.schema import DS, ID, Y
 
@@ -76,7 +77,7 @@ def _expand(points: DataFrame, cuts: DataFrame, context_length, h, key_cols) ->
     """cuts(unique_id, cut, ...) x rel in [-ctx, h) -> left join points on (id, pos)."""
     ctx = context_length if hasattr(context_length, "alias") else F.lit(int(context_length))
     hh = h if hasattr(h, "alias") else F.lit(int(h))
-    rel = cuts.select("*", F.explode(F.sequence(-ctx, hh - 1)).alias("rel"))
+    rel = cuts.select("*", F.explode(upto(-ctx, hh - 1)).alias("rel"))
     rel = rel.withColumn("pos", F.col("cut") + F.col("rel"))
     pts = points.select(ID, "pos", DS, Y)
     j = rel.join(pts, [ID, "pos"], "left")
@@ -137,7 +138,7 @@ def rolling_eval_windows(df: DataFrame, specs: DataFrame, dataset: str | None =
     sp = specs.select("dataset", "spec_id", "offset", "windows", "distance", "prediction_length",
                       "context_length")
     c = lens.join(F.broadcast(sp), "dataset")
-    c = c.select("*", F.explode(F.sequence(F.lit(0), F.col("windows") - 1)).alias("window_no"))
+    c = c.select("*", F.explode(upto(F.lit(0), F.col("windows") - 1)).alias("window_no"))
     start = F.when(F.col("offset") >= 0, F.col("offset")).otherwise(F.col("n") + F.col("offset"))
     c = c.withColumn("cut", (start + F.col("window_no") * F.col("distance")).cast("int"))
     c = c.where((F.col("cut") >= 0) & (F.col("cut") + F.col("prediction_length") <= F.col("n")))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.calendar import add_steps, check_freq
+from tidecast.functions.ranges import positive, upto
 from tidecast.schema import DS, ID, Y
 
 
@@ -13,9 +14,9 @@ def _grid_points(start, end, freq: str):
     """Column: array of grid timestamps from ``start`` to ``end`` (inclusive)."""
     s, e = F.to_date(start), F.to_date(end)
     if check_freq(freq) == "D":
-        return F.transform(F.sequence(s, e), lambda d: d.cast("timestamp_ntz"))
+        return F.transform(upto(s, e), lambda d: d.cast("timestamp_ntz"))
     n = F.months_between(F.trunc(e, "month"), F.trunc(s, "month")).cast("int")
-    return F.transform(F.sequence(F.lit(0), n),
+    return F.transform(upto(F.lit(0), n),
                        lambda k: F.last_day(F.add_months(s, k)).cast("timestamp_ntz"))
 
 
@@ -68,6 +69,7 @@ def horizon_timestamps(df: DataFrame, freq: str, h: int, as_: str = "array",
     Native expressions only: no UDF, nothing collected per partition.
     """
     check_freq(freq)
+    h = positive("h", h)
     if packed is None:
         packed = dict(df.dtypes).get(DS, "").startswith("array")
     last = (df.select(ID, F.array_max(DS).alias("_last")) if packed
@@ -108,11 +110,11 @@ def densify(df: DataFrame, freq: str = "D") -> DataFrame:
     d0 = F.to_date(DS)
     if freq == "D":
         gap = F.when(F.col("_next").isNull(), F.lit(0)).otherwise(
-            F.datediff(F.to_date("_next"), d0) - 1)
+            F.greatest(F.datediff(F.to_date("_next"), d0) - 1, F.lit(0)))
         pts = F.transform(F.sequence(F.lit(0), gap), lambda k: F.date_add(d0, k).cast("timestamp_ntz"))
     else:
-        gap = F.when(F.col("_next").isNull(), F.lit(0)).otherwise(
-            F.months_between(F.trunc(F.to_date("_next"), "month"), F.trunc(d0, "month")).cast("int") - 1)
+        gap = F.when(F.col("_next").isNull(), F.lit(0)).otherwise(F.greatest(
+            F.months_between(F.trunc(F.to_date("_next"), "month"), F.trunc(d0, "month")).cast("int") - 1, F.lit(0)))
         pts = F.transform(F.sequence(F.lit(0), gap),
                           lambda k: F.last_day(F.add_months(d0, k)).cast("timestamp_ntz"))
     e = x.select(ID, DS, Y, F.posexplode(pts).alias("_k", "_ds"))

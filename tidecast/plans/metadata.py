@@ -27,6 +27,8 @@ MODELS = ("last", "seasonal", "mean", "drift", "trend", "ar1")
 def backtest_metrics(df: DataFrame, dataset: str, h: int, windows: int, context: int,
                      freq: str = "D", models=MODELS, season: int = 7) -> DataFrame:
     spark = df.sparkSession
+    if int(h) < 1 or int(windows) < 1:
+        raise ValueError("h and windows must be >= 1")
     specs = sp.eval_grid(spark, dataset, -(windows * h), windows * h, [h], [context], [1])
     wins = sp.rolling_eval_windows(df, specs, dataset)
     past = wins.where(~F.col("is_future") & ~F.col("is_pad")).select(

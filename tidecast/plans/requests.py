@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidecast.functions.ranges import upto
 from tidecast.operators.aggregate import pack_series
 from tidecast.schema import ID
 
@@ -31,7 +32,7 @@ def requests_from_series(df: DataFrame, split_h: int = 20) -> DataFrame:
         F.coalesce(e["v"].cast("string"), F.lit("null")), F.lit("]")))
     body = F.concat(
         F.lit('{"dataframe_split": {"columns": ["timestamp", "value"], "index": '),
-        F.to_json(F.sequence(F.lit(0), F.size(ts) - 1)), F.lit(', "data": ['),
+        F.to_json(F.coalesce(upto(F.lit(0), F.size(ts) - 1), F.array().cast("array<int>"))), F.lit(', "data": ['),
         F.array_join(rows, ","), F.lit(f']}}, "params": {{"h": {int(split_h)}}}}}'))
 
     def req(kind, text):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidecast.functions.ranges import upto
 from tidecast.functions.rng import normal
 
 
@@ -20,7 +21,7 @@ def synth_series(ids, start: str = "2021-01-01", end: str = "2023-12-31",
         if n is None:
             raise ValueError("n is required with a SparkSession")
         ids = ids.range(int(n)).select(F.concat(F.lit("item_"), F.col("id").cast("string")).alias(id_col))
-    days = F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)))
+    days = upto(F.to_date(F.lit(start)), F.to_date(F.lit(end)))
     out = (ids.select(F.col(id_col).cast("string").alias("unique_id"))
               .select("unique_id", F.explode(days).alias("_d")))
     return out.select(

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.functions.calendar import add_steps
+from tidecast.functions.ranges import upto
 from tidecast.sources.tables import drop_if_exists
 
 INPUTS_H = 10
@@ -47,7 +48,7 @@ def array_forecast(ctx: Column, h, model: str = "seasonal", season: int = 7) ->
     """Built-in forecasts over an array context, as higher-order functions."""
     v = F.filter(ctx, lambda x: x.isNotNull() & ~F.isnan(x))
     n = F.size(v)
-    steps = F.sequence(F.lit(1), h if isinstance(h, Column) else F.lit(int(h)))
+    steps = upto(F.lit(1), h if isinstance(h, Column) else F.lit(int(h)))
     last = F.element_at(v, -1)
     if model == "last":
         out = F.transform(steps, lambda i: last)
@@ -95,15 +96,17 @@ def score_requests(df: DataFrame, model: str = "seasonal", season: int = 7,
     x = x.withColumn("predictions", F.transform(contexts, lambda c: array_forecast(c, F.col("h"), model, season)))
     last_ts = F.array_max(split_ts)
     x = x.withColumn("pred_ds", F.when(F.col("kind") == "dataframe_split", F.transform(
-        F.sequence(F.lit(1), F.col("h")), lambda i: add_steps(last_ts, i, "D"))))
+        upto(F.lit(1), F.col("h")), lambda i: add_steps(last_ts, i, "D"))))
     split_reply = F.arrays_zip(F.transform("pred_ds", lambda t: F.date_format(t, "yyyy-MM-dd HH:mm:ss")).alias("timestamp"),
                                F.element_at("predictions", 1).alias("forecast"))
     reply = (F.when(F.col("kind") == "inputs_batch", F.to_json(F.struct(F.col("predictions").alias("predictions"))))
               .when(F.col("kind") == "inputs", F.to_json(F.struct(F.element_at("predictions", 1).alias("predictions"))))
               .when(F.col("kind") == "dataframe_split", F.to_json(F.struct(split_reply.alias("predictions")))))
-    bad = F.col("kind").isNull() | F.exists("predictions", lambda p: p.isNull())
+    bad_h = F.col("h") < 1
+    bad = F.col("kind").isNull() | bad_h | F.exists("predictions", lambda p: p.isNull())
     x = x.withColumn("reply", F.when(~bad, reply)).withColumn(
         "error", F.when(F.col("kind").isNull(), F.lit("malformed request"))
+                  .when(bad_h, F.lit("horizon must be >= 1"))
                   .when(bad, F.lit("empty context")))
     return x.drop("_b", "_s", "_sp")
 
