@@ -149,19 +149,24 @@ def _next_fit(max_length: int):
 
 
 def pack_sequences(seqs: DataFrame, key: str, length: str, max_length: int = 512,
-                   shards: int | None = None) -> DataFrame:
+                   shards: int | None = None, per_shard: int = 200_000) -> DataFrame:
     """Place variable-length sequences into bins of ``max_length`` slots,
     never splitting one (a sequence longer than a bin gets a bin alone).
 
     Sequences are hashed to ``shards`` groups and each group is packed by
     next-fit in key order (a sequential fold, so it runs in ``applyInPandas``
     on (key, length) metadata only).  The shard count sets the
-    parallelism/fill trade-off; it defaults to the shuffle partition count.
+    parallelism/fill trade-off; by default it keeps a shard near
+    ``per_shard`` sequences (at least one shard per shuffle partition), so a
+    group handed to pandas stays bounded however many sequences there are.
     """
     spark = seqs.sparkSession
     ship_package(spark)
-    k = int(shards or int(spark.conf.get("spark.sql.shuffle.partitions")))
     x = seqs.select(F.col(key).cast("string").alias("key"), F.col(length).cast("long").alias("length"))
+    if shards is None:
+        n = x.count()
+        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // int(per_shard)))
+    k = int(shards)
     x = x.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(k)).cast("int"))
     out = x.groupBy("shard").applyInPandas(
         _next_fit(int(max_length)), "key string, shard int, bin long, offset long, length long")

@@ -799,3 +799,42 @@ def _drop_recreate(spark, sf):
 
 
 register("drop_if_exists", f"SELECT unique_id, ds, round(y, 6) AS y FROM ({ORDM})")(_drop_recreate)
+
+
+# ---------------------------------------------------------------- variants exercising other code paths
+def _hz_string(spark, sf):
+    hz = ti.horizon_timestamps(series_set(spark, sf, "order_monthly"), "M", 6, as_="string")
+    z = hz.select("unique_id", F.posexplode("ds").alias("p", "timestamp"))
+    return z.select("unique_id", (F.col("p") + 1).cast("int").alias("step"), "timestamp")
+
+
+register("horizon_timestamps_string", f"""SELECT unique_id, step, strftime(ds, '%Y-%m-%d %H:%M:%S') AS timestamp
+FROM ({_horizon_sql(ORDM, 'M', 6)})""")(_hz_string)
+
+register("min_length_filter_packed", f"""SELECT unique_id, ds, round(y, 6) AS y FROM ({SUPP})
+WHERE unique_id IN (SELECT unique_id FROM ({SUPP}) GROUP BY 1 HAVING count(*) >= 540)""")(
+    lambda spark, sf: r6(agg.unpack_series(sel.min_length_filter(
+        agg.pack_series(series_set(spark, sf, "supplier_daily")), 540))))
+
+
+def _facts_avg(spark, sf):
+    from tidecast.sources.facts import series_from_facts
+    return r6(series_from_facts(table(spark, sf, "orders"), "o_orderstatus", "o_orderdate", "o_totalprice",
+                                agg="avg", grain="M"))
+
+
+register("series_from_facts_avg", """SELECT o_orderstatus AS unique_id,
+  CAST(last_day(CAST(o_orderdate AS DATE)) AS TIMESTAMP) AS ds, round(avg(o_totalprice), 6) AS y
+FROM orders GROUP BY 1, 2""")(_facts_avg)
+
+register("fit_and_forecast_plugin", S.forecast_points_sql(S.last_points_sql(_FIT_SRC, 512), "drift", "D", 10))(
+    lambda spark, sf: r6(fc.fit_and_forecast(series_set(spark, sf, "supplier_daily"), 10, 300, pl.Drift())))
+
+
+def _ids_df(spark, sf):
+    ids = table(spark, sf, "supplier").where(F.col("s_acctbal") > 0).select("s_suppkey")
+    return r6(sel.sample_series_ids(series_set(spark, sf, "supplier_daily"), ids))
+
+
+register("sample_series_ids_table", f"""SELECT unique_id, ds, round(y, 6) AS y FROM ({SUPP})
+WHERE unique_id IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_acctbal > 0)""")(_ids_df)
