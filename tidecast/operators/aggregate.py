@@ -62,17 +62,25 @@ def latest_version(registry: DataFrame, names) -> DataFrame:
     """Highest integer version per model name; 1 when a name has none (quirk
     Q13, kept for parity) with ``exists`` telling the two apart.
 
-    ``names`` is a list (broadcast; bounded by its length) or a DataFrame.
+    ``names`` is a list or a one-column DataFrame.  The names are unioned
+    with the registry rows and aggregated once (partial aggregation first),
+    so no join is needed and a name with very many versions is combined
+    map-side.
     """
     spark = registry.sparkSession
     if isinstance(names, DataFrame):
-        nm = names.select(F.col(names.columns[0]).cast("string").alias("name")).distinct()
+        nm = names.select(F.col(names.columns[0]).cast("string").alias("name"))
     else:
-        nm = F.broadcast(spark.createDataFrame([(str(n),) for n in dict.fromkeys(names)], "name string"))
-    mx = registry.groupBy("name").agg(F.max(F.col("version").cast("int")).alias("_v"))
-    j = nm.join(mx, "name", "left")
-    return j.select("name", F.greatest(F.coalesce(F.col("_v"), F.lit(1)), F.lit(1)).alias("version"),
-                    F.col("_v").isNotNull().alias("exists"))
+        nm = spark.createDataFrame([(str(n),) for n in dict.fromkeys(names)], "name string")
+    asked = nm.select("name", F.lit(None).cast("int").alias("_v"))
+    if isinstance(names, DataFrame):
+        have = registry.join(nm.distinct(), "name", "left_semi")
+    else:
+        have = registry.where(F.col("name").isin([str(n) for n in dict.fromkeys(names)]))
+    rows = asked.unionByName(have.select("name", F.col("version").cast("int").alias("_v")))
+    mx = rows.groupBy("name").agg(F.max("_v").alias("_v"))
+    return mx.select("name", F.greatest(F.coalesce(F.col("_v"), F.lit(1)), F.lit(1)).alias("version"),
+                     F.col("_v").isNotNull().alias("exists"))
 
 
 def _run_numbers(listing: DataFrame, base: str, sep: str, ext: str, path_col: str):

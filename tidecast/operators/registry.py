@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 
 from tidecast.functions.calendar import add_steps, month_end
 from tidecast.functions.ranges import positive
-from tidecast.operators.aggregate import latest_version
 from tidecast.operators.forecast import last_points
 from tidecast.schema import DS, ID, Y
 
@@ -78,21 +77,21 @@ def registry_score(df: DataFrame, registry: DataFrame, name: str, h: int, freq:
                    context: int = 512) -> DataFrame:
     """Score every series with the newest version of ``name``.
 
-    The chosen registry row (one per name: a proven size bound) is broadcast
-    and joined to per-series state on the name.
+    The chosen registry row (one per name) enters as scalar subqueries for
+    its version and parameters, so scoring needs no join with the series.
     Output: unique_id, step, ds, yhat, version.
     """
     h = positive("h", h)
-    lv = latest_version(registry, [name]).where("exists")
-    chosen = registry.join(lv.select("name", F.col("version").cast("string").alias("version")),
-                           ["name", "version"])
-    prm = chosen.select("name", "version", F.from_json("params", PARAMS).alias("p")).select(
-        "name", "version", F.col("p.slope").alias("b"), F.col("p.intercept").alias("a"))
+    mine = registry.where(F.col("name") == name)
+    newest = mine.select(F.max(F.col("version").cast("int"))).scalar()
+    chosen = mine.where(F.col("version").cast("int") == newest).select(F.from_json("params", PARAMS).alias("p"))
+    b_val = chosen.select(F.max("p.slope")).scalar()
+    a_val = chosen.select(F.max("p.intercept")).scalar()
     cut = last_points(df, context).where(F.col(Y).isNotNull())
     st = cut.groupBy(ID).agg(F.avg(F.abs(F.col(Y))).alias("_s"), F.max(DS).alias("last_ds"),
                              F.max_by(Y, DS).alias("last_y"))
     st = st.withColumn("_s", F.when(F.col("_s") > 0, F.col("_s")).otherwise(F.lit(1.0)))
-    st = st.withColumn("name", F.lit(name)).join(F.broadcast(prm), "name")
+    st = st.withColumn("a", a_val).withColumn("b", b_val).withColumn("version", newest.cast("string"))
     steps = st.select("*", F.explode(F.sequence(F.lit(1), F.lit(int(h)))).alias("step"))
     a, b, k = F.col("a"), F.col("b"), F.col("step")
     bk = F.pow(b, k)

@@ -20,6 +20,9 @@ from tidecast.functions.rng import uniform
 from tidecast.schema import DS, ID, Y
 
 
+MAX_SPECS = 100_000
+
+
 def _with_len(df: DataFrame) -> DataFrame:
     """Attach 0-based ``pos`` and series length ``n`` (kept if already there)."""
     if "pos" in df.columns and "n" in df.columns:
@@ -127,17 +130,29 @@ def rolling_eval_windows(df: DataFrame, specs: DataFrame, dataset: str | None =
 
     ``specs`` (dataset, spec_id, offset, windows, distance,
     prediction_length, context_length) comes from parameter lists, so its
-    size is bounded by the number of combinations and it is broadcast; a spec
-    applies to the series of its dataset (equi-join on ``dataset``; a table
-    without that column belongs to ``dataset``).
+    size is bounded by the number of combinations (checked against
+    ``MAX_SPECS``); it is read once and attached to every series as a literal
+    array, so pairing series with specs needs no join at all.  A spec applies
+    to the series of its dataset (a table without a ``dataset`` column
+    belongs to ``dataset``).
     """
+    cols = ["dataset", "spec_id", "offset", "windows", "distance", "prediction_length", "context_length"]
+    rows = specs.select(*cols).limit(MAX_SPECS + 1).collect()
+    if len(rows) > MAX_SPECS:
+        raise ValueError(f"more than {MAX_SPECS} eval specs")
+    lit_specs = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in cols]) for r in rows]) if rows else None
     if "dataset" not in df.columns:
         df = df.withColumn("dataset", F.lit(dataset))
     pts = series_position(df, "pos")
     lens = df.groupBy(ID, "dataset").agg(F.count(F.lit(1)).alias("n"))
-    sp = specs.select("dataset", "spec_id", "offset", "windows", "distance", "prediction_length",
-                      "context_length")
-    c = lens.join(F.broadcast(sp), "dataset")
+    if lit_specs is None:
+        return pts.limit(0).select(ID, F.lit(None).cast("string").alias("spec_id"),
+                                   F.lit(None).cast("int").alias("window_no"),
+                                   F.lit(None).cast("string").alias("window_id"), F.lit(None).cast("int").alias("cut"),
+                                   F.lit(None).cast("int").alias("rel"), DS, Y, F.lit(True).alias("is_pad"),
+                                   F.lit(True).alias("is_future"))
+    c = lens.select(ID, "n", F.col("dataset").alias("_ds"), F.explode(lit_specs).alias("_s"))
+    c = c.select(ID, "n", "_ds", "_s.*").where(F.col("dataset") == F.col("_ds")).drop("_ds")
     c = c.select("*", F.explode(upto(F.lit(0), F.col("windows") - 1)).alias("window_no"))
     start = F.when(F.col("offset") >= 0, F.col("offset")).otherwise(F.col("n") + F.col("offset"))
     c = c.withColumn("cut", (start + F.col("window_no") * F.col("distance")).cast("int"))

@@ -52,10 +52,6 @@ EVU = series_set_sql("events_user_daily")
 EVT = series_set_sql("events_type_daily")
 
 
-def _set(name):
-    return lambda spark, sf: series_set(spark, sf, name)
-
-
 # ---------------------------------------------------------------- flagship
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """lineitem -> daily quantity per return flag -> last 1020 days re-dated
@@ -466,18 +462,6 @@ def _tok_wins_sql(causal: bool) -> str:
     return S.nonempty_sql(S.context_window_sql(src, cuts, TOK["context_length"], TOK["prediction_length"]))
 
 
-def _explode_tokens(t: DataFrame) -> DataFrame:
-    inp = t.select("window_id", F.lit("input").alias("part"),
-                   F.posexplode(F.arrays_zip("input_ids", "attention_mask")).alias("idx", "_z")).select(
-        "window_id", "part", F.col("idx").cast("int").alias("idx"), F.col("_z.input_ids").alias("token"),
-        F.col("_z.attention_mask").alias("mask"))
-    if "labels" not in t.columns:
-        return inp
-    lab = t.select("window_id", F.lit("label").alias("part"),
-                   F.posexplode("labels").alias("idx", "token"), "attention_mask")
-    return inp, lab
-
-
 def _token_query(model_type):
     def q(spark, sf):
         t = tk.token_table(_dsupp(spark, sf), model_type=model_type, **TOK)
