@@ -90,11 +90,12 @@ def _expand(points: DataFrame, cuts: DataFrame, context_length, h, key_cols) ->
 
 def context_window(df: DataFrame, cuts: DataFrame, context_length: int, h: int) -> DataFrame:
     """Per cut: ``context_length`` past points (left padded with NULL and
-    ``is_pad``), ``h`` future points, and ``forecast_start``."""
+    ``is_pad``), ``h`` future points, and ``forecast_start`` when the cuts
+    carry it (``random_cut_split`` does)."""
     pts = df if "pos" in df.columns else series_position(df, "pos")
-    c = cuts.select(ID, "cut").withColumn("window_id", F.concat_ws("#", ID, F.col("cut").cast("string")))
-    out = _expand(pts, c, context_length, h, [ID, "window_id"])
-    return out
+    extra = ["forecast_start"] if "forecast_start" in cuts.columns else []
+    c = cuts.select(ID, "cut", *extra).withColumn("window_id", F.concat_ws("#", ID, F.col("cut").cast("string")))
+    return _expand(pts, c, context_length, h, [ID, "window_id", *extra])
 
 
 def eval_grid(src, dataset: str | None = None, offset: int | None = None, eval_length: int | None = None,

@@ -40,7 +40,9 @@ def tokenize_windows(wins: DataFrame, model_type: str = "seq2seq", key: str = "w
     x = x.withColumn("_tok", F.when(obs, token_id(F.col(Y) / F.col("scale"))).otherwise(F.lit(PAD_ID)))
     items = F.array_sort(F.collect_list(F.struct(F.col("rel").alias("rel"), F.col("_tok").alias("tok"),
                                                  obs.alias("m"), F.col("is_pad").alias("pad"))))
-    g = x.groupBy(ID, key).agg(F.first("scale").alias("scale"), items.alias("_it"))
+    keep = [F.first("forecast_start").alias("forecast_start")] if "forecast_start" in wins.columns else []
+    g = x.groupBy(ID, key).agg(F.first("scale").alias("scale"), *keep, items.alias("_it"))
+    meta = [ID, key, "scale"] + (["forecast_start"] if keep else [])
     past = F.filter("_it", lambda e: e["rel"] < 0)
     fut = F.filter("_it", lambda e: e["rel"] >= 0)
     eos_i, eos_m = F.array(F.lit(EOS_ID)), F.array(F.lit(True))
@@ -48,16 +50,15 @@ def tokenize_windows(wins: DataFrame, model_type: str = "seq2seq", key: str = "w
         ids = F.concat(F.transform(past, lambda e: e["tok"]), eos_i)
         mask = F.concat(F.transform(past, lambda e: e["m"]), eos_m)
         labels = F.concat(F.transform(fut, lambda e: F.when(e["m"], e["tok"]).otherwise(F.lit(IGNORE))), eos_i)
-        return g.select(ID, key, "scale", ids.alias("input_ids"), mask.alias("attention_mask"),
-                        labels.alias("labels"))
+        return g.select(*meta, ids.alias("input_ids"), mask.alias("attention_mask"), labels.alias("labels"))
     real = F.filter(past, lambda e: ~e["pad"])
     pads = F.filter(past, lambda e: e["pad"])
     raw = F.concat(F.transform(real, lambda e: e["tok"]), F.transform(fut, lambda e: e["tok"]), eos_i,
                    F.transform(pads, lambda e: F.lit(PAD_ID)))
     mask = F.concat(F.transform(real, lambda e: e["m"]), F.transform(fut, lambda e: e["m"]), eos_m,
                     F.transform(pads, lambda e: F.lit(False)))
-    g = g.select(ID, key, "scale", raw.alias("_raw"), mask.alias("attention_mask"))
-    return g.select(ID, key, "scale",
+    g = g.select(*meta, raw.alias("_raw"), mask.alias("attention_mask"))
+    return g.select(*meta,
                     F.zip_with("_raw", "attention_mask", lambda t, mm: F.when(mm, t).otherwise(F.lit(PAD_ID))).alias("input_ids"),
                     "attention_mask",
                     F.zip_with("_raw", "attention_mask", lambda t, mm: F.when(mm, t).otherwise(F.lit(IGNORE))).alias("labels"))

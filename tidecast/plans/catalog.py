@@ -195,11 +195,9 @@ def _ctx_window(spark, sf):
     return sp.context_window(s, sp.random_cut_split(s, 60, 10, 2.0, 7), 64, 10)
 
 
-_CTX_SQL = S.expand_sql(
-    f"SELECT unique_id, cut, concat_ws('#', unique_id, CAST(cut AS VARCHAR)) AS window_id FROM ({_random_cuts_sql(SUPP, 60, 10, 2.0, 7)})",
-    S.positioned_sql(SUPP), "c.unique_id, c.window_id", "64", "10")
-register("context_window", f"SELECT unique_id, window_id, cut, rel, ds, round(y, 6) AS y, is_pad, is_future FROM ({_CTX_SQL})")(
-    lambda spark, sf: r6(_ctx_window(spark, sf)))
+_CTX_SQL = S.context_window_sql(SUPP, _random_cuts_sql(SUPP, 60, 10, 2.0, 7), 64, 10)
+register("context_window", f"""SELECT unique_id, window_id, forecast_start, cut, rel, ds, round(y, 6) AS y, is_pad, is_future
+FROM ({_CTX_SQL})""")(lambda spark, sf: r6(_ctx_window(spark, sf)))
 
 
 def _fixed_ctx_sql(src, L):
@@ -231,10 +229,9 @@ def _nonempty(spark, sf):
     return r6(sp.nonempty_context(w))
 
 
-_NE_W = S.expand_sql(
-    f"SELECT unique_id, cut, concat_ws('#', unique_id, CAST(cut AS VARCHAR)) AS window_id FROM ({_random_cuts_sql(S.densify_sql(SUPP), 4, 2, 3.0, 11)})",
-    S.positioned_sql(S.densify_sql(SUPP)), "c.unique_id, c.window_id", "4", "2")
-register("nonempty_context", f"""SELECT unique_id, window_id, cut, rel, ds, round(y, 6) AS y, is_pad, is_future FROM ({_NE_W}) w
+_NE_W = S.context_window_sql(S.densify_sql(SUPP), _random_cuts_sql(S.densify_sql(SUPP), 4, 2, 3.0, 11), 4, 2)
+register("nonempty_context", f"""SELECT unique_id, window_id, forecast_start, cut, rel, ds, round(y, 6) AS y, is_pad, is_future
+FROM ({_NE_W}) w
 WHERE window_id IN (SELECT window_id FROM ({_NE_W}) GROUP BY 1 HAVING count(CASE WHEN NOT is_future THEN y END) > 0)""")(_nonempty)
 
 # eval specs over the ship_daily set: offsets from the end, two horizons, two patch sizes

@@ -160,9 +160,9 @@ SELECT unique_id, CAST(pos AS INTEGER) AS cut, ds AS forecast_start FROM um, avg
 
 
 def context_window_sql(src_sql: str, cuts_sql: str, ctx: int, h: int) -> str:
-    cuts = (f"SELECT unique_id, cut, concat_ws('#', unique_id, CAST(cut AS VARCHAR)) AS window_id "
+    cuts = (f"SELECT unique_id, cut, forecast_start, concat_ws('#', unique_id, CAST(cut AS VARCHAR)) AS window_id "
             f"FROM ({cuts_sql})")
-    return expand_sql(cuts, positioned_sql(src_sql), "c.unique_id, c.window_id", str(ctx), str(h))
+    return expand_sql(cuts, positioned_sql(src_sql), "c.unique_id, c.window_id, c.forecast_start", str(ctx), str(h))
 
 
 def nonempty_sql(wins_sql: str) -> str:
