@@ -123,3 +123,21 @@ def test_synth_series_is_standard_normal(spark):
     ids = spark.range(50).select(F.col("id").cast("string").alias("unique_id"))
     s = synth_series(ids, "2021-01-01", "2021-12-31", 7).agg(F.avg("y").alias("m"), F.stddev("y").alias("s")).first()
     assert abs(s.m) < 0.05 and abs(s.s - 1) < 0.05
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_global_position_consistent_when_range_sampling_is_partial(spark, reuse):
+    # 300k rows in 6 input partitions: the range partitioner samples a subset,
+    # so counts and rows must come from one partitioning
+    from tidecast.functions.positions import global_position
+    df = spark.range(300000).repartition(6).select(F.md5(F.col("id").cast("string")).alias("k"))
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        g = global_position(df, ["k"], num_partitions=16)
+        r = g.agg(F.count("*").alias("n"), F.countDistinct("position").alias("d"),
+                  F.min("position").alias("lo"), F.max("position").alias("hi")).first()
+        first = g.orderBy("position").limit(3).collect()
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    assert (r.n, r.d, r.lo, r.hi) == (300000, 300000, 0, 299999)
+    assert [x.k for x in first] == sorted(x.k for x in df.orderBy("k").limit(3).collect())

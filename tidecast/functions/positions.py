@@ -32,6 +32,13 @@ def global_position(df: DataFrame, order: Sequence[Column | str], name: str = "p
 
     ``order`` must be a total order (unique per row) so recomputation after an
     executor loss numbers rows identically.
+
+    The counts and the numbered rows must see the *same* range partitioning.
+    Spark reuses the identical range exchange for both (the nondeterministic
+    row id keeps column pruning from making the two subtrees differ), so the
+    bounds are sampled once.  When exchange reuse is switched off, the
+    numbered rows are checkpointed instead, because two independently sampled
+    range exchanges may choose different bounds.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -40,6 +47,9 @@ def global_position(df: DataFrame, order: Sequence[Column | str], name: str = "p
                 .sortWithinPartitions(*cols)
                 .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = ranged.withColumn("_part", F.shiftright(F.col("_mid"), 33))
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        from tidecast.functions.materialize import materialize
+        ranged = materialize(ranged)
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select(
         "_part",
