@@ -328,3 +328,25 @@ def test_plan_forecast_long_table_single_exchange(spark, tmp_path_factory):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("Exchange hashpartitioning") == 1, plan
     assert "ReadSchema: struct<unique_id:string,ds:timestamp_ntz,y:double>" in plan
+
+
+def test_plan_series_predicate_reaches_scan(spark):
+    import __spark_entry__ as E
+    df = E.queries()["select_series"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(l_returnflag,R)" in plan
+
+
+def test_sample_ids_paths_agree(spark, series):
+    rows = [(str(k), f"2020-01-0{d}", float(k * d)) for k in range(30) for d in range(1, 4)]
+    df = series(rows)
+    want = sorted(map(tuple, df.where(F.col("unique_id").isin(["1", "5", "7"])).collect()))
+    assert sorted(map(tuple, sel.sample_series_ids(df, [1, 5, 7]).collect())) == want
+    ids = df.sparkSession.createDataFrame([(1,), (5,), (7,)], "k long")
+    assert sorted(map(tuple, sel.sample_series_ids(df, ids).collect())) == want
+    old = sel.MAX_INLIST_IDS
+    sel.MAX_INLIST_IDS = 1
+    try:
+        assert sorted(map(tuple, sel.sample_series_ids(df, [1, 5, 7]).collect())) == want
+    finally:
+        sel.MAX_INLIST_IDS = old

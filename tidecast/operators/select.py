@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from tidecast.schema import DS, ID, Y
 
-# Largest id list we turn into a broadcast side; beyond this the semi-join
-# is left to the planner (AQE picks broadcast or sort-merge at runtime).
+# Id lists up to MAX_INLIST_IDS become an IN filter (no join; Catalyst moves
+# it below aggregates on the id and into the scan where it can); up to
+# MAX_BROADCAST_IDS a broadcast semi-join; beyond, the semi-join is left to
+# the planner (AQE picks broadcast or sort-merge at runtime).
+MAX_INLIST_IDS = 10_000
 MAX_BROADCAST_IDS = 1_000_000
 
 
@@ -26,6 +29,8 @@ def sample_series_ids(df: DataFrame, ids) -> DataFrame:
         keys = ids.select(F.col(ids.columns[0]).cast("string").alias(ID)).distinct()
         return df.join(keys, ID, "left_semi")
     ids = sorted({str(i) for i in ids})
+    if len(ids) <= MAX_INLIST_IDS:
+        return df.where(F.col(ID).isin(ids))
     keys = spark.createDataFrame([(i,) for i in ids], f"{ID} string")
     if len(ids) <= MAX_BROADCAST_IDS:
         keys = F.broadcast(keys)
