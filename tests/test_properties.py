@@ -141,3 +141,26 @@ def test_global_position_consistent_when_range_sampling_is_partial(spark, reuse)
         spark.conf.set("spark.sql.exchange.reuse", "true")
     assert (r.n, r.d, r.lo, r.hi) == (300000, 300000, 0, 299999)
     assert [x.k for x in first] == sorted(x.k for x in df.orderBy("k").limit(3).collect())
+
+
+def test_payload_capture_is_exactly_once_across_restarts(spark):
+    import uuid
+    from tidecast.sources.tables import drop_if_exists
+    from tidecast.streaming.scoring import REQUEST_FILE_SCHEMA, payload_capture, score_requests
+    in_dir, ck = scratch_path(spark, "req"), scratch_path(spark, "req-ck")
+    table = f"payload_{uuid.uuid4().hex[:8]}"
+    drop_if_exists(spark, table)
+    mk = lambda ids: spark.createDataFrame(
+        [(f"r{i}", '{"inputs": [1, 2, 3, 4]}') for i in ids], "request_id string, request string")
+    mk(range(5)).write.mode("append").json(in_dir)
+
+    def run():
+        src = spark.readStream.schema(REQUEST_FILE_SCHEMA).json(in_dir)
+        payload_capture(score_requests(src), table, ck).awaitTermination()
+        return sorted(r.request_id for r in spark.table(table).collect())
+
+    assert run() == [f"r{i}" for i in range(5)]
+    assert run() == [f"r{i}" for i in range(5)]          # restart: nothing re-delivered
+    mk(range(5, 8)).write.mode("append").json(in_dir)
+    assert run() == sorted(f"r{i}" for i in range(8))   # only the new file is added
+    drop_if_exists(spark, table)
