@@ -25,9 +25,8 @@ def test_query_matches_duckdb(spark, con, name):
     assert r["ok"], r
 
 
-def test_every_query_has_oracle_or_is_rows_only():
-    rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only == {"pack_sequences"}
+def test_every_query_has_an_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
 
 
 def test_entry_runs(spark):

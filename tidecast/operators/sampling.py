@@ -167,7 +167,9 @@ def pack_sequences(seqs: DataFrame, key: str, length: str, max_length: int = 512
         n = x.count()
         shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // int(per_shard)))
     k = int(shards)
-    x = x.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(k)).cast("int"))
+    # shard = first 32 bits of md5(key) mod k: stable across engines and versions
+    h = F.conv(F.substring(F.md5(F.col("key")), 1, 8), 16, 10).cast("long")
+    x = x.withColumn("shard", F.pmod(h, F.lit(k)).cast("int"))
     out = x.groupBy("shard").applyInPandas(
         _next_fit(int(max_length)), "key string, shard int, bin long, offset long, length long")
     return out.withColumn("bin_id", F.concat_ws(":", F.col("shard").cast("string"), F.col("bin").cast("string")))

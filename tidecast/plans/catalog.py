@@ -389,10 +389,25 @@ def _pack_seqs(spark, sf):
     s = series_set(spark, sf, "supplier_daily")
     seqs = s.groupBy("unique_id", F.date_format("ds", "yyyy-MM").alias("month")).agg(F.count(F.lit(1)).alias("length"))
     seqs = seqs.withColumn("seq", F.concat_ws("/", "unique_id", "month"))
-    return sa.pack_sequences(seqs, "seq", "length", max_length=64)
-
-
-register("pack_sequences")(_pack_seqs)
+    return sa.pack_sequences(seqs, "seq", "length", max_length=64, shards=16)
+
+
+# next-fit is a sequential fold: the twin walks each shard's sequences in key
+# order with a recursive CTE (one step per sequence, all shards at once)
+register("pack_sequences", f"""WITH RECURSIVE seqs AS (
+  SELECT unique_id || '/' || strftime(ds, '%Y-%m') AS key, count(*) AS length FROM ({SUPP}) GROUP BY 1),
+sh AS (SELECT key, length, CAST((('0x' || substr(md5(key), 1, 8))::BIGINT) % 16 AS INTEGER) AS shard FROM seqs),
+o AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY key) AS rn FROM sh),
+walk AS (
+  SELECT shard, rn, key, length, CAST(0 AS BIGINT) AS bin, CAST(0 AS BIGINT) AS "offset", length AS fill
+  FROM o WHERE rn = 1
+  UNION ALL
+  SELECT c.shard, c.rn, c.key, c.length,
+         CASE WHEN w.fill + c.length > 64 THEN w.bin + 1 ELSE w.bin END,
+         CASE WHEN w.fill + c.length > 64 THEN 0 ELSE w.fill END,
+         CASE WHEN w.fill + c.length > 64 THEN c.length ELSE w.fill + c.length END
+  FROM walk w JOIN o c ON c.shard = w.shard AND c.rn = w.rn + 1)
+SELECT key, shard, bin, "offset", length, CAST(shard AS VARCHAR) || ':' || CAST(bin AS VARCHAR) AS bin_id FROM walk""")(_pack_seqs)
 
 # ---------------------------------------------------------------- 2.8 joins
 register("concat_datasets", f"""SELECT unique_id, ds, round(y, 6) AS y, 'ship_daily' AS dataset FROM ({SHIP})
