@@ -99,3 +99,22 @@ def test_request_with_bad_horizon(spark):
                                "request_id string, request string")
     r = score_requests(df).first()
     assert r.reply is None and r.error == "horizon must be >= 1"
+
+
+def test_ansi_mode_edges_do_not_fail_jobs(spark, series):
+    # Spark 4 runs with ANSI on: a bad cell or an all-missing series must not fail the job
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    df = series([("a", "2020-01-01", None), ("b", "2020-01-01", 1.0)])
+    got = {(r.unique_id, r.step): r.yhat for r in fc.forecast_points(df, "seasonal", "D", 2).collect()}
+    assert got == {("a", 1): None, ("a", 2): None, ("b", 1): 1.0, ("b", 2): 1.0}
+    from tidecast.streaming.scoring import score_requests
+    reqs = [("v", '{"dataframe_split": {"columns": ["timestamp", "value"], "index": [0], '
+                  '"data": [["2020-01-01 00:00:00", "abc"]]}}'),
+            ("c", '{"dataframe_split": {"columns": ["ts", "v"], "index": [0], "data": [["2020-01-01", 1.0]]}}'),
+            ("n", '{"inputs": [null, null]}')]
+    r = {x.request_id: x for x in score_requests(
+        spark.createDataFrame(reqs, "request_id string, request string")).collect()}
+    assert r["v"].error == r["c"].error == "malformed dataframe_split"
+    assert r["n"].kind == "inputs" and r["n"].error == "empty context"
+    reg = spark.createDataFrame([("m", "3"), ("m", "x")], "name string, version string")
+    assert agg.latest_version(reg, ["m"]).first().version == 3

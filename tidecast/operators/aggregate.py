@@ -77,7 +77,8 @@ def latest_version(registry: DataFrame, names) -> DataFrame:
         have = registry.join(nm.distinct(), "name", "left_semi")
     else:
         have = registry.where(F.col("name").isin([str(n) for n in dict.fromkeys(names)]))
-    rows = asked.unionByName(have.select("name", F.col("version").cast("int").alias("_v")))
+    # versions are integer text; a row that is not is ignored rather than failing the job
+    rows = asked.unionByName(have.select("name", F.col("version").try_cast("int").alias("_v")))
     mx = rows.groupBy("name").agg(F.max("_v").alias("_v"))
     return mx.select("name", F.greatest(F.coalesce(F.col("_v"), F.lit(1)), F.lit(1)).alias("version"),
                      F.col("_v").isNotNull().alias("exists"))

@@ -54,9 +54,9 @@ def point_forecast(model: str, step, season: int = 7):
     if model == "mean":
         return F.col("mean_y")
     if model == "seasonal":
-        k = F.least(F.lit(season), n)
+        k = F.greatest(F.least(F.lit(season), n), F.lit(1))
         idx = k - F.pmod(step - 1, k)
-        return F.element_at(F.col("_season"), idx.cast("int"))["v"]
+        return F.when(n > 0, F.element_at(F.col("_season"), idx.cast("int"))["v"])
     if model == "drift":
         slope = F.when(n > 1, (last - F.col("first_y")) / (n - 1)).otherwise(F.lit(0.0))
         return last + slope * step

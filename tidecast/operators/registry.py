@@ -40,7 +40,7 @@ def pooled_fit(df: DataFrame, context: int = 512, name: str = "pooled_ar1",
     if registry is None:
         version = F.lit(1)
     else:
-        prev = registry.where(F.col("name") == name).select(F.max(F.col("version").cast("int")))
+        prev = registry.where(F.col("name") == name).select(F.max(F.col("version").try_cast("int")))
         version = F.coalesce(prev.scalar(), F.lit(0)) + 1
     return fit.select(F.lit(name).alias("name"), version.cast("string").alias("version"),
                       F.to_json(F.struct("slope", "intercept", "n", F.lit(int(context)).alias("context"))).alias("params"),
@@ -83,8 +83,8 @@ def registry_score(df: DataFrame, registry: DataFrame, name: str, h: int, freq:
     """
     h = positive("h", h)
     mine = registry.where(F.col("name") == name)
-    newest = mine.select(F.max(F.col("version").cast("int"))).scalar()
-    chosen = mine.where(F.col("version").cast("int") == newest).select(F.from_json("params", PARAMS).alias("p"))
+    newest = mine.select(F.max(F.col("version").try_cast("int"))).scalar()
+    chosen = mine.where(F.col("version").try_cast("int") == newest).select(F.from_json("params", PARAMS).alias("p"))
     b_val = chosen.select(F.max("p.slope")).scalar()
     a_val = chosen.select(F.max("p.intercept")).scalar()
     cut = last_points(df, context).where(F.col(Y).isNotNull())

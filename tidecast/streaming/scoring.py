@@ -77,7 +77,8 @@ def score_requests(df: DataFrame, model: str = "seasonal", season: int = 7,
     sp = F.from_json(r, _SPLIT)
     x = df.withColumn("_b", b).withColumn("_s", s).withColumn("_sp", sp)
     kind = (F.when(F.col("_sp.dataframe_split.data").isNotNull(), F.lit("dataframe_split"))
-             .when(F.col("_b").isNotNull() & (F.size("_b") > 0), F.lit("inputs_batch"))
+             .when(F.col("_b").isNotNull() & (F.size("_b") > 0) & F.forall("_b", lambda a: a.isNotNull()),
+                   F.lit("inputs_batch"))
              .when(F.col("_s").isNotNull() & (F.size("_s") > 0), F.lit("inputs")))
     x = x.withColumn("kind", kind)
     h = (F.when(F.col("kind") == "dataframe_split",
@@ -88,8 +89,15 @@ def score_requests(df: DataFrame, model: str = "seasonal", season: int = 7,
     ts_i = F.array_position(cols, "timestamp").cast("int")
     val_i = F.array_position(cols, "value").cast("int")
     data = F.col("_sp.dataframe_split.data")
-    split_vals = F.transform(data, lambda row: F.element_at(row, val_i).cast("double"))
-    split_ts = F.transform(data, lambda row: F.to_timestamp_ntz(F.element_at(row, ts_i)))
+    has_cols = (ts_i > 0) & (val_i > 0)
+    # try_cast: one malformed cell marks the request bad instead of failing the job
+    raw_vals = F.transform(data, lambda row: F.when(has_cols, F.element_at(row, val_i)))
+    raw_ts = F.transform(data, lambda row: F.when(has_cols, F.element_at(row, ts_i)))
+    split_vals = F.transform(raw_vals, lambda v: v.try_cast("double"))
+    split_ts = F.transform(raw_ts, lambda t: t.try_cast("timestamp_ntz"))
+    split_bad = (~has_cols | F.exists(F.arrays_zip(raw_vals.alias("r"), split_vals.alias("c")),
+                                      lambda e: e["r"].isNotNull() & e["c"].isNull())
+                 | F.exists(split_ts, lambda t: t.isNull()))
     contexts = (F.when(F.col("kind") == "inputs_batch", F.col("_b"))
                  .when(F.col("kind") == "inputs", F.array(F.col("_s")))
                  .when(F.col("kind") == "dataframe_split", F.array(split_vals)))
@@ -103,10 +111,12 @@ def score_requests(df: DataFrame, model: str = "seasonal", season: int = 7,
               .when(F.col("kind") == "inputs", F.to_json(F.struct(F.element_at("predictions", 1).alias("predictions"))))
               .when(F.col("kind") == "dataframe_split", F.to_json(F.struct(split_reply.alias("predictions")))))
     bad_h = F.col("h") < 1
-    bad = F.col("kind").isNull() | bad_h | F.exists("predictions", lambda p: p.isNull())
+    bad_split = (F.col("kind") == "dataframe_split") & split_bad
+    bad = F.col("kind").isNull() | bad_h | bad_split | F.exists("predictions", lambda p: p.isNull())
     x = x.withColumn("reply", F.when(~bad, reply)).withColumn(
         "error", F.when(F.col("kind").isNull(), F.lit("malformed request"))
                   .when(bad_h, F.lit("horizon must be >= 1"))
+                  .when(bad_split, F.lit("malformed dataframe_split"))
                   .when(bad, F.lit("empty context")))
     return x.drop("_b", "_s", "_sp")
 
