@@ -113,7 +113,10 @@ def score_requests(df: DataFrame, model: str = "seasonal", season: int = 7,
     bad_h = F.col("h") < 1
     bad_split = (F.col("kind") == "dataframe_split") & split_bad
     bad = F.col("kind").isNull() | bad_h | bad_split | F.exists("predictions", lambda p: p.isNull())
-    x = x.withColumn("reply", F.when(~bad, reply)).withColumn(
+    # NULL predictions for bad rows, so consumers explode them without a
+    # filter on ``error`` (a filter above this projection would be rewritten
+    # in terms of the parse and evaluated again)
+    x = x.withColumn("reply", F.when(~bad, reply)).withColumn("predictions", F.when(~bad, F.col("predictions"))).withColumn(
         "error", F.when(F.col("kind").isNull(), F.lit("malformed request"))
                   .when(bad_h, F.lit("horizon must be >= 1"))
                   .when(bad_split, F.lit("malformed dataframe_split"))
@@ -122,12 +125,16 @@ def score_requests(df: DataFrame, model: str = "seasonal", season: int = 7,
 
 
 def reply_rows(scored: DataFrame, id_col: str = "request_id") -> DataFrame:
-    """Scored requests -> one row per (request, context row, step)."""
-    z = scored.where(F.col("error").isNull()).select(
-        id_col, "kind", F.posexplode("predictions").alias("row", "_p"))
-    return z.select(id_col, "kind", F.col("row").cast("int").alias("row"),
-                    F.posexplode("_p").alias("step", "yhat")).withColumn(
-        "step", (F.col("step") + 1).cast("int"))
+    """Scored requests -> one row per (request, context row, step); rows with
+    an error have NULL predictions and yield nothing."""
+    # outer generators + a filter on their output: a plain posexplode makes
+    # Catalyst infer size(predictions) > 0 and push it below the projections,
+    # re-evaluating the whole parse inside the filter
+    z = scored.select(id_col, "kind", F.posexplode_outer("predictions").alias("row", "_p")).where(
+        F.col("_p").isNotNull())
+    z = z.select(id_col, "kind", F.col("row").cast("int").alias("row"),
+                 F.posexplode_outer("_p").alias("step", "yhat")).where(F.col("step").isNotNull())
+    return z.withColumn("step", (F.col("step") + 1).cast("int"))
 
 
 def payload_capture(scored: DataFrame, table: str, checkpoint: str,
