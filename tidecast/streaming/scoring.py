@@ -116,11 +116,12 @@ def score_requests(df: DataFrame, model: str = "seasonal", season: int = 7,
     # NULL predictions for bad rows, so consumers explode them without a
     # filter on ``error`` (a filter above this projection would be rewritten
     # in terms of the parse and evaluated again)
-    x = x.withColumn("reply", F.when(~bad, reply)).withColumn("predictions", F.when(~bad, F.col("predictions"))).withColumn(
-        "error", F.when(F.col("kind").isNull(), F.lit("malformed request"))
-                  .when(bad_h, F.lit("horizon must be >= 1"))
-                  .when(bad_split, F.lit("malformed dataframe_split"))
-                  .when(bad, F.lit("empty context")))
+    error = (F.when(F.col("kind").isNull(), F.lit("malformed request"))
+              .when(bad_h, F.lit("horizon must be >= 1"))
+              .when(bad_split, F.lit("malformed dataframe_split"))
+              .when(bad, F.lit("empty context")))
+    x = x.select("*", F.when(~bad, reply).alias("reply"), error.alias("error"))
+    x = x.withColumn("predictions", F.when(F.col("error").isNull(), F.col("predictions")))
     return x.drop("_b", "_s", "_sp")
 
 
