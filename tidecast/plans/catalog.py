@@ -834,3 +834,28 @@ def _ids_df(spark, sf):
 
 register("sample_series_ids_table", f"""SELECT unique_id, ds, round(y, 6) AS y FROM ({SUPP})
 WHERE unique_id IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_acctbal > 0)""")(_ids_df)
+
+
+def _errors_overall(spark, sf):
+    past, fut = _holdout(spark, sf)
+    return r6(cb.forecast_errors(fc.forecast_points(past, "seasonal", "D", 10), fut, by=()))
+
+
+register("forecast_errors_overall", f"""SELECT count(*) AS n, round(avg((a.y - f.yhat) * (a.y - f.yhat)), 6) AS mse,
+  round(avg(abs(a.y - f.yhat)), 6) AS mae,
+  round(CASE WHEN avg(abs(a.y)) > 0 THEN sqrt(avg((a.y - f.yhat) * (a.y - f.yhat))) / avg(abs(a.y)) END, 6) AS nrmse
+FROM ({S.forecast_points_sql(_HOLD_PAST, 'seasonal', 'D', 10).replace(S.r6(S.yhat_sql('seasonal')), S.yhat_sql('seasonal'))}) f
+JOIN ({_HOLD_FUT}) a ON a.unique_id = f.unique_id AND a.ds = f.ds
+WHERE a.y IS NOT NULL AND f.yhat IS NOT NULL""")(_errors_overall)
+
+
+def _pooled_next(spark, sf):
+    s = series_set(spark, sf, "supplier_daily")
+    reg = rg.registry_history(s, "pooled_ar1_supplier")
+    return r6(rg.pooled_fit(s, 512, "pooled_ar1_supplier", registry=reg).drop("params"))
+
+
+register("pooled_fit_next_version", f"""SELECT 'pooled_ar1_supplier' AS name,
+  CAST((SELECT max(CAST(version AS INTEGER)) FROM ({_REG_SQL})) + 1 AS VARCHAR) AS version,
+  round(regr_slope(y_, x_), 6) AS slope, round(regr_intercept(y_, x_), 6) AS intercept, regr_count(y_, x_) AS n
+FROM ({S.scaled_pairs_sql(S.last_points_sql(SUPP, 512))})""")(_pooled_next)
