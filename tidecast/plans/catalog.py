@@ -8,6 +8,7 @@ order (partial aggregates vs. a single pass) cannot flip the last bits.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.functions.calendar import sql_add_steps
+from tidecast.functions.tokens import sql_token_centre, sql_token_id
 from tidecast.operators import aggregate as agg
 from tidecast.operators import forecast as fc
 from tidecast.operators import select as sel
@@ -433,7 +435,7 @@ def _errors(spark, sf):
 register("forecast_errors", f"""SELECT f.unique_id, count(*) AS n, round(avg((a.y - f.yhat) * (a.y - f.yhat)), 6) AS mse,
   round(avg(abs(a.y - f.yhat)), 6) AS mae,
   round(CASE WHEN avg(abs(a.y)) > 0 THEN sqrt(avg((a.y - f.yhat) * (a.y - f.yhat))) / avg(abs(a.y)) END, 6) AS nrmse
-FROM ({S.forecast_points_sql(_HOLD_PAST, 'drift', 'D', 10).replace(S.r6(S.yhat_sql('drift')), S.yhat_sql('drift'))}) f
+FROM ({S.forecast_points_sql(_HOLD_PAST, 'drift', 'D', 10, round_yhat=False)}) f
 JOIN ({_HOLD_FUT}) a ON a.unique_id = f.unique_id AND a.ds = f.ds
 WHERE a.y IS NOT NULL AND f.yhat IS NOT NULL GROUP BY 1""")(_errors)
 
@@ -516,8 +518,7 @@ def _decode(spark, sf):
 register("token_decode", f"""WITH sc AS (SELECT unique_id, CASE WHEN avg(abs(y)) > 0 THEN avg(abs(y)) ELSE 1.0 END AS scale
   FROM ({SHIP}) GROUP BY 1),
 s AS (SELECT x.*, sc.scale FROM ({S.forecast_samples_sql(SHIP, 10, 20, 9)}) x JOIN sc USING (unique_id)),
-d AS (SELECT unique_id, step, ds, ({__import__('tidecast.functions.tokens', fromlist=['x']).sql_token_centre(
-    __import__('tidecast.functions.tokens', fromlist=['x']).sql_token_id('value / scale'))}) * scale AS value FROM s)
+d AS (SELECT unique_id, step, ds, ({sql_token_centre(sql_token_id('value / scale'))}) * scale AS value FROM s)
 SELECT unique_id, step, ds, round(quantile_cont(value, 0.5), 6) AS median FROM d GROUP BY 1, 2, 3""")(_decode)
 
 # ---------------------------------------------------------------- 2.10 forecasting
@@ -771,7 +772,7 @@ def _namespace_volume(spark, sf):
     """Create the namespace and a volume, write training records into the
     volume, read them back (the reference's preparation -> fine-tune hand-off)."""
     vol = tb.ensure_namespace(spark, "tidecast_demo", volume="fine_tune")
-    path = f"{vol}/records-{__import__('uuid').uuid4().hex[:8]}"
+    path = f"{vol}/records-{uuid.uuid4().hex[:8]}"
     fl.train_record_sink(agg.pack_series(series_set(spark, sf, "order_monthly")), path)
     rec = fl.train_record_scan(spark, path, "M")
     z = rec.select("unique_id", "start", "freq", F.posexplode("target").alias("pos", "target"))
@@ -844,7 +845,7 @@ def _errors_overall(spark, sf):
 register("forecast_errors_overall", f"""SELECT count(*) AS n, round(avg((a.y - f.yhat) * (a.y - f.yhat)), 6) AS mse,
   round(avg(abs(a.y - f.yhat)), 6) AS mae,
   round(CASE WHEN avg(abs(a.y)) > 0 THEN sqrt(avg((a.y - f.yhat) * (a.y - f.yhat))) / avg(abs(a.y)) END, 6) AS nrmse
-FROM ({S.forecast_points_sql(_HOLD_PAST, 'seasonal', 'D', 10).replace(S.r6(S.yhat_sql('seasonal')), S.yhat_sql('seasonal'))}) f
+FROM ({S.forecast_points_sql(_HOLD_PAST, 'seasonal', 'D', 10, round_yhat=False)}) f
 JOIN ({_HOLD_FUT}) a ON a.unique_id = f.unique_id AND a.ds = f.ds
 WHERE a.y IS NOT NULL AND f.yhat IS NOT NULL""")(_errors_overall)
 

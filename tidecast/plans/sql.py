@@ -60,10 +60,11 @@ def yhat_sql(model: str, step: str = "step", season: int = 7, p: str = "") -> st
 
 
 def forecast_points_sql(src_sql: str, model: str, freq: str, h: int, season: int = 7,
-                        window: int | None = None) -> str:
+                        window: int | None = None, round_yhat: bool = True) -> str:
+    yhat = yhat_sql(model, 'step', season)
     return f"""WITH src AS ({src_sql}),{stats_ctes('src', season, window)}
 SELECT st.unique_id, CAST(step AS INTEGER) AS step, {sql_add_steps('last_ds', 'step', freq)} AS ds,
-       {r6(yhat_sql(model, 'step', season))} AS yhat
+       {r6(yhat) if round_yhat else yhat} AS yhat
 FROM st, range(1, {int(h) + 1}) t(step)"""
 
 
