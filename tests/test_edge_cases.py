@@ -159,8 +159,11 @@ def test_early_stopping_curve(spark):
                               "run string, epoch int, metric string, value double")
     r = agg.early_stop_epoch(m, patience=3, monitor="loss").first()
     assert (r.stop_epoch, r.best_epoch, r.best_value) == (6, 3, 3.0)
+    # min_delta > 0: best only moves on a gain larger than 0.6 -> 5.0, 4.0, 3.0; stop after 3 misses
+    r2 = agg.early_stop_epoch(m, patience=2, min_delta=0.6, monitor="loss").first()
+    assert (r2.stop_epoch, r2.best_epoch, r2.best_value) == (5, 3, 3.0)
     with pytest.raises(ValueError):
-        agg.early_stop_epoch(m, min_delta=0.1, monitor="loss")
+        agg.early_stop_epoch(m, min_delta=-1.0, monitor="loss")
     b = agg.best_checkpoint(m, "loss", "min", 2).orderBy("rank").collect()
     assert [x.epoch for x in b] == [7, 3]
 

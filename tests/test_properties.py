@@ -164,3 +164,16 @@ def test_payload_capture_is_exactly_once_across_restarts(spark):
     mk(range(5, 8)).write.mode("append").json(in_dir)
     assert run() == sorted(f"r{i}" for i in range(8))   # only the new file is added
     drop_if_exists(spark, table)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.lists(st.floats(min_value=1.0, max_value=100.0), min_size=1, max_size=12), min_size=1, max_size=4),
+       st.integers(min_value=1, max_value=4))
+def test_early_stop_fold_equals_windows(spark, curves, patience):
+    from tidecast.operators.aggregate import early_stop_epoch
+    rows = [(f"r{i}", e, "loss", float(v)) for i, c in enumerate(curves) for e, v in enumerate(c)]
+    m = spark.createDataFrame(rows, "run string, epoch int, metric string, value double")
+    native = sorted(tuple(r) for r in early_stop_epoch(m, patience, 0.0).collect())
+    # a delta below one ulp of values >= 1 changes nothing, but takes the sequential-fold path
+    fold = sorted(tuple(r) for r in early_stop_epoch(m, patience, 1e-300).collect())
+    assert native == fold

@@ -130,15 +130,20 @@ def early_stop_epoch(metrics: DataFrame, patience: int = 3, min_delta: float = 0
     ``monitor`` picks one metric of a long metrics table (run, epoch, metric,
     value); without it the table must hold a single metric.
 
-    Exact for ``min_delta == 0`` (improvement = strictly below the running
-    minimum); other values need a sequential fold and are rejected.
+    Improvement means ``value < best - min_delta`` (mode min), where best is
+    the last value that counted as an improvement.  For ``min_delta == 0``
+    best is the running minimum, so the answer is a set of native windows;
+    otherwise it is a sequential fold, run per run in ``applyInPandas`` (a
+    group is one run's epochs).
     """
     from pyspark.sql import Window
-    if min_delta != 0.0:
-        raise ValueError("only min_delta = 0 is supported")
+    if min_delta < 0:
+        raise ValueError("min_delta must be >= 0")
     m = metrics.where(F.col("value").isNotNull())
     if monitor is not None:
         m = m.where(F.col("metric") == monitor)
+    if min_delta != 0.0:
+        return _early_stop_fold(m, patience, float(min_delta))
     w = Window.partitionBy("run").orderBy("epoch")
     prev = Window.partitionBy("run").orderBy("epoch").rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy("run").orderBy("epoch").rowsBetween(Window.unboundedPreceding, 0)
@@ -156,3 +161,28 @@ def early_stop_epoch(metrics: DataFrame, patience: int = 3, min_delta: float = 0
         F.min_by("epoch", F.struct("value", "epoch")).alias("best_epoch"),
         F.min("value").alias("best_value"),
         F.first("epochs_seen").alias("epochs_seen"))
+
+
+def _early_stop_fold(m: DataFrame, patience: int, min_delta: float) -> DataFrame:
+    import pandas as pd
+
+    from tidecast.session import ship_package
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("epoch", kind="mergesort")
+        best, best_epoch, wait, stop = float("inf"), None, 0, None
+        seen = len(pdf)
+        for epoch, value in zip(pdf["epoch"].to_numpy(), pdf["value"].to_numpy(dtype=float)):
+            if value < best - min_delta:
+                best, best_epoch, wait = value, int(epoch), 0
+            else:
+                wait += 1
+                if wait >= patience:
+                    stop = int(epoch)
+                    break
+        return pd.DataFrame({"run": [pdf["run"].iloc[0]], "stop_epoch": [stop], "best_epoch": [best_epoch],
+                             "best_value": [best], "epochs_seen": [seen]})
+
+    ship_package(m.sparkSession)
+    return m.select("run", "epoch", "value").groupBy("run").applyInPandas(
+        fold, "run string, stop_epoch int, best_epoch int, best_value double, epochs_seen long")
