@@ -177,3 +177,26 @@ def test_early_stop_fold_equals_windows(spark, curves, patience):
     # a delta below one ulp of values >= 1 changes nothing, but takes the sequential-fold path
     fold = sorted(tuple(r) for r in early_stop_epoch(m, patience, 1e-300).collect())
     assert native == fold
+
+
+def test_stream_daily_series_drops_rows_behind_the_watermark(spark):
+    # Spark drops a row as late when it is older than the watermark the previous
+    # micro-batch evicted with; three files -> three batches make that visible
+    import time as _t
+    from tidecast.streaming.series import stream_daily_series
+    schema = "event_type string, ts timestamp_ntz, value double"
+    in_dir, out, ck = scratch_path(spark, "late-in"), scratch_path(spark, "late-out"), scratch_path(spark, "late-ck")
+    files = [[("a", dt.datetime(2024, 1, d, 12), 1.0) for d in range(1, 11)],
+             [("a", dt.datetime(2024, 1, 11, 12), 1.0)],
+             [("a", dt.datetime(2024, 1, 2, 9), 100.0),    # behind Jan 9 12:00: dropped
+              ("a", dt.datetime(2024, 1, 9, 18), 5.0)]]    # Jan 9 is still open: kept
+    for rows in files:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(in_dir)
+        _t.sleep(1.1)  # distinct modification times fix the batch order
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(in_dir)
+    q = (stream_daily_series(src, "1 day").writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", ck).trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    got = {r.ds.day: r.y for r in spark.read.parquet(out).collect()}
+    assert got[2] == 1.0 and got[9] == 6.0
+    assert sorted(got) == list(range(1, 10))   # final watermark Jan 10 12:00 closes days 1-9 only

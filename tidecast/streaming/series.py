@@ -17,8 +17,10 @@ def stream_daily_series(stream: DataFrame, delay: str = "1 day", id_col: str = "
     """Event stream -> daily (unique_id, ds, y) in append mode.
 
     A day is emitted once the watermark (max event time seen - ``delay``)
-    passes its end; rows arriving later than the watermark are dropped.  The
-    state holds one partial sum per (open day, id).
+    passes its end.  A row is dropped as late when it is older than the
+    watermark the previous micro-batch closed days with (Spark's rule for
+    late events); rows for days still open are added.  The state holds one
+    partial sum per (open day, id).
     """
     x = stream.select(F.col(id_col).cast("string").alias(ID), wall_clock_instant(F.col(ts_col)).alias("_t"),
                       F.col(value_col).alias("_v"))
