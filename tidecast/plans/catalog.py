@@ -860,3 +860,16 @@ register("pooled_fit_next_version", f"""SELECT 'pooled_ar1_supplier' AS name,
   CAST((SELECT max(CAST(version AS INTEGER)) FROM ({_REG_SQL})) + 1 AS VARCHAR) AS version,
   round(regr_slope(y_, x_), 6) AS slope, round(regr_intercept(y_, x_), 6) AS intercept, regr_count(y_, x_) AS n
 FROM ({S.scaled_pairs_sql(S.last_points_sql(SUPP, 512))})""")(_pooled_next)
+
+
+# ---------------------------------------------------------------- the preparation flow (rows 10 + 18 / 19)
+from tidecast.plans import preparation as prep  # noqa: E402
+
+register("prepare_daily", f"""SELECT unique_id, ds, round(y, 6) AS y FROM ({S.rebase_daily_sql(
+    f"SELECT * FROM ({SUPP}) WHERE unique_id IN (SELECT CAST(i AS VARCHAR) FROM range(1, 40) t(i))", 400)})""")(
+    lambda spark, sf: r6(prep.prepare_daily(series_set(spark, sf, "supplier_daily"), 40, keep=400)))
+
+register("prepare_monthly", f"""SELECT unique_id, ds, round(y, 6) AS y FROM ({S.rebase_monthly_sql(
+    f"SELECT * FROM ({series_set_sql('supplier_monthly')}) "
+    "WHERE unique_id IN (SELECT CAST(i AS VARCHAR) FROM range(1, 41) t(i))", 60)})""")(
+    lambda spark, sf: r6(prep.prepare_monthly(series_set(spark, sf, "supplier_monthly"), 40, keep=60)))

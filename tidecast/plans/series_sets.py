@@ -15,6 +15,7 @@ SERIES_SETS = {
     "ship_daily": ("lineitem", "l_returnflag", "l_shipdate", "l_quantity", "D"),
     "supplier_daily": ("lineitem", "l_suppkey", "l_shipdate", "l_quantity", "D"),
     "order_monthly": ("orders", "o_orderpriority", "o_orderdate", "o_totalprice", "M"),
+    "supplier_monthly": ("lineitem", "l_suppkey", "l_shipdate", "l_quantity", "M"),
     "events_user_daily": ("events", "user_id", "ts", "value", "D"),
     "events_type_daily": ("events", "event_type", "ts", "value", "D"),
 }
