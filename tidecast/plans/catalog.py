@@ -566,7 +566,7 @@ register("fit_and_forecast_ar1", S.forecast_points_sql(_FIT_SRC, "ar1", "D", 10)
     lambda spark, sf: r6(fc.fit_and_forecast(series_set(spark, sf, "supplier_daily"), 10, 300, "ar1")))
 
 register("pooled_fit", f"""SELECT 'pooled_ar1' AS name, '1' AS version, round(regr_slope(y_, x_), 6) AS slope,
-  round(regr_intercept(y_, x_), 6) AS intercept, regr_count(y_, x_) AS n FROM ({S.scaled_pairs_sql(S.last_points_sql(SUPP, 512))})""")(
+  round(regr_intercept(y_, x_), 6) AS intercept, CAST(regr_count(y_, x_) AS BIGINT) AS n FROM ({S.scaled_pairs_sql(S.last_points_sql(SUPP, 512))})""")(
     lambda spark, sf: r6(rg.pooled_fit(series_set(spark, sf, "supplier_daily"), 512, "pooled_ar1").drop("params")))
 
 _REG_SQL = S.registry_history_sql(SUPP, "pooled_ar1_supplier")
@@ -858,7 +858,7 @@ def _pooled_next(spark, sf):
 
 register("pooled_fit_next_version", f"""SELECT 'pooled_ar1_supplier' AS name,
   CAST((SELECT max(CAST(version AS INTEGER)) FROM ({_REG_SQL})) + 1 AS VARCHAR) AS version,
-  round(regr_slope(y_, x_), 6) AS slope, round(regr_intercept(y_, x_), 6) AS intercept, regr_count(y_, x_) AS n
+  round(regr_slope(y_, x_), 6) AS slope, round(regr_intercept(y_, x_), 6) AS intercept, CAST(regr_count(y_, x_) AS BIGINT) AS n
 FROM ({S.scaled_pairs_sql(S.last_points_sql(SUPP, 512))})""")(_pooled_next)
 
 
