@@ -80,3 +80,14 @@ def test_missing_profile_and_scale(series):
     assert agg.mean_abs_scale(w).first().scale == 3.0
     z = series([("z", "2020-01-01", 0.0)]).withColumn("window_id", F.lit("w")).withColumn("is_future", F.lit(False))
     assert agg.mean_abs_scale(z).first().scale == 1.0
+
+
+def test_forecast_udf_context_cut_matches_native_on_the_tail(spark, series):
+    from tidecast.operators import forecast as fc
+    from tidecast.operators import plugins as pl
+    rows = [("a", (dt.date(2020, 1, 1) + dt.timedelta(days=i)).isoformat(), float(i % 5)) for i in range(60)]
+    df = series(rows)
+    u = pl.forecast_udf(pl.WindowMean(None), h=2, num_samples=1, context=10)
+    got = agg.pack_series(df).select(u("y").alias("f")).first().f
+    tail = fc.forecast_points(fc.last_points(df, 10), "mean", "D", 2).orderBy("step").collect()
+    assert got == [r.yhat for r in tail]

@@ -93,8 +93,15 @@ def _as_context(arr) -> np.ndarray:
     return np.array([np.nan if x is None else x for x in arr], dtype=float)
 
 
-def forecast_udf(model: Forecaster, h: int, num_samples: int = 10, batch_size: int = 4):
-    """Scalar-iterator pandas UDF: packed ``y`` arrays -> median forecast arrays."""
+def forecast_udf(model: Forecaster, h: int, num_samples: int = 10, batch_size: int = 4,
+                 context: int | None = None):
+    """Scalar-iterator pandas UDF: packed ``y`` arrays -> median forecast arrays.
+
+    An Arrow batch carries ``spark.sql.execution.arrow.maxRecordsPerBatch``
+    whole arrays; with ``context`` each array is cut to its last ``context``
+    values on the JVM side first, which bounds the batch at records x context
+    doubles however long the series are.
+    """
     ship_package()
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
@@ -108,7 +115,15 @@ def forecast_udf(model: Forecaster, h: int, num_samples: int = 10, batch_size: i
                 medians.extend(list(np.median(samples, axis=1)))
             yield pd.Series(medians, index=batch.index)
 
-    return _udf
+    if context is None:
+        return _udf
+    ctx = int(context)
+
+    def cut_then_forecast(col):
+        c = F.col(col) if isinstance(col, str) else col
+        return _udf(F.slice(c, F.greatest(F.size(c) - F.lit(ctx - 1), F.lit(1)), ctx))
+
+    return cut_then_forecast
 
 
 class DriftClient:
