@@ -145,9 +145,11 @@ STRUCT_TYPE = T.StructType([
 ])
 
 
-def forecast_struct_udf(client_factory: Callable[[], object], h: int):
+def forecast_struct_udf(client_factory: Callable[[], object], h: int, context: int | None = None):
     """Two-column pandas UDF (ds array, y array) -> struct<timestamp, forecast>.
-    The client is built once per task; one output frame per input batch."""
+    The client is built once per task; one output frame per input batch.
+    ``context`` cuts both arrays to their last ``context`` entries on the JVM
+    side first (bounded Arrow batches, see ``forecast_udf``)."""
     ship_package()
 
     @F.pandas_udf(STRUCT_TYPE)
@@ -163,7 +165,15 @@ def forecast_struct_udf(client_factory: Callable[[], object], h: int):
                 fc_out.append(list(res["value"].astype(float)))
             yield pd.DataFrame({"timestamp": ts_out, "forecast": fc_out}, index=ds_s.index)
 
-    return _udf
+    if context is None:
+        return _udf
+    ctx = int(context)
+
+    def cut(c):
+        c = F.col(c) if isinstance(c, str) else c
+        return F.slice(c, F.greatest(F.size(c) - F.lit(ctx - 1), F.lit(1)), ctx)
+
+    return lambda ds, y: _udf(cut(ds), cut(y))
 
 
 def forecast_long(df: DataFrame, model, freq: str = "D", h: int = 10, context: int = 512,
