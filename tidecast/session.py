@@ -62,9 +62,11 @@ def ship_package(spark: SparkSession | None = None) -> None:
 
     Plug-in forecasters and grouped-pandas functions are pickled by
     reference, so workers must import this package.  When it is not installed
-    on the cluster, a zip of it is written once per application to the shared
-    scratch folder and added with ``addPyFile`` (the ``--py-files`` route).
+    on the cluster, a zip of it is written once per application into the
+    shared scratch folder (through the Hadoop FileSystem API, so no
+    machine-local folder is involved) and added with ``addPyFile``.
     """
+    import io
     import zipfile
 
     spark = spark or SparkSession.getActiveSession()
@@ -75,17 +77,21 @@ def ship_package(spark: SparkSession | None = None) -> None:
     if app in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    target = scratch_path(spark, "pyfiles")
-    local = target[len("file:"):] if target.startswith("file:") else target
-    if "://" in local:  # non-local filesystem: stage the zip next to the driver
-        local = f"/tmp/tidecast-pyfiles-{uuid.uuid4().hex[:12]}"
-    os.makedirs(local, exist_ok=True)
-    zpath = os.path.join(local, "tidecast.zip")
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _dirs, files in os.walk(pkg_dir):
             for f in files:
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-    sc.addPyFile(zpath)
+    target = scratch_path(spark, "pyfiles") + "/tidecast.zip"
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(path, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(fs.makeQualified(path).toString())
     _SHIPPED.add(app)
