@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidecast import constants as C
 from tidecast.schema import DS, ID, Y
 
 
@@ -80,7 +81,8 @@ def latest_version(registry: DataFrame, names) -> DataFrame:
     # versions are integer text; a row that is not is ignored rather than failing the job
     rows = asked.unionByName(have.select("name", F.col("version").try_cast("int").alias("_v")))
     mx = rows.groupBy("name").agg(F.max("_v").alias("_v"))
-    return mx.select("name", F.greatest(F.coalesce(F.col("_v"), F.lit(1)), F.lit(1)).alias("version"),
+    dv = F.lit(C.DEFAULT_VERSION)
+    return mx.select("name", F.greatest(F.coalesce(F.col("_v"), dv), dv).alias("version"),
                      F.col("_v").isNotNull().alias("exists"))
 
 
@@ -123,7 +125,8 @@ def best_checkpoint(metrics: DataFrame, monitor: str, mode: str = "min", k: int
              .select("run", "epoch", "value", "rank"))
 
 
-def early_stop_epoch(metrics: DataFrame, patience: int = 3, min_delta: float = 0.0,
+def early_stop_epoch(metrics: DataFrame, patience: int = C.EARLY_STOP_PATIENCE,
+                     min_delta: float = C.EARLY_STOP_MIN_DELTA,
                      monitor: str | None = None) -> DataFrame:
     """Per run: the first epoch at which ``patience`` epochs in a row brought
     no improvement (mode min), the best epoch and value up to the stop.

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidecast import constants as C
 from tidecast.functions.calendar import add_steps, check_freq
 from tidecast.functions.ranges import positive
 from tidecast.schema import DS, ID, Y
@@ -91,7 +92,7 @@ def forecast_points(df: DataFrame, model: str = "seasonal", freq: str = "D", h:
     return agg.select(ID, F.col(f"_a.{DS}").alias(DS), F.col("_a.yhat").alias("forecast"))
 
 
-def forecast_samples(df: DataFrame, h: int = 10, num_samples: int = 10, seed: int = 0,
+def forecast_samples(df: DataFrame, h: int = C.HORIZON, num_samples: int = C.NUM_SAMPLES, seed: int = 0,
                      freq: str = "D") -> DataFrame:
     """Seeded sample paths by residual bootstrap of one-step changes.
 
@@ -129,7 +130,7 @@ def last_points(df: DataFrame, context: int) -> DataFrame:
     return df.withColumn("_rd", F.row_number().over(w)).where(F.col("_rd") <= int(context)).drop("_rd")
 
 
-def fit_and_forecast(df: DataFrame, h: int, min_length: int = 300, fit="trend",
+def fit_and_forecast(df: DataFrame, h: int, min_length: int = C.MIN_FIT_LENGTH, fit="trend",
                      steps: int = 10, freq: str = "D", context: int | None = None) -> DataFrame:
     """Per-series fit on series with at least ``min_length`` points, then
     ``h`` steps.  ``fit``: 'trend' (OLS on position), 'ar1' (OLS of y on its
@@ -144,7 +145,7 @@ def fit_and_forecast(df: DataFrame, h: int, min_length: int = 300, fit="trend",
         import copy
         fit = copy.copy(fit)
         fit.steps = int(steps)
-    return forecast_long(src, fit, freq, h, context=context or 512)
+    return forecast_long(src, fit, freq, h, context=context or C.CONTEXT_LENGTH)
 
 
 def device_partition(df: DataFrame, n: int) -> DataFrame:

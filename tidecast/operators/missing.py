@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidecast import constants as C
 from tidecast.functions.rng import uniform
 from tidecast.schema import DS, ID, Y
 
@@ -27,7 +28,7 @@ def impute(df: DataFrame, method: str = "last") -> DataFrame:
     return df.withColumn(Y, F.coalesce(F.col(Y), ff, first_obs, F.lit(0.0)))
 
 
-def random_drop(df: DataFrame, drop_prob: float = 0.2, seed: int = 0) -> DataFrame:
+def random_drop(df: DataFrame, drop_prob: float = C.DROP_PROB, seed: int = 0) -> DataFrame:
     """Per series draw p uniform in [0, drop_prob]; set each point to NULL
     with probability p.  Draws are keyed by (series) and (series, timestamp),
     so no window or ordering is needed and retries repeat the same drops."""

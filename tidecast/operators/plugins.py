@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidecast import constants as C
 from tidecast.functions.calendar import check_freq
 from tidecast.schema import DS, ID, Y
 from tidecast.session import ship_package
@@ -93,7 +94,8 @@ def _as_context(arr) -> np.ndarray:
     return np.array([np.nan if x is None else x for x in arr], dtype=float)
 
 
-def forecast_udf(model: Forecaster, h: int, num_samples: int = 10, batch_size: int = 4,
+def forecast_udf(model: Forecaster, h: int = C.HORIZON, num_samples: int = C.NUM_SAMPLES,
+                 batch_size: int = C.BATCH_SIZE,
                  context: int | None = None):
     """Scalar-iterator pandas UDF: packed ``y`` arrays -> median forecast arrays.
 
@@ -176,7 +178,7 @@ def forecast_struct_udf(client_factory: Callable[[], object], h: int, context: i
     return lambda ds, y: _udf(cut(ds), cut(y))
 
 
-def forecast_long(df: DataFrame, model, freq: str = "D", h: int = 10, context: int = 512,
+def forecast_long(df: DataFrame, model, freq: str = "D", h: int = C.HORIZON, context: int = C.CONTEXT_LENGTH,
                   value_col: str = Y, num_samples: int = 1) -> DataFrame:
     """Long in, long out over all series: cut each series to its last
     ``context`` points first (so a group is bounded by ``context``), then a

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidecast import constants as C
 from tidecast.functions.calendar import add_steps, month_end
 from tidecast.functions.ranges import positive
 from tidecast.operators.forecast import last_points
@@ -30,7 +31,7 @@ def _scaled_pairs(df: DataFrame, context: int | None) -> DataFrame:
     return src.select(ID, DS, (F.col(Y) / s).alias("_y"), (F.lag(Y).over(w) / s).alias("_x"))
 
 
-def pooled_fit(df: DataFrame, context: int = 512, name: str = "pooled_ar1",
+def pooled_fit(df: DataFrame, context: int = C.CONTEXT_LENGTH, name: str = "pooled_ar1",
                registry: DataFrame | None = None) -> DataFrame:
     """Fit the shared model on the last ``context`` points of every series.
     Version = latest existing version of ``name`` + 1 (1 for a new name)."""
@@ -74,7 +75,7 @@ def registry_history(df: DataFrame, name: str = "pooled_ar1") -> DataFrame:
 
 
 def registry_score(df: DataFrame, registry: DataFrame, name: str, h: int, freq: str = "D",
-                   context: int = 512) -> DataFrame:
+                   context: int = C.CONTEXT_LENGTH) -> DataFrame:
     """Score every series with the newest version of ``name``.
 
     The chosen registry row (one per name) enters as scalar subqueries for

@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidecast import constants as C
 from tidecast.functions.positions import global_position
 from tidecast.functions.ranges import upto
 from tidecast.functions.rng import hash_order, uniform
@@ -148,7 +149,7 @@ def _next_fit(max_length: int):
     return fit
 
 
-def pack_sequences(seqs: DataFrame, key: str, length: str, max_length: int = 512,
+def pack_sequences(seqs: DataFrame, key: str, length: str, max_length: int = C.PACK_LENGTH,
                    shards: int | None = None, per_shard: int = 200_000) -> DataFrame:
     """Place variable-length sequences into bins of ``max_length`` slots,
     never splitting one (a sequence longer than a bin gets a bin alone).

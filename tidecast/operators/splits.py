@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidecast import constants as C
 from tidecast.functions.calendar import add_steps
 from tidecast.functions.positions import series_position
 from tidecast.functions.ranges import upto
@@ -191,7 +192,8 @@ def patch_series(windows: DataFrame, patch_size: int, key: str = "window_id") ->
                        F.pmod(F.col("_i"), F.lit(p)).cast("int").alias("slot"), DS, Y, "is_pad")
 
 
-def patch_mask(patches: DataFrame, lo: float = 0.15, hi: float = 0.5, min_patches: int = 2,
+def patch_mask(patches: DataFrame, lo: float = C.MASK_RATIO[0], hi: float = C.MASK_RATIO[1],
+               min_patches: int = C.MIN_PATCHES,
                seed: int = 0, key: str = "window_id") -> DataFrame:
     """Per window draw a mask share r in [lo, hi]; the trailing
     ``max(1, round(n * r))`` of its n patches are targets.  Windows with fewer
@@ -205,7 +207,7 @@ def patch_mask(patches: DataFrame, lo: float = 0.15, hi: float = 0.5, min_patche
         "is_target", F.col("patch") >= F.col("n_patches") - F.col("n_target"))
 
 
-def fixed_context(packed: DataFrame, length: int = 512) -> DataFrame:
+def fixed_context(packed: DataFrame, length: int = C.CONTEXT_LENGTH) -> DataFrame:
     """Last ``length`` values of each packed series; a shorter series is
     zero-padded on the *right* with a 0/1 ``mask`` (1 = real value).
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidecast import constants as C
 from tidecast.functions.calendar import add_steps, check_freq
 from tidecast.functions.ranges import positive, upto
 from tidecast.schema import DS, ID, Y
@@ -37,7 +38,7 @@ def date_grid(src, start=None, end=None, freq: str = "D",
     return base.select(*keep, F.explode(_grid_points(F.col(start_col), F.col(end_col), freq)).alias(DS))
 
 
-def rebase_daily(df: DataFrame, keep: int = 1020, start: str = "2020-01-01") -> DataFrame:
+def rebase_daily(df: DataFrame, keep: int = C.DAILY_KEEP, start: str = C.DAILY_START) -> DataFrame:
     """Keep the last ``keep`` points per series, re-dated daily from ``start``.
 
     ``row_number() <= keep`` is planned as a window group limit, so each task
@@ -51,7 +52,7 @@ def rebase_daily(df: DataFrame, keep: int = 1020, start: str = "2020-01-01") ->
     return kept.select(ID, new_ds.cast("timestamp_ntz").alias(DS), Y)
 
 
-def rebase_monthly(df: DataFrame, keep: int = 60, start: str = "2018-01-01") -> DataFrame:
+def rebase_monthly(df: DataFrame, keep: int = C.MONTHLY_KEEP, start: str = C.MONTHLY_START) -> DataFrame:
     """Keep the first ``keep`` points per series, re-dated to month ends from
     ``start``'s month.  Shorter series keep their own length (quirk Q5)."""
     w = Window.partitionBy(ID).orderBy(F.col(DS).asc())

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidecast.functions.tokens import EOS_ID, IGNORE, PAD_ID, token_centre, token_id
 from tidecast.operators.missing import impute, random_drop
 from tidecast.operators.select import observed_filter
+from tidecast import constants as C
 from tidecast.functions.materialize import materialize
 from tidecast.operators.splits import _with_len, context_window, nonempty_context, random_cut_split
 from tidecast.schema import ID, Y
@@ -64,8 +65,9 @@ def tokenize_windows(wins: DataFrame, model_type: str = "seq2seq", key: str = "w
                     F.zip_with("_raw", "attention_mask", lambda t, mm: F.when(mm, t).otherwise(F.lit(IGNORE))).alias("labels"))
 
 
-def token_table(df: DataFrame, context_length: int = 512, prediction_length: int = 64,
-                min_past: int = 60, max_missing_prop: float = 0.9, drop_prob: float = 0.2,
+def token_table(df: DataFrame, context_length: int = C.CONTEXT_LENGTH, prediction_length: int = 64,
+                min_past: int = C.MIN_PAST, max_missing_prop: float = C.MAX_MISSING_PROP,
+                drop_prob: float = C.DROP_PROB,
                 num_instances: float = 1.0, seed: int = 0, model_type: str = "seq2seq") -> DataFrame:
     """The training-table job (see module docstring).  Input: a long series
     table on a gap-free grid (``densify`` first), missing ``y`` NULL."""

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidecast import constants as C
+
 CSV_SCHEMA = T.StructType([
     T.StructField("ts", T.TimestampNTZType(), True),
     T.StructField("item_id", T.StringType(), True),
@@ -42,7 +44,7 @@ def csv_long_scan(spark: SparkSession, path: str) -> DataFrame:
 
 
 def train_record_sink(packed: DataFrame, path: str,
-                      default_start: str = "2000-01-01 00:00:00",
+                      default_start: str = C.RECORD_DEFAULT_START,
                       compression: str = "lz4") -> str:
     """Packed series -> (unique_id, start, target float[]) records.
 

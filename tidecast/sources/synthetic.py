@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidecast import constants as C
 from tidecast.functions.ranges import upto
 from tidecast.functions.rng import normal
 
 
-def synth_series(ids, start: str = "2021-01-01", end: str = "2023-12-31",
+def synth_series(ids, start: str = C.SYNTH_START, end: str = C.SYNTH_END,
                  seed: int = 0, id_col: str = "unique_id", n: int | None = None) -> DataFrame:
     """One N(0,1) value per id and day in [start, end].
 

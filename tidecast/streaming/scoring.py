@@ -23,12 +23,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidecast import constants as C
 from tidecast.functions.calendar import add_steps
 from tidecast.functions.ranges import upto
 from tidecast.sources.tables import drop_if_exists
 
-INPUTS_H = 10
-SPLIT_H_DEFAULT = 12
+INPUTS_H = C.HORIZON
+SPLIT_H_DEFAULT = C.SPLIT_REQUEST_HORIZON
 
 _BATCH = T.StructType([T.StructField("inputs", T.ArrayType(T.ArrayType(T.DoubleType())))])
 _SINGLE = T.StructType([T.StructField("inputs", T.ArrayType(T.DoubleType()))])

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from tidecast import constants as C
 from tidecast.schema import DS, ID, Y
 from tidecast.session import ship_package
 
@@ -68,7 +69,7 @@ def _context_updater(length: int):
     return update
 
 
-def stream_context(stream: DataFrame, length: int = 512) -> DataFrame:
+def stream_context(stream: DataFrame, length: int = C.CONTEXT_LENGTH) -> DataFrame:
     """Keep the last ``length`` points of every series as state and emit the
     current context of each series updated in a micro-batch.
 
