@@ -720,17 +720,21 @@ register("score_requests", _SCORE_SQL)(
     lambda spark, sf: r6(sc.reply_rows(sc.score_requests(_requests(spark, sf)))))
 
 
-def _online(spark, sf):
+def _online(spark, sf, prefix):
+    """Each query owns its payload table, so building one query never replaces
+    the table another, not yet executed, query reads."""
     in_dir = scratch_path(spark, "requests")
     _requests(spark, sf).write.mode("overwrite").json(in_dir)
-    q = sc.online_forecast_stream(spark, in_dir, "tidecast_online", scratch_path(spark, "online-ckpt"))
+    q = sc.online_forecast_stream(spark, in_dir, prefix, scratch_path(spark, f"{prefix}-ckpt"))
     q.awaitTermination()
-    return spark.table("tidecast_online_payload")
+    return spark.table(f"{prefix}_payload")
 
 
-register("online_forecast_stream", _SCORE_SQL)(lambda spark, sf: r6(sc.parse_replies(_online(spark, sf))))
+register("online_forecast_stream", _SCORE_SQL)(
+    lambda spark, sf: r6(sc.parse_replies(_online(spark, sf, "tidecast_online"))))
 register("payload_capture", f"SELECT DISTINCT request_id, true AS has_reply FROM ({_SCORE_SQL})")(
-    lambda spark, sf: _online(spark, sf).select("request_id", F.col("reply").isNotNull().alias("has_reply")))
+    lambda spark, sf: _online(spark, sf, "tidecast_capture").select(
+        "request_id", F.col("reply").isNotNull().alias("has_reply")))
 
 
 def _stream_daily(spark, sf):
