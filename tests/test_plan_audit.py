@@ -22,3 +22,18 @@ def test_no_cartesian_or_nested_loop(no_aqe, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan          # no row-at-a-time Python UDFs
+
+
+def test_hot_id_facts_combine_before_the_exchange(no_aqe):
+    # a third of all facts on one id: partial sums per task, exchange on (id, ds)
+    plan = E.queries()["series_from_facts"](no_aqe, "/root/testdata/sf0.001")._jdf.queryExecution() \
+        .executedPlan().treeString()
+    ex = plan.index("Exchange hashpartitioning(unique_id")
+    assert "partial_sum" in plan[ex:] and "ds#" in plan[ex:plan.index("\n", ex)]
+
+
+def test_mixture_join_is_salted(no_aqe):
+    plan = E.queries()["mixture_sample"](no_aqe, "/root/testdata/sf0.001")._jdf.queryExecution() \
+        .executedPlan().treeString()
+    joins = [ln for ln in plan.splitlines() if "Join" in ln and "_idx" in ln]
+    assert joins and all("_salt" in ln for ln in joins)
