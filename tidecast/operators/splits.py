@@ -67,7 +67,9 @@ def random_cut_split(df: DataFrame, min_past: int, h: int, num_instances: float
     """
     x = _with_len(df)
     valid = x.where((F.col("pos") >= min_past) & (F.col("pos") <= F.col("n") - h))
-    per = x.groupBy(ID).agg(F.max("n").alias("n"))
+    # the normaliser needs only series lengths: a plain count, no window sort
+    per = (df.groupBy(ID).agg(F.max("n").alias("n")) if "n" in df.columns
+           else df.groupBy(ID).agg(F.count(F.lit(1)).alias("n")))
     nvalid = F.col("n") - F.lit(h) - F.lit(min_past) + 1
     avg_valid = per.where(nvalid > 0).select(F.avg(nvalid)).scalar()
     p = F.lit(float(num_instances)) / avg_valid
