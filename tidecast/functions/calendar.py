@@ -22,10 +22,12 @@ def check_freq(freq: str) -> str:
 
 
 def day_floor(c: Column) -> Column:
+    """Midnight of the timestamp's day (TIMESTAMP_NTZ)."""
     return F.to_date(c).cast("timestamp_ntz")
 
 
 def month_end(c: Column) -> Column:
+    """Midnight of the last day of the timestamp's month."""
     return F.last_day(F.to_date(c)).cast("timestamp_ntz")
 
 
@@ -35,10 +37,12 @@ def floor_to(c: Column, grain: str) -> Column:
 
 
 def time_of_day(c: Column) -> Column:
+    """Time since midnight, as a day-time interval."""
     return c - day_floor(c)
 
 
 def is_month_end(c: Column) -> Column:
+    """True when the timestamp falls on the last day of its month."""
     return F.to_date(c) == F.last_day(F.to_date(c))
 
 

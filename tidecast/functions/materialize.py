@@ -14,5 +14,6 @@ from tidecast.session import ensure_checkpoint_dir
 
 
 def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
+    """Reliable checkpoint of ``df`` into the shared checkpoint folder (eager by default)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)

@@ -21,6 +21,7 @@ from tidecast.schema import DS, ID
 
 def series_position(df: DataFrame, name: str = "pos", order: str = DS,
                     desc: bool = False, by: Sequence[str] = (ID,)) -> DataFrame:
+    """0-based position of each row inside its series (``desc`` counts from the end)."""
     o = F.col(order).desc() if desc else F.col(order).asc()
     w = Window.partitionBy(*by).orderBy(o)
     return df.withColumn(name, (F.row_number().over(w) - 1).cast("int"))

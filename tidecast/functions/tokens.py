@@ -26,6 +26,7 @@ WIDTH = (HIGH - LOW) / (N_BINS - 1)
 
 
 def token_id(scaled: Column) -> Column:
+    """Token id of a scaled value: nearest bin centre (ties go up), clamped to the regular ids."""
     raw = F.floor((scaled - F.lit(LOW)) / F.lit(WIDTH) + F.lit(0.5))
     return (F.least(F.greatest(raw, F.lit(0)), F.lit(N_BINS - 1)) + F.lit(FIRST_ID)).cast("int")
 

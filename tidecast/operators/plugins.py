@@ -31,6 +31,8 @@ from tidecast.session import ship_package
 
 
 class Forecaster:
+    """Plug-in contract: ``setup()`` once per task, ``predict(contexts, h, num_samples)``."""
+
     def setup(self) -> None:  # pragma: no cover - trivial
         pass
 

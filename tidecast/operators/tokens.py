@@ -87,6 +87,7 @@ def token_table(df: DataFrame, context_length: int = C.CONTEXT_LENGTH, predictio
 
 
 def causal_token_table(df: DataFrame, **kw) -> DataFrame:
+    """``token_table`` for decoder-only models (impute first, padding moved right)."""
     return token_table(df, model_type="causal", **kw)
 
 

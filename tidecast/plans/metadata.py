@@ -26,6 +26,7 @@ MODELS = ("last", "seasonal", "mean", "drift", "trend", "ar1")
 
 def backtest_metrics(df: DataFrame, dataset: str, h: int, windows: int, context: int,
                      freq: str = "D", models=MODELS, season: int = 7) -> DataFrame:
+    """Rolling-origin validation of the built-in models: (run, epoch, metric, value) rows."""
     spark = df.sparkSession
     if int(h) < 1 or int(windows) < 1:
         raise ValueError("h and windows must be >= 1")
@@ -52,6 +53,7 @@ def backtest_metrics(df: DataFrame, dataset: str, h: int, windows: int, context:
 
 
 def run_listing(metrics: DataFrame) -> DataFrame:
+    """The run folders (``run-<epoch>``) and log files such a sweep leaves, one path per row."""
     runs = metrics.select(F.concat(F.lit("run-"), F.col("epoch").cast("string")).alias("path"))
     logs = metrics.select(F.concat(F.col("run"), F.lit(".log")).alias("path"))
     return runs.unionByName(logs).distinct()

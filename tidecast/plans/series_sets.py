@@ -22,16 +22,19 @@ SERIES_SETS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver tables as a DataFrame."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def series_set(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A named series set (see ``SERIES_SETS``) as a canonical long table."""
     tbl, id_col, ts_col, val, grain = SERIES_SETS[name]
     facts = table(spark, sf_dir, tbl)
     return series_from_facts(facts, id_col, ts_col, val, "sum", grain)
 
 
 def freq_of(name: str) -> str:
+    """The grain ('D' or 'M') of a named series set."""
     return SERIES_SETS[name][4]
 
 
