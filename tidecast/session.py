@@ -16,6 +16,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # "last n points" cuts (1020 for daily preparation) get a partial top-n
+    # before the exchange only when n is within this threshold (default 1000)
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
 }
 
 
