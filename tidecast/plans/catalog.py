@@ -30,18 +30,52 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+# Comparison hygiene: doubles are rounded to 6 decimals on both sides, after
+# scaling by (1 + 1e-13).  Sums of data with few decimals often land exactly
+# on a rounding tie (x.xxxxxx5), where a one-ulp difference between engines
+# would round different ways; the scale moves such ties off the boundary in
+# both engines alike (one IEEE multiply, so equal inputs stay equal).
+NUDGE = 1.0000000000001
+
+
+def _nudge_rounds(sql: str) -> str:
+    """Rewrite every ``round(expr, 6)`` in a SQL twin as ``round((expr) * NUDGE, 6)``."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k, comma = 1, j + len("round("), -1
+        while depth:
+            c = sql[k]
+            if c == "(":
+                depth += 1
+            elif c == ")":
+                depth -= 1
+            elif c == "," and depth == 1:
+                comma = k
+            k += 1
+        inner, digits = sql[j + len("round("):comma], sql[comma + 1:k - 1].strip()
+        if digits == "6":
+            out.append(sql[i:j] + f"round(({_nudge_rounds(inner)}) * CAST({NUDGE!r} AS DOUBLE), 6)")
+        else:
+            out.append(sql[i:k])
+        i = k
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = _nudge_rounds(sql)
         return fn
     return deco
 
 
 def r6(df: DataFrame) -> DataFrame:
-    """Round every double column to 6 decimals (comparison hygiene)."""
-    cols = [F.round(F.col(f"`{f.name}`"), 6).alias(f.name)
+    """Round every double column to 6 decimals after the tie-breaking scale (see NUDGE)."""
+    cols = [F.round(F.col(f"`{f.name}`") * F.lit(NUDGE), 6).alias(f.name)
             if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`")
             for f in df.schema.fields]
     return df.select(*cols)
