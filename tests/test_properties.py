@@ -200,3 +200,31 @@ def test_stream_daily_series_drops_rows_behind_the_watermark(spark):
     got = {r.ds.day: r.y for r in spark.read.parquet(out).collect()}
     assert got[2] == 1.0 and got[9] == 6.0
     assert sorted(got) == list(range(1, 10))   # final watermark Jan 10 12:00 closes days 1-9 only
+
+
+day_sets = st.lists(st.integers(min_value=0, max_value=60), min_size=1, max_size=15, unique=True)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(day_sets, min_size=1, max_size=3))
+def test_densify_is_a_gap_free_superset(spark, series_days):
+    rows = [(f"s{i}", dt.datetime(2021, 1, 1) + dt.timedelta(days=d), float(d)) for i, ds in enumerate(series_days)
+            for d in ds]
+    df = spark.createDataFrame(rows, "unique_id string, ds timestamp_ntz, y double")
+    out = ti.densify(df).collect()
+    for i, ds in enumerate(series_days):
+        got = sorted((r.ds, r.y) for r in out if r.unique_id == f"s{i}")
+        lo, hi = min(ds), max(ds)
+        assert [g[0] for g in got] == [dt.datetime(2021, 1, 1) + dt.timedelta(days=d) for d in range(lo, hi + 1)]
+        assert {g[0]: g[1] for g in got if g[1] is not None} == {
+            dt.datetime(2021, 1, 1) + dt.timedelta(days=d): float(d) for d in ds}
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.floats(min_value=-1e6, max_value=1e6)), min_size=1, max_size=20))
+def test_pack_unpack_round_trip_keeps_nulls(spark, ys):
+    from tidecast.operators.aggregate import pack_series, unpack_series
+    rows = [("a", dt.datetime(2021, 1, 1) + dt.timedelta(days=i), y) for i, y in enumerate(ys)]
+    df = spark.createDataFrame(rows, "unique_id string, ds timestamp_ntz, y double")
+    back = unpack_series(pack_series(df.repartition(3)), with_pos=True).orderBy("pos").collect()
+    assert [r.y for r in back] == ys and [r.pos for r in back] == list(range(len(ys)))
