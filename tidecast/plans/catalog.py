@@ -2,8 +2,9 @@
 
 Every query reads the driver's tables (or data Spark derives from them)
 and runs over whole tables.  Doubles are rounded to 6 decimals in the final
-projection of both the Spark query and its SQL twin, so that summation
-order (partial aggregates vs. a single pass) cannot flip the last bits.
+projection of both the Spark query and its SQL twin (after a tie-breaking
+scale, see ``NUDGE``), so that summation order (partial aggregates vs. a
+single pass) cannot flip the last bits.
 """
 
 from __future__ import annotations
