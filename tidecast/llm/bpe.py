@@ -12,6 +12,7 @@ import base64
 import functools
 import hashlib
 import heapq
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,21 @@ from pyspark.sql import functions as F
 from tidecast.llm.common import blocks_of, prepare
 
 NONE = np.int32(2**31 - 1)
+#: Letters and digits that Unicode has assigned after version 16.
+#: The rank files' own library still takes them for symbols, so the pattern must too.
+LATER = (
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F),
+    (0x209D, 0x209F), (0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2),
+    (0xA7F1, 0xA7F1), (0xAB6C, 0xAB6D), (0x107BB, 0x107BF), (0x10940, 0x10959), (0x10EC5, 0x10EC7),
+    (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A), (0x11DB0, 0x11DDB), (0x11DE0, 0x11DE9), (0x11DF1, 0x11DF1),
+    (0x1246F, 0x1246F), (0x12475, 0x1247F), (0x12550, 0x12686), (0x16EA0, 0x16EB8), (0x16EBB, 0x16ED3),
+    (0x16FF2, 0x16FF6), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA), (0x18D09, 0x18D20), (0x18D80, 0x18DF2),
+    (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128), (0x1B168, 0x1B168), (0x1D6A6, 0x1D6A6),
+    (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF), (0x1E6C0, 0x1E6DE),
+    (0x1E6E0, 0x1E6E2), (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4), (0x1E6FE, 0x1E6FF),
+    (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479), (0x3D000, 0x3FC3F),
+)
+_LATER = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in LATER) + "]")
 #: Longer pieces are merged with a heap instead of a matrix row, which would cost the square of the length.
 MATRIX_BYTES = 256
 #: Entries of a Python worker's piece cache; it is emptied when full.
@@ -184,9 +200,16 @@ class ByteBPE:
         for p, ids in zip(new, self.merge([p.encode("utf-8", "surrogatepass") for p in new])):
             self.cache[p] = (np.array(ids, "<u4").tobytes(), ",".join(map(str, ids)))
 
+    def split(self, text: str) -> list[str]:
+        """The pattern's matches."""
+        if text.isascii() or not _LATER.search(text):
+            return self.pattern.findall(text)
+        seen = _LATER.sub("\ue000", text)               # a symbol in every version, one for one
+        return [text[m.start():m.end()] for m in self.pattern.finditer(seen)]
+
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, str]]:
         """(ids as uint32, decimal ids joined by commas) of each text."""
-        split = [self.pattern.findall(t) for t in texts]
+        split = [self.split(t) for t in texts]
         self.learn(set().union(*split))
         out = []
         for pieces in split:
