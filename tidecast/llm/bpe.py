@@ -13,8 +13,6 @@ import functools
 import hashlib
 import heapq
 import re
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import regex
@@ -227,6 +225,10 @@ def encoder(path: str, pattern: str) -> ByteBPE:
     return ByteBPE(path, pattern)
 
 
+def _texts(s: pd.Series) -> list[str]:
+    return [t if isinstance(t, str) else "" for t in s]
+
+
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) of every row's whole text; null counts as empty and gives no ids.
 
@@ -236,29 +238,25 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     """
     prepare(docs.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = encoder(path, pattern)
-        for b in batches:
-            texts = [t if isinstance(t, str) else "" for t in b["text"]]
-            for part in blocks_of(list(map(len, texts))):
-                ids = [x.astype(np.int32) for x, _ in bpe.encode(texts[part])]
-                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[part], "ids": pd.Series(ids, index=b.index[part])})
+    @F.pandas_udf("array<int>")
+    def run(s: pd.Series) -> pd.Series:
+        bpe, texts = encoder(path, pattern), _texts(s)
+        return pd.Series([x.astype(np.int32) for part in blocks_of(list(map(len, texts)))
+                          for x, _ in bpe.encode(texts[part])], dtype=object)
 
-    return _rows(docs, id_col, text_col).mapInPandas(run, "doc_id bigint, ids array<int>")
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), run(text_col).alias("ids"))
 
 
 def decode(tokens: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(doc_id, decoded binary): the bytes that each row's ids stand for; null ids count as none."""
     prepare(tokens.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("binary")
+    def run(s: pd.Series) -> pd.Series:
         bpe = encoder(path, pattern)
-        for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "decoded": [
-                bpe.decode(np.asarray(x)) if x is not None else b"" for x in b["ids"]]})
+        return pd.Series([bpe.decode(np.asarray(x)) if x is not None else b"" for x in s], dtype=object)
 
-    return (tokens.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(ids_col).alias("ids"))
-            .mapInPandas(run, "doc_id bigint, decoded binary"))
+    return tokens.select(F.col(id_col).cast("bigint").alias("doc_id"), run(ids_col).alias("decoded"))
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -268,22 +266,13 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     """
     prepare(docs.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = encoder(path, pattern)
-        for b in batches:
-            texts = [t if isinstance(t, str) else "" for t in b["text"]]
-            out = []
-            for part in blocks_of(list(map(len, texts))):
-                for ids, text in bpe.encode(texts[part]):
-                    out.append((len(ids), hashlib.sha256(text.encode()).hexdigest(),
-                                hashlib.sha256(bpe.decode(ids)).hexdigest()))
-            n, a, d = zip(*out) if out else ((), (), ())
-            yield pd.DataFrame({"doc_id": b["doc_id"], "n_tokens": np.array(n, np.int64), "ids_sha256": list(a),
-                                "decoded_sha256": list(d)})
-
-    return _rows(docs, id_col, text_col).mapInPandas(
-        run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
-
-
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    @F.pandas_udf("n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    def run(s: pd.Series) -> pd.DataFrame:
+        bpe, texts, out = encoder(path, pattern), _texts(s), []
+        for part in blocks_of(list(map(len, texts))):
+            for ids, text in bpe.encode(texts[part]):
+                out.append((len(ids), hashlib.sha256(text.encode()).hexdigest(),
+                            hashlib.sha256(bpe.decode(ids)).hexdigest()))
+        return pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), run(text_col).alias("r")).select("doc_id", "r.*")

@@ -262,7 +262,7 @@ def train_field(texts: list[str], toxic: np.ndarray, rows: int = TRAIN_ROWS, rou
         g = x.T @ (toxic - 1 / (1 + np.exp(-x @ c))) / max(1, len(x)) - 1e-4 * c
         acc += g * g
         c += 0.5 * g / np.sqrt(acc)
-    keep = {f: float(w[k]) for f, k in feats.items() if abs(w[k]) > 0.02}
+    keep = {f: float(w[k]) for f, k in feats.items() if abs(w[k]) > 0.1}
     return Field(keep, trans, begin, bias, c)
 
 

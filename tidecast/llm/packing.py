@@ -10,8 +10,6 @@ from __future__ import annotations
 
 import bisect
 import zlib
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -172,38 +170,27 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int = 1024,
     which the first may be shorter.
     """
     prepare(docs.sparkSession)
+    fields = "piece array<int>, start array<bigint>, length array<bigint>, ids_crc32 array<bigint>" \
+        + ", ids array<array<int>>" * with_ids
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(fields)
+    def run(s: pd.Series) -> pd.DataFrame:
         tok = chunked(path, True)
         end = np.array([end_id], tok.dtype).tobytes()
-        for b in batches:
-            texts = [t if isinstance(t, str) else "" for t in b["text"]]
-            doc, piece, start, length, crc, kept = [], [], [], [], [], []
-            known = b["doc_id"].tolist()
-            for part in blocks_of(list(map(len, texts))):
-                for key, raw in zip(known[part], tok.encode(texts[part])):
-                    ids = np.frombuffer(raw + end, tok.dtype).astype("<u4")
-                    lo, k = 0, 0
-                    hi = len(ids) % capacity or min(capacity, len(ids))
-                    while lo < len(ids):
-                        doc.append(key)
-                        piece.append(k)
-                        start.append(lo)
-                        length.append(hi - lo)
-                        crc.append(zlib.crc32(ids[lo:hi].tobytes()))
-                        if with_ids:
-                            kept.append(ids[lo:hi].astype(np.int32))
-                        lo, hi, k = hi, hi + capacity, k + 1
-            out = pd.DataFrame({"doc_id": pd.array([None if x != x else x for x in doc], "Int64"),
-                                "piece": np.array(piece, np.int32), "start": np.array(start, np.int64),
-                                "length": np.array(length, np.int64), "ids_crc32": np.array(crc, np.int64)})
-            if with_ids:
-                out["ids"] = kept
-            yield out
-
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-                            + ", ids array<int>" * with_ids)
+        texts, out = [t if isinstance(t, str) else "" for t in s], []
+        for part in blocks_of(list(map(len, texts))):
+            for raw in tok.encode(texts[part]):
+                ids = np.frombuffer(raw + end, tok.dtype).astype("<u4")
+                cuts = [*range(len(ids) % capacity or capacity, len(ids), capacity)] if len(ids) > capacity else []
+                lo, hi = [0, *cuts], [*cuts, len(ids)]
+                out.append((list(range(len(lo))), lo, [z - a for a, z in zip(lo, hi)],
+                            [zlib.crc32(ids[a:z].tobytes()) for a, z in zip(lo, hi)],
+                            [ids[a:z].astype(np.int32) for a, z in zip(lo, hi)])[:4 + with_ids])
+        return pd.DataFrame(out, columns=["piece", "start", "length", "ids_crc32", "ids"][:4 + with_ids])
+
+    names = ["piece", "start", "length", "ids_crc32", "ids"][:4 + with_ids]
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), run(text_col).alias("p")).select(
+        "doc_id", F.inline(F.arrays_zip(*[F.col(f"p.{c}").alias(c) for c in names])))
 
 
 def sequences(packed: DataFrame, capacity: int = 1024) -> DataFrame:

@@ -52,13 +52,13 @@ def write_flat(docs: DataFrame, path: str, end_id: int, keeps_space: bool = True
                     yield row(bytes(held[:width]), None, None, None)
                     del held[:width]
                     block += 1
-            yield row(None, b["doc_id"].fillna(0).to_numpy().astype(np.int64).tobytes(), seen,
-                      b["doc_id"].isna().to_numpy().tobytes())
+            yield row(None, b["doc_id"].to_numpy().tobytes(), seen, b["gone"].to_numpy().tobytes())
             seen += len(b)
         if held:
             yield row(bytes(held), None, None, None)
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    key = F.col(id_col).cast("bigint")
+    rows = docs.select(F.coalesce(key, F.lit(0)).alias("doc_id"), key.isNull().alias("gone"), F.col(text_col).alias("text"))
     files = stored(rows.mapInPandas(run, "file int, block int, payload binary, itemsize int, docs binary, "
                                          "gone binary, first bigint"), "flat-tokens")
 

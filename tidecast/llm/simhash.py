@@ -44,13 +44,11 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
     """(doc_id, fp bigint) of every row; null and blank texts get 0."""
     prepare(docs.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            fp = np.array([fingerprint(t, words) for t in utf8(b["text"])], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fp.view(np.int64)})
+    @F.pandas_udf("bigint")
+    def run(text: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t, words) for t in utf8(text)], dtype=np.uint64).view(np.int64))
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, "doc_id bigint, fp bigint")
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), run(text_col).alias("fp"))
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:

@@ -162,8 +162,7 @@ def sorted_ids(docs: DataFrame, path: str, keeps_space: bool, end_id: int, id_co
         squeeze = zstandard.ZstdCompressor(level=1).compress
         for b in batches:
             texts = [t if isinstance(t, str) else "" for t in b["text"]]
-            gone = b["doc_id"].isna().to_numpy()
-            keys = b["doc_id"].fillna(0).to_numpy().astype(np.int64)
+            gone, keys = b["gone"].to_numpy(), b["doc_id"].to_numpy()
             lo, hi = np.searchsorted(bounds, keys, "left"), np.searchsorted(bounds, keys, "right")
             part = lo + (b["tie"].to_numpy() % (hi - lo + 1))
             part[gone] = 0
@@ -177,8 +176,9 @@ def sorted_ids(docs: DataFrame, path: str, keeps_space: bool, end_id: int, id_co
                              squeeze(raw.T.tobytes()), tok.dtype.str))
             yield pd.DataFrame(rows, columns=["part", "docs", "gone", "sizes", "ids", "dtype"])
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"),
-                       F.abs(F.hash(text_col) % 1009).cast("bigint").alias("tie"))
+    key = F.col(id_col).cast("bigint")
+    rows = docs.select(F.coalesce(key, F.lit(0)).alias("doc_id"), key.isNull().alias("gone"), F.col(text_col).alias("text"),
+                       F.abs(F.hash(text_col, F.monotonically_increasing_id()) % 1009).cast("bigint").alias("tie"))
     runs = rows.mapInPandas(run, "part int, docs binary, gone binary, sizes binary, ids binary, dtype string")
     return stored(runs.repartition(len(bounds) + 1, "part"), "token-runs")
 
