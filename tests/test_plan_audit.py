@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from tidecast.plans import catalog
 
 # queries that run a stream or write a table while being built
 SIDE_EFFECTS = {"online_forecast_stream", "payload_capture", "stream_daily_series", "stream_context",
@@ -16,7 +17,7 @@ def no_aqe(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SIDE_EFFECTS))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - SIDE_EFFECTS))
 def test_no_cartesian_or_nested_loop(no_aqe, name):
     df = E.queries()[name](no_aqe, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
