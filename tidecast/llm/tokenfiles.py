@@ -30,7 +30,7 @@ STRIDE = 256
 #: Tokens of a block, about; one document may have more.
 BLOCK_TOKENS = 1 << 18
 #: Characters of text of one file part, about.
-PART_CHARS = 24_000_000
+PART_CHARS = 12_000_000
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
