@@ -17,14 +17,14 @@ __all__ = ["BATCH_BYTES", "blocks_of", "documents", "ensure_checkpoint_dir", "he
 #: Rows of whole texts go to Python in Arrow batches of at most this many bytes.
 ARROW_BYTES = 8 << 20
 #: Numpy work inside a task goes over at most so many bytes of text at once (one text may be longer).
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Make this package importable on executors and bound the bytes of an Arrow batch."""
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark
 
 

@@ -186,7 +186,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int = 1024,
                 out.append((list(range(len(lo))), lo, [z - a for a, z in zip(lo, hi)],
                             [zlib.crc32(ids[a:z].tobytes()) for a, z in zip(lo, hi)],
                             [ids[a:z].astype(np.int32) for a, z in zip(lo, hi)])[:4 + with_ids])
-        return pd.DataFrame(out, columns=["piece", "start", "length", "ids_crc32", "ids"][:4 + with_ids])
+        return pd.DataFrame(out, columns=["piece", "start", "length", "ids_crc32", "ids"][:4 + with_ids], dtype=object)
 
     names = ["piece", "start", "length", "ids_crc32", "ids"][:4 + with_ids]
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), run(text_col).alias("p")).select(

@@ -187,8 +187,9 @@ def _sorted_runs(folded: DataFrame, length: int) -> DataFrame:
         grp = pd.factorize(p["grp"])[0].astype(np.int64)
         found = columns(p["bytes"].tolist(), p["lo"].to_numpy().astype(np.int64), grp, p["n"].to_numpy(), length)
         hit = [i for i, r in enumerate(found) if r]
-        return pd.DataFrame({"home": p["home"].iloc[hit].to_numpy(), "a": [[x for x, _ in found[i]] for i in hit],
-                             "b": [[y for _, y in found[i]] for i in hit]})
+        return pd.DataFrame({"home": pd.Series(p["home"].iloc[hit].tolist(), dtype=object),
+                             "a": pd.Series([[x for x, _ in found[i]] for i in hit], dtype=object),
+                             "b": pd.Series([[y for _, y in found[i]] for i in hit], dtype=object)})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, n = [], 0
@@ -286,7 +287,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT, id_col
                 cuts = np.searchsorted(who, np.arange(len(some) + 1))
                 cols = (at.astype(np.int32), first.astype(np.int32), last.astype(np.int32), h)
                 made += [(*(c[i:j] for c in cols), home[i:j]) for i, j in zip(cuts, cuts[1:])]
-            yield pd.DataFrame(made, columns=["at", "a", "b", "grp", "home"])
+            yield pd.DataFrame(made, columns=["at", "a", "b", "grp", "home"], dtype=object)
 
     found = rows.select("doc_id", "th", find("text").alias("f")).select(
         "doc_id", "th", F.inline(F.arrays_zip(*[F.col(f"f.{c}").alias(c) for c in ("at", "a", "b", "grp", "home")])))

@@ -28,7 +28,9 @@ MAX_BITS = 20
 #: Symbols between checkpoints.
 STRIDE = 256
 #: Tokens of a block, about; one document may have more.
-BLOCK_TOKENS = 1 << 18
+BLOCK_TOKENS = 1 << 17
+#: Tokens of a run between encoding and sorting, about: rows small enough for the JVM's ordinary heap regions.
+RUN_TOKENS = 1 << 17
 #: Characters of text of one file part, about.
 PART_CHARS = 12_000_000
 
@@ -148,7 +150,7 @@ def _bounds(docs: DataFrame, id_col: str, text_col: str) -> list[int]:
 
 def sorted_ids(docs: DataFrame, path: str, keeps_space: bool, end_id: int, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
-    """Runs of encoded documents dealt to their file part: one row per input batch and part.
+    """Runs of encoded documents dealt to their file part: rows of about RUN_TOKENS from one input batch and part.
 
     A row has the part, and per document of the run: id, null flag, length,
     and all ids compressed.
@@ -170,10 +172,12 @@ def sorted_ids(docs: DataFrame, path: str, keeps_space: bool, end_id: int, id_co
             size = np.fromiter((len(x) // tok.dtype.itemsize for x in ids), np.int64, len(ids))
             rows = []
             for p in np.unique(part):
-                at = np.flatnonzero(part == p)
-                raw = np.frombuffer(b"".join([ids[i] for i in at]), np.uint8).reshape(-1, tok.dtype.itemsize)
-                rows.append((int(p), keys[at].tobytes(), gone[at].tobytes(), size[at].tobytes(),
-                             squeeze(raw.T.tobytes()), tok.dtype.str))
+                whole = np.flatnonzero(part == p)
+                for some in blocks_of(size[whole].tolist(), RUN_TOKENS):
+                    at = whole[some]
+                    raw = np.frombuffer(b"".join([ids[i] for i in at]), np.uint8).reshape(-1, tok.dtype.itemsize)
+                    rows.append((int(p), keys[at].tobytes(), gone[at].tobytes(), size[at].tobytes(),
+                                 squeeze(raw.T.tobytes()), tok.dtype.str))
             yield pd.DataFrame(rows, columns=["part", "docs", "gone", "sizes", "ids", "dtype"])
 
     key = F.col(id_col).cast("bigint")
