@@ -15,7 +15,7 @@ import re
 import numpy as np
 
 #: Entries of a worker's piece cache; a full one becomes the old generation, from which pieces in use come back.
-CACHE = 300_000
+CACHE = 500_000
 #: Characters from which a text is encoded whole, so that the tables of a block stay small.
 LONG = 1 << 22
 #: White space beyond ASCII and control characters, on which vocabularies differ: such texts are encoded whole.
