@@ -16,14 +16,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidecast.schema import DS, ID
+from tidecast.functions.materialize import materialize
+from tidecast.schema import DS, ID, Y
 
 
 def series_position(df: DataFrame, name: str = "pos", order: str = DS,
                     desc: bool = False, by: Sequence[str] = (ID,)) -> DataFrame:
     """0-based position of each row inside its series (``desc`` counts from the end)."""
     o = F.col(order).desc() if desc else F.col(order).asc()
-    w = Window.partitionBy(*by).orderBy(o)
+    # points of one series at one time are put in the order of their values
+    ties = [F.col(Y).desc() if desc else F.col(Y).asc()] if Y in df.columns and order != Y else []
+    w = Window.partitionBy(*by).orderBy(o, *ties)
     return df.withColumn(name, (F.row_number().over(w) - 1).cast("int"))
 
 
@@ -34,12 +37,11 @@ def global_position(df: DataFrame, order: Sequence[Column | str], name: str = "p
     ``order`` must be a total order (unique per row) so recomputation after an
     executor loss numbers rows identically.
 
-    The counts and the numbered rows must see the *same* range partitioning.
-    Spark reuses the identical range exchange for both (the nondeterministic
-    row id keeps column pruning from making the two subtrees differ), so the
-    bounds are sampled once.  When exchange reuse is switched off, the
-    numbered rows are checkpointed instead, because two independently sampled
-    range exchanges may choose different bounds.
+    The counts and the numbered rows must see the *same* range partitioning,
+    whatever other columns ``df`` has.  Two range exchanges may sample
+    different bounds, so the range-partitioned rows are written once to the
+    shared checkpoint folder, and both the counts and the numbers are read
+    from there: one range exchange, and no dependence on exchange reuse.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -47,10 +49,7 @@ def global_position(df: DataFrame, order: Sequence[Column | str], name: str = "p
     ranged = (df.repartitionByRange(n, *cols)
                 .sortWithinPartitions(*cols)
                 .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = ranged.withColumn("_part", F.shiftright(F.col("_mid"), 33))
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        from tidecast.functions.materialize import materialize
-        ranged = materialize(ranged)
+    ranged = materialize(ranged.withColumn("_part", F.shiftright(F.col("_mid"), 33)))
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select(
         "_part",

@@ -155,10 +155,10 @@ def early_stop_epoch(metrics: DataFrame, patience: int = C.EARLY_STOP_PATIENCE,
     x = x.withColumn("_imp", F.col("_best_before").isNull() | (F.col("value") < F.col("_best_before")))
     x = x.withColumn("_last_imp", F.max(F.when(F.col("_imp"), F.col("_k"))).over(upto))
     x = x.withColumn("_stop", (F.col("_k") - F.col("_last_imp")) >= patience)
-    stop = x.groupBy("run").agg(
-        F.min(F.when(F.col("_stop"), F.col("_k"))).alias("_stop_k"),
-        F.count(F.lit(1)).alias("epochs_seen"))
-    y = x.join(stop, "run").where(F.col("_stop_k").isNull() | (F.col("_k") <= F.col("_stop_k")))
+    whole = Window.partitionBy("run")
+    y = (x.withColumn("_stop_k", F.min(F.when(F.col("_stop"), F.col("_k"))).over(whole))
+          .withColumn("epochs_seen", F.count(F.lit(1)).over(whole))
+          .where(F.col("_stop_k").isNull() | (F.col("_k") <= F.col("_stop_k"))))
     return y.groupBy("run").agg(
         F.max(F.when(F.col("_k") == F.col("_stop_k"), F.col("epoch"))).alias("stop_epoch"),
         F.min_by("epoch", F.struct("value", "epoch")).alias("best_epoch"),

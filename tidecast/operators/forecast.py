@@ -134,8 +134,9 @@ def fit_and_forecast(df: DataFrame, h: int, min_length: int = C.MIN_FIT_LENGTH,
                      steps: int = 10, freq: str = "D", context: int | None = None) -> DataFrame:
     """Per-series fit on series with at least ``min_length`` points, then
     ``h`` steps.  ``fit``: 'trend' (OLS on position), 'ar1' (OLS of y on its
-    lag, iterated), or a plug-in Forecaster (grouped pandas) — a plug-in with
-    a ``steps`` attribute (iterations of its per-series fit) gets ``steps``."""
+    lag, iterated), or a plug-in Forecaster — one with a ``steps`` attribute
+    (iterations of its per-series fit) gets ``steps``.  Every model is fitted
+    on the whole series unless ``context`` is given."""
     from tidecast.operators.select import min_length_filter
     src = min_length_filter(df, int(min_length))
     if isinstance(fit, str):
@@ -145,7 +146,7 @@ def fit_and_forecast(df: DataFrame, h: int, min_length: int = C.MIN_FIT_LENGTH,
         import copy
         fit = copy.copy(fit)
         fit.steps = int(steps)
-    return forecast_long(src, fit, freq, h, context=context or C.CONTEXT_LENGTH)
+    return forecast_long(src, fit, freq, h, context=context)
 
 
 def device_partition(df: DataFrame, n: int) -> DataFrame:

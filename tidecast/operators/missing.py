@@ -33,5 +33,8 @@ def random_drop(df: DataFrame, drop_prob: float = C.DROP_PROB, seed: int = 0) ->
     with probability p.  Draws are keyed by (series) and (series, timestamp),
     so no window or ordering is needed and retries repeat the same drops."""
     p = uniform(seed, F.col(ID), "p") * F.lit(float(drop_prob))
-    u = uniform(seed, F.col(ID), F.date_format(F.col(DS), "yyyyMMddHHmmss"))
+    # whole seconds, and the microseconds where there are any: points within a second draw apart
+    micros = F.date_format(F.col(DS), "SSSSSS")
+    at = F.concat(F.date_format(F.col(DS), "yyyyMMddHHmmss"), F.when(micros == "000000", "").otherwise(F.concat(F.lit("."), micros)))
+    u = uniform(seed, F.col(ID), at)
     return df.withColumn(Y, F.when(u < p, F.lit(None).cast("double")).otherwise(F.col(Y)))

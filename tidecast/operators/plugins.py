@@ -91,20 +91,30 @@ class Drift(Forecaster):
 
 
 def _as_context(arr) -> np.ndarray:
-    if arr is None:
-        return np.array([], dtype=float)
-    return np.array([np.nan if x is None else x for x in arr], dtype=float)
+    return np.array([], dtype=float) if arr is None else np.asarray(arr, dtype=float)
+
+
+def _cut(c, context: int | None):
+    """The last ``context`` values of an array column, cut on the JVM side (all when None)."""
+    c = F.col(c) if isinstance(c, str) else c
+    return c if context is None else F.slice(c, F.greatest(F.size(c) - F.lit(int(context) - 1), F.lit(1)), int(context))
+
+
+def _medians(model: Forecaster, contexts: list, h: int, num_samples: int, batch_size: int) -> list:
+    out: list = []
+    for i in range(0, len(contexts), batch_size):
+        samples = np.asarray(model.predict(contexts[i:i + batch_size], h, num_samples), dtype=float)
+        out.extend(np.median(samples, axis=1))
+    return out
 
 
 def forecast_udf(model: Forecaster, h: int = C.HORIZON, num_samples: int = C.NUM_SAMPLES,
-                 batch_size: int = C.BATCH_SIZE,
-                 context: int | None = None):
-    """Scalar-iterator pandas UDF: packed ``y`` arrays -> median forecast arrays.
-
-    An Arrow batch carries ``spark.sql.execution.arrow.maxRecordsPerBatch``
-    whole arrays; with ``context`` each array is cut to its last ``context``
-    values on the JVM side first, which bounds the batch at records x context
-    doubles however long the series are.
+                 batch_size: int = C.BATCH_SIZE, context: int | None = C.CONTEXT_LENGTH):
+    """Packed ``y`` arrays -> median forecast arrays, ``batch_size`` contexts a call.
+
+    Each array is cut to its last ``context`` values on the JVM side first,
+    which bounds an Arrow batch at records x context doubles however long the
+    series are; ``context=None`` hands over whole arrays.
     """
     ship_package()
 
@@ -112,35 +122,29 @@ def forecast_udf(model: Forecaster, h: int = C.HORIZON, num_samples: int = C.NUM
     def _udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model.setup()
         for batch in batches:
-            medians = []
-            for i in range(0, len(batch), batch_size):
-                ctx = [_as_context(s) for s in batch.iloc[i:i + batch_size]]
-                samples = np.asarray(model.predict(ctx, h, num_samples), dtype=float)
-                medians.extend(list(np.median(samples, axis=1)))
-            yield pd.Series(medians, index=batch.index)
-
-    if context is None:
-        return _udf
-    ctx = int(context)
+            yield pd.Series(_medians(model, [_as_context(s) for s in batch], h, num_samples, batch_size),
+                            index=batch.index, dtype=object)
 
-    def cut_then_forecast(col):
-        c = F.col(col) if isinstance(col, str) else col
-        return _udf(F.slice(c, F.greatest(F.size(c) - F.lit(ctx - 1), F.lit(1)), ctx))
-
-    return cut_then_forecast
+    return lambda col: _udf(_cut(col, context))
 
 
 class DriftClient:
-    """A stand-in for a hosted forecasting client: ``forecast(df, h)`` takes a
-    (timestamp, value) frame and returns the next ``h`` daily timestamps (as
-    'YYYY-mm-dd HH:MM:SS' strings) with drift forecasts."""
+    """A stand-in for a hosted forecasting client.
+
+    ``forecast(frame, h, finetune_steps)`` takes one long frame (unique_id,
+    timestamp, value) with many series and returns the next ``h`` daily
+    timestamps ('YYYY-mm-dd HH:MM:SS') and values of each, in the order of
+    the series in the frame.  Drift has nothing to fine-tune, so the steps
+    change nothing here.
+    """
 
-    def forecast(self, df: pd.DataFrame, h: int) -> pd.DataFrame:
-        ts = pd.to_datetime(df["timestamp"])
-        last = ts.max()
-        fut = [(last + pd.Timedelta(days=i)).strftime("%Y-%m-%d %H:%M:%S") for i in range(1, h + 1)]
-        fc = Drift().predict([df["value"].to_numpy(dtype=float)], h, 1)[0, 0]
-        return pd.DataFrame({"timestamp": fut, "value": fc})
+    def forecast(self, frame: pd.DataFrame, h: int, finetune_steps: int = 0) -> pd.DataFrame:
+        groups = [g for _, g in frame.groupby("unique_id", sort=False)]
+        values = Drift().predict([g["value"].to_numpy(dtype=float) for g in groups], h, 1)[:, 0]
+        last = pd.DatetimeIndex([g["timestamp"].max() for g in groups])
+        days = last.repeat(h) + pd.to_timedelta(np.tile(np.arange(1, h + 1), len(groups)), unit="D")
+        return pd.DataFrame({"unique_id": np.repeat([g["unique_id"].iloc[0] for g in groups], h),
+                             "timestamp": days.strftime("%Y-%m-%d %H:%M:%S"), "value": values.ravel()})
 
 
 STRUCT_TYPE = T.StructType([
@@ -149,63 +153,63 @@ STRUCT_TYPE = T.StructType([
 ])
 
 
-def forecast_struct_udf(client_factory: Callable[[], object], h: int, context: int | None = None):
-    """Two-column pandas UDF (ds array, y array) -> struct<timestamp, forecast>.
-    The client is built once per task; one output frame per input batch.
-    ``context`` cuts both arrays to their last ``context`` entries on the JVM
-    side first (bounded Arrow batches, see ``forecast_udf``)."""
+def forecast_struct_udf(client_factory: Callable[[], object], h: int, context: int | None = C.CONTEXT_LENGTH,
+                        finetune_steps: int = 0, batch_size: int = 256):
+    """Two array columns (ds, y) -> struct<timestamp, forecast>, by a client built once per task.
+
+    The client gets ``batch_size`` series in one long frame a call, with
+    ``finetune_steps``.  Both arrays are cut to their last ``context`` entries
+    on the JVM side first; ``None`` hands over whole series.
+    """
     ship_package()
 
     @F.pandas_udf(STRUCT_TYPE)
     def _udf(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         client = client_factory()
-        for ds_s, y_s in batches:
-            ts_out, fc_out = [], []
-            for ds, y in zip(ds_s, y_s):
-                frame = pd.DataFrame({"timestamp": pd.to_datetime(pd.Series(list(ds))),
-                                      "value": _as_context(y)})
-                res = client.forecast(frame, h)
-                ts_out.append(list(res["timestamp"].astype(str)))
-                fc_out.append(list(res["value"].astype(float)))
-            yield pd.DataFrame({"timestamp": ts_out, "forecast": fc_out}, index=ds_s.index)
-
-    if context is None:
-        return _udf
-    ctx = int(context)
-
-    def cut(c):
-        c = F.col(c) if isinstance(c, str) else c
-        return F.slice(c, F.greatest(F.size(c) - F.lit(ctx - 1), F.lit(1)), ctx)
-
-    return lambda ds, y: _udf(cut(ds), cut(y))
-
-
-def forecast_long(df: DataFrame, model, freq: str = "D", h: int = C.HORIZON, context: int = C.CONTEXT_LENGTH,
-                  value_col: str = Y, num_samples: int = 1) -> DataFrame:
-    """Long in, long out over all series: cut each series to its last
-    ``context`` points first (so a group is bounded by ``context``), then a
-    built-in (native) or a plug-in (``groupBy(unique_id).applyInPandas``).
-    ``value_col`` names the value column when it is not ``y``.
-    Output: unique_id, step, ds, yhat."""
+        for stamps, values in batches:
+            done = []
+            for lo in range(0, len(stamps), batch_size):
+                t, v = stamps.iloc[lo:lo + batch_size], values.iloc[lo:lo + batch_size]
+                size = [len(x) for x in t]
+                frame = pd.DataFrame({"unique_id": np.repeat(np.arange(len(t)), size),
+                                      "timestamp": pd.to_datetime(np.concatenate([np.asarray(x) for x in t])),
+                                      "value": np.concatenate([_as_context(x) for x in v])})
+                answer = client.forecast(frame, h, finetune_steps)
+                done += [(g["timestamp"].tolist(), g["value"].tolist()) for _, g in answer.groupby("unique_id", sort=True)]
+            yield pd.DataFrame(done, columns=["timestamp", "forecast"], index=stamps.index)
+
+    return lambda ds, y: _udf(_cut(ds, context), _cut(y, context))
+
+
+def forecast_long(df: DataFrame, model, freq: str = "D", h: int = C.HORIZON, context: int | None = C.CONTEXT_LENGTH,
+                  value_col: str = Y, num_samples: int = 1, batch_size: int = C.BATCH_SIZE) -> DataFrame:
+    """Long in, long out over all series: each series is cut to its last
+    ``context`` points (all when None), then forecast by a built-in (native)
+    or a plug-in.  For a plug-in the cut series are packed natively and go
+    through ``mapInPandas``: one ``setup()`` per task, ``batch_size`` contexts
+    per ``predict``.  ``value_col`` names the value column when it is not
+    ``y``.  Output: unique_id, step, ds, yhat."""
     from tidecast.functions.calendar import add_steps
+    from tidecast.operators.aggregate import pack_series
     from tidecast.operators.forecast import forecast_points, last_points
 
     check_freq(freq)
     if value_col != Y:
         df = df.withColumn(Y, F.col(value_col).cast("double"))
-    cut = last_points(df.select(ID, DS, Y), context)
+    src = df.select(ID, DS, Y)
+    cut = src if context is None else last_points(src, context)
     if isinstance(model, str):
         return forecast_points(cut, model, freq, h)
     ship_package(df.sparkSession)
 
-    def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(DS)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model.setup()
-        ctx = pdf[Y].to_numpy(dtype=float)
-        med = np.median(np.asarray(model.predict([ctx], h, num_samples), dtype=float)[0], axis=0)
-        return pd.DataFrame({ID: pdf[ID].iloc[0], "step": np.arange(1, h + 1, dtype=np.int32),
-                             "last_ds": pdf[DS].max(), "yhat": med})
-
-    out = cut.groupBy(ID).applyInPandas(
-        per_series, f"{ID} string, step int, last_ds timestamp_ntz, yhat double")
-    return out.select(ID, "step", add_steps(F.col("last_ds"), F.col("step"), freq).alias(DS), "yhat")
+        for b in batches:
+            yield pd.DataFrame({ID: b[ID], "last_ds": b["last_ds"], "yhat": pd.Series(
+                _medians(model, [_as_context(y) for y in b[Y]], h, num_samples, batch_size), index=b.index, dtype=object)})
+
+    packed = pack_series(cut).select(ID, F.array_max(DS).alias("last_ds"), Y)
+    out = packed.mapInPandas(run, f"{ID} string, last_ds timestamp_ntz, yhat array<double>")
+    return out.select(ID, "last_ds", F.posexplode("yhat").alias("_k", "yhat")).select(
+        ID, (F.col("_k") + 1).cast("int").alias("step"),
+        add_steps(F.col("last_ds"), F.col("_k") + 1, freq).alias(DS), "yhat")

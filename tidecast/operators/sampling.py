@@ -149,28 +149,25 @@ def _next_fit(max_length: int):
     return fit
 
 
-def pack_sequences(seqs: DataFrame, key: str, length: str, max_length: int = C.PACK_LENGTH,
-                   shards: int | None = None, per_shard: int = 200_000) -> DataFrame:
+def pack_sequences(seqs: DataFrame, key: str, length: str, shards: int, max_length: int = C.PACK_LENGTH) -> DataFrame:
     """Place variable-length sequences into bins of ``max_length`` slots,
-    never splitting one (a sequence longer than a bin gets a bin alone).
+    never splitting one.  A sequence longer than a bin is placed alone in a bin
+    of its own, with ``oversize`` = true.
 
     Sequences are hashed to ``shards`` groups and each group is packed by
     next-fit in key order (a sequential fold, so it runs in ``applyInPandas``
-    on (key, length) metadata only).  The shard count sets the
-    parallelism/fill trade-off; by default it keeps a shard near
-    ``per_shard`` sequences (at least one shard per shuffle partition), so a
-    group handed to pandas stays bounded however many sequences there are.
+    on (key, length) metadata only).  The caller's shard count sets the
+    parallelism/fill trade-off and, with the keys, the result; no session
+    setting does.
     """
     spark = seqs.sparkSession
     ship_package(spark)
     x = seqs.select(F.col(key).cast("string").alias("key"), F.col(length).cast("long").alias("length"))
-    if shards is None:
-        n = x.count()
-        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // int(per_shard)))
     k = int(shards)
     # shard = first 32 bits of md5(key) mod k: stable across engines and versions
     h = F.conv(F.substring(F.md5(F.col("key")), 1, 8), 16, 10).cast("long")
     x = x.withColumn("shard", F.pmod(h, F.lit(k)).cast("int"))
     out = x.groupBy("shard").applyInPandas(
         _next_fit(int(max_length)), "key string, shard int, bin long, offset long, length long")
-    return out.withColumn("bin_id", F.concat_ws(":", F.col("shard").cast("string"), F.col("bin").cast("string")))
+    return out.withColumn("bin_id", F.concat_ws(":", F.col("shard").cast("string"), F.col("bin").cast("string"))) \
+        .withColumn("oversize", F.col("length") > int(max_length))

@@ -8,14 +8,6 @@ from pyspark.sql import functions as F
 
 from tidecast.schema import DS, ID, Y
 
-# Id lists up to MAX_INLIST_IDS become an IN filter (no join; Catalyst moves
-# it below aggregates on the id and into the scan where it can); up to
-# MAX_BROADCAST_IDS a broadcast semi-join; beyond, the semi-join is left to
-# the planner (AQE picks broadcast or sort-merge at runtime).
-MAX_INLIST_IDS = 10_000
-MAX_BROADCAST_IDS = 1_000_000
-
-
 def id_range(prefix: str, lo: int, hi_exclusive: int) -> list[str]:
     """``[prefix+lo, ..., prefix+(hi-1)]``; the reference's daily set is
     ``range(1, n)`` (n-1 ids) and its monthly one ``range(1, n+1)`` (quirk Q1)."""
@@ -23,17 +15,14 @@ def id_range(prefix: str, lo: int, hi_exclusive: int) -> list[str]:
 
 
 def sample_series_ids(df: DataFrame, ids) -> DataFrame:
-    """Keep series whose id is in ``ids`` (a list or a one-column DataFrame)."""
-    spark = df.sparkSession
-    if isinstance(ids, DataFrame):
-        keys = ids.select(F.col(ids.columns[0]).cast("string").alias(ID)).distinct()
-        return df.join(keys, ID, "left_semi")
-    ids = sorted({str(i) for i in ids})
-    if len(ids) <= MAX_INLIST_IDS:
-        return df.where(F.col(ID).isin(ids))
-    keys = spark.createDataFrame([(i,) for i in ids], f"{ID} string")
-    if len(ids) <= MAX_BROADCAST_IDS:
-        keys = F.broadcast(keys)
+    """Keep series whose id is in ``ids`` (a list or a one-column DataFrame).
+
+    One plan for every size: a semi-join with the distinct ids; AQE picks
+    broadcast or sort-merge by their measured size.
+    """
+    if not isinstance(ids, DataFrame):
+        ids = df.sparkSession.createDataFrame([(str(i),) for i in ids], f"{ID} string")
+    keys = ids.select(F.col(ids.columns[0]).cast("string").alias(ID)).distinct()
     return df.join(keys, ID, "left_semi")
 
 
@@ -84,12 +73,12 @@ def flatten_forecast(df: DataFrame, col: str = "forecast") -> DataFrame:
 def head_series(df: DataFrame, k_series: int | None = None, k_points: int | None = None) -> DataFrame:
     """First ``k_series`` series by id and/or first ``k_points`` points of each.
 
-    The id list is a top-k (bounded by ``k_series``), so it is broadcast.
+    The ids are a top-k over the distinct ids; the planner chooses the semi-join.
     """
     out = df
     if k_series is not None:
         ids = df.select(ID).distinct().orderBy(ID).limit(int(k_series))
-        out = out.join(F.broadcast(ids), ID, "left_semi")
+        out = out.join(ids, ID, "left_semi")
     if k_points is not None:
         w = Window.partitionBy(ID).orderBy(DS)
         out = out.withColumn("_rn", F.row_number().over(w)).where(

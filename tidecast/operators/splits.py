@@ -3,9 +3,9 @@
 Windows are long tables, one row per (window, relative position):
 ``unique_id, window_id, cut, rel, ds, y, is_pad, is_future`` where ``rel``
 runs from ``-context_length`` to ``h - 1`` and ``cut`` is the 0-based
-position of the first future point.  Windows are generated from cut specs
-and joined to the positioned points once, on (unique_id, pos): an equi-join,
-never a per-spec explode of the data.
+position of the first future point.  Each series is packed once, and every
+window is a slice of its series' array: one exchange on ``unique_id``, and no
+join of exploded window rows.
 """
 
 from __future__ import annotations
@@ -21,8 +21,6 @@ from tidecast.functions.rng import uniform
 from tidecast.schema import DS, ID, Y
 
 
-MAX_SPECS = 100_000
-
 
 def _with_len(df: DataFrame) -> DataFrame:
     """Attach 0-based ``pos`` and series length ``n`` (kept if already there)."""
@@ -55,6 +53,19 @@ def forecast_split(df: DataFrame, freq: str = "D") -> DataFrame:
                      add_steps(last, F.lit(1), freq).alias("forecast_start"))
 
 
+def holdout_cuts(df: DataFrame, h: int) -> DataFrame:
+    """Validation cuts for ``context_window``: one per series, ``h`` points before its end.  Series of at most ``h`` points have none."""
+    x = _with_len(df)
+    return x.where(F.col("pos") == F.col("n") - h).where(F.col("n") > h).select(
+        ID, F.col("pos").alias("cut"), F.col(DS).alias("forecast_start"))
+
+
+def forecast_cuts(df: DataFrame, freq: str = "D") -> DataFrame:
+    """Test cuts for ``context_window``: one per series, after its last point, where the forecast starts."""
+    return df.groupBy(ID).agg(F.count(F.lit(1)).cast("int").alias("cut"), F.max(DS).alias("_last")).select(
+        ID, "cut", add_steps(F.col("_last"), F.lit(1), freq).alias("forecast_start"))
+
+
 def random_cut_split(df: DataFrame, min_past: int, h: int, num_instances: float = 1.0,
                      seed: int = 0) -> DataFrame:
     """Training cuts.
@@ -79,26 +90,54 @@ def random_cut_split(df: DataFrame, min_past: int, h: int, num_instances: float
     return keep.select(ID, F.col("pos").alias("cut"), F.col(DS).alias("forecast_start"))
 
 
-def _expand(points: DataFrame, cuts: DataFrame, context_length, h, key_cols) -> DataFrame:
-    """cuts(unique_id, cut, ...) x rel in [-ctx, h) -> left join points on (id, pos)."""
-    ctx = context_length if hasattr(context_length, "alias") else F.lit(int(context_length))
-    hh = h if hasattr(h, "alias") else F.lit(int(h))
-    rel = cuts.select("*", F.explode(upto(-ctx, hh - 1)).alias("rel"))
-    rel = rel.withColumn("pos", F.col("cut") + F.col("rel"))
-    pts = points.select(ID, "pos", DS, Y)
-    j = rel.join(pts, [ID, "pos"], "left")
-    return j.select(*key_cols, "cut", "rel", DS, Y, (F.col("pos") < 0).alias("is_pad"),
-                    (F.col("rel") >= 0).alias("is_future"))
+def _packed(df: DataFrame) -> DataFrame:
+    """One row per series: its points in time order as an array, and their number.
 
+    A series is bounded by its calendar span at its grain, like every
+    per-series array here; this is the only exchange the windows need.
+    """
+    order = ["pos"] if "pos" in df.columns else [DS, Y]
+    item = F.struct(*order, *[c for c in (DS, Y) if c not in order])
+    p = df.groupBy(ID).agg(F.array_sort(F.collect_list(item)).alias("_p"))
+    return p.select(ID, F.transform("_p", lambda e: F.struct(e[DS].alias(DS), e[Y].alias(Y))).alias("_p"),
+                    F.size("_p").alias("n"))
 
-def context_window(df: DataFrame, cuts: DataFrame, context_length: int, h: int) -> DataFrame:
+
+def _expand(cuts: DataFrame, context_length, h, key_cols, nonempty: bool = False) -> DataFrame:
+    """Rows of each cut's window, read from the series array ``_p`` that the cut's row carries.
+
+    ``cuts`` has unique_id, cut, _p and the key columns.  The past and future
+    are slices of the array; positions before its start or after its end have
+    no point.  With ``nonempty`` windows without an observed past value go.
+    """
+    ctx = context_length if hasattr(context_length, "alias") else F.lit(int(context_length))
+    hh = h if hasattr(h, "alias") else F.lit(int(h))
+    c = cuts.withColumn("_ctx", ctx).withColumn("_from", F.greatest(F.col("cut") - ctx, F.lit(0)))
+    c = c.withColumn("_w", F.slice("_p", F.col("_from") + 1, F.greatest(F.col("cut") + hh - F.col("_from"), F.lit(0))))
+    if nonempty:
+        c = c.where(F.exists(F.slice("_w", F.lit(1), F.col("cut") - F.col("_from")), lambda e: e[Y].isNotNull()))
+    # outer: a generator that drops empty arrays would push a second copy of the slice below itself
+    rel = c.select(*key_cols, "cut", "_from", "_w", F.explode_outer(upto(-F.col("_ctx"), hh - 1)).alias("rel"))
+    rel = rel.where(F.col("rel").isNotNull())
+    e = F.get("_w", F.col("cut") + F.col("rel") - F.col("_from"))
+    point = F.when(F.col("cut") + F.col("rel") >= 0, e)
+    return rel.select(*key_cols, "cut", "rel", point[DS].alias(DS), point[Y].alias(Y),
+                      (F.col("cut") + F.col("rel") < 0).alias("is_pad"), (F.col("rel") >= 0).alias("is_future"))
+
+
+def context_window(df: DataFrame, cuts: DataFrame, context_length: int, h: int, nonempty: bool = False) -> DataFrame:
     """Per cut: ``context_length`` past points (left padded with NULL and
     ``is_pad``), ``h`` future points, and ``forecast_start`` when the cuts
-    carry it (``random_cut_split`` does)."""
-    pts = df if "pos" in df.columns else series_position(df, "pos")
+    carry it (``random_cut_split`` does).
+
+    Each series is packed once and meets its cuts in one join on the series
+    id; a window is a slice of its series, never a join of exploded points.
+    With ``nonempty`` windows without an observed past value are left out, as
+    ``nonempty_context`` does.
+    """
     extra = ["forecast_start"] if "forecast_start" in cuts.columns else []
     c = cuts.select(ID, "cut", *extra).withColumn("window_id", F.concat_ws("#", ID, F.col("cut").cast("string")))
-    return _expand(pts, c, context_length, h, [ID, "window_id", *extra])
+    return _expand(c.join(_packed(df), ID), context_length, h, [ID, "window_id", *extra], nonempty)
 
 
 def eval_grid(src, dataset: str | None = None, offset: int | None = None, eval_length: int | None = None,
@@ -133,40 +172,26 @@ def rolling_eval_windows(df: DataFrame, specs: DataFrame, dataset: str | None =
     Windows whose future runs past the series end are not produced.
 
     ``specs`` (dataset, spec_id, offset, windows, distance,
-    prediction_length, context_length) comes from parameter lists, so its
-    size is bounded by the number of combinations (checked against
-    ``MAX_SPECS``); it is read once and attached to every series as a literal
-    array, so pairing series with specs needs no join at all.  A spec applies
-    to the series of its dataset (a table without a ``dataset`` column
-    belongs to ``dataset``).
+    prediction_length, context_length) stays a DataFrame: it meets the packed
+    series in an equi-join on the dataset, so a series gets its own dataset's
+    specs only.  A table without a ``dataset`` column belongs to ``dataset``,
+    whose specs (parameter combinations) come in as one scalar subquery.
     """
     cols = ["dataset", "spec_id", "offset", "windows", "distance", "prediction_length", "context_length"]
-    rows = specs.select(*cols).limit(MAX_SPECS + 1).collect()
-    if len(rows) > MAX_SPECS:
-        raise ValueError(f"more than {MAX_SPECS} eval specs")
-    lit_specs = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in cols]) for r in rows]) if rows else None
-    if "dataset" not in df.columns:
-        df = df.withColumn("dataset", F.lit(dataset))
-    pts = series_position(df, "pos")
-    lens = df.groupBy(ID, "dataset").agg(F.count(F.lit(1)).alias("n"))
-    if lit_specs is None:
-        return pts.limit(0).select(ID, F.lit(None).cast("string").alias("spec_id"),
-                                   F.lit(None).cast("int").alias("window_no"),
-                                   F.lit(None).cast("string").alias("window_id"), F.lit(None).cast("int").alias("cut"),
-                                   F.lit(None).cast("int").alias("rel"), DS, Y, F.lit(True).alias("is_pad"),
-                                   F.lit(True).alias("is_future"))
-    c = lens.select(ID, "n", F.col("dataset").alias("_ds"), F.explode(lit_specs).alias("_s"))
-    c = c.select(ID, "n", "_ds", "_s.*").where(F.col("dataset") == F.col("_ds")).drop("_ds")
+    points = F.array_sort(F.collect_list(F.struct(DS, Y))).alias("_p")
+    if "dataset" in df.columns:
+        own = df.groupBy(ID).agg(F.first("dataset").alias("dataset"), points)
+        c = own.withColumn("n", F.size("_p")).join(specs.select(*cols), "dataset")
+    else:
+        mine = specs.where(F.col("dataset") == dataset).agg(F.collect_list(F.struct(*cols))).scalar()
+        c = df.groupBy(ID).agg(points).withColumn("n", F.size("_p")).withColumn("_all", mine)
+        c = c.select(ID, "_p", "n", F.explode("_all").alias("_s")).select(ID, "_p", "n", "_s.*")
     c = c.select("*", F.explode(upto(F.lit(0), F.col("windows") - 1)).alias("window_no"))
     start = F.when(F.col("offset") >= 0, F.col("offset")).otherwise(F.col("n") + F.col("offset"))
     c = c.withColumn("cut", (start + F.col("window_no") * F.col("distance")).cast("int"))
     c = c.where((F.col("cut") >= 0) & (F.col("cut") + F.col("prediction_length") <= F.col("n")))
     c = c.withColumn("window_id", F.concat_ws("#", ID, "spec_id", F.col("window_no").cast("string")))
-    out = _expand(pts, c.select(ID, "spec_id", "window_no", "window_id", "cut", "context_length",
-                                "prediction_length"),
-                  F.col("context_length"), F.col("prediction_length"),
-                  [ID, "spec_id", "window_no", "window_id"])
-    return out
+    return _expand(c, F.col("context_length"), F.col("prediction_length"), [ID, "spec_id", "window_no", "window_id"])
 
 
 def nonempty_context(windows: DataFrame, key: str = "window_id") -> DataFrame:
@@ -183,15 +208,16 @@ def patch_series(windows: DataFrame, patch_size: int, key: str = "window_id") ->
     ctx = windows.where(~F.col("is_future"))
     L = F.count(F.lit(1)).over(Window.partitionBy(key))
     ctx = ctx.withColumn("_L", L).withColumn("_pad", F.pmod(-F.col("_L"), F.lit(p)))
-    idx = F.col("rel") + F.col("_L") + F.col("_pad")
-    body = ctx.select(key, idx.alias("_i"), DS, Y, "is_pad", "_pad")
-    heads = (ctx.where(F.col("rel") == -F.col("_L")).where(F.col("_pad") > 0)
-                .select(key, F.explode(F.sequence(F.lit(0), F.col("_pad") - 1)).alias("_i"),
-                        F.lit(None).cast("timestamp_ntz").alias(DS), F.lit(None).cast("double").alias(Y),
-                        F.lit(True).alias("is_pad"), "_pad"))
-    allp = body.unionByName(heads)
-    return allp.select(key, F.floor(F.col("_i") / p).cast("int").alias("patch"),
-                       F.pmod(F.col("_i"), F.lit(p)).cast("int").alias("slot"), DS, Y, "is_pad")
+    # the first row of a window also emits the padding before it
+    item = lambda i, ds, y, pad: F.struct(i.cast("int").alias("i"), ds.alias("ds"), y.alias("y"), pad.alias("is_pad"))
+    own = F.array(item(F.col("rel") + F.col("_L") + F.col("_pad"), F.col(DS), F.col(Y), F.col("is_pad")))
+    heads = F.transform(F.sequence(F.lit(0), F.col("_pad") - 1), lambda i: item(
+        i, F.lit(None).cast("timestamp_ntz"), F.lit(None).cast("double"), F.lit(True)))
+    rows = F.when((F.col("rel") == -F.col("_L")) & (F.col("_pad") > 0), F.concat(heads, own)).otherwise(own)
+    x = ctx.select(key, F.explode(rows).alias("_r"))
+    return x.select(key, F.floor(F.col("_r.i") / p).cast("int").alias("patch"),
+                    F.pmod(F.col("_r.i"), F.lit(p)).cast("int").alias("slot"),
+                    F.col("_r.ds").alias(DS), F.col("_r.y").alias(Y), F.col("_r.is_pad").alias("is_pad"))
 
 
 def patch_mask(patches: DataFrame, lo: float = C.MASK_RATIO[0], hi: float = C.MASK_RATIO[1],

@@ -17,8 +17,7 @@ from tidecast.functions.tokens import EOS_ID, IGNORE, PAD_ID, token_centre, toke
 from tidecast.operators.missing import impute, random_drop
 from tidecast.operators.select import observed_filter
 from tidecast import constants as C
-from tidecast.functions.materialize import materialize
-from tidecast.operators.splits import _with_len, context_window, nonempty_context, random_cut_split
+from tidecast.operators.splits import context_window, forecast_cuts, holdout_cuts, random_cut_split
 from tidecast.schema import ID, Y
 
 
@@ -65,25 +64,35 @@ def tokenize_windows(wins: DataFrame, model_type: str = "seq2seq", key: str = "w
                     F.zip_with("_raw", "attention_mask", lambda t, mm: F.when(mm, t).otherwise(F.lit(IGNORE))).alias("labels"))
 
 
+MODES = ("training", "validation", "test")
+
+
 def token_table(df: DataFrame, context_length: int = C.CONTEXT_LENGTH, prediction_length: int = 64,
                 min_past: int = C.MIN_PAST, max_missing_prop: float = C.MAX_MISSING_PROP,
-                drop_prob: float = C.DROP_PROB,
-                num_instances: float = 1.0, seed: int = 0, model_type: str = "seq2seq") -> DataFrame:
-    """The training-table job (see module docstring).  Input: a long series
-    table on a gap-free grid (``densify`` first), missing ``y`` NULL."""
+                drop_prob: float = C.DROP_PROB, num_instances: float = 1.0, seed: int = 0,
+                model_type: str = "seq2seq", mode: str = "training", freq: str = "D") -> DataFrame:
+    """The token-table job (see module docstring).  Input: a long series
+    table on a gap-free grid (``densify`` first), missing ``y`` NULL.
+
+    ``mode`` picks the cuts: 'training' random ones (with random drop of
+    points), 'validation' the last ``prediction_length`` points of each series
+    as the future, 'test' the whole series as the past and an empty future.
+    """
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
     x = observed_filter(df, min_past + prediction_length, max_missing_prop)
     if model_type == "causal":
         x = impute(x, "last")
-    if drop_prob > 0:
-        x = random_drop(x, drop_prob, seed)
-    # The prepared series feed three branches (cut draws, their normaliser,
-    # and the window points); write them once to the shared checkpoint folder
-    # instead of recomputing the chain per branch.  This also cuts the
-    # lineage, so a lost executor does not replay the whole preparation.
-    x = materialize(_with_len(x))
-    cuts = random_cut_split(x, min_past, prediction_length, num_instances, seed)
-    wins = nonempty_context(context_window(x, cuts, context_length, prediction_length))
-    return tokenize_windows(wins, model_type)
+    h = prediction_length
+    if mode == "training":
+        if drop_prob > 0:
+            x = random_drop(x, drop_prob, seed)
+        cuts = random_cut_split(x, min_past, h, num_instances, seed)
+    elif mode == "validation":
+        cuts = holdout_cuts(x, h)
+    else:
+        cuts, h = forecast_cuts(x, freq), 0
+    return tokenize_windows(context_window(x, cuts, context_length, h, nonempty=True), model_type)
 
 
 def causal_token_table(df: DataFrame, **kw) -> DataFrame:

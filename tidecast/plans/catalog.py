@@ -2,9 +2,9 @@
 
 Every query reads the driver's tables (or data Spark derives from them)
 and runs over whole tables.  Doubles are rounded to 6 decimals in the final
-projection of both the Spark query and its SQL twin (after a tie-breaking
-scale, see ``NUDGE``), so that summation order (partial aggregates vs. a
-single pass) cannot flip the last bits.
+projection of both the Spark query and its SQL twin.  Sums of money and
+quantities are exact (decimal), so the order of summation can't change them;
+see ``series_from_facts``.
 """
 
 from __future__ import annotations
@@ -31,52 +31,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-# Comparison hygiene: doubles are rounded to 6 decimals on both sides, after
-# scaling by (1 + 1e-13).  Sums of data with few decimals often land exactly
-# on a rounding tie (x.xxxxxx5), where a one-ulp difference between engines
-# would round different ways; the scale moves such ties off the boundary in
-# both engines alike (one IEEE multiply, so equal inputs stay equal).
-NUDGE = 1.0000000000001
-
-
-def _nudge_rounds(sql: str) -> str:
-    """Rewrite every ``round(expr, 6)`` in a SQL twin as ``round((expr) * NUDGE, 6)``."""
-    out, i = [], 0
-    while True:
-        j = sql.find("round(", i)
-        if j < 0:
-            out.append(sql[i:])
-            return "".join(out)
-        depth, k, comma = 1, j + len("round("), -1
-        while depth:
-            c = sql[k]
-            if c == "(":
-                depth += 1
-            elif c == ")":
-                depth -= 1
-            elif c == "," and depth == 1:
-                comma = k
-            k += 1
-        inner, digits = sql[j + len("round("):comma], sql[comma + 1:k - 1].strip()
-        if digits == "6":
-            out.append(sql[i:j] + f"round(({_nudge_rounds(inner)}) * CAST({NUDGE!r} AS DOUBLE), 6)")
-        else:
-            out.append(sql[i:k])
-        i = k
-
-
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = _nudge_rounds(sql)
+            ORACLE[name] = sql
         return fn
     return deco
 
 
 def r6(df: DataFrame) -> DataFrame:
-    """Round every double column to 6 decimals after the tie-breaking scale (see NUDGE)."""
-    cols = [F.round(F.col(f"`{f.name}`") * F.lit(NUDGE), 6).alias(f.name)
+    """Round every double column to 6 decimals."""
+    cols = [F.round(F.col(f"`{f.name}`"), 6).alias(f.name)
             if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`")
             for f in df.schema.fields]
     return df.select(*cols)
@@ -214,16 +180,7 @@ register("forecast_split", f"""SELECT unique_id, ds, round(y, 6) AS y, 'past' AS
     lambda spark, sf: r6(sp.forecast_split(series_set(spark, sf, "order_monthly"), "M")))
 
 
-def _random_cuts_sql(src, min_past, h, num, seed):
-    return f"""WITH pts AS ({S.positioned_sql(src)}),
-avgv AS (SELECT avg(n - {h} - {min_past} + 1) AS a FROM (SELECT unique_id, max(n) AS n FROM pts GROUP BY 1)
-         WHERE n - {h} - {min_past} + 1 > 0),
-u AS (SELECT *, {sql_uniform(seed, 'unique_id', 'pos')} AS u FROM pts WHERE pos >= {min_past} AND pos <= n - {h}),
-um AS (SELECT *, min(u) OVER (PARTITION BY unique_id) AS umin FROM u)
-SELECT unique_id, CAST(pos AS INTEGER) AS cut, ds AS forecast_start FROM um, avgv WHERE u < {float(num)} / a OR u = umin"""
-
-
-register("random_cut_split", _random_cuts_sql(SUPP, 60, 10, 1.0, 7))(
+register("random_cut_split", S.random_cuts_sql(SUPP, 60, 10, 1.0, 7))(
     lambda spark, sf: sp.random_cut_split(series_set(spark, sf, "supplier_daily"), 60, 10, 1.0, 7))
 
 
@@ -232,7 +189,7 @@ def _ctx_window(spark, sf):
     return sp.context_window(s, sp.random_cut_split(s, 60, 10, 2.0, 7), 64, 10)
 
 
-_CTX_SQL = S.context_window_sql(SUPP, _random_cuts_sql(SUPP, 60, 10, 2.0, 7), 64, 10)
+_CTX_SQL = S.context_window_sql(SUPP, S.random_cuts_sql(SUPP, 60, 10, 2.0, 7), 64, 10)
 register("context_window", f"""SELECT unique_id, window_id, forecast_start, cut, rel, ds, round(y, 6) AS y, is_pad, is_future
 FROM ({_CTX_SQL})""")(lambda spark, sf: r6(_ctx_window(spark, sf)))
 
@@ -248,7 +205,7 @@ FROM (SELECT unique_id, least(max(n), {L}) AS k FROM s GROUP BY 1) t, unnest(gen
 
 def _fixed_ctx(name, L):
     def q(spark, sf):
-        packed = agg.pack_series(series_set(spark, sf, name))
+        packed = agg.pack_series(fc.last_points(series_set(spark, sf, name), L))
         fx = sp.fixed_context(packed, L)
         z = fx.select("unique_id", F.posexplode(F.arrays_zip("context", "mask")).alias("pos", "_z"))
         return r6(z.select("unique_id", F.col("pos").cast("int").alias("pos"),
@@ -262,11 +219,10 @@ register("fixed_context_padded", _fixed_ctx_sql(EVT, 512))(_fixed_ctx("events_ty
 
 def _nonempty(spark, sf):
     d = ti.densify(series_set(spark, sf, "supplier_daily"))
-    w = sp.context_window(d, sp.random_cut_split(d, 4, 2, 3.0, 11), 4, 2)
-    return r6(sp.nonempty_context(w))
+    return r6(sp.context_window(d, sp.random_cut_split(d, 4, 2, 3.0, 11), 4, 2, nonempty=True))
 
 
-_NE_W = S.context_window_sql(S.densify_sql(SUPP), _random_cuts_sql(S.densify_sql(SUPP), 4, 2, 3.0, 11), 4, 2)
+_NE_W = S.context_window_sql(S.densify_sql(SUPP), S.random_cuts_sql(S.densify_sql(SUPP), 4, 2, 3.0, 11), 4, 2)
 register("nonempty_context", f"""SELECT unique_id, window_id, forecast_start, cut, rel, ds, round(y, 6) AS y, is_pad, is_future
 FROM ({_NE_W}) w
 WHERE window_id IN (SELECT window_id FROM ({_NE_W}) GROUP BY 1 HAVING count(CASE WHEN NOT is_future THEN y END) > 0)""")(_nonempty)
@@ -403,6 +359,26 @@ _SHUF_SQL = (f"SELECT unique_id, row_number() OVER (ORDER BY md5({sql_key(21, 'u
 register("global_shuffle", _SHUF_SQL)(_shuffled)
 
 
+def _shuffled_rows(spark, sf):
+    """Whole order rows in shuffled order: positions must hold whatever columns come along."""
+    return sa.global_shuffle(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"),
+                             21, key_cols=("o_orderkey",))
+
+
+_ROW_COLS = "o_orderkey, o_custkey, o_orderdate, o_orderpriority"
+_SHUF_ROWS_SQL = (f"SELECT {_ROW_COLS}, row_number() OVER (ORDER BY md5({sql_key(21, 'o_orderkey')}), o_orderkey) - 1 "
+                  "AS position FROM orders")
+register("global_shuffle_rows", _SHUF_ROWS_SQL)(_shuffled_rows)
+register("shard_assign_rows", f"""WITH s AS ({_SHUF_ROWS_SQL}), n AS (SELECT count(*) AS c FROM s)
+SELECT {_ROW_COLS}, position, CAST(k AS BIGINT) AS copy,
+       CAST((position + k * c) % 8 AS INTEGER) AS rank, CAST((position + k * c) // 8 AS BIGINT) AS rank_index
+FROM s, n, unnest(generate_series(0, CAST(floor((ceil(c / 8) * 8 - 1 - position) / c) AS BIGINT))) g(k)""")(
+    lambda spark, sf: sa.shard_assign(_shuffled_rows(spark, sf), 8, False))
+register("batch_assign_rows", f"""SELECT *, position // 128 AS batch, CAST(position % 128 AS INTEGER) AS batch_slot,
+  CAST(0 AS BIGINT) AS copy FROM ({_SHUF_ROWS_SQL})""")(
+    lambda spark, sf: sa.batch_assign(_shuffled_rows(spark, sf), 128))
+
+
 def _shard_sql(world, drop_last):
     total = f"(floor(c / {world}) * {world})" if drop_last else f"(ceil(c / {world}) * {world})"
     return f"""WITH s AS ({_SHUF_SQL}), n AS (SELECT count(*) AS c FROM s)
@@ -426,7 +402,7 @@ def _pack_seqs(spark, sf):
     s = series_set(spark, sf, "supplier_daily")
     seqs = s.groupBy("unique_id", F.date_format("ds", "yyyy-MM").alias("month")).agg(F.count(F.lit(1)).alias("length"))
     seqs = seqs.withColumn("seq", F.concat_ws("/", "unique_id", "month"))
-    return sa.pack_sequences(seqs, "seq", "length", max_length=64, shards=16)
+    return sa.pack_sequences(seqs, "seq", "length", shards=16, max_length=64)
 
 
 # next-fit is a sequential fold: the twin walks each shard's sequences in key
@@ -444,7 +420,8 @@ walk AS (
          CASE WHEN w.fill + c.length > 64 THEN 0 ELSE w.fill END,
          CASE WHEN w.fill + c.length > 64 THEN c.length ELSE w.fill + c.length END
   FROM walk w JOIN o c ON c.shard = w.shard AND c.rn = w.rn + 1)
-SELECT key, shard, bin, "offset", length, CAST(shard AS VARCHAR) || ':' || CAST(bin AS VARCHAR) AS bin_id FROM walk""")(_pack_seqs)
+SELECT key, shard, bin, "offset", length, CAST(shard AS VARCHAR) || ':' || CAST(bin AS VARCHAR) AS bin_id,
+  length > 64 AS oversize FROM walk""")(_pack_seqs)
 
 # ---------------------------------------------------------------- 2.8 joins
 register("concat_datasets", f"""SELECT unique_id, ds, round(y, 6) AS y, 'ship_daily' AS dataset FROM ({SHIP})
@@ -511,9 +488,9 @@ def _tok_wins_sql(causal: bool) -> str:
     return S.nonempty_sql(S.context_window_sql(src, cuts, TOK["context_length"], TOK["prediction_length"]))
 
 
-def _token_query(model_type):
+def _token_query(model_type, **more):
     def q(spark, sf):
-        t = tk.token_table(_dsupp(spark, sf), model_type=model_type, **TOK)
+        t = tk.token_table(_dsupp(spark, sf), model_type=model_type, **TOK, **more)
         inp = t.select("window_id", F.lit("input").alias("part"),
                        F.posexplode(F.arrays_zip("input_ids", "attention_mask")).alias("idx", "_z")).select(
             "window_id", "part", F.col("idx").cast("int").alias("idx"), F.col("_z.input_ids").alias("token"),
@@ -538,6 +515,21 @@ register("causal_token_table", S.token_rows_sql(_tok_wins_sql(True), TOK["contex
     _token_query("causal"))
 
 
+def _tok_mode_sql(mode: str) -> str:
+    src = S.observed_filter_sql(DSUPP, TOK["min_past"] + TOK["prediction_length"], TOK["max_missing_prop"])
+    h = TOK["prediction_length"] if mode == "validation" else 0
+    cut = f"n - {h}" if h else "n"
+    start = "max(CASE WHEN pos = n - %d THEN ds END)" % h if h else sql_add_steps("max(ds)", "1", "D")
+    cuts = f"""SELECT unique_id, CAST(max({cut}) AS INTEGER) AS cut, {start} AS forecast_start
+FROM ({S.positioned_sql(src)}) GROUP BY 1 HAVING max(n) > {h}"""
+    return S.token_rows_sql(S.nonempty_sql(S.context_window_sql(src, cuts, TOK["context_length"], h)),
+                            TOK["context_length"], h, "seq2seq")
+
+
+register("token_table_validation", _tok_mode_sql("validation"))(_token_query("seq2seq", mode="validation"))
+register("token_table_test", _tok_mode_sql("test"))(_token_query("seq2seq", mode="test"))
+
+
 def _decode(spark, sf):
     from tidecast.functions.tokens import token_id
     s = series_set(spark, sf, "ship_daily")
@@ -582,7 +574,7 @@ register("forecast_udf", S.forecast_points_sql(SHIP, "seasonal", "D", 10))(_udf_
 
 def _struct_q(spark, sf):
     packed = agg.pack_series(series_set(spark, sf, "supplier_daily"))
-    u = pl.forecast_struct_udf(pl.DriftClient, 12)
+    u = pl.forecast_struct_udf(pl.DriftClient, 12, context=None)
     return r6(sel.flatten_forecast(packed.select("unique_id", u(F.col("ds"), F.col("y")).alias("forecast"))))
 
 
@@ -767,9 +759,10 @@ def _online(spark, sf, prefix):
 
 register("online_forecast_stream", _SCORE_SQL)(
     lambda spark, sf: r6(sc.parse_replies(_online(spark, sf, "tidecast_online"))))
-register("payload_capture", f"SELECT DISTINCT request_id, true AS has_reply FROM ({_SCORE_SQL})")(
-    lambda spark, sf: _online(spark, sf, "tidecast_capture").select(
-        "request_id", F.col("reply").isNotNull().alias("has_reply")))
+register("payload_capture", f"""SELECT request_id, kind, count(*) AS n_values, round(sum(yhat), 4) AS total
+FROM ({_SCORE_SQL}) GROUP BY 1, 2""")(
+    lambda spark, sf: sc.parse_replies(_online(spark, sf, "tidecast_capture")).groupBy("request_id", "kind").agg(
+        F.count("yhat").alias("n_values"), F.round(F.sum("yhat"), 4).alias("total")))
 
 
 def _stream_daily(spark, sf):
@@ -863,7 +856,7 @@ register("series_from_facts_avg", """SELECT o_orderstatus AS unique_id,
   CAST(last_day(CAST(o_orderdate AS DATE)) AS TIMESTAMP) AS ds, round(avg(o_totalprice), 6) AS y
 FROM orders GROUP BY 1, 2""")(_facts_avg)
 
-register("fit_and_forecast_plugin", S.forecast_points_sql(S.last_points_sql(_FIT_SRC, 512), "drift", "D", 10))(
+register("fit_and_forecast_plugin", S.forecast_points_sql(_FIT_SRC, "drift", "D", 10))(
     lambda spark, sf: r6(fc.fit_and_forecast(series_set(spark, sf, "supplier_daily"), 10, 300, pl.Drift())))
 
 

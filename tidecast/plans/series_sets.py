@@ -21,6 +21,10 @@ SERIES_SETS = {
 }
 
 
+# the facts' values have two decimals; four are kept
+DECIMALS = 4
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver tables as a DataFrame."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -30,7 +34,7 @@ def series_set(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A named series set (see ``SERIES_SETS``) as a canonical long table."""
     tbl, id_col, ts_col, val, grain = SERIES_SETS[name]
     facts = table(spark, sf_dir, tbl)
-    return series_from_facts(facts, id_col, ts_col, val, "sum", grain)
+    return series_from_facts(facts, id_col, ts_col, val, "sum", grain, decimals=DECIMALS)
 
 
 def freq_of(name: str) -> str:
@@ -46,4 +50,4 @@ def series_set_sql(name: str) -> str:
     else:
         ds = f"CAST(last_day(CAST({ts_col} AS DATE)) AS TIMESTAMP)"
     return (f"SELECT CAST({id_col} AS VARCHAR) AS unique_id, {ds} AS ds, "
-            f"CAST(SUM({val}) AS DOUBLE) AS y FROM {tbl} GROUP BY 1, 2")
+            f"CAST(SUM(CAST({val} AS DECIMAL(18, {DECIMALS}))) AS DOUBLE) AS y FROM {tbl} GROUP BY 1, 2")

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,52 +43,33 @@ def ensure_namespace(spark: SparkSession, db: str, volume: str | None = None) ->
     _check_name(volume)
     loc = spark.sql(f"DESCRIBE DATABASE {db}").where("info_name = 'Location'").first()[1]
     path = f"{loc.rstrip('/')}/{volume}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    else:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
     return path
 
 
-def _default_location(spark: SparkSession, name: str) -> str:
-    """Where the session's catalog puts a managed table of this name."""
+def fresh_location(spark: SparkSession, name: str) -> str:
+    """A folder of its own for a new table, below the warehouse."""
     wh = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-    if "." in name:
-        db, tbl = name.split(".", 1)
-        if db != "default":
-            return f"{wh}/{db}.db/{tbl}"
-        name = tbl
-    return f"{wh}/{name}"
-
-
-def _purge_orphan_location(spark: SparkSession, name: str) -> None:
-    """A managed table's files can outlive a session whose catalog is not
-    persistent; remove such orphaned files so the table can be re-created
-    (this is what dropping the managed table would have done)."""
-    if spark.catalog.tableExists(name):
-        return
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(_default_location(spark, name))
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(p):
-        fs.delete(p, True)
+    return f"{wh}/{_check_name(name).replace('.', '.db/')}-{uuid.uuid4().hex[:12]}"
 
 
 def drop_if_exists(spark: SparkSession, name: str) -> None:
-    """``DROP TABLE IF EXISTS``, including files left at its managed location."""
+    """``DROP TABLE IF EXISTS``: a table that the catalog doesn't know, and any folder of its name, stay as they are."""
     spark.sql(f"DROP TABLE IF EXISTS {_check_name(name)}")
-    _purge_orphan_location(spark, name)
 
 
 def write_series_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
                        fmt: str = "parquet") -> DataFrame:
-    """Overwrite-save a managed table and read it back.
+    """Overwrite-save a table and read it back.
 
+    A table that the catalog knows is overwritten where it is; a new one gets
+    a fresh folder, so that files which lie at the name's default location
+    (another job's, or a lost catalog's) are neither read nor removed.
     ``partition_by`` (e.g. a month column) lets later scans prune partitions.
     """
-    _purge_orphan_location(df.sparkSession, _check_name(name))
+    spark = df.sparkSession
+    known = spark.catalog.tableExists(_check_name(name))
     if partition_by:
         # Range-partition on (partition columns, series id) before writing:
         # each task then covers a contiguous slice of one or two partition
@@ -99,5 +80,7 @@ def write_series_table(df: DataFrame, name: str, partition_by: list[str] | None
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.saveAsTable(_check_name(name))
-    return df.sparkSession.table(name)
+    if not known:
+        w = w.option("path", fresh_location(spark, name))
+    w.saveAsTable(name)
+    return spark.table(name)

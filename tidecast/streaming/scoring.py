@@ -11,7 +11,9 @@ Accepted request shapes (fixed formats of the serving contract):
   {"inputs": [v, ...]}            one context, horizon 10
   {"dataframe_split": {"columns": ["timestamp", "value"], "index": [...],
                        "data": [["YYYY-mm-dd HH:MM:SS", v], ...]},
-   "params": {"h": 20}}           one series with timestamps; h defaults to 12
+   "params": {"h": 20, "freq": "M", "finetune_steps": 5}}
+                                  one series with timestamps in any order; h
+                                  defaults to 12, freq to "D", steps to 0
 Replies: {"predictions": [[...], ...]} / {"predictions": [...]} /
 {"predictions": [{"timestamp": ..., "forecast": ...}, ...]}.  A row that
 matches no shape gets NULL reply and an ``error``.
@@ -19,6 +21,10 @@ matches no shape gets NULL reply and an ``error``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +32,8 @@ from pyspark.sql import types as T
 from tidecast import constants as C
 from tidecast.functions.calendar import add_steps
 from tidecast.functions.ranges import upto
-from tidecast.sources.tables import drop_if_exists
+from tidecast.session import ship_package
+from tidecast.sources.tables import drop_if_exists, fresh_location
 
 INPUTS_H = C.HORIZON
 SPLIT_H_DEFAULT = C.SPLIT_REQUEST_HORIZON
@@ -38,7 +45,8 @@ _SPLIT = T.StructType([
         T.StructField("columns", T.ArrayType(T.StringType())),
         T.StructField("index", T.ArrayType(T.LongType())),
         T.StructField("data", T.ArrayType(T.ArrayType(T.StringType())))])),
-    T.StructField("params", T.StructType([T.StructField("h", T.IntegerType())])),
+    T.StructField("params", T.StructType([T.StructField("h", T.IntegerType()), T.StructField("freq", T.StringType()),
+                                          T.StructField("finetune_steps", T.IntegerType())])),
 ])
 
 REQUEST_FILE_SCHEMA = T.StructType([T.StructField("request_id", T.StringType()),
@@ -67,6 +75,37 @@ def array_forecast(ctx: Column, h, model: str = "seasonal", season: int = 7) ->
     return F.when(n > 0, out)
 
 
+def _plugin_forecast(model):
+    """A plug-in (see ``operators.plugins``) over all contexts of a request: set up once per task.
+
+    A plug-in with a ``steps`` attribute gets the request's fine-tuning steps.
+    """
+    ship_package()
+
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
+    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        model.setup()
+        for contexts, horizons, steps in batches:
+            out = [None] * len(contexts)
+            # requests of one horizon and number of steps are predicted together
+            for (h, k), rows in pd.DataFrame({"h": horizons.to_numpy(), "k": steps.to_numpy()}).groupby(["h", "k"]).groups.items():
+                rows = [i for i in rows if contexts.iloc[i] is not None and h > 0]
+                flat = [np.asarray(c, dtype=float) if c is not None else np.zeros(0) for i in rows for c in contexts.iloc[i]]
+                if not flat:
+                    continue
+                if hasattr(model, "steps"):
+                    model.steps = int(k)
+                got = np.median(np.asarray(model.predict(flat, int(h), 1), dtype=float), axis=1)
+                at = 0
+                for i in rows:
+                    n = len(contexts.iloc[i])
+                    out[i] = [None if np.isnan(g).any() else g.tolist() for g in got[at:at + n]]
+                    at += n
+            yield pd.Series(out, index=contexts.index, dtype=object)
+
+    return run
+
+
 def score_requests(df: DataFrame, model: str = "seasonal", season: int = 7,
                    request_col: str = "request") -> DataFrame:
     """Add ``kind``, ``h``, ``reply`` (JSON) and ``error`` to request rows,
@@ -96,16 +135,24 @@ def score_requests(df: DataFrame, model: str = "seasonal", season: int = 7,
     raw_ts = F.transform(data, lambda row: F.when(has_cols, F.element_at(row, ts_i)))
     split_vals = F.transform(raw_vals, lambda v: v.try_cast("double"))
     split_ts = F.transform(raw_ts, lambda t: t.try_cast("timestamp_ntz"))
-    split_bad = (~has_cols | F.exists(F.arrays_zip(raw_vals.alias("r"), split_vals.alias("c")),
+    freq = F.coalesce(F.col("_sp.params.freq"), F.lit("D"))
+    # rows of a request may come in any order: (timestamp, value) pairs are sorted
+    ordered = F.transform(F.array_sort(F.arrays_zip(split_ts.alias("t"), split_vals.alias("v"))), lambda e: e["v"])
+    split_bad = (~has_cols | ~freq.isin("D", "M") | F.exists(F.arrays_zip(raw_vals.alias("r"), split_vals.alias("c")),
                                       lambda e: e["r"].isNotNull() & e["c"].isNull())
                  | F.exists(split_ts, lambda t: t.isNull()))
     contexts = (F.when(F.col("kind") == "inputs_batch", F.col("_b"))
                  .when(F.col("kind") == "inputs", F.array(F.col("_s")))
-                 .when(F.col("kind") == "dataframe_split", F.array(split_vals)))
-    x = x.withColumn("predictions", F.transform(contexts, lambda c: array_forecast(c, F.col("h"), model, season)))
+                 .when(F.col("kind") == "dataframe_split", F.array(ordered)))
+    if isinstance(model, str):
+        x = x.withColumn("predictions", F.transform(contexts, lambda c: array_forecast(c, F.col("h"), model, season)))
+    else:
+        steps = F.coalesce(F.col("_sp.params.finetune_steps"), F.lit(0))
+        x = x.withColumn("predictions", _plugin_forecast(model)(contexts, F.coalesce(F.col("h"), F.lit(0)), steps))
     last_ts = F.array_max(split_ts)
     x = x.withColumn("pred_ds", F.when(F.col("kind") == "dataframe_split", F.transform(
-        upto(F.lit(1), F.col("h")), lambda i: add_steps(last_ts, i, "D"))))
+        upto(F.lit(1), F.col("h")), lambda i: F.when(freq == "M", add_steps(last_ts, i, "M")).otherwise(
+            add_steps(last_ts, i, "D")))))
     split_reply = F.arrays_zip(F.transform("pred_ds", lambda t: F.date_format(t, "yyyy-MM-dd HH:mm:ss")).alias("timestamp"),
                                F.element_at("predictions", 1).alias("forecast"))
     reply = (F.when(F.col("kind") == "inputs_batch", F.to_json(F.struct(F.col("predictions").alias("predictions"))))
@@ -143,10 +190,12 @@ def payload_capture(scored: DataFrame, table: str, checkpoint: str,
                     request_col: str = "request", id_col: str = "request_id", once: bool = True):
     """Append request, reply, error and capture time to ``table`` from a
     streaming DataFrame; the checkpoint makes the sink exactly-once."""
-    out = scored.select(id_col, request_col, "reply", "error",
+    out = scored.select(id_col, request_col, "kind", "reply", "error",
                         F.current_timestamp().alias("captured_at"))
     w = (out.writeStream.format("parquet").outputMode("append")
             .option("checkpointLocation", checkpoint))
+    if not scored.sparkSession.catalog.tableExists(table):
+        w = w.option("path", fresh_location(scored.sparkSession, table))
     if once:
         w = w.trigger(availableNow=True)
     return w.toTable(table)
@@ -171,14 +220,13 @@ _R_SPLIT = T.StructType([T.StructField("predictions", T.ArrayType(T.StructType([
 
 def parse_replies(payload: DataFrame, id_col: str = "request_id") -> DataFrame:
     """Captured replies -> (request_id, kind, row, step, yhat), the same long
-    form as ``reply_rows`` (for reading a payload table back)."""
+    form as ``reply_rows`` (for reading a payload table back).  The payload's
+    ``kind`` tells a reply's shape; request ids may be any text."""
     r = F.col("reply")
     split = F.from_json(r, _R_SPLIT)["predictions"]
     batch = F.from_json(r, _R_BATCH)["predictions"]
     single = F.from_json(r, _R_SINGLE)["predictions"]
-    kind = (F.when(F.col(id_col).startswith("split:"), "dataframe_split")
-             .when(F.col(id_col).startswith("batch:"), "inputs_batch").otherwise("inputs"))
-    x = payload.where(r.isNotNull()).withColumn("kind", kind)
+    x = payload.where(r.isNotNull())
     preds = (F.when(F.col("kind") == "dataframe_split", F.array(F.transform(split, lambda e: e["forecast"])))
               .when(F.col("kind") == "inputs_batch", batch)
               .otherwise(F.array(single)))
