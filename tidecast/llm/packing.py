@@ -152,10 +152,18 @@ def pack(pieces: DataFrame, capacity: int = 1024, shard_pieces: int = SHARD_PIEC
         at = np.cumsum(counts) - counts
         out = out.assign(sequence_id=np.repeat(np.arange(len(bins)), counts) * shards + out["__shard"].to_numpy(),
                          offset=before - np.repeat(before[at], counts))
-        return out[[*cols, "sequence_id", "offset"]]
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+        return out[[*sent, "sequence_id", "offset"]]
+
+    # pandas has no nullable 64-bit integers on this way: nulls travel as flags
+    wide = [f.name for f in rows.schema.fields if f.dataType.typeName() == "long"]
+    for c in wide:
+        dealt = dealt.withColumn(f"__no_{c}", F.col(c).isNull()).withColumn(c, F.coalesce(F.col(c), F.lit(0)))
+    flags = [f"__no_{c}" for c in wide]
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema.fields
+                       if f.name in cols or f.name in flags)
+    sent = [f.name for f in dealt.schema.fields if f.name in cols or f.name in flags]
     placed = dealt.groupBy("__shard").applyInPandas(run, f"{fields}, sequence_id bigint, offset bigint")
+    placed = placed.withColumns({c: F.when(~F.col(f"__no_{c}"), F.col(c)) for c in wide}).drop(*flags)
     whole = (rows.where(n == capacity).withColumn("sequence_id", -1 - F.monotonically_increasing_id())
              .withColumn("offset", F.lit(0).cast("bigint")))
     return placed.unionByName(whole)

@@ -65,13 +65,12 @@ class _Cache:
         if len(self.new) + len(keys) > self.size:
             self.old, self.new = self.new, {}
         new, old, out = self.new, self.old, []
-        for k in keys:
-            if k not in new:
-                v = old.get(k)
-                if v is None:
-                    out.append(k)
-                else:
-                    new[k] = v
+        for k in set(keys).difference(new):
+            v = old.get(k)
+            if v is None:
+                out.append(k)
+            else:
+                new[k] = v
         return out
 
 
@@ -154,7 +153,13 @@ class Chunked:
             total = np.zeros(len(b) + 1, np.uint64)
             np.cumsum(table[b] * power[:len(b)], out=total[1:])
             hashes.append((total[end] - total[at]) * power[len(b) - at])      # all moved to one exponent
-        _, first, which = np.unique(hashes[0], return_index=True, return_inverse=True)
+        order = np.argsort(hashes[0])
+        fresh = np.empty(len(order), bool)
+        fresh[0] = True
+        np.not_equal(hashes[0][order[1:]], hashes[0][order[:-1]], out=fresh[1:])
+        first = order[fresh]                                  # one place of each distinct piece
+        which = np.empty(len(order), np.int64)
+        which[order] = np.cumsum(fresh) - 1
         same = (hashes[1] == hashes[1][first][which]).all()
         if not same:                                          # two pieces under one hash: never seen, but told apart
             return self._whole([r.decode() for r in raw])
