@@ -137,7 +137,7 @@ def test_rules_on_odd_tables(spark, odd, empty):
 
 
 def test_cascade_verdict_does_not_depend_on_order(spark, odd):
-    names = lambda ordered: sorted(map(str, odd.select("doc_id", rules.first_broken(rules.text_of(F.col("text")), ordered).isNull()).collect()))
+    names = lambda ordered: sorted(map(str, odd.select("doc_id", rules.first_broken(rules.text_of(F.col("text")), ordered).isNull().alias("ok")).collect()))
     every = rules.BASE + rules.MORE
     assert names(every) == names(tuple(reversed(every)))
     ranked = rules.order_rules(odd)
