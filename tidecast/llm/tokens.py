@@ -61,11 +61,11 @@ class _Cache:
         self.size, self.new, self.old = size, {}, {}
 
     def missing(self, keys: list) -> list:
-        """Bring the known ones of ``keys`` into the new generation; the others."""
+        """Bring the known ones of ``keys`` (no key twice) into the new generation; the others."""
         if len(self.new) + len(keys) > self.size:
             self.old, self.new = self.new, {}
         new, old, out = self.new, self.old, []
-        for k in set(keys).difference(new):
+        for k in [k for k in keys if k not in new]:
             v = old.get(k)
             if v is None:
                 out.append(k)
@@ -148,6 +148,11 @@ class Chunked:
         start = np.cumsum(size) - size
         b, at = self._cuts(np.frombuffer(b"".join(raw), np.uint8), start[size > 0])
         end = np.append(at[1:], len(b))
+        if not self.keeps_space:                              # white space gives no ids
+            words = ~_SPACE[b[at]]
+            at, end = at[words], end[words]
+            if not len(at):
+                return [b""] * len(raw)
         hashes = []
         for table, power in zip((_T1, _T2), _powers(len(b))):
             total = np.zeros(len(b) + 1, np.uint64)
@@ -165,9 +170,6 @@ class Chunked:
             return self._whole([r.decode() for r in raw])
         text = b.tobytes()
         pieces = [text[x:y] for x, y in zip(at[first].tolist(), end[first].tolist())]
-        if not self.keeps_space:
-            pieces = [b"" if _SPACE[p[0]] else p for p in pieces]
-            self.cache.new[b""] = b""
         self._learn(pieces)
         found = list(map(self.cache.new.__getitem__, pieces))
         w = self.dtype.itemsize
