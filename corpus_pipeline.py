@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.llm import crf, packing, repeats, rules, simhash
-from tidecast.llm.common import documents, prepare, stored
+from tidecast.llm.common import columns_of, documents, prepare, stored
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +33,7 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes that 400 bytes found elsewhere cover leave the texts; n_chars follows."""
-    return repeats.remove(docs).withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    return repeats.remove(docs).withColumn("n_chars", F.length("text").cast("bigint")).select(*columns_of(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

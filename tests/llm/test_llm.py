@@ -462,6 +462,46 @@ def test_pipeline_stages(spark):
     assert sums == {i: len(x) + 1 for i, x in ids.items()}
 
 
+def test_stages_pass_columns_of_any_name(spark):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    names = ["_n", "__n", "a.b", "c`d", "__score", "__broken", "__id", "__th", "__a", "fp", "component_id", "rank", "node"]
+    docs = common.documents(spark, SF).where("doc_id < 60")
+    more = docs.withColumns({c: F.col("doc_id") + k for k, c in enumerate(names)}).withColumn(
+        "m", F.create_map(F.lit("k"), F.col("doc_id")))
+    for keep in (lambda d: crf.not_toxic(d, labels), rules.kept, simhash.keep_one, repeats.remove):
+        want, got = keep(docs), keep(more)
+        assert got.columns == more.columns
+        assert sorted(map(str, want.collect())) == sorted(str(r) for r in got.select(*docs.columns).collect())
+        assert all(r["a.b"] == r.doc_id + 2 and r["m"] == {"k": r.doc_id} for r in got.collect())
+
+
+def test_packing_passes_columns_of_any_name(spark):
+    rows = spark.createDataFrame([(i, 1 + i % 700, i, i, "x") for i in range(50)], "doc_id int, length int, __shard int, __tie int, offset string")
+    got = packing.pack(rows).collect()
+    assert sorted((r["__shard"], r["__tie"]) for r in got) == [(i, i) for i in range(50)]
+
+
+def test_samples_stay_bounded_where_an_id_repeats(spark):
+    docs = spark.createDataFrame([(i % 2, f"text {i}") for i in range(400)], "doc_id int, text string")
+    labels = spark.createDataFrame([(i % 2, i % 2) for i in range(40)], "doc_id int, toxic int")
+    got = common.train_rows(docs, labels, "toxic", 5, 100).collect()
+    fitted = [i for i in (0, 1) if zlib.crc32(str(i).encode()) % 5]
+    assert sorted((r.text, r.label) for r in got) == [(f"text {i}", i) for i in fitted]
+
+
+@pytest.mark.parametrize("size", [0, 40])
+def test_full_caches_change_no_ids(texts, monkeypatch, size):
+    some = [texts[i] or "" for i in sorted(texts)[:40]] + ["y" * 5000, "y" * 5000 + " z"]
+    monkeypatch.setattr(tokens, "CACHE_BYTES", size)
+    monkeypatch.setattr(bpe, "CACHE_CHARS", size)
+    tok = tokens.Chunked(P.path("word_bpe_49k.json"), False)
+    one = bpe.ByteBPE(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    for lo in range(0, len(some), 5):
+        part = some[lo:lo + 5]
+        assert tok.encode(part) == tok._whole(part)
+        assert [one.decode(ids) for ids, _ in one.encode(part)] == [t.encode() for t in part]
+
+
 def test_pipeline_takes_an_empty_table(spark):
     docs = common.documents(spark, SF).where("false")
     for _, stage in corpus_pipeline.STAGES:

@@ -39,8 +39,8 @@ LATER = (
 _LATER = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in LATER) + "]")
 #: Longer pieces are merged with a heap instead of a matrix row, which would cost the square of the length.
 MATRIX_BYTES = 256
-#: Entries of a Python worker's piece cache; it is emptied when full.
-CACHE = 400_000
+#: Entries and characters of a Python worker's piece cache; it is emptied when full.
+CACHE, CACHE_CHARS = 400_000, 16_000_000
 #: Cells of one padded matrix.
 CELLS = 1 << 19
 
@@ -104,6 +104,7 @@ class ByteBPE:
         self.pairs = PairTable(self.ranks)
         self.byte_id = np.array([self.ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
         self.cache: dict[str, tuple[bytes, str]] = {}
+        self.held = 0                                      # characters in the cache
 
     def merge(self, pieces: list[bytes]) -> list[list[int]]:
         """Ids of each piece."""
@@ -192,9 +193,10 @@ class ByteBPE:
     def learn(self, pieces: set[str]) -> None:
         """Put pieces into the cache: little-endian ids, and their decimal form."""
         new = [p for p in pieces if p not in self.cache]
-        if len(self.cache) + len(new) > CACHE:
+        if len(self.cache) + len(new) > CACHE or self.held > CACHE_CHARS:
             self.cache.clear()
-            new = list(pieces)
+            new, self.held = list(pieces), 0
+        self.held += sum(map(len, new))
         for p, ids in zip(new, self.merge([p.encode("utf-8", "surrogatepass") for p in new])):
             self.cache[p] = (np.array(ids, "<u4").tobytes(), ",".join(map(str, ids)))
 

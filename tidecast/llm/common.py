@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from tidecast.functions.materialize import materialize
 from tidecast.session import ensure_checkpoint_dir, scratch_path, ship_package
 
-__all__ = ["BATCH_BYTES", "blocks_of", "documents", "ensure_checkpoint_dir", "held_out", "materialize",
-           "prepare", "scratch_path", "stored", "train_rows", "utf8"]
+__all__ = ["BATCH_BYTES", "blocks_of", "columns_of", "documents", "ensure_checkpoint_dir", "fresh", "held_out",
+           "materialize", "prepare", "scratch_path", "stored", "train_rows", "utf8"]
 
 #: Rows of whole texts go to Python in Arrow batches of at most this many bytes.
 ARROW_BYTES = 8 << 20
@@ -43,6 +43,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def columns_of(df: DataFrame) -> list["F.Column"]:
+    """All columns of ``df``, whatever signs their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """For each of ``names`` a name that no column of ``df`` has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
 def held_out(doc_id) -> "F.Column":
     """True for the rows that no classifier learns from: crc32(doc_id as text) mod 5 is 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -56,7 +71,7 @@ def train_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int, max_ch
     id, and only texts of at most ``max_chars`` characters: so the sample is
     bounded by 2 * rows * max_chars whatever the corpus holds.  Rows with a
     null id or label take no part; of several labels for an id the largest
-    counts.
+    counts, of several texts the smallest, so a repeated id adds no rows.
     """
     lab = (labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("label"))
            .where("_id IS NOT NULL AND label IN (0, 1)").where(~held_out(F.col("_id")))
@@ -67,7 +82,8 @@ def train_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int, max_ch
     order = [F.xxhash64("_id"), F.col("_id")]
     picked = [ids.where(F.col("label") == v).dropDuplicates(["_id"]).orderBy(*order).limit(rows) for v in (0, 1)]
     sample = picked[0].unionByName(picked[1])
-    return text.where(F.length("text") <= max_chars).join(F.broadcast(sample), "_id").select("_id", "text", "label")
+    return text.where(F.length("text") <= max_chars).join(F.broadcast(sample), "_id").groupBy("_id").agg(
+        F.min("text").alias("text"), F.first("label").alias("label"))
 
 
 def utf8(texts) -> list[bytes]:

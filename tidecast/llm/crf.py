@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import blocks_of, held_out, prepare, train_rows
+from tidecast.llm.common import blocks_of, columns_of, fresh, held_out, prepare, train_rows
 
 TOKEN = re.compile(r"[^\W_]+")
 #: Rows of each label value that the field is fitted on, and characters of a row.
@@ -370,8 +370,11 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id_col:
 
 
 def not_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, with their columns; a model is fitted on ``labels``."""
+    """The rows of ``docs`` that score below ``threshold``, with their columns, whatever their names.
+
+    The model is fitted on ``labels``.
+    """
     prepare(docs.sparkSession)
-    cols = docs.columns
+    at, = fresh(docs, "__score")
     model = fit(docs, labels)
-    return docs.withColumn("__score", score(F.col("text"), model)).where(F.col("__score") < threshold).select(*cols)
+    return docs.withColumn(at, score(F.col("text"), model)).where(F.col(at) < threshold).select(*columns_of(docs))

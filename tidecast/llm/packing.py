@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import blocks_of, prepare, stored
+from tidecast.llm.common import blocks_of, columns_of, fresh, prepare, stored
 from tidecast.llm.tokens import chunked
 
 #: Pieces that one task packs together, about.
@@ -129,19 +129,21 @@ def pack(pieces: DataFrame, capacity: int = 1024, shard_pieces: int = SHARD_PIEC
     sequence_id or offset are replaced.  The pieces are materialised first.
     """
     prepare(pieces.sparkSession)
-    cols = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
-    rows = stored(pieces.select(*cols), "pieces")
+    pieces = pieces.drop("sequence_id", "offset")
+    cols = pieces.columns
+    rows = stored(pieces, "pieces")
     n = F.col(length_col)
     total, bad = rows.agg(F.count_if(n < capacity), F.count_if(n.isNull() | (n < 1) | (n > capacity))).first()
     if bad:
         raise ValueError(f"{bad} pieces have no length between 1 and {capacity}")
     shards = max(1, round(total / shard_pieces))
-    place = F.xxhash64(*cols, F.monotonically_increasing_id())       # fixed: the stored files are read in one way
-    dealt = (rows.withColumn("__shard", F.pmod(place, F.lit(shards)).cast("int")).withColumn("__tie", place)
+    shard, tie = fresh(rows, "__shard", "__tie")
+    place = F.xxhash64(*columns_of(rows), F.monotonically_increasing_id())       # fixed: the stored files are read in one way
+    dealt = (rows.withColumn(shard, F.pmod(place, F.lit(shards)).cast("int")).withColumn(tie, place)
              .where(n < capacity))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([length_col, "__tie"], kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values([length_col, tie], kind="stable").reset_index(drop=True)
         lengths = pdf[length_col].to_numpy().astype(np.int64)
         bins = local_search(best_fit(lengths, capacity), lengths, capacity)
         counts = np.fromiter(map(len, bins), np.int64, len(bins))
@@ -150,7 +152,7 @@ def pack(pieces: DataFrame, capacity: int = 1024, shard_pieces: int = SHARD_PIEC
         before = np.cumsum(size) - size
         out = pdf.iloc[order]
         at = np.cumsum(counts) - counts
-        out = out.assign(sequence_id=np.repeat(np.arange(len(bins)), counts) * shards + out["__shard"].to_numpy(),
+        out = out.assign(sequence_id=np.repeat(np.arange(len(bins)), counts) * shards + out[shard].to_numpy(),
                          offset=before - np.repeat(before[at], counts))
         return out[[*sent, "sequence_id", "offset"]]
 
@@ -162,7 +164,7 @@ def pack(pieces: DataFrame, capacity: int = 1024, shard_pieces: int = SHARD_PIEC
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema.fields
                        if f.name in cols or f.name in flags)
     sent = [f.name for f in dealt.schema.fields if f.name in cols or f.name in flags]
-    placed = dealt.groupBy("__shard").applyInPandas(run, f"{fields}, sequence_id bigint, offset bigint")
+    placed = dealt.groupBy(shard).applyInPandas(run, f"{fields}, sequence_id bigint, offset bigint")
     placed = placed.withColumns({c: F.when(~F.col(f"__no_{c}"), F.col(c)) for c in wide}).drop(*flags)
     whole = (rows.where(n == capacity).withColumn("sequence_id", -1 - F.monotonically_increasing_id())
              .withColumn("offset", F.lit(0).cast("bigint")))

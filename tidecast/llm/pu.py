@@ -154,8 +154,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, max_chars: int
 
     Trusted positives: rows labelled 1 outside the held-out fold; unlabelled:
     rows without a label.  At most ``rows`` of each, in the order of a hash of
-    the id, of texts of at most ``max_chars`` characters.  Only features go to
-    the driver.
+    the id, of texts of at most ``max_chars`` characters; of several texts
+    under an id the smallest counts.  Only features go to the driver.
     """
     text = docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("text")) \
         .where("_id IS NOT NULL").where(F.length("text") <= max_chars)
@@ -165,7 +165,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, max_chars: int
     order = [F.xxhash64("_id"), F.col("_id")]
     pos = ids.join(trusted, "_id", "left_semi").orderBy(*order).limit(rows).withColumn("pos", F.lit(True))
     unl = ids.join(lab, "_id", "left_anti").orderBy(*order).limit(rows).withColumn("pos", F.lit(False))
-    sample = text.join(F.broadcast(pos.unionByName(unl)), "_id")
+    sample = text.join(F.broadcast(pos.unionByName(unl)), "_id").groupBy("_id").agg(
+        F.min("text").alias("text"), F.first("pos").alias("pos"))
 
     @F.pandas_udf("array<double>")
     def described(s: pd.Series) -> pd.Series:

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import blocks_of, prepare, ragged_ranges, stored, utf8
+from tidecast.llm.common import blocks_of, columns_of, fresh, prepare, ragged_ranges, stored, utf8
 
 #: Bytes of the string that must occur elsewhere.
 LENGTH = 400
@@ -337,12 +337,13 @@ def merged(a, b) -> list[tuple[int, int]]:
     return out
 
 
-def _with_spans(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataFrame:
-    """Every row of ``docs`` with the columns __a and __b (null where nothing repeats)."""
+def _with_spans(docs: DataFrame, length: int, id_col: str, text_col: str) -> tuple[DataFrame, str, str]:
+    """Every row of ``docs`` with two more columns, starts and ends (null where nothing repeats), and their names."""
+    i, th, a, b = fresh(docs, "__id", "__th", "__a", "__b")
     spans = repeated_spans(docs, length, id_col=id_col, text_col=text_col).select(
-        F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("a").alias("__a"), F.col("b").alias("__b"))
-    on = F.col("__id").eqNullSafe(F.col(id_col).cast("bigint")) & (F.col("__th") == F.xxhash64(F.col(text_col)))
-    return docs.join(spans, on, "left").drop("__id", "__th")
+        F.col("doc_id").alias(i), F.col("th").alias(th), F.col("a").alias(a), F.col("b").alias(b))
+    on = F.col(i).eqNullSafe(F.col(id_col).cast("bigint")) & (F.col(th) == F.xxhash64(F.col(text_col)))
+    return docs.join(spans, on, "left").drop(i, th), a, b
 
 
 def report(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -369,12 +370,12 @@ def report(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_c
             out.append((len(t), sum(hi - lo for lo, hi in cut), len(cut), kept.hexdigest()))
         return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return _with_spans(rows, length, "doc_id", "text").select(
-        "doc_id", digest("text", "__a", "__b").alias("d")).select("doc_id", "d.*")
+    found, a, b = _with_spans(rows, length, "doc_id", "text")
+    return found.select("doc_id", digest("text", a, b).alias("d")).select("doc_id", "d.*")
 
 
 def remove(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the repeated bytes taken out of the text; all rows and other columns stay.
+    """``docs`` with the repeated bytes taken out of the text; all rows and other columns stay, whatever their names.
 
     What a removed range leaves of a character that it cuts is dropped with it.
     """
@@ -391,6 +392,6 @@ def remove(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_c
             out.append("".join([*parts, t[at:].decode("utf-8", "ignore")]))
         return pd.Series(out, dtype=object)
 
-    found = _with_spans(docs, length, id_col, text_col)
-    return found.withColumn(text_col, F.when(F.col("__a").isNull(), F.col(text_col))
-                            .otherwise(keep(text_col, "__a", "__b"))).select(*docs.columns)
+    found, a, b = _with_spans(docs, length, id_col, text_col)
+    return found.withColumn(text_col, F.when(F.col(a).isNull(), F.col(text_col))
+                            .otherwise(keep(text_col, a, b))).select(*columns_of(docs))

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import materialize
+from tidecast.llm.common import columns_of, fresh, materialize
 
 #: White space that separates words (fixed by the word definition ``[^\x20\x09-\x0D]+``).
 SPACE = r"[ \t-\r]+"
@@ -159,9 +159,9 @@ def cascade(docs: DataFrame, rules=BASE + MORE, text_col: str = "text", into: st
 
 
 def kept(docs: DataFrame, rules=BASE + MORE, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that no rule rejects, with their columns."""
-    cols = docs.columns
-    return cascade(docs, rules, text_col, "__broken").where("__broken IS NULL").select(*cols)
+    """The rows of ``docs`` that no rule rejects, with their columns, whatever their names."""
+    broken, = fresh(docs, "__broken")
+    return cascade(docs, rules, text_col, broken).where(F.col(broken).isNull()).select(*columns_of(docs))
 
 
 def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import materialize, prepare, stored, utf8
+from tidecast.llm.common import columns_of, fresh, materialize, prepare, stored, utf8
 
 BITS = 64
 SEED = 42
@@ -189,11 +189,15 @@ def near_duplicates(docs: DataFrame, words: int = 3, distance: int = 3, id_col:
 def keep_one(docs: DataFrame, words: int = 3, distance: int = 3) -> DataFrame:
     """The rows of ``docs`` of which one of each near-duplicate component stays: that with the smallest doc_id.
 
-    Of repeated rows with that id one stays.  Rows without an id stay.
+    Of repeated rows with that id one stays, the smallest by a hash of the
+    text.  Rows without an id stay.  Other columns pass, whatever their names.
     """
-    cols = docs.columns
+    n, = fresh(docs, "__n")
+    cols = columns_of(docs)
     found = near_duplicates(docs, words, distance).where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(found, "doc_id", "left_semi").select(*cols)
-    one = kept.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*cols)))) \
-        .where("_n = 1").drop("_n")
+    # columns of maps have no hash
+    order = [c for c, (_, t) in zip(cols, docs.dtypes) if "map<" not in t]
+    one = kept.withColumn(n, F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.xxhash64(*order)))) \
+        .where(F.col(n) == 1).select(*cols)
     return one.unionByName(docs.where("doc_id IS NULL"))

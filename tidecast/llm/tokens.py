@@ -14,8 +14,8 @@ import re
 
 import numpy as np
 
-#: Entries of a worker's piece cache; a full one becomes the old generation, from which pieces in use come back.
-CACHE = 500_000
+#: Entries and bytes of a worker's piece cache; a full one becomes the old generation, from which pieces in use come back.
+CACHE, CACHE_BYTES = 500_000, 16 << 20
 #: Characters from which a text is encoded whole, so that the tables of a block stay small.
 LONG = 1 << 22
 #: White space beyond ASCII and control characters, on which vocabularies differ: such texts are encoded whole.
@@ -58,14 +58,16 @@ class _Cache:
     """A dictionary of two generations."""
 
     def __init__(self, size: int):
-        self.size, self.new, self.old = size, {}, {}
+        self.size, self.new, self.old, self.held = size, {}, {}, 0
 
     def missing(self, keys: list) -> list:
         """Bring the known ones of ``keys`` (no key twice) into the new generation; the others."""
-        if len(self.new) + len(keys) > self.size:
-            self.old, self.new = self.new, {}
+        if len(self.new) + len(keys) > self.size or self.held > CACHE_BYTES:
+            self.old, self.new, self.held = self.new, {}, 0
         new, old, out = self.new, self.old, []
-        for k in [k for k in keys if k not in new]:
+        fresh = [k for k in keys if k not in new]
+        self.held += sum(map(len, fresh))
+        for k in fresh:
             v = old.get(k)
             if v is None:
                 out.append(k)
