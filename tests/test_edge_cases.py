@@ -14,6 +14,7 @@ from tidecast.operators import aggregate as agg
 from tidecast.operators import forecast as fc
 from tidecast.operators import missing as ms
 from tidecast.operators import plugins as pl
+from tidecast.operators import registry as rg
 from tidecast.operators import sampling as sa
 from tidecast.operators import select as sel
 from tidecast.operators import splits as sp
@@ -420,3 +421,23 @@ def test_pack_sequences_does_not_depend_on_partitions(spark):
         out.append(sorted(map(tuple, sa.pack_sequences(df, "k", "length", shards=5, max_length=64).collect())))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert out[0] == out[1] and any(r[-1] for r in out[0])
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from tidecast.session import ensure_checkpoint_dir
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://host"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master)))
+
+
+def test_registry_append_keeps_what_is_stored(spark):
+    from tidecast.sources import tables as tb
+    tb.drop_if_exists(spark, "append_registry")
+    rows = spark.createDataFrame([("m", "1", '{"slope":0.5,"intercept":1.25,"n":7,"context":null}')], "name string, version string, params string")
+    rg.registry_append(rows, "append_registry")
+    got = rg.registry_append(rows.withColumn("version", F.lit("2")), "append_registry")
+    assert sorted((r.version, r.slope, r.intercept, r.n) for r in got.collect()) == [("1", 0.5, 1.25, 7), ("2", 0.5, 1.25, 7)]
+    tb.drop_if_exists(spark, "append_registry")

@@ -18,6 +18,7 @@ from tidecast.functions.calendar import add_steps, month_end
 from tidecast.functions.ranges import positive
 from tidecast.operators.forecast import last_points
 from tidecast.schema import DS, ID, Y
+from tidecast.sources.tables import fresh_location
 
 PARAMS = T.StructType([T.StructField("slope", T.DoubleType()), T.StructField("intercept", T.DoubleType()),
                        T.StructField("n", T.LongType()), T.StructField("context", T.IntegerType())])
@@ -74,6 +75,21 @@ def registry_history(df: DataFrame, name: str = "pooled_ar1") -> DataFrame:
                     F.col("month").alias("trained_through"))
 
 
+def registry_append(fit: DataFrame, table: str) -> DataFrame:
+    """Append fitted versions to the registry table ``table``, which is made where the catalog lacks it.
+
+    Returns the whole registry, read back: name, version, params and the
+    parameters as columns.
+    """
+    spark = fit.sparkSession
+    w = fit.select("name", "version", "params").write.mode("append").format("parquet")
+    if not spark.catalog.tableExists(table):
+        w = w.option("path", fresh_location(spark, table))
+    w.saveAsTable(table)
+    rows = spark.table(table).select("name", "version", "params", F.from_json("params", PARAMS).alias("_p"))
+    return rows.select("name", "version", "params", "_p.slope", "_p.intercept", "_p.n")
+
+
 def registry_score(df: DataFrame, registry: DataFrame, name: str, h: int, freq: str = "D",
                    context: int = C.CONTEXT_LENGTH) -> DataFrame:
     """Score every series with the newest version of ``name``.

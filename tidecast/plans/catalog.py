@@ -665,6 +665,22 @@ register("next_run", f"""SELECT coalesce(max({_RUN_N}), -1) + 1 AS next_run,
   'runs/run-' || CAST(coalesce(max({_RUN_N}), -1) + 1 AS VARCHAR) AS next_path FROM ({_LISTING})""")(
     lambda spark, sf: agg.next_run(md.run_listing(_metrics(spark, sf)), base_dir="runs"))
 
+_VERSIONS = f"SELECT max(CAST(version AS BIGINT)) AS v FROM ({_REG_SQL})"
+
+
+def _version_folders(spark, sf):
+    """Names of the folders that the registry's versions are written to, one a month of data."""
+    out = scratch_path(spark, "versions")
+    _registry(spark, sf).write.partitionBy("version").parquet(out)
+    return md.written_folders(spark, out)
+
+
+register("latest_run_folders", f"SELECT v AS latest_run FROM ({_VERSIONS})")(
+    lambda spark, sf: agg.latest_run(_version_folders(spark, sf), "version", "="))
+register("next_run_folders", f"""SELECT v + 1 AS next_run, 'runs/version=' || CAST(v + 1 AS VARCHAR) AS next_path
+FROM ({_VERSIONS})""")(
+    lambda spark, sf: agg.next_run(_version_folders(spark, sf), "version", "=", base_dir="runs"))
+
 register("mean_abs_scale", f"""SELECT window_id, round(CASE WHEN avg(abs(y)) > 0 THEN avg(abs(y)) ELSE 1.0 END, 6) AS scale
 FROM ({_ship_windows_sql()}) WHERE NOT is_future GROUP BY 1""")(
     lambda spark, sf: r6(agg.mean_abs_scale(ship_windows(spark, sf))))
@@ -747,6 +763,18 @@ register("score_requests", _SCORE_SQL)(
     lambda spark, sf: r6(sc.reply_rows(sc.score_requests(_requests(spark, sf)))))
 
 
+_WHOLE_SQL = f"""WITH src AS ({SUPP}),
+c AS (SELECT unique_id, arg_max(y, ds) AS z, CASE WHEN count(*) > 1 THEN (arg_max(y, ds) - arg_min(y, ds)) / (count(*) - 1) ELSE 0 END AS b
+      FROM src GROUP BY 1)
+SELECT 'single:' || unique_id AS request_id, 'inputs' AS kind, 0 AS row, CAST(s AS INTEGER) AS step, round(z + b * s, 6) AS yhat
+FROM c, range(1, 11) t(s)
+UNION ALL
+SELECT 'split:' || unique_id, 'dataframe_split', 0, CAST(s AS INTEGER), round(z + b * s, 6) FROM c, range(1, 21) t(s)"""
+
+register("score_requests_whole", _WHOLE_SQL)(lambda spark, sf: r6(sc.reply_rows(sc.score_requests(
+    requests_from_series(series_set(spark, sf, "supplier_daily"), whole=True).where("request_id NOT LIKE 'batch:%'"), "drift"))))
+
+
 def _online(spark, sf, prefix):
     """Each query owns its payload table, so building one query never replaces
     the table another, not yet executed, query reads."""
@@ -765,16 +793,28 @@ FROM ({_SCORE_SQL}) GROUP BY 1, 2""")(
         F.count("yhat").alias("n_values"), F.round(F.sum("yhat"), 4).alias("total")))
 
 
-def _stream_daily(spark, sf):
+def _run_stream_daily(spark, sf):
+    """(emitted days, checkpoint folder) of one bounded run over all events."""
     ev = table(spark, sf, "events")
     src = spark.readStream.schema(ev.schema).option("basePath", sf).parquet(f"{sf.rstrip('/')}/events.parq*")
     out, ck = scratch_path(spark, "daily-out"), scratch_path(spark, "daily-ckpt")
     q = (ss.stream_daily_series(src, "1 day").writeStream.format("parquet").outputMode("append")
            .option("checkpointLocation", ck).trigger(availableNow=True).start(out))
     q.awaitTermination()
-    return r6(spark.read.parquet(out))
+    return spark.read.parquet(out), ck
 
 
+def _stream_daily(spark, sf):
+    return r6(_run_stream_daily(spark, sf)[0])
+
+
+def _stream_daily_all(spark, sf):
+    """Emitted days and the days still open when the run ends."""
+    emitted, checkpoint = _run_stream_daily(spark, sf)
+    return r6(emitted.unionByName(ss.open_days(spark, checkpoint)))
+
+
+register("stream_daily_series_all", f"SELECT unique_id, ds, round(y, 6) AS y FROM ({EVT})")(_stream_daily_all)
 register("stream_daily_series", f"""SELECT unique_id, ds, round(y, 6) AS y FROM ({EVT})
 WHERE ds + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""")(_stream_daily)
 
@@ -888,10 +928,23 @@ def _pooled_next(spark, sf):
     return r6(rg.pooled_fit(s, 512, "pooled_ar1_supplier", registry=reg).drop("params"))
 
 
-register("pooled_fit_next_version", f"""SELECT 'pooled_ar1_supplier' AS name,
+_NEXT_SQL = f"""SELECT 'pooled_ar1_supplier' AS name,
   CAST((SELECT max(CAST(version AS INTEGER)) FROM ({_REG_SQL})) + 1 AS VARCHAR) AS version,
   round(regr_slope(y_, x_), 6) AS slope, round(regr_intercept(y_, x_), 6) AS intercept, CAST(regr_count(y_, x_) AS BIGINT) AS n
-FROM ({S.scaled_pairs_sql(S.last_points_sql(SUPP, 512))})""")(_pooled_next)
+FROM ({S.scaled_pairs_sql(S.last_points_sql(SUPP, 512))})"""
+register("pooled_fit_next_version", _NEXT_SQL)(_pooled_next)
+
+
+def _registry_append(spark, sf):
+    """The history stored, the next version fitted against the stored registry and stored too, all read back."""
+    s = series_set(spark, sf, "supplier_daily")
+    tb.drop_if_exists(spark, "tidecast_registry")
+    stored = rg.registry_append(rg.registry_history(s, "pooled_ar1_supplier"), "tidecast_registry")
+    return r6(rg.registry_append(rg.pooled_fit(s, 512, "pooled_ar1_supplier", registry=stored), "tidecast_registry").drop("params"))
+
+
+register("registry_append", f"""SELECT name, version, round(slope, 6) AS slope, round(intercept, 6) AS intercept, n
+FROM ({_REG_SQL}) UNION ALL {_NEXT_SQL}""")(_registry_append)
 
 
 # ---------------------------------------------------------------- the preparation flow (rows 10 + 18 / 19)

@@ -8,13 +8,14 @@ stopping) run on tables whose size grows with the data:
 * ``backtest_metrics``: rolling-origin validation of the built-in
   forecasters; run = model, epoch = validation window, metric = val/MSE and
   val/MAE (the validation curve a training run logs per epoch).
+* ``written_folders``: the names of folders that hold files, read from disk.
 * ``run_listing``: the run folders such a sweep leaves (``run-<epoch>``), plus
   per-model log files that do not match the run pattern.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.operators import forecast as fc
@@ -52,6 +53,12 @@ def backtest_metrics(df: DataFrame, dataset: str, h: int, windows: int, context:
                       .alias("_m")).select("run", "epoch", "_m.metric", "_m.value")
 
 
+def written_folders(spark: SparkSession, path: str) -> DataFrame:
+    """Names of the folders below ``path`` that hold files, one per row; file contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    return files.select(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("path")).distinct()
+
+
 def run_listing(metrics: DataFrame) -> DataFrame:
     """The run folders (``run-<epoch>``) and log files such a sweep leaves, one path per row."""
     runs = metrics.select(F.concat(F.lit("run-"), F.col("epoch").cast("string")).alias("path"))

@@ -17,16 +17,18 @@ CONTEXT = 52
 BATCH = 5
 
 
-def requests_from_series(df: DataFrame, split_h: int = 20) -> DataFrame:
-    """(request_id, request) rows: 'single:<id>' (last 52 values),
+def requests_from_series(df: DataFrame, split_h: int = 20, whole: bool = False) -> DataFrame:
+    """(request_id, request) rows; with ``whole`` the single and split requests
+    hold the whole series instead of its last 52 points: 'single:<id>' (last 52 values),
     'batch:<id>' (5 consecutive 52-value windows ending at the last point,
     series with at least 260 points) and 'split:<id>' (dataframe_split of the
     last 52 points with params.h = ``split_h``)."""
     p = pack_series(df).withColumn("_n", F.size("y"))
-    last = F.slice("y", F.greatest(F.col("_n") - CONTEXT + 1, F.lit(1)), CONTEXT)
+    n = F.col("_n") if whole else F.least(F.col("_n"), F.lit(CONTEXT))
+    last = F.slice("y", F.col("_n") - n + 1, n)
     wins = F.transform(F.sequence(F.lit(0), F.lit(BATCH - 1)),
                        lambda r: F.slice("y", F.col("_n") - F.lit(CONTEXT) * (F.lit(BATCH) - r) + 1, CONTEXT))
-    ts = F.slice("ds", F.greatest(F.col("_n") - CONTEXT + 1, F.lit(1)), CONTEXT)
+    ts = F.slice("ds", F.col("_n") - n + 1, n)
     rows = F.transform(F.arrays_zip(ts.alias("t"), last.alias("v")), lambda e: F.concat(
         F.lit('["'), F.date_format(e["t"], "yyyy-MM-dd HH:mm:ss"), F.lit('",'),
         F.coalesce(e["v"].cast("string"), F.lit("null")), F.lit("]")))

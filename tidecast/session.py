@@ -39,11 +39,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only set our own
-    (under /tmp) when it is unset, which happens in local tests.
+    The cluster names it in ``spark.checkpoint.dir``.  Where it is unset a
+    ``local[...]`` session gets one of its own under /tmp; on a cluster that
+    folder would not be shared, so there it is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = f"/tmp/tidecast-checkpoints-{uuid.uuid4().hex[:8]}"
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -27,8 +27,25 @@ def stream_daily_series(stream: DataFrame, delay: str = "1 day", id_col: str = "
                       F.col(value_col).alias("_v"))
     agg = (x.withWatermark("_t", delay).groupBy(F.window("_t", "1 day"), ID)
              .agg(F.sum("_v").cast("double").alias(Y)))
-    day = F.date_from_unix_date(F.floor(F.unix_micros(F.col("window.start")) / F.lit(86_400_000_000)).cast("int"))
-    return agg.select(ID, day.cast("timestamp_ntz").alias(DS), Y)
+    return agg.select(ID, _day(F.col("window.start")).alias(DS), Y)
+
+
+def open_days(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The days that a stopped ``stream_daily_series`` query still holds in its state: (unique_id, ds, y so far).
+
+    The rows come from the state store below ``checkpoint``.  After a bounded
+    run they complete what the query has emitted: a day is in one of the two.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    total = state.schema["value"].dataType.fieldNames()[0]          # the only buffer: the day's sum
+    return state.select(F.col(f"key.{ID}").alias(ID), _day(F.col("key.window.start")).alias(DS),
+                        F.col(f"value.`{total}`").cast("double").alias(Y))
+
+
+def _day(start):
+    """Day of a window's start, in UTC, as TIMESTAMP_NTZ."""
+    days = F.floor(F.unix_micros(start) / F.lit(86_400_000_000)).cast("int")
+    return F.date_from_unix_date(days).cast("timestamp_ntz")
 
 
 def wall_clock_instant(c):
