@@ -398,6 +398,24 @@ def test_keep_one_of_each_group(odd):
     assert 1 in ids and 2 not in ids and 3 not in ids and 5 in ids and 6 not in ids
 
 
+def test_keep_one_keeps_a_row_of_every_component_where_ids_repeat_or_are_null(spark):
+    rng = np.random.default_rng(11)
+    base = [" ".join(rng.choice([f"w{k}" for k in range(900)], 60)) for _ in range(12)]
+    rows = [(5, base[0]), (5, base[1]), (3, base[2]), (5, base[2]), (None, base[3]), (None, base[3]), (None, base[3] + " "),
+            (8, base[4]), (None, base[4]), (None, base[5]), (6, base[6]), (6, base[6]), (4, base[6]), (None, None), (None, " ")]
+    rows += [(9, b) for b in base[7:]] + [(7, b) for b in base[7:9]]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id bigint, text string, place int").repartition(4)
+    # each group of this table is a text, up to white space
+    want = {}
+    for i, t in rows:
+        t = (t or "").strip()
+        want[t] = min(want.get(t, (True, 0)), (i is None, i or 0))
+    kept = simhash.keep_one(docs)
+    got = [((r.text or "").strip(), (r.doc_id is None, r.doc_id or 0)) for r in kept.collect()]
+    assert kept.columns == docs.columns and sorted(got) == sorted(want.items())
+    assert simhash.keep_one(docs.drop("place")).count() == len(want)       # rows that agree in every column
+
+
 # ---------------------------------------------------------------- 9: neighbours
 def test_neighbours_recall_and_scores(spark):
     sf = "/root/testdata/sf0.01"

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.llm.common import columns_of, fresh, materialize, prepare, stored, utf8
@@ -43,12 +43,17 @@ def fingerprint(text: bytes, words: int = 3) -> int:
 def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp bigint) of every row; null and blank texts get 0."""
     prepare(docs.sparkSession)
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), _fingerprint(words)(text_col).alias("fp"))
+
+
+def _fingerprint(words: int):
+    """The fingerprint (bigint) of a column of texts."""
 
     @F.pandas_udf("bigint")
     def run(text: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, words) for t in utf8(text)], dtype=np.uint64).view(np.int64))
 
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), run(text_col).alias("fp"))
+    return run
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:
@@ -176,28 +181,39 @@ def near_duplicates(docs: DataFrame, words: int = 3, distance: int = 3, id_col:
     other columns of ``docs`` are not read.
     """
     fp = stored(fingerprints(docs, words, id_col, text_col), "simhash")
-    classes = fp.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    found = components(links(classes.select("fp"), distance))
-    placed = classes.join(found, classes.fp == found.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    placed = _rooted(fp.groupBy("fp").agg(F.min("doc_id").alias("least")), distance)
     root = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     labelled = materialize(placed.join(root, "root").select("fp", "component_id"))
     return fp.join(labelled, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                                           "component_id")
 
 
+def _rooted(classes: DataFrame, distance: int) -> DataFrame:
+    """(fp, least, root): each distinct fingerprint's row with the smallest fingerprint of its component."""
+    found = components(links(classes.select("fp"), distance))
+    return classes.join(found, classes.fp == found.node, "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def keep_one(docs: DataFrame, words: int = 3, distance: int = 3) -> DataFrame:
-    """The rows of ``docs`` of which one of each near-duplicate component stays: that with the smallest doc_id.
+    """The rows of ``docs`` of which exactly one of each near-duplicate component stays, whatever ids repeat or are null.
 
-    Of repeated rows with that id one stays, the smallest by a hash of the
-    text.  Rows without an id stay.  Other columns pass, whatever their names.
+    It is the row with the smallest doc_id, null after all others; of rows
+    that share it the smallest by a hash of the text, then of the whole row.
+    Rows are told apart by a number of their own, not by their id.  Other
+    columns pass, whatever their names.
     """
-    n, = fresh(docs, "__n")
+    prepare(docs.sparkSession)
+    n, key, fp = fresh(docs, "__n", "__key", "__fp")
     cols = columns_of(docs)
-    found = near_duplicates(docs, words, distance).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(found, "doc_id", "left_semi").select(*cols)
     # columns of maps have no hash
     order = [c for c, (_, t) in zip(cols, docs.dtypes) if "map<" not in t]
-    one = kept.withColumn(n, F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.xxhash64(*order)))) \
-        .where(F.col(n) == 1).select(*cols)
-    return one.unionByName(docs.where("doc_id IS NULL"))
+    least = F.struct(F.col("doc_id").isNull().alias("gone"), F.col("doc_id").cast("bigint").alias("doc_id"),
+                     F.xxhash64("text").alias("text"), F.xxhash64(*order).alias("row"))
+    # one file holds the texts and the keys: a row's number stays the same in both reads
+    rows = stored(docs.select(*cols, _fingerprint(words)("text").alias(fp), least.alias(key),
+                              F.monotonically_increasing_id().alias(n)), "simhash-rows")
+    keys = rows.select(F.col(fp).alias("fp"), F.struct(f"{key}.*", F.col(n).alias("n")).alias("key"))
+    placed = _rooted(keys.groupBy("fp").agg(F.min("key").alias("least")), distance)
+    kept = placed.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.n").alias(n))
+    return rows.join(kept, n, "left_semi").select(*cols)
