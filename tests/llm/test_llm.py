@@ -246,6 +246,25 @@ def test_chunked_encoding_equals_the_library(texts, name, keeps):
     assert got == whole(P.path(name), some)
 
 
+def test_names_of_special_tokens_in_token_files_and_packing(spark):
+    from tokenizers import Tokenizer
+    rng = np.random.default_rng(12)
+    parts = ["a", "The", "é", " ", "\n", "|", "<", ">", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "1"]
+    some = ["a <|endoftext|> b", "plain text"] + ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(some)), "doc_id bigint, text string").repartition(3)
+    plain = lambda n: [e.ids for e in Tokenizer.from_file(P.path(n)).encode_batch(some, add_special_tokens=False)]
+    out = tokenfiles.write_files(docs, P.path("word_bpe_49k.json"), tokenfiles.new_folder(spark), False, 1, 49_408)
+    want = plain("word_bpe_49k.json")
+    assert want[0] == [320, 49407, 321]
+    assert {r.doc_id: r.ids for r in tokenfiles.read_ids(spark, out).collect()} == {i: x + [1] for i, x in enumerate(want)}
+    want = plain("byte_bpe_50k.json")
+    assert want[0] == [64, 220, 50256, 275]
+    got = packing.token_pieces(docs, P.path("byte_bpe_50k.json"), 2, with_ids=True).collect()
+    assert {r.doc_id: r.ids for r in got} == {i: x + [2] for i, x in enumerate(want)}
+    counts = {r.doc_id: r.n_tokens for r in separators.token_counts(docs, P.path("byte_bpe_50k.json"), 50_256).collect()}
+    assert counts == {i: len(x) for i, x in enumerate(whole(P.path("byte_bpe_50k.json"), some))}
+
+
 def test_huffman_code_is_optimal_and_limited():
     rng = np.random.default_rng(6)
     counts = (rng.zipf(1.3, 3000) % 10**6) * rng.integers(0, 2, 3000)

@@ -185,7 +185,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int = 1024,
 
     @F.pandas_udf(fields)
     def run(s: pd.Series) -> pd.DataFrame:
-        tok = chunked(path, True)
+        tok = chunked(path, True, named=True)
         end = np.array([end_id], tok.dtype).tobytes()
         texts, out = [t if isinstance(t, str) else "" for t in s], []
         for part in blocks_of(list(map(len, texts))):

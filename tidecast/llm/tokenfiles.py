@@ -159,7 +159,7 @@ def sorted_ids(docs: DataFrame, path: str, keeps_space: bool, end_id: int, id_co
     bounds = np.array(_bounds(docs, id_col, text_col), np.int64)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tok = chunked(path, keeps_space)
+        tok = chunked(path, keeps_space, named=True)
         end = np.array([end_id], tok.dtype).tobytes()
         squeeze = zstandard.ZstdCompressor(level=1).compress
         for b in batches:

@@ -77,13 +77,20 @@ class _Cache:
 
 
 class Chunked:
-    """Ids of texts, equal to encoding each text whole without special tokens."""
+    """Ids of texts, equal to encoding each text whole and adding no special tokens.
 
-    def __init__(self, path: str, keeps_space: bool):
+    A special token's name inside a text is text like any other; with ``named`` it is that token, as by the
+    library's defaults, and texts that hold a name are encoded whole.
+    """
+
+    def __init__(self, path: str, keeps_space: bool, named: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = not named
+        # one sought after a normalizer counts as found in every text
+        self.names = ["" if t.normalized else t.content
+                      for t in self.tok.get_added_tokens_decoder().values()] if named else []
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         # a vocabulary that drops white space folds case too
         self.keeps_space = keeps_space
@@ -189,7 +196,7 @@ class Chunked:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text (``dtype``)."""
-        odd = [i for i, t in enumerate(texts) if len(t) > LONG or _ODD.search(t)]
+        odd = [i for i, t in enumerate(texts) if len(t) > LONG or _ODD.search(t) or any(n in t for n in self.names)]
         out: list = [b""] * len(texts)
         for i in odd:
             out[i] = self._whole([texts[i]])[0]
@@ -202,6 +209,6 @@ class Chunked:
 
 
 @functools.lru_cache(maxsize=2)
-def chunked(path: str, keeps_space: bool) -> Chunked:
+def chunked(path: str, keeps_space: bool, named: bool = False) -> Chunked:
     """One encoder for a Python worker."""
-    return Chunked(path, keeps_space)
+    return Chunked(path, keeps_space, named)
