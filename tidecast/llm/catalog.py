@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, with production parameters over their whole tables."""
+"""Registered queries of the dealt operators, with production parameters over their whole tables."""
 
 from __future__ import annotations
 
@@ -8,8 +8,8 @@ import public_tokenizers as vocabularies
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-from tidecast.llm import ann, bpe, crf, packing, pu, repeats, rules, separators, simhash, tokenfiles
+from tidecast.llm import (ann, bitplanes, bpe, crf, packing, periods, pu, repeats, rules, separators, simhash,
+                          tokenfiles)
 from tidecast.llm.common import documents, prepare
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -72,9 +72,24 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separators.token_counts(documents(spark, sf_dir), vocabularies.path(BYTE_BPE), end_id=50_256)
 
 
+def op12_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster and exact squared distance of every vector after three rounds over 16 centroids."""
+    return bitplanes.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=16, rounds=3, seed=1, scale=64.0)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document and digests of its collapsed text."""
+    return periods.report(documents(spark, sf_dir))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline over ``documents``."""
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_pu_quality, op2_rule_cascade, op3_repeat_removal, op4_byte_bpe, op5_token_files, op6_packing, op7_simhash,
-    op8_crf_toxicity, op9_learned_partitions, op10_token_counts)} | {"pipeline": corpus_pipeline.run}
+    op8_crf_toxicity, op9_learned_partitions, op10_token_counts, op12_bit_planes, op13_periodic_runs, pipeline)}
 
-ORACLE: dict[str, str] = {"op2_rule_cascade": rules.SQL} | (
-    {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+ORACLE: dict[str, str] = {"op2_rule_cascade": rules.SQL, "op12_bit_planes": bitplanes.sql(k=16, rounds=3, seed=1)}
