@@ -8,7 +8,7 @@ import public_tokenizers as vocabularies
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm import (ann, bitplanes, bpe, crf, packing, periods, pu, repeats, rules, separators, simhash,
+from tidecast.llm import (ann, bitplanes, bpe, crf, lm, packing, periods, pu, repeats, rules, separators, simhash,
                           tokenfiles)
 from tidecast.llm.common import documents, prepare
 
@@ -72,6 +72,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separators.token_counts(documents(spark, sf_dir), vocabularies.path(BYTE_BPE), end_id=50_256)
 
 
+def op11_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability by the attention model and by add-one word counts."""
+    return lm.score(documents(spark, sf_dir), vocabularies.path(BYTE_BPE), end=50_256, vocabulary=50_257)
+
+
 def op12_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster and exact squared distance of every vector after three rounds over 16 centroids."""
     return bitplanes.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=16, rounds=3, seed=1, scale=64.0)
@@ -90,6 +95,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_pu_quality, op2_rule_cascade, op3_repeat_removal, op4_byte_bpe, op5_token_files, op6_packing, op7_simhash,
-    op8_crf_toxicity, op9_learned_partitions, op10_token_counts, op12_bit_planes, op13_periodic_runs, pipeline)}
+    op8_crf_toxicity, op9_learned_partitions, op10_token_counts, op11_attention_lm, op12_bit_planes, op13_periodic_runs,
+    pipeline)}
 
 ORACLE: dict[str, str] = {"op2_rule_cascade": rules.SQL, "op12_bit_planes": bitplanes.sql(k=16, rounds=3, seed=1)}
