@@ -13,6 +13,7 @@ from tidecast.llm import (ann, bitplanes, bpe, crf, lm, packing, periods, pu, re
 from tidecast.llm.common import documents, prepare
 
 BYTE_BPE = "byte_bpe_50k.json"
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
 MULTI_BPE = "byte_bpe_multi_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
 
@@ -74,7 +75,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's log10 probability by the attention model and by add-one word counts."""
-    return lm.score(documents(spark, sf_dir), vocabularies.path(BYTE_BPE), end=50_256, vocabulary=50_257)
+    return lm.score(documents(spark, sf_dir), vocabularies.path(BYTE_RANKS), vocabularies.PATTERN, end=50_256,
+                    vocabulary=50_257)
 
 
 def op12_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
