@@ -544,3 +544,38 @@ def test_pipeline_takes_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = common.stored(stage(spark, docs, SF), "test-empty")
         assert docs.count() == 0
+
+
+def test_marks_counted_in_spark_are_those_of_the_plain_count(spark):
+    rows = [(t, int(y)) for t, _, y, held in labelled(spark) if y is not None and t and not held]
+    texts, toxic = [t for t, _ in rows], np.array([y for _, y in rows])
+    want = crf.token_labels([crf._lower_words(t) for t in texts], toxic)
+    got = crf.marks_of(spark.createDataFrame(rows, "text string, label int").repartition(5))
+    assert want and got == want
+
+
+def test_field_fitted_in_blocks_is_that_of_one_block(monkeypatch):
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(60)]
+    made = [" ".join([*rng.choice(words, int(rng.integers(0, 40))), *(["vile"] if k % 3 == 0 else [])]) for k in range(60)]
+    toxic = np.array([int(k % 3 == 0) for k in range(60)])
+    whole = crf.train_field(made, toxic, {"w:vile"})
+    monkeypatch.setattr(crf, "TRAIN_BLOCK", 100)
+    parts = crf.train_field(made, toxic, {"w:vile"})
+    assert np.allclose(whole.trans, parts.trans) and np.allclose(whole.scale, parts.scale) and whole.bias == pytest.approx(parts.bias)
+    assert whole.weights == pytest.approx(parts.weights)
+
+
+def test_toxic_texts_are_found_not_only_clean_ones_passed(spark):
+    sf = "/root/testdata/sf0.01"
+    got = E.queries()["op8_crf_toxicity"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
+    toxic = [r for r in got if r.toxic == 1]
+    # a constant answer finds none, or flags every clean text
+    assert np.mean([r.predicted for r in toxic]) >= 0.6 and np.mean([r.predicted for r in got if r.toxic == 0]) <= 0.05
+
+
+def test_score_and_tag_cut_tokens_alike():
+    field = crf.train_field(["vile İstanbul x" if k % 2 else "plain words here" for k in range(60)],
+                            np.array([k % 2 for k in range(60)]))
+    texts = ["İİ vile İstanbul", "ﬁne ǅ words", ""]
+    assert np.allclose(crf.tag(field, texts)[0], crf.score_texts(field, texts))

@@ -10,6 +10,7 @@ offending spans and, through a small calibrated map, its score.
 from __future__ import annotations
 
 import functools
+import hashlib
 import pickle
 import re
 from collections import Counter
@@ -20,13 +21,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import blocks_of, columns_of, fresh, held_out, prepare, train_rows
+from tidecast.llm.common import blocks_of, columns_of, fresh, held_out, prepare, stored, train_rows
 
 TOKEN = re.compile(r"[^\W_]+")
 #: Rows of each label value that the field is fitted on, and characters of a row.
 TRAIN_ROWS, TRAIN_CHARS = 600, 6_000
 #: Rows of each label value from which tokens are labelled.
 LABEL_ROWS = 5_000
+#: Tokens of the texts that the recursions hold at once while the field is fitted.
+TRAIN_BLOCK = 50_000
 #: Tokens that the recursions walk in step.
 CHUNK = 64
 #: Entries of a worker's cache of emissions; it is emptied when full.
@@ -205,27 +208,37 @@ def summaries(p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return out
 
 
-def train_field(texts: list[str], toxic: np.ndarray, rows: int = TRAIN_ROWS, rounds: int = 40, rate: float = 0.5,
-                l2: float = 1e-5) -> Field:
+def _lower_words(text: str) -> list[str]:
+    """The tokens of a text, cut before they are lower-cased."""
+    return [w.lower() for w in TOKEN.findall(text)]
+
+
+def train_field(texts: list[str], toxic: np.ndarray, marks: set[str] | None = None, rows: int = TRAIN_ROWS,
+                rounds: int = 40, rate: float = 0.5, l2: float = 1e-5) -> Field:
     """Fit the CRF by gradient ascent of the conditional likelihood of the labelled tokens.
 
-    Tokens are labelled from all the texts; the field is fitted on the first ``rows`` of each label.
+    A token of a toxic text is toxic if it has one of ``marks`` (by default
+    those of these texts); the field is fitted on the first ``rows`` of each
+    label.  The recursions walk blocks of texts, so that their arrays stay
+    small however many texts there are.
     """
-    split = [[w.lower() for w in TOKEN.findall(t)] for t in texts]
-    marks = token_labels(split, toxic)
+    if marks is None:
+        marks = token_labels([_lower_words(t) for t in texts], toxic)
     use = np.sort(np.concatenate([np.flatnonzero(toxic == v)[:rows] for v in (0, 1)]))
-    split, toxic = [split[i] for i in use], toxic[use]
+    toxic = toxic[use]
     vocab: dict[str, int] = {}
-    feats: dict[str, int] = {}
-    docs_with = Counter(f for s in split for f in {f for w in set(s) for f in features(w)})
-    word_of, lengths = [], np.array([len(s) for s in split], np.int64)
-    for s in split:
-        word_of += [vocab.setdefault(w, len(vocab)) for w in s]
-    word_of = np.array(word_of, np.int64)
+    split = []
+    for i in use:
+        split.append(np.array([vocab.setdefault(w, len(vocab)) for w in _lower_words(texts[i])], np.int32))
+    lengths = np.array(list(map(len, split)), np.int64)
+    word_of = np.concatenate(split).astype(np.int64) if split else np.zeros(0, np.int64)
     # features of fewer than three texts share one weight, which stays zero
-    feats[""] = 0
-    rows = np.array([[feats.setdefault(f, len(feats)) if docs_with[f] > 2 else 0 for f in features(w)] for w in vocab],
-                    np.int64).reshape(-1, 7)
+    feats: dict[str, int] = {"": 0}
+    rows = np.array([[feats.setdefault(f, len(feats)) for f in features(w)] for w in vocab], np.int64).reshape(-1, 7)
+    docs_with = np.zeros(len(feats), np.int64)
+    for s in split:
+        docs_with[np.unique(rows[np.unique(s)])] += 1
+    rows[docs_with[rows] < 3] = 0
     marked = np.array([any(f in marks for f in features(w)[:5]) for w in vocab], bool)
     y = marked[word_of] & np.repeat(toxic.astype(bool), lengths) if len(word_of) else np.zeros(0, bool)
     n = max(1, len(y))
@@ -237,16 +250,28 @@ def train_field(texts: list[str], toxic: np.ndarray, rows: int = TRAIN_ROWS, rou
     i = np.flatnonzero(inner)
     want = np.zeros((2, 2))
     np.add.at(want, (y[i - 1].astype(int), y[i].astype(int)), 1)
+    parts = list(blocks_of(lengths.tolist(), TRAIN_BLOCK))
+
+    def walk(emission: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+        """(tokens, their texts' lengths, marginals, expected transitions) of each block of texts."""
+        for part in parts:
+            at = slice(int(first[part.start]), int(first[part.stop - 1] + lengths[part.stop - 1]))
+            p, xi = marginals(emission[word_of[at]], lengths[part], trans, begin)
+            yield at, lengths[part], p, xi
+
     # ascent with a step per weight (accumulated squares)
     acc_w, acc_t, acc_b = np.full(len(feats), 1e-8), np.full((2, 2), 1e-8), 1e-8
     for _ in range(rounds if len(y) else 0):
-        emit = (w[rows].sum(1) + bias)[word_of]
-        p, xi = marginals(emit, lengths, trans, begin)
-        miss = np.bincount(word_of, y - p, minlength=len(vocab))
+        miss, got, over = np.zeros(len(vocab)), np.zeros((2, 2)), 0.0
+        for at, _, p, xi in walk(w[rows].sum(1) + bias):
+            off = y[at] - p
+            miss += np.bincount(word_of[at], off, minlength=len(vocab))
+            got += xi
+            over += float(off.sum())
         g = np.bincount(rows.ravel(), np.repeat(miss, rows.shape[1]), minlength=len(feats)) / n - l2 * w
         g[0] = 0.0
-        gt = (want - xi) / n - l2 * trans
-        gb = float((y - p).sum() / n)
+        gt = (want - got) / n - l2 * trans
+        gb = over / n
         acc_w += g * g
         acc_t += gt * gt
         acc_b += gb * gb
@@ -254,9 +279,8 @@ def train_field(texts: list[str], toxic: np.ndarray, rows: int = TRAIN_ROWS, rou
         trans += 0.2 * rate * gt / np.sqrt(acc_t)
         bias += rate * gb / np.sqrt(acc_b)
     # calibration of the documents' summaries by logistic regression
-    emit = (w[rows].sum(1) + bias)[word_of] if len(y) else np.zeros(0)
-    x = summaries(marginals(emit, lengths, trans, begin)[0], lengths)
-    x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
+    found = [summaries(p, size) for _, size, p, _ in walk(w[rows].sum(1) + bias)] if len(lengths) else []
+    x = np.concatenate([np.concatenate(found), np.ones((len(lengths), 1))], axis=1) if found else np.zeros((0, 4))
     c, acc = np.zeros(4), np.full(4, 1e-8)
     for _ in range(400):
         g = x.T @ (toxic - 1 / (1 + np.exp(-x @ c))) / max(1, len(x)) - 1e-4 * c
@@ -266,18 +290,81 @@ def train_field(texts: list[str], toxic: np.ndarray, rows: int = TRAIN_ROWS, rou
     return Field(keep, trans, begin, bias, c)
 
 
+def _marking(words: list[str]) -> set[str]:
+    """The features of a text that may mark: words of four letters or more, beginnings of four or more."""
+    return {f for w in set(words) for f in features(w)[:5] if len(f) >= 6}
+
+
+def marks_of(sample: DataFrame, evidence: float = 12.0, lead: float = 0.3) -> set[str]:
+    """:func:`token_labels` of a table (text, label), counted in Spark.
+
+    Each task counts the features of its texts; a round brings only the
+    features over the evidence to the driver, and the texts stay where they are.
+    """
+    spark = prepare(sample.sparkSession)
+
+    @F.pandas_udf("string")
+    def copy(text: pd.Series) -> pd.Series:
+        return pd.Series([hashlib.sha256(" ".join(_lower_words(t)).encode("utf-8", "surrogatepass")).hexdigest()
+                          for t in text])
+
+    bad = stored(sample.where("label = 1").select("text", copy("text").alias("copy"))
+                 .groupBy("copy").agg(F.min("text").alias("text")).drop("copy"), "crf-toxic")
+    good = sample.where("label = 0").select("text")
+    n1, n0 = bad.count(), good.count()
+    if not n1 or not n0:
+        return set()
+
+    def counted(known: set[str]):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            got: Counter = Counter()
+            for b in batches:
+                for t in b["text"]:
+                    words = _lower_words(t)
+                    if known:
+                        # a text with two marked tokens is explained
+                        mine = {w for w in set(words) if any(f in known for f in features(w)[:5])}
+                        if sum(w in mine for w in words) >= 2:
+                            continue
+                    got.update(_marking(words))
+            yield pd.DataFrame({"f": list(got.keys()), "n": list(got.values())})
+        return run
+
+    first = bad.mapInPandas(counted(set()), "f string, n bigint").groupBy("f").agg(F.sum("n").alias("n")).where("n > 2")
+    against = good.mapInPandas(counted(set()), "f string, n bigint").groupBy("f").agg(F.sum("n").alias("against"))
+    may = stored(first.join(against, "f", "left").select("f", F.coalesce("against", F.lit(0)).alias("against")), "crf-counts")
+    share = n1 / (n1 + n0)
+    out: set[str] = set()
+    while True:
+        n = F.col("n") + F.col("against")
+        p = F.least(F.col("n") / n, F.lit(1 - 1e-9))
+        ratio = F.col("n") * F.log(p / share) + F.col("against") * F.log((1 - p) / (1 - share))
+        seen = bad.mapInPandas(counted(out), "f string, n bigint").groupBy("f").agg(F.sum("n").alias("n"))
+        over = seen.join(may, "f").where(p > max(0.5, share)).select("f", ratio.alias("r")).where(F.col("r") > evidence)
+        new = {r.f: r.r for r in over.collect() if r.f not in out}
+        if not new:
+            return out
+        best = max(new.values())
+        out |= {f for f, r in new.items() if r >= lead * best}
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = LABEL_ROWS, max_chars: int = TRAIN_CHARS,
         id_col: str = "doc_id", text_col: str = "text") -> bytes | None:
     """A trained field, pickled, from a bounded sample of the labelled rows outside the held-out fold.
 
-    Without a row of each label value there is nothing to learn: None.
+    Tokens are labelled from counts over at most ``rows`` rows of each label;
+    only the TRAIN_ROWS of each that the field is fitted on come to the
+    driver.  Without a row of each label value there is nothing to learn: None.
     """
-    sample = train_rows(docs, labels, "toxic", rows, max_chars, id_col, text_col)
-    got = sorted(sample.collect())                        # bounded: rows * 2 texts of max_chars characters
+    sample = stored(train_rows(docs, labels, "toxic", rows, max_chars, id_col, text_col), "crf-sample")
+    got = []
+    for v in (0, 1):                                      # bounded: TRAIN_ROWS * 2 texts of max_chars characters
+        got += sample.where(F.col("label") == v).orderBy("_id", "text").limit(TRAIN_ROWS).collect()
     toxic = np.array([r.label for r in got])
     if not len(got) or toxic.min() == toxic.max():
         return None
-    return pickle.dumps(train_field([r.text for r in got], toxic))
+    marks = marks_of(sample.select("text", "label"))
+    return pickle.dumps(train_field([r.text for r in got], toxic, marks))
 
 
 @functools.lru_cache(maxsize=2)
@@ -312,7 +399,7 @@ def _scores(field: Field, p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def score_texts(field: Field, texts: list[str]) -> np.ndarray:
     """Scores alone, without offsets."""
-    split = [TOKEN.findall(t.lower()) for t in texts]
+    split = [_lower_words(t) for t in texts]
     lengths = np.array([len(s) for s in split], np.int64)
     emit = field.emissions([w for s in split for w in s])
     return _scores(field, marginals(emit, lengths, field.trans, field.begin)[0], lengths)
@@ -361,7 +448,13 @@ def spans(docs: DataFrame, model: bytes | None, id_col: str = "doc_id", text_col
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row of ``docs`` by its whole text."""
+    """(doc_id, held_out, score, predicted) of every row of ``docs`` by its whole text.
+
+    Null, empty and blank texts are scored as texts without tokens; repeated
+    rows are scored alike; a null id is never held out nor learned from; an
+    empty table gives no rows; without labels of both values every score is
+    0; other columns are not read.
+    """
     prepare(docs.sparkSession)
     model = fit(docs, labels, id_col=id_col, text_col=text_col)
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"),
@@ -372,7 +465,9 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id_col:
 def not_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, with their columns, whatever their names.
 
-    The model is fitted on ``labels``.
+    The model is fitted on ``labels``; without labels of both values every
+    row stays, as do null, empty and blank texts that score below.  Repeated
+    rows stay or go together; an empty table gives no rows.
     """
     prepare(docs.sparkSession)
     at, = fresh(docs, "__score")
