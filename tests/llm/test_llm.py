@@ -579,3 +579,40 @@ def test_score_and_tag_cut_tokens_alike():
                             np.array([k % 2 for k in range(60)]))
     texts = ["İİ vile İstanbul", "ﬁne ǅ words", ""]
     assert np.allclose(crf.tag(field, texts)[0], crf.score_texts(field, texts))
+
+
+def test_search_empties_bins_of_a_poor_start():
+    rng = np.random.default_rng(8)
+    lengths = rng.integers(20, 700, 1500)
+    start, room = [], []                                   # next fit in the order of arrival
+    for i, n in enumerate(lengths.tolist()):
+        if not start or room[-1] < n:
+            start.append([])
+            room.append(1024)
+        start[-1].append(i)
+        room[-1] -= n
+    before = [list(b) for b in start]
+    found = packing.local_search(start, lengths, 1024)
+    assert sorted(i for b in found for i in b) == list(range(1500))
+    assert all(lengths[b].sum() <= 1024 for b in found)
+    squares = lambda bins: sum(int(lengths[b].sum()) ** 2 for b in bins)
+    assert squares(found) > squares(before) and len(found) < 0.9 * len(before)
+    assert len(found) >= packing.fewest(lengths, 1024)
+
+
+def test_packing_keeps_columns_of_any_name_and_type(spark):
+    df = spark.createDataFrame([(i, None if i % 3 else 2**60 + i, i, None, 1 + i % 50, [i]) for i in range(200)],
+                               "`a.b` bigint, `__no_doc_id` bigint, doc_id bigint, `__row` string, length int, `x y` array<int>")
+    got = packing.pack(df, capacity=64, shard_pieces=50)
+    assert got.columns == [*df.columns, "sequence_id", "offset"] and got.drop("sequence_id", "offset").exceptAll(df).count() == 0
+    rows = got.collect()
+    assert len(rows) == 200
+    by: dict = {}
+    for r in rows:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in by.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 64

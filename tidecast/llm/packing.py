@@ -19,9 +19,7 @@ from tidecast.llm.common import blocks_of, columns_of, fresh, prepare, stored
 from tidecast.llm.tokens import chunked
 
 #: Pieces that one task packs together, about.
-SHARD_PIECES = 30_000
-#: Bins that the local search of a shard tries to empty without success before it ends.
-TRIES = 40
+SHARD_PIECES = 10_000
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
@@ -49,29 +47,47 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int, tries: int = TRIES) -> list[list[int]]:
+def fewest(lengths: np.ndarray, capacity: int) -> int:
+    """A number of bins that no packing goes below: by the sum, and by the items of which a bin holds m at most."""
+    least = -(-int(lengths.sum()) // capacity)
+    for m in range(1, 9):
+        least = max(least, -(-int((lengths > capacity // (m + 1)).sum()) // m))
+    return least
+
+
+def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
     """Exchange or move items between underfull bins while the squared fill grows; empty bins go.
 
     The emptiest underfull bin gives its fill away to bins at least as full:
     it moves an item, exchanges one for a smaller one, one for two, or two for
-    one.  Every step raises the sum of squared fills, so the search ends.  It
-    ends at once when all the room of the others can't take the emptiest bin:
-    then no packing of this shard has fewer bins.
+    one.  Every step raises the sum of squared fills, so the search ends: when
+    every underfull bin was tried since the last one ran empty, or when no
+    packing can have fewer bins.  Bins that hold items of the same sizes are
+    tried once.
     """
     size = lengths.tolist()
     fill = [sum(size[i] for i in b) for b in bins]
+    least, used = fewest(lengths, capacity), len(bins)
     weak = sorted((b for b in range(len(bins)) if fill[b] < capacity), key=lambda b: (fill[b], b))
     room = sum(capacity - fill[b] for b in weak)
-    failed = 0
-    while weak and failed < tries:
-        a = weak.pop(0)
-        if room - (capacity - fill[a]) < fill[a]:
+    tried: set[tuple[int, ...]] = set()
+    down = True
+    while weak and used > least:
+        a = next((b for b in weak if tuple(sorted(size[i] for i in bins[b])) not in tried), None)
+        if a is None or room - (capacity - fill[a]) < fill[a]:
             break
-        for b in weak if failed % 2 else reversed(weak):
+        tried.add(tuple(sorted(size[i] for i in bins[a])))
+        alike: set[tuple[int, ...]] = set()
+        for b in [b for b in (reversed(weak) if down else weak) if b != a]:
+            kind = tuple(sorted(size[j] for j in bins[b]))
+            if kind in alike:                               # no step with a bin of these sizes
+                continue
+            changed = False
             while fill[a] and capacity > fill[b] >= fill[a]:
                 step = _best_step(bins[a], bins[b], size, capacity - fill[b])
                 if step is None:
                     break
+                changed = True
                 give, take = step
                 for i in give:
                     bins[a].remove(i)
@@ -84,11 +100,18 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int, trie
                 fill[b] += gain
             if not fill[a]:
                 break
+            if changed:
+                alike.clear()
+            elif fill[b] >= fill[a]:
+                alike.add(kind)
         if fill[a]:
-            failed += 1                     # it stays as it is now; the next emptiest is tried
+            tried.add(tuple(sorted(size[i] for i in bins[a])))
+            down = not down
         else:
             room -= capacity
-        weak = sorted((b for b in weak if fill[b] < capacity), key=lambda b: (fill[b], b))
+            used -= 1
+            tried.clear()
+        weak = sorted((b for b in weak if 0 < fill[b] < capacity), key=lambda b: (fill[b], b))
     return [b for b in bins if b]
 
 
@@ -130,45 +153,36 @@ def pack(pieces: DataFrame, capacity: int = 1024, shard_pieces: int = SHARD_PIEC
     """
     prepare(pieces.sparkSession)
     pieces = pieces.drop("sequence_id", "offset")
-    cols = pieces.columns
-    rows = stored(pieces, "pieces")
-    n = F.col(length_col)
+    row, = fresh(pieces, "__row")
+    rows = stored(pieces.withColumn(row, F.monotonically_increasing_id()), "pieces")
+    n = F.col("`" + length_col.replace("`", "``") + "`")
     total, bad = rows.agg(F.count_if(n < capacity), F.count_if(n.isNull() | (n < 1) | (n > capacity))).first()
     if bad:
         raise ValueError(f"{bad} pieces have no length between 1 and {capacity}")
     shards = max(1, round(total / shard_pieces))
-    shard, tie = fresh(rows, "__shard", "__tie")
-    place = F.xxhash64(*columns_of(rows), F.monotonically_increasing_id())       # fixed: the stored files are read in one way
-    dealt = (rows.withColumn(shard, F.pmod(place, F.lit(shards)).cast("int")).withColumn(tie, place)
-             .where(n < capacity))
+    # numbers and lengths alone go to Python; the pieces' own columns join by the number
+    dealt = rows.where(n < capacity).select(F.col(row).alias("row"), n.cast("int").alias("length")) \
+        .withColumn("tie", F.xxhash64("row")).withColumn("shard", F.pmod("tie", F.lit(shards)).cast("int"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([length_col, tie], kind="stable").reset_index(drop=True)
-        lengths = pdf[length_col].to_numpy().astype(np.int64)
+        pdf = pdf.sort_values(["length", "tie", "row"], kind="stable")
+        lengths = pdf["length"].to_numpy().astype(np.int64)
         bins = local_search(best_fit(lengths, capacity), lengths, capacity)
         counts = np.fromiter(map(len, bins), np.int64, len(bins))
         order = np.fromiter((i for b in bins for i in b), np.int64, int(counts.sum()))
         size = lengths[order]
         before = np.cumsum(size) - size
-        out = pdf.iloc[order]
         at = np.cumsum(counts) - counts
-        out = out.assign(sequence_id=np.repeat(np.arange(len(bins)), counts) * shards + out[shard].to_numpy(),
-                         offset=before - np.repeat(before[at], counts))
-        return out[[*sent, "sequence_id", "offset"]]
-
-    # pandas has no nullable 64-bit integers on this way: nulls travel as flags
-    wide = [f.name for f in rows.schema.fields if f.dataType.typeName() == "long"]
-    for c in wide:
-        dealt = dealt.withColumn(f"__no_{c}", F.col(c).isNull()).withColumn(c, F.coalesce(F.col(c), F.lit(0)))
-    flags = [f"__no_{c}" for c in wide]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema.fields
-                       if f.name in cols or f.name in flags)
-    sent = [f.name for f in dealt.schema.fields if f.name in cols or f.name in flags]
-    placed = dealt.groupBy(shard).applyInPandas(run, f"{fields}, sequence_id bigint, offset bigint")
-    placed = placed.withColumns({c: F.when(~F.col(f"__no_{c}"), F.col(c)) for c in wide}).drop(*flags)
-    whole = (rows.where(n == capacity).withColumn("sequence_id", -1 - F.monotonically_increasing_id())
+        return pd.DataFrame({"row": pdf["row"].to_numpy()[order],
+                             "sequence_id": np.repeat(np.arange(len(bins)), counts) * shards + int(pdf["shard"].iloc[0]),
+                             "offset": before - np.repeat(before[at], counts)})
+
+    placed = dealt.groupBy("shard").applyInPandas(run, "row bigint, sequence_id bigint, offset bigint") \
+        .withColumnRenamed("row", row)
+    whole = (rows.where(n == capacity).withColumn("sequence_id", -1 - F.col(row))
              .withColumn("offset", F.lit(0).cast("bigint")))
-    return placed.unionByName(whole)
+    cols = [*columns_of(pieces), F.col("sequence_id"), F.col("offset")]
+    return rows.where(n < capacity).join(placed, row).select(*cols).unionByName(whole.select(*cols))
 
 
 def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int = 1024, with_ids: bool = False,
@@ -177,7 +191,8 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int = 1024,
 
     A document is its text's ids and ``end_id``; null counts as empty.  Only
     documents over ``capacity`` are cut, into pieces of ``capacity`` tokens of
-    which the first may be shorter.
+    which the first may be shorter.  Repeated rows and null ids are documents
+    of their own; an empty table gives no rows; other columns are not read.
     """
     prepare(docs.sparkSession)
     fields = "piece array<int>, start array<bigint>, length array<bigint>, ids_crc32 array<bigint>" \
@@ -206,7 +221,8 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int = 1024,
 def sequences(packed: DataFrame, capacity: int = 1024) -> DataFrame:
     """(sequence_id, ids): the token ids of every sequence, from packed pieces that carry ``ids``.
 
-    A group is one sequence, so at most ``capacity`` ids.
+    A group is one sequence, so at most ``capacity`` ids.  An empty table
+    gives no rows; columns other than sequence_id, offset and ids are not read.
     """
     return packed.groupBy("sequence_id").agg(F.flatten(F.transform(
         F.array_sort(F.collect_list(F.struct("offset", "ids"))), lambda p: p["ids"])).alias("ids"))
