@@ -39,11 +39,15 @@ def forecast_errors(forecast: DataFrame, actual: DataFrame, by: Sequence[str] =
 def sample_nll(samples: DataFrame, actual: DataFrame, keys: Sequence[str] = (ID, DS),
                by: Sequence[str] = (ID,), value: str = "value") -> DataFrame:
     """Mean negative log-likelihood of actuals under a normal fitted to the
-    samples' mean and (sample) standard deviation at each point; points with
-    zero or undefined spread are skipped."""
+    samples' mean and (sample) standard deviation at each point.
+
+    ``n`` points have a likelihood; ``n_skipped`` have an observed actual but
+    samples of zero or undefined spread.  A group of skipped points alone
+    stays, with a null ``nll``."""
     st = samples.groupBy(*keys).agg(F.avg(value).alias("mu"), F.stddev_samp(value).alias("sd"))
-    j = st.join(actual.select(*keys, Y), list(keys)).where(
-        (F.col("sd") > 0) & F.col(Y).isNotNull())
+    j = st.join(actual.select(*keys, Y), list(keys)).where(F.col(Y).isNotNull())
     nll = (F.lit(0.5) * F.log(F.lit(2 * math.pi) * F.col("sd") * F.col("sd"))
            + (F.col(Y) - F.col("mu")) ** 2 / (F.lit(2.0) * F.col("sd") * F.col("sd")))
-    return j.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.avg(nll).alias("nll"))
+    told = F.coalesce(F.col("sd") > 0, F.lit(False))
+    return j.groupBy(*by).agg(F.count_if(told).alias("n"), F.count_if(~told).alias("n_skipped"),
+                              F.avg(F.when(told, nll)).alias("nll"))

@@ -18,7 +18,7 @@ from tidecast.functions.calendar import add_steps, month_end
 from tidecast.functions.ranges import positive
 from tidecast.operators.forecast import last_points
 from tidecast.schema import DS, ID, Y
-from tidecast.sources.tables import fresh_location
+from tidecast.sources.tables import check_free
 
 PARAMS = T.StructType([T.StructField("slope", T.DoubleType()), T.StructField("intercept", T.DoubleType()),
                        T.StructField("n", T.LongType()), T.StructField("context", T.IntegerType())])
@@ -82,10 +82,8 @@ def registry_append(fit: DataFrame, table: str) -> DataFrame:
     parameters as columns.
     """
     spark = fit.sparkSession
-    w = fit.select("name", "version", "params").write.mode("append").format("parquet")
-    if not spark.catalog.tableExists(table):
-        w = w.option("path", fresh_location(spark, table))
-    w.saveAsTable(table)
+    check_free(spark, table)
+    fit.select("name", "version", "params").write.mode("append").format("parquet").saveAsTable(table)
     rows = spark.table(table).select("name", "version", "params", F.from_json("params", PARAMS).alias("_p"))
     return rows.select("name", "version", "params", "_p.slope", "_p.intercept", "_p.n")
 

@@ -17,13 +17,30 @@ def id_range(prefix: str, lo: int, hi_exclusive: int) -> list[str]:
 def sample_series_ids(df: DataFrame, ids) -> DataFrame:
     """Keep series whose id is in ``ids`` (a list or a one-column DataFrame).
 
-    One plan for every size: a semi-join with the distinct ids; AQE picks
-    broadcast or sort-merge by their measured size.
+    A list is a literal set on the id column, which reaches the scan
+    (``PushedFilters: In``); values that the column's type can't hold match
+    nothing.  A DataFrame of ids is a semi-join; AQE picks broadcast or
+    sort-merge by its measured size.
     """
-    if not isinstance(ids, DataFrame):
-        ids = df.sparkSession.createDataFrame([(str(i),) for i in ids], f"{ID} string")
-    keys = ids.select(F.col(ids.columns[0]).cast("string").alias(ID)).distinct()
-    return df.join(keys, ID, "left_semi")
+    if isinstance(ids, DataFrame):
+        keys = ids.select(F.col(ids.columns[0]).cast("string").alias(ID)).distinct()
+        return df.join(keys, ID, "left_semi")
+    return df.where(F.col(ID).isin([str(i) for i in dict.fromkeys(ids)]))
+
+
+def fact_ids(facts: DataFrame, id_col: str, ids) -> DataFrame:
+    """Keep the facts whose id, as text, is in the list ``ids``.
+
+    The ids take the column's own type, so that the filter reaches the scan;
+    an id that the type can't hold matches nothing.
+    """
+    kind = dict(facts.dtypes)[id_col]
+    wanted = [str(i) for i in dict.fromkeys(ids)]
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        top = 1 << {"tinyint": 7, "smallint": 15, "int": 31, "bigint": 63}[kind]
+        plain = [i for i in wanted if i.lstrip("-").isascii() and i.lstrip("-").isdigit() and str(int(i)) == i]
+        return facts.where(F.col(id_col).isin([int(i) for i in plain if -top <= int(i) < top]))
+    return facts.where((F.col(id_col) if kind == "string" else F.col(id_col).cast("string")).isin(wanted))
 
 
 def select_series(packed: DataFrame, unique_id: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Scoring requests built from series tables (feeds rows 66-68).
 
-Each series yields one request of each shape from its last points, so the
+Each series yields one request of each shape from all its points, so the
 request stream grows with the data.
 """
 
@@ -9,41 +9,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.functions.ranges import upto
 from tidecast.operators.aggregate import pack_series
 from tidecast.schema import ID
 
-CONTEXT = 52
+#: Contexts of a batch request.
 BATCH = 5
 
 
-def requests_from_series(df: DataFrame, split_h: int = 20, whole: bool = False) -> DataFrame:
-    """(request_id, request) rows; with ``whole`` the single and split requests
-    hold the whole series instead of its last 52 points: 'single:<id>' (last 52 values),
-    'batch:<id>' (5 consecutive 52-value windows ending at the last point,
-    series with at least 260 points) and 'split:<id>' (dataframe_split of the
-    last 52 points with params.h = ``split_h``)."""
-    p = pack_series(df).withColumn("_n", F.size("y"))
-    n = F.col("_n") if whole else F.least(F.col("_n"), F.lit(CONTEXT))
-    last = F.slice("y", F.col("_n") - n + 1, n)
-    wins = F.transform(F.sequence(F.lit(0), F.lit(BATCH - 1)),
-                       lambda r: F.slice("y", F.col("_n") - F.lit(CONTEXT) * (F.lit(BATCH) - r) + 1, CONTEXT))
-    ts = F.slice("ds", F.col("_n") - n + 1, n)
-    rows = F.transform(F.arrays_zip(ts.alias("t"), last.alias("v")), lambda e: F.concat(
+def requests_from_series(df: DataFrame, split_h: int = 20) -> DataFrame:
+    """(request_id, request) rows, three for each series, all of its whole length:
+    'single:<id>' (its values), 'batch:<id>' (the values cut into 5 consecutive
+    contexts of about equal length, one value each where there are fewer) and
+    'split:<id>' (dataframe_split with params.h = ``split_h``)."""
+    p = pack_series(df).withColumn("_n", F.size("y")).where("_n > 0")
+    k = F.least(F.col("_n"), F.lit(BATCH))
+    border = lambda r: F.floor(r * F.col("_n") / k).cast("int")
+    wins = F.transform(F.sequence(F.lit(0), k - 1), lambda r: F.slice("y", border(r) + 1, border(r + 1) - border(r)))
+    rows = F.transform(F.arrays_zip(F.col("ds").alias("t"), F.col("y").alias("v")), lambda e: F.concat(
         F.lit('["'), F.date_format(e["t"], "yyyy-MM-dd HH:mm:ss"), F.lit('",'),
         F.coalesce(e["v"].cast("string"), F.lit("null")), F.lit("]")))
     body = F.concat(
         F.lit('{"dataframe_split": {"columns": ["timestamp", "value"], "index": '),
-        F.to_json(F.coalesce(upto(F.lit(0), F.size(ts) - 1), F.array().cast("array<int>"))), F.lit(', "data": ['),
+        F.to_json(F.sequence(F.lit(0), F.col("_n") - 1)), F.lit(', "data": ['),
         F.array_join(rows, ","), F.lit(f']}}, "params": {{"h": {int(split_h)}}}}}'))
 
     def req(kind, text):
         return F.struct(F.concat(F.lit(kind + ":"), ID).alias("request_id"), text.alias("request"))
 
     # all three shapes from one pass over the packed series (no re-computation per shape)
-    shapes = F.array(req("single", F.to_json(F.struct(last.alias("inputs")))),
-                     F.when(F.col("_n") >= CONTEXT * BATCH,
-                            req("batch", F.to_json(F.struct(wins.alias("inputs"))))),
-                     req("split", body))
-    out = p.select(F.explode(shapes).alias("_r")).where(F.col("_r").isNotNull())
-    return out.select("_r.request_id", "_r.request")
+    shapes = F.array(req("single", F.to_json(F.struct(F.col("y").alias("inputs")))),
+                     req("batch", F.to_json(F.struct(wins.alias("inputs")))), req("split", body))
+    return p.select(F.explode(shapes).alias("_r")).select("_r.request_id", "_r.request")

@@ -7,7 +7,9 @@ aggregate with a single exchange on (unique_id, ds).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidecast.operators.select import fact_ids
 from tidecast.sources.facts import series_from_facts
 
 # set name -> (table, id column, time column, value column, grain)
@@ -30,10 +32,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def series_set(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A named series set (see ``SERIES_SETS``) as a canonical long table."""
+def series_set(spark: SparkSession, sf_dir: str, name: str, ids=None) -> DataFrame:
+    """A named series set (see ``SERIES_SETS``) as a canonical long table; of the series in the list ``ids``, if given."""
     tbl, id_col, ts_col, val, grain = SERIES_SETS[name]
     facts = table(spark, sf_dir, tbl)
+    if ids is not None:
+        facts = fact_ids(facts, id_col, ids)
     return series_from_facts(facts, id_col, ts_col, val, "sum", grain, decimals=DECIMALS)
 
 
@@ -51,3 +55,18 @@ def series_set_sql(name: str) -> str:
         ds = f"CAST(last_day(CAST({ts_col} AS DATE)) AS TIMESTAMP)"
     return (f"SELECT CAST({id_col} AS VARCHAR) AS unique_id, {ds} AS ds, "
             f"CAST(SUM(CAST({val} AS DECIMAL(18, {DECIMALS}))) AS DOUBLE) AS y FROM {tbl} GROUP BY 1, 2")
+
+
+def long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line item is a point of its own; nine suppliers in ten share the series 'main', first lines have no value."""
+    x = table(spark, sf_dir, "lineitem")
+    tick = ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) / F.lit(1000000)).cast("decimal(18,6)")
+    at = F.col("l_shipdate").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), tick)
+    return x.select(F.when(F.col("l_suppkey") % 10 == 0, F.concat(F.lit("s"), F.col("l_suppkey").cast("string")))
+                    .otherwise(F.lit("main")).alias("unique_id"), at.alias("ds"),
+                    F.when(F.col("l_linenumber") != 1, F.col("l_quantity").cast("double")).alias("y"))
+
+
+LONG_SQL = """SELECT CASE WHEN l_suppkey % 10 = 0 THEN 's' || CAST(l_suppkey AS VARCHAR) ELSE 'main' END AS unique_id,
+  CAST(l_shipdate AS TIMESTAMP) + to_microseconds(CAST(l_orderkey * 8 + l_linenumber AS BIGINT)) AS ds,
+  CASE WHEN l_linenumber <> 1 THEN CAST(l_quantity AS DOUBLE) END AS y FROM lineitem"""

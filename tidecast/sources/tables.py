@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,28 +47,46 @@ def ensure_namespace(spark: SparkSession, db: str, volume: str | None = None) ->
     return path
 
 
-def fresh_location(spark: SparkSession, name: str) -> str:
-    """A folder of its own for a new table, below the warehouse."""
-    wh = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-    return f"{wh}/{_check_name(name).replace('.', '.db/')}-{uuid.uuid4().hex[:12]}"
+def default_location(spark: SparkSession, name: str) -> str:
+    """The folder that the catalog gives a new managed table of this name."""
+    db, _, table = _check_name(name).rpartition(".")
+    db = db or spark.catalog.currentDatabase()
+    loc = spark.sql(f"DESCRIBE DATABASE {db}").where("info_name = 'Location'").first()[1]
+    return f"{loc.rstrip('/')}/{table.lower()}"
+
+
+def check_free(spark: SparkSession, name: str) -> None:
+    """Raise if files that the catalog knows nothing of lie where the new table ``name`` would go.
+
+    They may be another job's, so they are neither read nor removed.
+    """
+    if spark.catalog.tableExists(_check_name(name)):
+        return
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(default_location(spark, name))
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p) and len(fs.listStatus(p)):
+        raise ValueError(f"{p.toString()} holds files of no table that the catalog knows; "
+                         f"remove them or choose another name than {name}")
 
 
 def drop_if_exists(spark: SparkSession, name: str) -> None:
-    """``DROP TABLE IF EXISTS``: a table that the catalog doesn't know, and any folder of its name, stay as they are."""
+    """``DROP TABLE IF EXISTS``: a managed table's files go with it.
+
+    A table that the catalog doesn't know, and any folder of its name, stay as they are.
+    """
     spark.sql(f"DROP TABLE IF EXISTS {_check_name(name)}")
 
 
 def write_series_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
                        fmt: str = "parquet") -> DataFrame:
-    """Overwrite-save a table and read it back.
+    """Overwrite-save a managed table and read it back.
 
-    A table that the catalog knows is overwritten where it is; a new one gets
-    a fresh folder, so that files which lie at the name's default location
-    (another job's, or a lost catalog's) are neither read nor removed.
-    ``partition_by`` (e.g. a month column) lets later scans prune partitions.
+    Where files of no known table lie in the new table's place it raises and
+    leaves them alone.  ``partition_by`` (e.g. a month column) lets later
+    scans prune partitions.
     """
     spark = df.sparkSession
-    known = spark.catalog.tableExists(_check_name(name))
+    check_free(spark, name)
     if partition_by:
         # Range-partition on (partition columns, series id) before writing:
         # each task then covers a contiguous slice of one or two partition
@@ -80,7 +97,26 @@ def write_series_table(df: DataFrame, name: str, partition_by: list[str] | None
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    if not known:
-        w = w.option("path", fresh_location(spark, name))
     w.saveAsTable(name)
     return spark.table(name)
+
+
+def write_bucketed_table(df: DataFrame, name: str, buckets: int, fmt: str = "parquet") -> DataFrame:
+    """Overwrite-save a managed series table in ``buckets`` by series, sorted by (series, time), and read it back.
+
+    The rows are exchanged once, here.  Whatever groups, windows or joins the
+    table by ``unique_id`` later reads its buckets as they are, without an
+    exchange: ``pack_series``, ``forecast_points``, and joins of tables with
+    as many buckets.  A bucket is one file, so ``buckets`` should leave files
+    of some hundred megabytes; a series is in one bucket, so very long ones
+    belong to ``longscan``.
+    """
+    spark = df.sparkSession
+    k = int(buckets)
+    if k < 1:
+        raise ValueError("buckets must be at least 1")
+    check_free(spark, name)
+    order = [ID] + ([DS] if DS in df.columns else [])
+    (df.repartition(k, ID).sortWithinPartitions(*order).write.mode("overwrite").format(fmt)
+       .bucketBy(k, ID).sortBy(*order).saveAsTable(name))
+    return spark.table(name)

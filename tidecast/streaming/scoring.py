@@ -33,7 +33,7 @@ from tidecast import constants as C
 from tidecast.functions.calendar import add_steps
 from tidecast.functions.ranges import upto
 from tidecast.session import ship_package
-from tidecast.sources.tables import drop_if_exists, fresh_location
+from tidecast.sources.tables import check_free, drop_if_exists
 
 INPUTS_H = C.HORIZON
 SPLIT_H_DEFAULT = C.SPLIT_REQUEST_HORIZON
@@ -194,8 +194,7 @@ def payload_capture(scored: DataFrame, table: str, checkpoint: str,
                         F.current_timestamp().alias("captured_at"))
     w = (out.writeStream.format("parquet").outputMode("append")
             .option("checkpointLocation", checkpoint))
-    if not scored.sparkSession.catalog.tableExists(table):
-        w = w.option("path", fresh_location(scored.sparkSession, table))
+    check_free(scored.sparkSession, table)
     if once:
         w = w.trigger(availableNow=True)
     return w.toTable(table)
