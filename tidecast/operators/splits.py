@@ -90,7 +90,7 @@ def random_cut_split(df: DataFrame, min_past: int, h: int, num_instances: float
     return keep.select(ID, F.col("pos").alias("cut"), F.col(DS).alias("forecast_start"))
 
 
-def _packed(df: DataFrame) -> DataFrame:
+def packed_points(df: DataFrame) -> DataFrame:
     """One row per series: its points in time order as an array, and their number.
 
     A series is bounded by its calendar span at its grain, like every
@@ -137,7 +137,62 @@ def context_window(df: DataFrame, cuts: DataFrame, context_length: int, h: int,
     """
     extra = ["forecast_start"] if "forecast_start" in cuts.columns else []
     c = cuts.select(ID, "cut", *extra).withColumn("window_id", F.concat_ws("#", ID, F.col("cut").cast("string")))
-    return _expand(c.join(_packed(df), ID), context_length, h, [ID, "window_id", *extra], nonempty)
+    return _expand(c.join(packed_points(df), ID), context_length, h, [ID, "window_id", *extra], nonempty)
+
+
+def packed_cuts(packed: DataFrame, min_past: int, h: int, num_instances: float = 1.0, seed: int = 0) -> DataFrame:
+    """``random_cut_split`` on packed series (``_p``, ``n``): one row per cut, with the series' array and forecast_start.
+
+    The draws are an array per series, so no exchange and no window is needed;
+    the mean number of valid cuts is a scalar subquery over ``packed``, which
+    should be written, or cheap to read twice.
+    """
+    nvalid = F.col("n") - F.lit(int(h)) - F.lit(int(min_past)) + 1
+    avg_valid = packed.where(nvalid > 0).select(F.avg(nvalid)).scalar()
+    x = packed.where(nvalid > 0).withColumn("_keep", F.lit(float(num_instances)) / avg_valid)
+    x = x.withColumn("_us", F.transform(
+        F.sequence(F.lit(int(min_past)), F.col("n") - F.lit(int(h))),
+        lambda t: F.struct(t.cast("int").alias("cut"), uniform(seed, F.col(ID), t).alias("u"))))
+    x = x.withColumn("_umin", F.array_min(F.transform("_us", lambda e: e["u"])))
+    kept = F.filter("_us", lambda e: (e["u"] < F.col("_keep")) | (e["u"] == F.col("_umin")))
+    x = x.select(ID, "_p", "n", F.explode(kept).alias("_c")).select(ID, "_p", "n", F.col("_c.cut").alias("cut"))
+    return x.withColumn("forecast_start", F.get("_p", F.col("cut"))[DS])
+
+
+def window_arrays(cuts: DataFrame, context_length: int, h: int, nonempty: bool = False) -> DataFrame:
+    """Rows of cuts with ``_p`` -> window_id, ``past`` and ``future`` as arrays.
+
+    ``past`` is ``context_length`` structs (ds, y, is_pad), padded on the left;
+    ``future`` the ``h`` points from the cut on.  With ``nonempty`` windows
+    without an observed past value go.
+    """
+    c, k = int(context_length), F.least(F.col("cut"), F.lit(int(context_length)))
+    point = lambda e, pad: F.struct(e[DS].alias(DS), e[Y].alias(Y), F.lit(pad).alias("is_pad"))
+    none = F.struct(F.lit(None).cast("timestamp_ntz").alias(DS), F.lit(None).cast("double").alias(Y), F.lit(True).alias("is_pad"))
+    own = F.transform(F.slice("_p", F.col("cut") - k + 1, k), lambda e: point(e, False))
+    past = F.concat(F.array_repeat(none, F.lit(c) - k), own)
+    future = F.transform(F.slice("_p", F.col("cut") + 1, int(h)), lambda e: point(e, False))
+    out = cuts.select(ID, F.concat_ws("#", ID, F.col("cut").cast("string")).alias("window_id"), "forecast_start", "cut",
+                      past.alias("past"), future.alias("future"))
+    return out.where(F.exists("past", lambda e: e[Y].isNotNull())) if nonempty else out
+
+
+def random_windows(df: DataFrame, min_past: int, context_length: int, h: int, num_instances: float = 1.0,
+                   seed: int = 0, nonempty: bool = False) -> DataFrame:
+    """``context_window`` of ``random_cut_split`` in one pass: series packed once and written, cuts and windows as arrays.
+
+    The same rows as the two operators one after the other, without an
+    exchange after the packing.
+    """
+    from tidecast.functions.materialize import materialize
+    wins = window_arrays(packed_cuts(materialize(packed_points(df)), min_past, h, num_instances, seed), context_length, h, nonempty)
+    both = F.concat("past", "future")
+    # outer: a generator that drops empty arrays would evaluate the windows again in a filter on their size
+    rows = wins.select(ID, "window_id", "forecast_start", "cut", F.posexplode_outer(both).alias("_i", "_e"))
+    rows = rows.where(F.col("_i").isNotNull())
+    rel = F.col("_i") - F.lit(int(context_length))
+    return rows.select(ID, "window_id", "forecast_start", "cut", rel.cast("int").alias("rel"), F.col("_e")[DS].alias(DS),
+                       F.col("_e")[Y].alias(Y), F.col("_e.is_pad").alias("is_pad"), (rel >= 0).alias("is_future"))
 
 
 def eval_grid(src, dataset: str | None = None, offset: int | None = None, eval_length: int | None = None,

@@ -2,10 +2,10 @@
 
 ``token_table`` is one Spark job: observed filter -> (impute for causal
 models) -> random drop -> random cuts -> context windows -> non-empty
-contexts -> mean-abs scale -> quantised tokens packed per window.
-Every stage is a window/aggregate keyed by series or by window, so the job
-scales with the number of windows; the only per-window group is the packing
-of ``context + h`` tokens.
+contexts -> mean-abs scale -> quantised tokens.  Up to the packing every stage
+is a window keyed by series, on one partitioning; from there on a series is an
+array, and cuts, windows and tokens are array expressions on it: no window's
+points are exploded and nothing is exchanged again.
 """
 
 from __future__ import annotations
@@ -13,12 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidecast.functions.calendar import add_steps
+from tidecast.functions.materialize import materialize
 from tidecast.functions.tokens import EOS_ID, IGNORE, PAD_ID, token_centre, token_id
 from tidecast.operators.missing import impute, random_drop
 from tidecast.operators.select import observed_filter
 from tidecast import constants as C
-from tidecast.operators.splits import context_window, forecast_cuts, holdout_cuts, random_cut_split
-from tidecast.schema import ID, Y
+from tidecast.operators.splits import packed_cuts, packed_points, window_arrays
+from tidecast.schema import DS, ID, Y
 
 
 def tokenize_windows(wins: DataFrame, model_type: str = "seq2seq", key: str = "window_id") -> DataFrame:
@@ -64,6 +66,35 @@ def tokenize_windows(wins: DataFrame, model_type: str = "seq2seq", key: str = "w
                     F.zip_with("_raw", "attention_mask", lambda t, mm: F.when(mm, t).otherwise(F.lit(IGNORE))).alias("labels"))
 
 
+def tokenize_arrays(wins: DataFrame, model_type: str = "seq2seq") -> DataFrame:
+    """``tokenize_windows`` on windows whose ``past`` and ``future`` are arrays: no explode, no exchange."""
+    if model_type not in ("seq2seq", "causal"):
+        raise ValueError("model_type must be seq2seq or causal")
+    seen = F.filter(F.transform("past", lambda e: F.abs(e[Y])), lambda v: v.isNotNull())
+    x = wins.withColumn("_v", seen)
+    m = F.aggregate("_v", F.lit(0.0), lambda a, v: a + v) / F.size("_v")
+    x = x.withColumn("scale", F.when((F.size("_v") > 0) & (m > 0), m).otherwise(F.lit(1.0)))
+    token = lambda e: F.struct(
+        F.when(e[Y].isNotNull(), token_id(e[Y] / F.col("scale"))).otherwise(F.lit(PAD_ID)).alias("tok"),
+        e[Y].isNotNull().alias("m"), e["is_pad"].alias("pad"))
+    g = x.select(ID, "window_id", "scale", "forecast_start", F.transform("past", token).alias("_past"),
+                 F.transform("future", token).alias("_fut"))
+    meta = [ID, "window_id", "scale", "forecast_start"]
+    eos = F.array(F.struct(F.lit(EOS_ID).alias("tok"), F.lit(True).alias("m"), F.lit(False).alias("pad")))
+    if model_type == "seq2seq":
+        inp, fut = F.concat("_past", eos), F.concat("_fut", eos)
+        return g.select(*meta, F.transform(inp, lambda e: e["tok"]).alias("input_ids"),
+                        F.transform(inp, lambda e: e["m"]).alias("attention_mask"),
+                        F.transform(fut, lambda e: F.when(e["m"], e["tok"]).otherwise(F.lit(IGNORE))).alias("labels"))
+    # observed context, future, EOS, then the padding; nothing padded or missing counts
+    pads = F.transform(F.filter("_past", lambda e: e["pad"]), lambda e: F.struct(
+        F.lit(PAD_ID).alias("tok"), F.lit(False).alias("m"), F.lit(True).alias("pad")))
+    g = g.select(*meta, F.concat(F.filter("_past", lambda e: ~e["pad"]), "_fut", eos, pads).alias("_all"))
+    return g.select(*meta, F.transform("_all", lambda e: F.when(e["m"], e["tok"]).otherwise(F.lit(PAD_ID))).alias("input_ids"),
+                    F.transform("_all", lambda e: e["m"]).alias("attention_mask"),
+                    F.transform("_all", lambda e: F.when(e["m"], e["tok"]).otherwise(F.lit(IGNORE))).alias("labels"))
+
+
 MODES = ("training", "validation", "test")
 
 
@@ -87,12 +118,17 @@ def token_table(df: DataFrame, context_length: int = C.CONTEXT_LENGTH, predictio
     if mode == "training":
         if drop_prob > 0:
             x = random_drop(x, drop_prob, seed)
-        cuts = random_cut_split(x, min_past, h, num_instances, seed)
+        # written once: the mean number of cuts and the windows both read it
+        cuts = packed_cuts(materialize(packed_points(x)), min_past, h, num_instances, seed)
     elif mode == "validation":
-        cuts = holdout_cuts(x, h)
+        p = packed_points(x).where(F.col("n") > h)
+        cuts = p.withColumn("cut", (F.col("n") - h).cast("int")).withColumn("forecast_start", F.get("_p", F.col("cut"))[DS])
     else:
-        cuts, h = forecast_cuts(x, freq), 0
-    return tokenize_windows(context_window(x, cuts, context_length, h, nonempty=True), model_type)
+        h = 0
+        p = packed_points(x)
+        cuts = p.withColumn("cut", F.col("n").cast("int")).withColumn(
+            "forecast_start", add_steps(F.element_at("_p", -1)[DS], F.lit(1), freq))
+    return tokenize_arrays(window_arrays(cuts, context_length, h, nonempty=True), model_type)
 
 
 def causal_token_table(df: DataFrame, **kw) -> DataFrame:

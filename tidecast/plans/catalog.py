@@ -219,7 +219,7 @@ register("fixed_context_padded", _fixed_ctx_sql(EVT, 512))(_fixed_ctx("events_ty
 
 def _nonempty(spark, sf):
     d = ti.densify(series_set(spark, sf, "supplier_daily"))
-    return r6(sp.context_window(d, sp.random_cut_split(d, 4, 2, 3.0, 11), 4, 2, nonempty=True))
+    return r6(sp.random_windows(d, 4, 4, 2, 3.0, 11, nonempty=True))
 
 
 _NE_W = S.context_window_sql(S.densify_sql(SUPP), S.random_cuts_sql(S.densify_sql(SUPP), 4, 2, 3.0, 11), 4, 2)
@@ -491,21 +491,12 @@ def _tok_wins_sql(causal: bool) -> str:
 def _token_query(model_type, **more):
     def q(spark, sf):
         t = tk.token_table(_dsupp(spark, sf), model_type=model_type, **TOK, **more)
-        inp = t.select("window_id", F.lit("input").alias("part"),
-                       F.posexplode(F.arrays_zip("input_ids", "attention_mask")).alias("idx", "_z")).select(
-            "window_id", "part", F.col("idx").cast("int").alias("idx"), F.col("_z.input_ids").alias("token"),
-            F.col("_z.attention_mask").alias("mask"))
-        if model_type == "seq2seq":
-            lab = t.select("window_id", F.lit("label").alias("part"),
-                           F.posexplode("labels").alias("idx", "token")).select(
-                "window_id", "part", F.col("idx").cast("int").alias("idx"), "token",
-                (F.col("token") != -100).alias("mask"))
-        else:
-            lab = t.select("window_id", F.lit("label").alias("part"),
-                           F.posexplode(F.arrays_zip("labels", "attention_mask")).alias("idx", "_z")).select(
-                "window_id", "part", F.col("idx").cast("int").alias("idx"), F.col("_z.labels").alias("token"),
-                F.col("_z.attention_mask").alias("mask"))
-        return inp.unionByName(lab)
+        part = lambda name, ids, mask: F.transform(F.arrays_zip(ids.alias("t"), mask.alias("m")), lambda e, i: F.struct(
+            F.lit(name).alias("part"), i.cast("int").alias("idx"), e["t"].alias("token"), e["m"].alias("mask")))
+        told = F.transform("labels", lambda v: v != -100) if model_type == "seq2seq" else F.col("attention_mask")
+        both = F.concat(part("input", F.col("input_ids"), F.col("attention_mask")), part("label", F.col("labels"), told))
+        # outer: a generator that drops empty arrays would evaluate the tokens again in a filter on their size
+        return t.select("window_id", F.explode_outer(both).alias("_r")).select("window_id", "_r.*").where("part IS NOT NULL")
     return q
 
 
