@@ -57,7 +57,7 @@ def pack_by_lengths(seqs: DataFrame, key: str, length: str, max_length: int = C.
     top = int(max_length)
     n = F.col(length).cast("long")
     x = seqs.select(F.col(key).cast("string").alias("key"), n.alias("length"),
-                    F.least(n, F.lit(top + 1)).alias("_class"))
+                    F.when(n <= top, n).when(n > top, F.lit(top + 1)).alias("_class"))
     counts = {r[0]: r[1] for r in x.groupBy("_class").count().collect()}
     if any(k is None or k < 1 for k in counts):
         raise ValueError("every sequence needs a length of at least 1")
