@@ -469,7 +469,7 @@ def test_equal_vectors_are_spread_over_blocks(spark, monkeypatch):
     rng = np.random.default_rng(9)
     rows = [(i, [1.0, 2.0, 3.0] if i % 3 else rng.normal(size=3).tolist()) for i in range(600)]
     v = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
-    got = ann.search(v, v.where("vec_id IN (1, 2)"), parts=4, probes=4).orderBy("query_id", "rank").collect()
+    got = ann.search(v, v.where("vec_id IN (1, 2)"), parts=4, target=1.1).orderBy("query_id", "rank").collect()
     assert [r.vec_id for r in got] == [2, 4, 5, 7, 8, 1, 4, 5, 7, 8] and all(abs(r.score - 1) < 1e-12 for r in got)
 
 
@@ -616,3 +616,39 @@ def test_packing_keeps_columns_of_any_name_and_type(spark):
             assert offset == at
             at += length
         assert at <= 64
+
+
+def test_neighbours_of_extreme_and_ragged_vectors(spark):
+    rows = [(0, [1e200, 1e200]), (1, [1e-200, 0.0]), (2, [0.0, 1e300]), (3, [5e-324, 0.0]), (4, [1.0, 1.0]), (5, [1.0, 2.0, 3.0]),
+            (6, [1.0, 2.0, 2.0]), (7, [1.0]), (8, []), (9, [-1e308, -1e308])]
+    v = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = ann.search(v, v).collect()
+    by = lambda q: [(r.vec_id, round(r.score, 9)) for r in sorted(got, key=lambda r: r.rank) if r.query_id == q]
+    half = round(0.5 ** 0.5, 9)
+    assert by(0) == [(4, 1.0), (1, half), (2, half), (3, half), (9, -1.0)]
+    assert by(1) == [(3, 1.0), (0, half), (4, half), (2, 0.0), (9, -half)]
+    assert [i for i, _ in by(5)] == [6] and [i for i, _ in by(6)] == [5] and by(7) == [] and by(8) == []
+
+
+def test_clustered_vectors_need_few_partitions(spark):
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(60, 32))
+    x = centres[rng.integers(0, 60, 6000)] + 0.15 * rng.normal(size=(6000, 32))
+    router = ann.learn(x[:3000], 16)
+    u = ann.unit(x)
+    home, asked = router.place(u), router.probes(u[:200])
+    s = u[:200] @ u.T
+    s[np.arange(200), np.arange(200)] = -2
+    near = np.argsort(-s, axis=1)[:, :5]
+    assert np.mean([np.isin(home[n], p).mean() for n, p in zip(near, asked)]) >= 0.9
+    size = np.bincount(home, minlength=16)
+    assert np.mean([size[p].sum() for p in asked]) < 0.25 * len(x)
+
+
+def test_queries_of_a_partition_are_dealt_over_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    v = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(300)], "vec_id bigint, embedding array<double>")
+    whole = sorted(map(tuple, ann.search(v, v, target=1.1).collect()))
+    monkeypatch.setattr(ann, "BLOCK", 30)
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 20)
+    assert sorted(map(tuple, ann.search(v, v, target=1.1).collect())) == whole

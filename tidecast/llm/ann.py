@@ -19,14 +19,15 @@ from pyspark.sql import functions as F
 
 from tidecast.llm.common import prepare, stored
 
-#: Rows of the sample on which the partitions are learned.
-SAMPLE = 6000
-PARTITIONS = 16
-#: Partitions that a query is sent to.
-PROBES = 12
+#: Rows of the sample on which the partitions are learned, and those of them that only try the router.
+SAMPLE, TRIED = 6000, 400
+#: Rows a partition, and the least and greatest number of partitions (the sample has to tell them apart).
+PART_ROWS, PARTITIONS, MOST = 4000, 16, 256
+#: Share of the tried rows' nearest others that the probed partitions must hold.
+TARGET = 0.95
 NEIGHBOURS = 10
-#: Rows of a partition that one task compares with the partition's queries.
-BLOCK = 20_000
+#: Rows of a partition, and queries, that one task compares.
+BLOCK, QUERY_BLOCK = 20_000, 20_000
 
 
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
@@ -100,12 +101,36 @@ def _fill(score: np.ndarray, room: int) -> np.ndarray:
     return out
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings the largest component near 1: no square over- or underflows, no digit changes."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1]) if len(x) else x
+
+
+def unit(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 class Router:
-    """One hidden layer and a softmax over partitions."""
+    """One hidden layer and a softmax over partitions; a query is sent to the most probable ones that hold ``mass``."""
+
+    mass = 1.0
 
     def __init__(self, weights):
         self.weights = weights
 
+    def place(self, x: np.ndarray) -> np.ndarray:
+        return self.logits(x).argmax(1)
+
+    def probes(self, x: np.ndarray) -> list[np.ndarray]:
+        """Partitions of each row, the most probable first."""
+        z = self.logits(x)
+        z = np.exp(z - z.max(1, keepdims=True))
+        z /= z.sum(1, keepdims=True)
+        order = np.argsort(-z, axis=1, kind="stable")
+        before = np.cumsum(np.take_along_axis(z, order, 1), 1) - np.take_along_axis(z, order, 1)
+        return [o[:max(1, int(n))].astype(np.int32) for o, n in zip(order, (before < self.mass).sum(1))]
+
     def logits(self, x: np.ndarray) -> np.ndarray:
         w1, b1, w2, b2 = self.weights
         return np.maximum(x @ w1 + b1, 0) @ w2 + b2
@@ -136,19 +161,36 @@ def train_router(x: np.ndarray, target: np.ndarray, hidden: int = 128, epochs: i
     return Router(w)
 
 
-def learn(sample: np.ndarray, parts: int = PARTITIONS) -> Router | None:
-    """A router from sample vectors; with fewer than 4 rows a partition there are fewer partitions, None below two."""
-    x = sample / np.linalg.norm(sample, axis=1, keepdims=True)
-    x = np.unique(x, axis=0)
+def learn(sample: np.ndarray, parts: int = PARTITIONS, target: float = TARGET, seed: int = 5) -> Router | None:
+    """A router from sample vectors; with fewer than 4 rows a partition there are fewer partitions, None below two.
+
+    Some of the sample's rows take no part in the fit: the router's mass is
+    the least with which the partitions probed for them hold ``target`` of
+    their nearest others in the sample.  Vectors in clusters need few
+    partitions, vectors alike in all directions nearly all.
+    """
+    x = np.unique(unit(sample), axis=0)
+    x = x[np.random.default_rng(seed).permutation(len(x))]
     parts = min(parts, len(x) // 4)
     if parts < 2:
         return None
-    graph = neighbour_graph(x, NEIGHBOURS)
-    part = balanced_partition(x, graph, parts)
-    target = np.zeros((len(x), parts))
-    np.add.at(target, (np.repeat(np.arange(len(x)), graph.shape[1]), part[graph].ravel()), 1.0)
-    target[np.arange(len(x)), part] += 2.0
-    return train_router(x, target / target.sum(1, keepdims=True))
+    held = min(TRIED, len(x) // 10)
+    fit = x[held:]
+    graph = neighbour_graph(fit, NEIGHBOURS)
+    part = balanced_partition(fit, graph, parts)
+    share = np.zeros((len(fit), parts))
+    np.add.at(share, (np.repeat(np.arange(len(fit)), graph.shape[1]), part[graph].ravel()), 1.0)
+    share[np.arange(len(fit)), part] += 2.0
+    router = train_router(fit, share / share.sum(1, keepdims=True))
+    if held:
+        s = x[:held] @ x.T
+        s[np.arange(held), np.arange(held)] = -2
+        near = router.place(x)[np.argsort(-s, axis=1, kind="stable")[:, :5]]
+        for mass in (0.5, 0.6, 0.7, 0.8, 0.85, 0.9, 0.93, 0.95, 0.97, 0.98, 0.99, 0.995, 0.999, 0.9999, 1.0):
+            router.mass = mass
+            if np.mean([np.isin(n, p).mean() for n, p in zip(near, router.probes(x[:held]))]) >= target:
+                break
+    return router
 
 
 @functools.lru_cache(maxsize=2)
@@ -207,17 +249,21 @@ def best_of(q_ids, q, x_ids, x, k: int):
     return tuple(np.concatenate(o) if o else np.zeros(0) for o in out)
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 5, parts: int = PARTITIONS, probes: int = PROBES,
+def search(vectors: DataFrame, queries: DataFrame, k: int = 5, parts: int | None = None, target: float = TARGET,
            sample: int = SAMPLE, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest rows found for each query, by cosine in double precision.
 
     ``queries`` has the same columns; a row is no candidate for the query of
     its own id.  Vectors that are null, zero or hold a null or non-finite
-    component take no part, nor do rows without an id.  All vectors have one
-    length.  With fewer candidates all are returned; of repeated ids every row
-    is a candidate; empty tables give no rows; other columns are not read.
-    Rows of a partition are dealt over blocks, so equal vectors may hold any
-    share of the table.
+    component take no part, nor do rows without an id.  Only vectors of the
+    query's length are its candidates: the partitions are learned for the
+    sample's commonest length, every other length is a partition of its own.
+    With fewer candidates all are returned; of repeated ids every row is a
+    candidate; empty tables give no rows; other columns are not read.
+
+    The number of partitions grows with the table.  A partition's rows are
+    dealt over blocks, and so are its queries, so that a task compares a
+    bounded number of each, whatever share of the table equal vectors hold.
     """
     spark = prepare(vectors.sparkSession)
     rows = _usable(vectors, id_col, vec_col)
@@ -225,38 +271,48 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, parts: int = PART
     got = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").collect()     # bounded by the sample
     if not got:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    model = pickle.dumps(learn(np.array([r.v for r in got], np.float64), parts))
-
-    @F.pandas_udf("array<int>")
-    def route(v: pd.Series) -> pd.Series:
-        router = _router(model)
-        if router is None:
-            return pd.Series([[0]] * len(v))
-        x = np.array(v.tolist(), np.float64)
-        z = router.logits(x / np.linalg.norm(x, axis=1, keepdims=True))
-        return pd.Series(list(np.argsort(-z, axis=1, kind="stable")[:, :probes].astype(np.int32)))
-
-    placed = stored(rows.select("id", "v", F.get(route("v"), F.lit(0)).alias("p")), "ann-rows")
-    sizes = placed.groupBy("p").count().collect()                                       # one row a partition
-    blocks = {r.p: max(1, -(-r["count"] // BLOCK)) for r in sizes}
-    n_blocks = F.create_map(*[F.lit(x) for p, n in sorted(blocks.items()) for x in (p, n)])
-    # a row is in one block of its partition, a query in all blocks of its partitions
-    rows_in = placed.select("id", "v", "p", F.pmod(F.xxhash64("id", "v"), n_blocks[F.col("p")]).cast("int").alias("b"),
-                            F.lit(False).alias("q"))
-    asked_in = (asked.select("id", "v", F.explode(route("v")).alias("p")).where(F.col("p").isin(list(blocks)))
-                .select("id", "v", "p", F.explode(F.sequence(F.lit(0), n_blocks[F.col("p")] - 1)).alias("b"))
-                .withColumn("q", F.lit(True)))
-    asked_in = asked_in.select("id", "v", "p", F.col("b").cast("int").alias("b"), "q")
+    lengths = [len(r.v) for r in got]
+    width = max(sorted(set(lengths)), key=lengths.count)
+    wanted = parts or min(MOST, max(PARTITIONS, rows.count() // PART_ROWS))
+    model = pickle.dumps(learn(np.array([r.v for r in got if len(r.v) == width], np.float64), wanted, target))
+
+    def route(all_of: bool):
+        @F.pandas_udf("array<int>")
+        def run(v: pd.Series) -> pd.Series:
+            router = _router(model)
+            out = [[-len(x)] for x in v]                    # another length: a partition of its own
+            mine = [i for i, x in enumerate(v) if len(x) == width]
+            if mine and router is None:
+                for i in mine:
+                    out[i] = [0]
+            elif mine:
+                x = unit(np.array([v.iloc[i] for i in mine], np.float64))
+                for i, p in zip(mine, router.probes(x) if all_of else router.place(x)[:, None]):
+                    out[i] = p
+            return pd.Series(out)
+        return run
+
+    placed = stored(rows.select("id", "v", F.get(route(False)("v"), F.lit(0)).alias("p")), "ann-rows")
+    sent = stored(asked.select("id", "v", F.explode(route(True)("v")).alias("p")), "ann-queries")
+    blocks = placed.groupBy("p").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("rb")).join(
+        sent.groupBy("p").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("qb")), "p")     # one row a partition
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    # a row is in one block of its partition and meets each block of queries there
+    rows_in = placed.join(blocks, "p").select("id", "v", "p", F.pmod(F.xxhash64("id", "v"), F.col("rb")).cast("int").alias("b"),
+                                              upto("qb").alias("c"), F.lit(False).alias("q"))
+    asked_in = sent.join(blocks, "p").select("id", "v", "p", upto("rb").alias("b"),
+                                             F.pmod(F.xxhash64("id", "v"), F.col("qb")).cast("int").alias("c"), F.lit(True).alias("q"))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        v = np.array(pdf["v"].tolist(), np.float64)
+        v = scaled(np.array(pdf["v"].tolist(), np.float64))
         ids, is_q = pdf["id"].to_numpy(), pdf["q"].to_numpy()
         if not is_q.any() or is_q.all():
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
         a, b, s = best_of(ids[is_q], v[is_q], ids[~is_q], v[~is_q], k)
         return pd.DataFrame({"query_id": a, "vec_id": b, "score": s})
 
-    found = rows_in.unionByName(asked_in).groupBy("p", "b").applyInPandas(compare, "query_id bigint, vec_id bigint, score double")
+    found = rows_in.unionByName(asked_in).groupBy("p", "b", "c").applyInPandas(
+        compare, "query_id bigint, vec_id bigint, score double")
     best = found.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct(
         (-F.col("score")).alias("s"), F.col("vec_id").alias("i")))), 1, k).alias("best"))   # k rows a block at most
     return best.select("query_id", F.posexplode("best").alias("r", "x")).select(
