@@ -6,7 +6,7 @@ import __spark_entry__ as E
 from tidecast.plans import catalog
 
 # queries that run a stream or write a table while being built
-SIDE_EFFECTS = {"online_forecast_stream", "payload_capture", "stream_daily_series", "stream_context",
+SIDE_EFFECTS = {"bucketed_pack_series", "bucketed_forecast_points", "registry_append", "online_forecast_stream", "payload_capture", "stream_daily_series", "stream_context",
                 "write_series_table", "csv_long_sink", "train_record_sink", "ensure_namespace", "drop_if_exists"}
 
 
