@@ -60,7 +60,9 @@ def series_set_sql(name: str) -> str:
 def long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line item is a point of its own; nine suppliers in ten share the series 'main', first lines have no value."""
     x = table(spark, sf_dir, "lineitem")
-    tick = ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) / F.lit(1000000)).cast("decimal(18,6)")
+    # the quantity is part of the time: points of one time are then equal, and their order is none
+    place = (F.col("l_orderkey").cast("bigint") * 8 + F.col("l_linenumber")) * 64 + F.col("l_quantity").cast("bigint")
+    tick = (place / F.lit(1000000)).cast("decimal(18,6)")
     at = F.col("l_shipdate").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), tick)
     return x.select(F.when(F.col("l_suppkey") % 10 == 0, F.concat(F.lit("s"), F.col("l_suppkey").cast("string")))
                     .otherwise(F.lit("main")).alias("unique_id"), at.alias("ds"),
@@ -68,5 +70,5 @@ def long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LONG_SQL = """SELECT CASE WHEN l_suppkey % 10 = 0 THEN 's' || CAST(l_suppkey AS VARCHAR) ELSE 'main' END AS unique_id,
-  CAST(l_shipdate AS TIMESTAMP) + to_microseconds(CAST(l_orderkey * 8 + l_linenumber AS BIGINT)) AS ds,
+  CAST(l_shipdate AS TIMESTAMP) + to_microseconds(CAST((CAST(l_orderkey AS BIGINT) * 8 + l_linenumber) * 64 + CAST(l_quantity AS BIGINT) AS BIGINT)) AS ds,
   CASE WHEN l_linenumber <> 1 THEN CAST(l_quantity AS DOUBLE) END AS y FROM lineitem"""
