@@ -944,6 +944,47 @@ register("registry_append", f"""SELECT name, version, round(slope, 6) AS slope,
 FROM ({_REG_SQL}) UNION ALL {_NEXT_SQL}""")(_registry_append)
 
 
+from tidecast.streaming import registered as sr  # noqa: E402
+
+
+def _registered_stream(spark, sf):
+    """Single and batch requests meet the stored history; then the next version is stored and split requests come."""
+    s = series_set(spark, sf, "supplier_daily")
+    name = f"tidecast_serving_{uuid.uuid4().hex[:12]}"
+    in_dir, out, ck = (scratch_path(spark, f"serving-{k}") for k in ("in", "out", "ckpt"))
+    reqs = requests_from_series(s)
+    late = F.col("request_id").startswith("split:")
+    stored = rg.registry_append(rg.registry_history(s, "pooled_ar1_supplier"), name)
+    for part in (~late, late):
+        reqs.where(part).write.mode("append").json(in_dir)
+        sr.registered_stream(spark, in_dir, name, "pooled_ar1_supplier", out, ck).awaitTermination()
+        if part is not late:
+            rg.registry_append(rg.pooled_fit(s, 512, "pooled_ar1_supplier", registry=stored), name)
+    return r6(sc.parse_replies(sr.registered_replies(spark, out), keep=("version",)))
+
+
+register("registered_stream", f"""WITH src AS ({SUPP}),
+pos AS (SELECT unique_id, y, row_number() OVER (PARTITION BY unique_id ORDER BY ds) AS p,
+               count(*) OVER (PARTITION BY unique_id) AS n FROM src),
+c AS (SELECT DISTINCT unique_id, n, least(n, 5) AS k FROM pos),
+w AS (SELECT 'single:' || unique_id AS request_id, 'inputs' AS kind, unique_id, 0 AS row, 0 AS lo, n AS hi, 10 AS h FROM c
+      UNION ALL
+      SELECT 'batch:' || unique_id, 'inputs_batch', unique_id, r, r * n // k, (r + 1) * n // k, 10 FROM c, range(0, 5) a(r) WHERE r < k
+      UNION ALL
+      SELECT 'split:' || unique_id, 'dataframe_split', unique_id, 0, 0, n, 20 FROM c),
+reg AS (SELECT CAST(version AS INTEGER) AS v, slope, intercept FROM ({_REG_SQL})),
+old AS (SELECT * FROM reg WHERE v = (SELECT max(v) FROM reg)),
+new AS (SELECT (SELECT max(v) FROM reg) + 1 AS v, regr_slope(y_, x_) AS slope, regr_intercept(y_, x_) AS intercept
+        FROM ({S.scaled_pairs_sql(S.last_points_sql(SUPP, 512))})),
+model AS (SELECT 'inputs' AS kind, * FROM old UNION ALL SELECT 'inputs_batch', * FROM old UNION ALL SELECT 'dataframe_split', * FROM new),
+st AS (SELECT request_id, kind, row, h, CASE WHEN avg(abs(y)) > 0 THEN avg(abs(y)) ELSE 1.0 END AS s, arg_max(y, p) AS last_y
+       FROM w JOIN pos x ON x.unique_id = w.unique_id AND x.p > lo AND x.p <= hi GROUP BY 1, 2, 3, 4)
+SELECT request_id, st.kind, CAST(row AS INTEGER) AS row, CAST(t.k AS INTEGER) AS step, CAST(v AS VARCHAR) AS version,
+  round((CASE WHEN slope = 1.0 THEN intercept * t.k ELSE intercept * (1 - power(slope, t.k)) / (1 - slope) END
+         + power(slope, t.k) * (last_y / s)) * s, 6) AS yhat
+FROM st JOIN model ON model.kind = st.kind JOIN range(1, 21) t(k) ON t.k <= h""")(_registered_stream)
+
+
 # ---------------------------------------------------------------- the preparation flow (rows 10 + 18 / 19)
 from tidecast.plans import preparation as prep  # noqa: E402
 

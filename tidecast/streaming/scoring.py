@@ -108,8 +108,9 @@ def _plugin_forecast(model):
 
 def score_requests(df: DataFrame, model: str = "seasonal", season: int = 7,
                    request_col: str = "request") -> DataFrame:
-    """Add ``kind``, ``h``, ``reply`` (JSON) and ``error`` to request rows,
-    plus ``predictions`` (array<array<double>>, one entry per context) and
+    """Add ``kind``, ``h``, ``reply`` (JSON) and ``error`` to request rows; ``model`` is a built-in's name, a plug-in,
+    or a function of an array column and a horizon that gives an array column.  Beside them
+    ``predictions`` (array<array<double>>, one entry per context) and
     ``pred_ds`` (the horizon timestamps of a dataframe_split request)."""
     r = F.col(request_col)
     b = F.from_json(r, _BATCH)["inputs"]
@@ -146,6 +147,8 @@ def score_requests(df: DataFrame, model: str = "seasonal", season: int = 7,
                  .when(F.col("kind") == "dataframe_split", F.array(ordered)))
     if isinstance(model, str):
         x = x.withColumn("predictions", F.transform(contexts, lambda c: array_forecast(c, F.col("h"), model, season)))
+    elif not hasattr(model, "predict"):
+        x = x.withColumn("predictions", F.transform(contexts, lambda c: model(c, F.col("h"))))
     else:
         steps = F.coalesce(F.col("_sp.params.finetune_steps"), F.lit(0))
         x = x.withColumn("predictions", _plugin_forecast(model)(contexts, F.coalesce(F.col("h"), F.lit(0)), steps))
@@ -217,8 +220,8 @@ _R_SPLIT = T.StructType([T.StructField("predictions", T.ArrayType(T.StructType([
     T.StructField("timestamp", T.StringType()), T.StructField("forecast", T.DoubleType())])))])
 
 
-def parse_replies(payload: DataFrame, id_col: str = "request_id") -> DataFrame:
-    """Captured replies -> (request_id, kind, row, step, yhat), the same long
+def parse_replies(payload: DataFrame, id_col: str = "request_id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Captured replies -> (request_id, kind, row, step, yhat) and the columns ``keep``, the same long
     form as ``reply_rows`` (for reading a payload table back).  The payload's
     ``kind`` tells a reply's shape; request ids may be any text."""
     r = F.col("reply")
@@ -229,6 +232,6 @@ def parse_replies(payload: DataFrame, id_col: str = "request_id") -> DataFrame:
     preds = (F.when(F.col("kind") == "dataframe_split", F.array(F.transform(split, lambda e: e["forecast"])))
               .when(F.col("kind") == "inputs_batch", batch)
               .otherwise(F.array(single)))
-    z = x.select(id_col, "kind", F.posexplode(preds).alias("row", "_p"))
-    return z.select(id_col, "kind", F.col("row").cast("int").alias("row"),
+    z = x.select(id_col, "kind", *keep, F.posexplode(preds).alias("row", "_p"))
+    return z.select(id_col, "kind", *keep, F.col("row").cast("int").alias("row"),
                     F.posexplode("_p").alias("step", "yhat")).withColumn("step", (F.col("step") + 1).cast("int"))
