@@ -985,6 +985,45 @@ SELECT request_id, st.kind, CAST(row AS INTEGER) AS row, CAST(t.k AS INTEGER) AS
 FROM st JOIN model ON model.kind = st.kind JOIN range(1, 21) t(k) ON t.k <= h""")(_registered_stream)
 
 
+# ---------------------------------------------------------------- paths of tokens (rows 56, 60)
+from tidecast.operators import token_sampler as ts  # noqa: E402
+
+_SCALE_SQL = f"SELECT unique_id, CASE WHEN avg(abs(y)) > 0 THEN avg(abs(y)) ELSE 1.0 END AS scale FROM ({SUPP}) GROUP BY 1"
+_TRANS_SQL = f"""sc AS ({_SCALE_SQL}),
+tk AS (SELECT s.unique_id, ds, {sql_token_id('y / scale')} AS tok FROM ({SUPP}) s JOIN sc ON sc.unique_id = s.unique_id),
+pr AS (SELECT tok, lead(tok) OVER (PARTITION BY unique_id ORDER BY ds) AS nx FROM tk),
+tr AS (SELECT tok, nx, count(*) AS c FROM pr WHERE nx IS NOT NULL GROUP BY 1, 2)"""
+
+
+def _series_tokens(spark, sf):
+    from tidecast.functions.tokens import token_id
+    s = series_set(spark, sf, "supplier_daily")
+    scales = s.groupBy("unique_id").agg(F.avg(F.abs("y")).alias("_m")).select(
+        "unique_id", F.when(F.col("_m") > 0, F.col("_m")).otherwise(F.lit(1.0)).alias("scale"))
+    return s.join(scales, "unique_id").select("unique_id", "ds", token_id(F.col("y") / F.col("scale")).alias("token")), scales
+
+
+def _token_paths(spark, sf):
+    toks, scales = _series_tokens(spark, sf)
+    return r6(tk.token_decode(ts.sample_token_paths(toks, 5, 10, 23), scales).drop("scale", "token"))
+
+
+register("token_transitions", f"WITH {_TRANS_SQL} SELECT tok AS token, nx AS next, c FROM tr")(
+    lambda spark, sf: ts.token_transitions(_series_tokens(spark, sf)[0]))
+register("token_paths", f"""WITH RECURSIVE {_TRANS_SQL},
+cu AS (SELECT tok, nx, sum(c) OVER w - c AS lo, sum(c) OVER w AS hi, sum(c) OVER (PARTITION BY tok) AS total
+       FROM tr WINDOW w AS (PARTITION BY tok ORDER BY nx)),
+path AS (
+  SELECT unique_id, max(ds) AS last_ds, arg_max(tok, ds) AS tok, s AS sample, 0 AS k FROM tk, range(1, 11) r(s) GROUP BY unique_id, s
+  UNION ALL
+  SELECT p.unique_id, p.last_ds, coalesce(cu.nx, p.tok), p.sample, p.k + 1
+  FROM (SELECT *, {sql_uniform(23, 'unique_id', 'sample', 'k + 1')} AS u FROM path WHERE k < 5) p
+  LEFT JOIN cu ON cu.tok = p.tok AND floor(u * total) >= lo AND floor(u * total) < hi)
+SELECT path.unique_id, CAST(sample AS INTEGER) AS sample, CAST(k AS INTEGER) AS step, {sql_add_steps('last_ds', 'k', 'D')} AS ds,
+  round(({sql_token_centre('tok')}) * scale, 6) AS value
+FROM path JOIN sc ON sc.unique_id = path.unique_id WHERE k > 0""")(_token_paths)
+
+
 # ---------------------------------------------------------------- the preparation flow (rows 10 + 18 / 19)
 from tidecast.plans import preparation as prep  # noqa: E402
 
