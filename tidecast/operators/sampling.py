@@ -37,7 +37,8 @@ def _choice(u, names, probs):
 def mixture_sample(df: DataFrame, probs: Mapping[str, float] | None, n_draws: int, seed: int = 0,
                    dataset_col: str = "dataset", salt: int = 16) -> DataFrame:
     """``n_draws`` draws: a dataset by its probability (uniform when none
-    given), then a series uniformly within that dataset (with replacement).
+    given, by ``mixtures.mixture_draws``), then a series uniformly within that
+    dataset (with replacement).  For many datasets use ``mixture_draws``.
 
     Series are numbered per dataset by a distributed global position; the
     per-dataset offsets/counts table has one row per dataset (bounded by the
@@ -48,10 +49,10 @@ def mixture_sample(df: DataFrame, probs: Mapping[str, float] | None, n_draws: in
     times, spreading a hot key over ``salt`` tasks.
     """
     spark = df.sparkSession
-    ids = df.select(dataset_col, ID).distinct()
     if probs is None:
-        names = sorted(r[0] for r in ids.select(dataset_col).distinct().collect())
-        probs = {n: 1.0 for n in names}
+        from tidecast.operators.mixtures import mixture_draws
+        return mixture_draws(df, None, n_draws, seed, dataset_col, salt=salt)
+    ids = df.select(dataset_col, ID).distinct()
     names = list(probs)
     numbered = global_position(ids.where(F.col(dataset_col).isin(names)), [dataset_col, ID], "_gpos")
     meta = numbered.groupBy(dataset_col).agg(F.min("_gpos").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
