@@ -31,7 +31,8 @@ def alias_table(weights: DataFrame, name: str = "dataset", weight: str = "weight
     buckets; ``keep`` and ``full`` are in units of 1 / ``parts``.  Rows without
     a name, or without a positive finite weight, take no part; rows of one name
     count with the sum of their weights; a weight below the greatest one by
-    more than ``SCALE`` counts as one unit.  An empty table gives no rows.
+    more than ``SCALE`` counts as one unit.  Sums are kept to 12 decimals and
+    below 1e26; give weights in that range.  An empty table gives no rows.
     """
     w = F.col(weight).cast("double")
     good = F.col(name).isNotNull() & (w > 0) & ~F.isnan(w) & (w < float("inf"))
