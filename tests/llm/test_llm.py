@@ -554,6 +554,12 @@ def test_marks_counted_in_spark_are_those_of_the_plain_count(spark):
     assert want and got == want
 
 
+def test_marks_when_no_text_of_a_task_has_evidence_left(spark):
+    # one task's toxic texts are all explained by the first marks: it has no feature to count
+    rows = [(f"vileword number{k} vileword", 1) for k in range(40)] + [(f"plain text number{k}", 0) for k in range(40)]
+    assert "w:vileword" in crf.marks_of(spark.createDataFrame(rows, "text string, label int").repartition(3))
+
+
 def test_field_fitted_in_blocks_is_that_of_one_block(monkeypatch):
     rng = np.random.default_rng(4)
     words = [f"w{i}" for i in range(60)]

@@ -327,7 +327,8 @@ def marks_of(sample: DataFrame, evidence: float = 12.0, lead: float = 0.3) -> se
                         if sum(w in mine for w in words) >= 2:
                             continue
                     got.update(_marking(words))
-            yield pd.DataFrame({"f": list(got.keys()), "n": list(got.values())})
+            if got:                                           # a frame without rows has no column of text
+                yield pd.DataFrame({"f": list(got.keys()), "n": list(got.values())})
         return run
 
     first = bad.mapInPandas(counted(set()), "f string, n bigint").groupBy("f").agg(F.sum("n").alias("n")).where("n > 2")
