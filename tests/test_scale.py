@@ -56,10 +56,10 @@ def test_no_device_leaves_the_partitions_to_the_cluster(spark, series):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-def test_table_function_gets_the_context_in_plain_batches(spark, lineitem):
-    plan = catalog.QUERIES["forecast_table"](spark, lineitem)._jdf.queryExecution().toString()
-    assert "ArrowEvalPythonUDTF" not in plan and "BatchEvalPythonUDTF" in plan and "WindowGroupLimit" in plan
-    name = tf.register_forecast_table(spark, pl.WindowMean(None), "ft_plain", 3)
+def test_table_function_gets_the_context_alone(spark, lineitem):
+    plan = catalog.QUERIES["forecast_table"](spark, lineitem)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("ArrowEvalPythonUDTF") < plan.index("WindowGroupLimit")
+    name = tf.register_forecast_table(spark, pl.WindowMean(None), "ft_short", 3)
     got = spark.sql(f"SELECT * FROM {name}(TABLE({{t}}) PARTITION BY unique_id ORDER BY (ds), 2, 'D')", t=spark.createDataFrame(
         [("a", dt.datetime(2024, 1, d), float(d)) for d in range(1, 9)], "unique_id string, ds timestamp_ntz, y double")).collect()
     assert [(r.step, r.last_ds, r.yhat) for r in got] == [(k, dt.datetime(2024, 1, 8), 7.0) for k in (1, 2)]
