@@ -63,6 +63,13 @@ def test_table_function_gets_the_context_alone(spark, lineitem):
     got = spark.sql(f"SELECT * FROM {name}(TABLE({{t}}) PARTITION BY unique_id ORDER BY (ds), 2, 'D')", t=spark.createDataFrame(
         [("a", dt.datetime(2024, 1, d), float(d)) for d in range(1, 9)], "unique_id string, ds timestamp_ntz, y double")).collect()
     assert [(r.step, r.last_ds, r.yhat) for r in got] == [(k, dt.datetime(2024, 1, 8), 7.0) for k in (1, 2)]
+    # rows may bring several points each
+    runs = spark.createDataFrame([("a", dt.datetime(2024, 1, 8), [None, 6.0]), ("a", dt.datetime(2024, 1, 4), [9.0, 4.0]),
+                                  ("b", dt.datetime(2024, 1, 1), [None]), ("b", dt.datetime(2024, 1, 2), None)],
+                                 "unique_id string, ds timestamp_ntz, y array<double>")
+    got = spark.sql(f"SELECT * FROM {name}(TABLE({{t}}) PARTITION BY unique_id ORDER BY (ds), 1, 'D')", t=runs).collect()
+    assert sorted((r.unique_id, r.last_ds, r.yhat) for r in got) == [
+        ("a", dt.datetime(2024, 1, 8), 5.0), ("b", dt.datetime(2024, 1, 2), None)]
 
 
 def test_whole_series_go_to_a_client_in_bounded_batches(spark):
