@@ -658,3 +658,72 @@ def test_queries_of_a_partition_are_dealt_over_blocks(spark, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK", 30)
     monkeypatch.setattr(ann, "QUERY_BLOCK", 20)
     assert sorted(map(tuple, ann.search(v, v, target=1.1).collect())) == whole
+
+
+def nearest_by_hand(ids, x, asked, k=5):
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    out = {}
+    for q in asked:
+        s = u @ u[q]
+        out[int(ids[q])] = [int(ids[i]) for i in np.lexsort((ids, -s)) if ids[i] != ids[q]][:k]
+    return out
+
+
+def test_the_sample_of_vectors_does_not_pass_the_driver_task_by_task(spark):
+    rows = spark.range(0, 40_000, 1, 40).select(F.col("id").alias("vec_id"), F.transform(
+        F.sequence(F.lit(1), F.lit(8)), lambda j: F.xxhash64("id", j) / F.lit(2.0**63)).alias("embedding"))
+    conf = spark._jsc.sc().conf()
+    most = conf.get("spark.driver.maxResultSize", "1g")
+    conf.set("spark.driver.maxResultSize", "2m")           # 40 tasks with a sample of 1,000 each have 5 MB
+    try:
+        got = ann.search(rows, rows.where("vec_id % 4000 = 7"), parts=4, target=1.1, sample=1000).orderBy("query_id", "rank").collect()
+    finally:
+        conf.set("spark.driver.maxResultSize", most)
+    x = np.array([r.embedding for r in rows.orderBy("vec_id").collect()])
+    want = nearest_by_hand(np.arange(40_000), x, range(7, 40_000, 4000))
+    assert {q: [r.vec_id for r in got if r.query_id == q] for q in want} == want
+
+
+def test_a_query_goes_to_a_cell_of_partitions_once(spark, monkeypatch):
+    rng = np.random.default_rng(14)
+    x = rng.normal(size=(900, 6)).astype(np.float32)
+    v = spark.createDataFrame([(i, e.tolist()) for i, e in enumerate(x)], "vec_id bigint, embedding array<float>")
+    monkeypatch.setattr(ann, "CELLS", 3)
+    got = ann.search(v, v.where("vec_id % 9 = 0"), parts=16, target=1.1).orderBy("query_id", "rank")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapGroups" not in plan
+    want = nearest_by_hand(np.arange(900), x.astype(float), range(0, 900, 9))
+    assert {q: [r.vec_id for r in got.collect() if r.query_id == q] for q in want} == want
+    cells = ann._by_cell([np.arange(16), np.array([4, 1]), np.array([-6])], 3).to_pylist()
+    assert [[(c["cell"], c["probes"]) for c in row] for row in cells] == [
+        [(0, [0, 3, 6, 9, 12, 15]), (1, [1, 4, 7, 10, 13]), (2, [2, 5, 8, 11, 14])], [(1, [1, 4])], [(0, [-6])]]
+
+
+def test_rows_of_the_querys_id_push_out_no_others(spark):
+    rows = [(0, [1.0, 0.001 * j]) for j in range(9)] + [(i, [1.0, float(i)]) for i in range(1, 8)]
+    v = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = ann.search(v, v.where("vec_id = 0").limit(1), target=1.1).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [1, 2, 3, 4, 5]
+
+
+def test_blocks_find_the_nearest_of_all_rows(monkeypatch):
+    for name, value in (("QUERIES_AT_ONCE", 16), ("PAIRS_AT_ONCE", 50)):
+        monkeypatch.setattr(ann, name, value)
+    for seed in range(40):
+        rng = np.random.default_rng(seed)
+        n, k = int(rng.integers(1, 200)), int(rng.integers(1, 7))
+        x = rng.normal(size=(n, int(rng.integers(1, 6)))).astype([np.float32, np.float64][seed % 2])
+        x = np.round(x) + 0.5 if seed % 3 == 0 else x      # ties
+        x[rng.random(n) < 0.4] = 3 * x[0]                  # equal vectors
+        x = x * (10.0 ** rng.integers(-20, 20, (n, 1))).astype(x.dtype) if seed % 5 == 0 else x
+        ids = rng.integers(0, n, n) if seed % 4 == 0 else rng.permutation(n)
+        asked = rng.integers(0, n, 30)
+        block = ann.Block(ids[asked], x[asked], k)
+        for lo in range(0, n, 23):
+            block.add(np.arange(25), ids[lo:lo + 23], x[lo:lo + 23])
+        all_of = ann.scaled(x.astype(float))
+        for i, q in enumerate(asked):
+            s = ann.cosines(np.repeat(all_of[q:q + 1], n, 0), ann.norms(all_of)[q], all_of, ann.norms(all_of))
+            want = sorted((-s[j], ids[j]) for j in range(n) if ids[j] != ids[q])[:k] if i < 25 else []
+            some = block.score[i] > -np.inf
+            assert [*zip(-block.score[i][some], block.found[i][some])] == want
